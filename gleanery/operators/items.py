@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from gleanery.functions.markup import (
     issue_parts,
     issue_title,
     issue_url,
+    page_text,
 )
 from gleanery.functions.scalars import (
     cents_to_usd,
@@ -33,7 +34,7 @@ from gleanery.functions.scalars import (
     number_or,
     text_or,
 )
-from gleanery.functions.variants import as_kind, at, first_at, first_truthy, truthy
+from gleanery.functions.variants import as_kind, at, first_at, first_truthy
 
 DEFAULT_CENTS = 10000
 EMBEDDED_SCRIPT = r'(?s)<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>'
@@ -115,13 +116,8 @@ def positional_items(
 # --- items by issue reference in text --------------------------------------------------------------
 
 
-def text_items(pages: DataFrame, text: str = "text", raw: bool = False, legacy_commas: bool = False) -> DataFrame:
-    """Issue references in page text with what their surroundings say.
-
-    One row per distinct reference of a page; ``raw`` keeps every mention. Columns: the page's own,
-    owner, repo, number, title, cents, tech, context, ref_url.
-    """
-    keep = [c for c in pages.columns if c != text]
+def mentions(text: Column | str, raw: bool = False, legacy_commas: bool = False) -> Column:
+    """Array of issue references in a text with what their surroundings say."""
     matches = find_all(text, ISSUE_REFERENCE, 0)
     if not raw:
         matches = F.array_distinct(matches)
@@ -141,8 +137,17 @@ def text_items(pages: DataFrame, text: str = "text", raw: bool = False, legacy_c
             r["ref_url"].alias("ref_url"),
         )
 
+    return F.transform(let(parts, near), read)
+
+
+def text_items(pages: DataFrame, text: str = "text", raw: bool = False, legacy_commas: bool = False) -> DataFrame:
+    """Issue references in page text, one row per distinct reference of a page; ``raw`` keeps every mention.
+
+    Columns: the page's own, owner, repo, number, title, cents, tech, context, ref_url.
+    """
+    keep = [c for c in pages.columns if c != text]
     return (
-        pages.select(*keep, F.explode_outer(F.transform(let(parts, near), read)).alias("_r"))
+        pages.select(*keep, F.explode_outer(mentions(text, raw, legacy_commas)).alias("_r"))
         .where("_r IS NOT NULL")
         .select(*keep, "_r.issue.*", "_r.title", "_r.cents", "_r.tech", "_r.context", "_r.ref_url")
     )
@@ -161,46 +166,117 @@ def _task(item: Column) -> Column:
     return first_truthy(at(item, "$.task"), item)
 
 
-def embedded_candidates(pages: DataFrame, state: str = "state") -> DataFrame:
-    """Pre-extracted candidates (id, title, url, cents, currency, body) that point to the forge."""
-    keep = [c for c in pages.columns if c != state]
+def _reference(url: Column) -> Column:
+    """(owner, repo, number) of an issue URL, NULL for other URLs."""
+    ref = F.nullif(F.regexp_extract(url, ISSUE_REFERENCE, 0), F.lit(""))
+    return F.when(ref.isNotNull(), issue_parts(ref))
+
+
+def candidates(state: Column) -> Column:
+    """Pre-extracted candidates in a page state: array of (id, title, url, cents, currency, body, issue)."""
     props = "$.props.pageProps"
     # Where candidates may be, in order.
     spots = [f"{props}.bounties", f"{props}.items", f"{props}.data.bounties", f"{props}.data.items"]
-    listed = as_kind(first_at(F.col(state), *spots), "array<variant>")
-    rows = pages.select(*keep, F.posexplode_outer(listed).alias("pos", "_item")).where("_item IS NOT NULL")
-    item, task = F.col("_item"), _task(F.col("_item"))
+    listed = as_kind(first_at(state, *spots), "array<variant>")
     text = lambda *options: F.coalesce(as_kind(first_truthy(*options), "string"), F.lit(""))
-    return rows.select(
-        *keep, "pos",
-        text(at(item, "$.id")).alias("id"),
-        text(at(task, "$.title"), at(task, "$.source.data.title")).alias("title"),
-        text(at(task, "$.url"), at(task, "$.html_url"), at(task, "$.source.data.html_url")).alias("url"),
-        F.coalesce(as_kind(first_truthy(at(item, "$.reward.amount"), at(item, "$.amount")), "bigint"), F.lit(0)).alias("cents"),
-        text_or(text(at(item, "$.reward.currency"), at(item, "$.currency")), "USD").alias("currency"),
-        text(at(task, "$.body"), at(task, "$.source.data.body")).alias("body"),
-    ).where(F.contains("url", F.lit("github.com")))
 
+    def read(item: Column) -> Column:
+        task = _task(item)
+        url = text(at(task, "$.url"), at(task, "$.html_url"), at(task, "$.source.data.html_url"))
+        cents = as_kind(first_truthy(at(item, "$.reward.amount"), at(item, "$.amount")), "bigint")
+        return F.struct(
+            text(at(item, "$.id")).alias("id"),
+            text(at(task, "$.title"), at(task, "$.source.data.title")).alias("title"),
+            url.alias("url"),
+            F.coalesce(cents, F.lit(0)).alias("cents"),
+            text_or(text(at(item, "$.reward.currency"), at(item, "$.currency")), "USD").alias("currency"),
+            text(at(task, "$.body"), at(task, "$.source.data.body")).alias("body"),
+            _reference(url).alias("issue"),
+        )
 
-def embedded_raw_rows(pages: DataFrame, state: str = "state") -> DataFrame:
-    """Raw candidate objects (pos, item) with their issue URL parts, for pages whose list holds issues."""
+    return F.filter(F.transform(listed, read), lambda c: F.contains(c["url"], F.lit("github.com")))
+
+
+def embedded_candidates(pages: DataFrame, state: str = "state") -> DataFrame:
+    """Pre-extracted candidates that point to the forge; owner, repo and number are NULL for other links."""
     keep = [c for c in pages.columns if c != state]
+    rows = pages.select(*keep, F.posexplode_outer(candidates(F.col(state))).alias("pos", "_c")).where("_c IS NOT NULL")
+    fields = [f"_c.{n}" for n in ("id", "title", "url", "cents", "currency", "body")]
+    return rows.select(*keep, "pos", *fields, "_c.issue.owner", "_c.issue.repo", "_c.issue.number")
+
+
+def raw_objects(state: Column) -> Column:
+    """Raw objects in a page state that belong to an issue: array of (item, issue_url, issue)."""
     props = "$.props.pageProps"
     # Where the raw list may be, in order.
     spots = [f"{props}.bounties", f"{props}.items", f"{props}.data"]
-    listed = as_kind(first_at(F.col(state), *spots), "array<variant>")
-    rows = pages.select(*keep, F.posexplode_outer(listed).alias("pos", "item")).where("item IS NOT NULL")
-    task = _task(F.col("item"))
-    url = as_kind(first_truthy(at(task, "$.url"), at(task, "$.html_url"), at(task, "$.source.data.html_url")), "string")
-    return with_issue(rows.withColumn("issue_url", url), "issue_url")
+    listed = as_kind(first_at(state, *spots), "array<variant>")
 
+    def read(item: Column) -> Column:
+        task = _task(item)
+        found = first_truthy(at(task, "$.url"), at(task, "$.html_url"), at(task, "$.source.data.html_url"))
+        url = as_kind(found, "string")
+        return F.struct(item.alias("item"), url.alias("issue_url"), _reference(url).alias("issue"))
 
-def with_issue(df: DataFrame, url: str) -> DataFrame:
-    """Add owner, repo and number from an issue URL and keep the rows that have them."""
-    ref = F.nullif(F.regexp_extract(url, ISSUE_REFERENCE, 0), F.lit(""))
-    return df.withColumn("_ref", ref).where("_ref IS NOT NULL").select("*", issue_parts(F.col("_ref")).alias("_p")).select(
-        *df.columns, "_p.*"
+    return F.filter(F.transform(listed, read), lambda r: r["issue"].isNotNull())
+
+
+def embedded_raw_rows(pages: DataFrame, state: str = "state") -> DataFrame:
+    """Raw candidate objects (pos, item, issue_url) with their issue parts."""
+    keep = [c for c in pages.columns if c != state]
+    rows = pages.select(*keep, F.posexplode_outer(raw_objects(F.col(state))).alias("pos", "_r")).where("_r IS NOT NULL")
+    return rows.select(*keep, "pos", "_r.item", "_r.issue_url", "_r.issue.*")
+
+
+# --- the best source of a page ---------------------------------------------------------------------
+
+FROM_CANDIDATES, FROM_RAW, FROM_TEXT = 1, 2, 3
+
+
+def best_source_rows(pages: DataFrame) -> DataFrame:
+    """References of each page (handle, html, ...) from its best source, in one scan.
+
+    The first of pre-extracted state, raw state and text that has any issue wins; later ones are not
+    worked out. Columns: the page's own, source, owner, repo, number and what that source knows.
+    """
+    keep = [c for c in pages.columns if c != "html"]
+    none = lambda kind: F.lit(None).cast(kind)
+
+    def row(source: int, issue: Column, **known: Column) -> Column:
+        unknown = {
+            "id": none("string"), "title": none("string"), "body": none("string"), "link": none("string"),
+            "cents": none("bigint"), "currency": F.lit("USD"), "tech": none("array<string>"), "item": none("variant"),
+        }
+        return F.struct(
+            F.lit(source).alias("source"), issue.alias("issue"), *[c.alias(n) for n, c in {**unknown, **known}.items()]
+        )
+
+    def from_state(state: Column) -> Column:
+        ready = F.filter(candidates(state), lambda c: c["issue"].isNotNull())
+        as_rows = F.transform(
+            ready,
+            lambda c: row(
+                FROM_CANDIDATES, c["issue"], id=c["id"], title=c["title"], body=c["body"], link=c["url"], cents=c["cents"],
+                currency=c["currency"],
+            ),
+        )
+        return let(
+            as_rows,
+            lambda found: F.when(F.size(found) > 0, found).otherwise(
+                F.transform(raw_objects(state), lambda r: row(FROM_RAW, r["issue"], link=r["issue_url"], item=r["item"]))
+            ),
+        )
+
+    from_text = F.transform(
+        mentions(page_text("html")),
+        lambda m: row(
+            FROM_TEXT, m["issue"], title=m["title"], body=m["context"], link=m["ref_url"], cents=m["cents"], tech=m["tech"]
+        ),
     )
+    best = let(let(embedded_state("html"), from_state), lambda found: F.when(F.size(found) > 0, found).otherwise(from_text))
+    rows = pages.select(*keep, F.explode_outer(best).alias("_b")).where("_b IS NOT NULL")
+    fields = ("source", "id", "title", "body", "link", "cents", "currency", "tech", "item")
+    return rows.select(*keep, *[f"_b.{f}" for f in fields], "_b.issue.*")
 
 
 # --- nested items ----------------------------------------------------------------------------------
@@ -256,8 +332,8 @@ def source_struct(key: Column, user: Column, title: Column, body: Column, html_u
     return F.struct(data.alias("data"), F.lit("github").alias("type"))
 
 
-def _assemble(df: DataFrame, given: dict[str, Column]) -> DataFrame:
-    """Nested item rows: given parts over the fixed ones, in schema order."""
+def _assemble(given: dict[str, Column]) -> Column:
+    """Nested item: given parts over the fixed ones, in schema order."""
     fixed = {
         "status": F.lit("open"), "type": F.lit("standard"), "kind": F.lit("dev"), "visibility": F.lit("public"),
         "autopay_disabled": F.lit(False), "tech": _strings(), "bids": _objects(), "is_external": F.lit(False),
@@ -274,94 +350,92 @@ def _assemble(df: DataFrame, given: dict[str, Column]) -> DataFrame:
     }
     pick = lambda values, fields: [values[f.strip().split(" ")[0]].alias(f.strip().split(" ")[0]) for f in schemas._split(fields)]
     parts["task"] = F.struct(*pick(task, schemas.TASK)).cast(schemas.nested(schemas.TASK))
-    return df.select(*pick(parts, schemas.ITEM))
+    return F.struct(*pick(parts, schemas.ITEM)).cast(schemas.nested(schemas.ITEM))
+
+
+def _rows(df: DataFrame, item: Column, keep: Sequence[str]) -> DataFrame:
+    return df.select(*keep, item.alias("_item")).select(*keep, "_item.*")
 
 
-def items_from_listing(rows: DataFrame, as_of: Column) -> DataFrame:
+def items_from_listing(rows: DataFrame, as_of: Column, keep: Sequence[str] = ()) -> DataFrame:
     """Nested items from listing API rows joined with their registry columns. Active rows only."""
     now = as_of.cast("timestamp")
     number = F.coalesce("issue.number", F.lit(0)).cast("bigint")
     title = issue_title(F.col("issue.title"), number=number)
     body, link = text_or("issue.body", ""), text_or("issue.html_url", "")
     created = F.coalesce("created_at", now)
-    user = team_user(F.col("issue.user.id"), F.col("issue.user.login"), F.col("issue.user.avatar_url"), F.col("issue.user.html_url"))
-    return _assemble(
-        rows.where("status = 'active'"),
+    author = [F.col(f"issue.user.{f}") for f in ("id", "login", "avatar_url", "html_url")]
+    item = _assemble(
         {
             "id": F.col("id"), "org": organization_struct(created, F.col("repo_owner")),
             "updated_at": F.coalesce("updated_at", now), "created_at": created,
             "currency": text_or("currency", "USD"), "cents": F.col("amount"),
             "task_id": F.concat(F.lit("task-"), "id"), "task_number": number, "task_title": title,
-            "task_source": source_struct(F.col("id"), user, title, body, link),
+            "task_source": source_struct(F.col("id"), team_user(*author), title, body, link),
             "task_hash": issue_hash("repo_owner", "repo_name", number), "task_body": body, "task_url": link,
             "task_repo_name": F.col("repo_name"), "task_repo_owner": F.col("repo_owner"),
-        },
+        }
     )
+    return _rows(rows.where("status = 'active'"), item, keep)
 
 
-def _looked_up(name: str, df: DataFrame) -> Column:
-    return F.col(f"issue_{name}") if f"issue_{name}" in df.columns else F.lit(None).cast("string")
-
+def reference_item(columns: Sequence[str], as_of: Column) -> Column:
+    """Nested item of a row with owner, repo, number, id, title, body, link, cents, currency and tech.
 
-def _from_reference(
-    df: DataFrame, as_of: Column, given_id: Column, title: Column, body: Column, link: Column, cents: Column, currency: Column,
-    tech: Column | None = None,
-) -> DataFrame:
-    """Nested items for rows with owner, repo, number and optional looked-up issue_* columns."""
+    Looked-up issue columns (issue_title, issue_body, issue_html_url, issue_user) come first when the
+    row has them.
+    """
     now = as_of.cast("timestamp")
+    looked_up = lambda name: F.col(f"issue_{name}") if f"issue_{name}" in columns else F.lit(None).cast("string")
     key = item_key("handle", "number")
-    shown = issue_title(_looked_up("title", df), title, number=F.col("number"))
-    text = text_or(_looked_up("body", df), text_or(body, ""))
-    url = text_or(_looked_up("html_url", df), link)
-    user = F.coalesce(F.col("issue_user"), team_user()) if "issue_user" in df.columns else team_user()
-    extra = {} if tech is None else {"tech": F.coalesce(tech, _strings()), "task_tech": F.coalesce(tech, _strings())}
+    shown = issue_title(looked_up("title"), F.col("title"), number=F.col("number"))
+    text = text_or(looked_up("body"), text_or("body", ""))
+    url = text_or(looked_up("html_url"), F.col("link"))
+    user = F.coalesce(F.col("issue_user"), team_user()) if "issue_user" in columns else team_user()
+    tech = F.coalesce("tech", _strings())
     return _assemble(
-        df,
         {
-            "id": text_or(given_id, key), "org": organization_struct(now, F.col("owner")), "updated_at": now, "created_at": now,
-            "currency": currency, "cents": number_or(cents, DEFAULT_CENTS),
+            "id": text_or("id", key), "org": organization_struct(now, F.col("owner")), "updated_at": now, "created_at": now,
+            "currency": text_or("currency", "USD"), "cents": number_or("cents", DEFAULT_CENTS), "tech": tech,
             "task_id": F.concat(F.lit("task-"), key), "task_number": F.col("number"), "task_title": shown,
             "task_source": source_struct(key, user, shown, text, url),
-            "task_hash": issue_hash("owner", "repo", "number"), "task_body": text, "task_url": url,
-            "task_repo_name": F.col("repo"), "task_repo_owner": F.col("owner"), **extra,
-        },
+            "task_hash": issue_hash("owner", "repo", "number"), "task_body": text, "task_url": url, "task_tech": tech,
+            "task_repo_name": F.col("repo"), "task_repo_owner": F.col("owner"),
+        }
     )
 
 
-def items_from_candidates(rows: DataFrame, as_of: Column) -> DataFrame:
+def items_from_candidates(rows: DataFrame, as_of: Column, keep: Sequence[str] = ()) -> DataFrame:
     """Nested items from pre-extracted candidates (``embedded_candidates`` plus registry columns)."""
-    return _from_reference(
-        with_issue(rows, "url"), as_of, F.col("id"), F.col("title"), F.col("body"), F.col("url"), F.col("cents"),
-        text_or("currency", "USD"),
-    )
+    given = rows.where("number IS NOT NULL").withColumns({"link": F.col("url"), "tech": _strings()})
+    return _rows(given, reference_item(given.columns, as_of), keep)
 
 
-def items_from_text(rows: DataFrame, as_of: Column) -> DataFrame:
+def items_from_text(rows: DataFrame, as_of: Column, keep: Sequence[str] = ()) -> DataFrame:
     """Nested items from ``text_items`` rows plus registry columns."""
-    none = F.lit(None).cast("string")
-    return _from_reference(
-        rows, as_of, none, F.col("title"), F.col("context"), F.col("ref_url"), F.col("cents"), F.lit("USD"), F.col("tech")
+    given = rows.withColumns(
+        {"id": F.lit(""), "body": F.col("context"), "link": F.col("ref_url"), "currency": F.lit("USD")}
     )
+    return _rows(given, reference_item(given.columns, as_of), keep)
 
 
-def items_from_embedded(rows: DataFrame, as_of: Column) -> DataFrame:
-    """Nested items from raw embedded objects (``embedded_raw_rows`` plus registry columns)."""
+def embedded_item(as_of: Column, item: str = "item", url: str = "issue_url") -> Column:
+    """Nested item of a raw embedded object; absent or empty fields take their defaults."""
     now = as_of.cast("timestamp")
-    item, task = F.col("item"), _task(F.col("item"))
-    text = lambda v, path: as_kind(first_at(v, path), "string")
+    item, task = F.col(item), F.coalesce(at(F.col(item), "$.task"), F.col(item))
+    text = lambda v, path: at(v, path, "string")
     flag = lambda path: flag_or_false(at(item, path, "boolean"))
     time = lambda path: F.coalesce(text(item, path).try_cast("timestamp"), now)
     listed = lambda v, path, kind: at(v, path, f"array<{kind}>")
     key = item_key("handle", "number")
     fallback = F.concat(F.lit("Issue #"), F.col("number").cast("string"))
-    own_source = F.when(truthy(at(task, "$.source")), at(task, "$.source", schemas.nested(schemas.TASK_SOURCE)))
+    own_source = at(task, "$.source", schemas.nested(schemas.TASK_SOURCE))
     made_source = source_struct(
-        key, team_user(), text_or(text(task, "$.title"), fallback), text_or(text(task, "$.body"), ""), F.col("issue_url")
-    )
-    own_org = F.when(truthy(at(item, "$.org")), at(item, "$.org", schemas.nested(schemas.ORGANIZATION)))
+        key, team_user(), text_or(text(task, "$.title"), fallback), text_or(text(task, "$.body"), ""), F.col(url)
+    ).cast(schemas.nested(schemas.TASK_SOURCE))
+    own_org = at(item, "$.org", schemas.nested(schemas.ORGANIZATION))
     task_tech = F.coalesce(listed(task, "$.tech", "string"), _strings())
     return _assemble(
-        rows,
         {
             "id": text_or(text(item, "$.id"), key), "status": text_or(text(item, "$.status"), "open"),
             "type": text_or(text(item, "$.type"), "standard"), "kind": text_or(text(item, "$.kind"), "dev"),
@@ -381,10 +455,23 @@ def items_from_embedded(rows: DataFrame, as_of: Column) -> DataFrame:
             "task_number": F.col("number"),
             "task_title": text_or(text(task, "$.title"), text_or(text(task, "$.source.data.title"), fallback)),
             "task_source": F.coalesce(own_source, made_source), "task_hash": issue_hash("owner", "repo", "number"),
-            "task_body": text_or(text(task, "$.body"), ""), "task_url": F.col("issue_url"), "task_tech": task_tech,
+            "task_body": text_or(text(task, "$.body"), ""), "task_url": F.col(url), "task_tech": task_tech,
             "task_repo_name": F.col("repo"), "task_repo_owner": F.col("owner"),
-        },
+        }
+    )
+
+
+def items_from_embedded(rows: DataFrame, as_of: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Nested items from raw embedded objects (``embedded_raw_rows`` plus registry columns)."""
+    return _rows(rows, embedded_item(as_of), keep)
+
+
+def items_from_best_source(rows: DataFrame, as_of: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Nested items from ``best_source_rows`` plus registry columns, in one projection."""
+    item = F.when(F.col("source") == FROM_RAW, embedded_item(as_of, url="link")).otherwise(
+        reference_item(rows.columns, as_of)
     )
+    return _rows(rows, item, keep)
 
 
 def flatten_items(items: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.operators import changes, discovery, items, page_state, registry, stats
-from gleanery.operators.keyed import first_source
 
 
 @dataclass(frozen=True)
@@ -49,43 +48,26 @@ def collect_items(
 ) -> DataFrame:
     """Nested items of each organization from its best source.
 
-    Order: listing API, pre-extracted page state, raw page state, text. ``orgs`` holds handle,
+    Order: listing API, then page by page pre-extracted state, raw state and text. ``orgs`` holds handle,
     display_name, description and org_tech; ``pages`` (handle, html) and ``listing`` (handle plus the
-    listing row) bring the data. Page columns are extracted first and the HTML is dropped before the
-    joins. An organization already served by the listing is not searched again.
+    listing row) bring the data. Pages are scanned once and the HTML is dropped before any join; pages of
+    an organization served by the listing are not searched.
     """
     details = orgs.select("handle", "display_name", "description", "org_tech")
-    made = []
     if listing is not None:
-        api = items.items_from_listing(listing.join(details, "handle"), as_of)
-        made.append(api)
         served = listing.where("status = 'active'").select("handle").distinct()
         pages = pages.join(served, "handle", "left_anti")
-    from gleanery.functions.markup import page_text
-
-    state = pages.select("handle", items.embedded_state("html").alias("state"))
-    text = pages.select("handle", page_text("html").alias("text"))
-    candidates = items.embedded_candidates(state)
-    raw = items.embedded_raw_rows(state)
-    mentions = items.text_items(text)
+    found = items.best_source_rows(pages.select("handle", "html"))
     if issues is not None:
         known = issues.select(
             "owner", "repo", "number", F.col("title").alias("issue_title"), F.col("body").alias("issue_body"),
             F.col("html_url").alias("issue_html_url"), F.col("user").alias("issue_user"),
         )
-        candidates = items.with_issue(candidates, "url").join(known, ["owner", "repo", "number"], "left")
-        mentions = mentions.join(known, ["owner", "repo", "number"], "left")
-        candidates = candidates.drop("owner", "repo", "number")
-    made += [
-        items.items_from_candidates(candidates.join(details, "handle"), as_of),
-        items.items_from_embedded(raw.join(details, "handle"), as_of),
-        items.items_from_text(mentions.join(details, "handle"), as_of),
-    ]
-    tagged = [m.withColumn("_source", F.lit(i)).withColumn("_handle", F.col("org.handle")) for i, m in enumerate(made)]
-    union = tagged[0]
-    for t in tagged[1:]:
-        union = union.unionByName(t)
-    return first_source(union, ["_handle"], "_source").drop("_source", "_handle")
+        found = found.join(known, ["owner", "repo", "number"], "left")
+    made = items.items_from_best_source(found.join(details, "handle"), as_of)
+    if listing is None:
+        return made
+    return items.items_from_listing(listing.join(details, "handle"), as_of).unionByName(made)
 
 
 @dataclass(frozen=True)

@@ -46,7 +46,7 @@ ITEM = (
     f"task {nested(TASK)}, timeouts_disabled BOOLEAN"
 )
 ENVELOPE = (
-    f"result STRUCT<data: STRUCT<json: STRUCT<items: ARRAY<{nested(ITEM)}>, next_cursor: STRING>>>"
+    f"result STRUCT<data: STRUCT<json: STRUCT<items: ARRAY<{nested(ITEM + ', copies BIGINT')}>, next_cursor: STRING>>>"
 )
 
 REGISTRY_ROW = (
@@ -58,7 +58,7 @@ REGISTRY = f"updated_at TIMESTAMP, version STRING, organizations ARRAY<{nested(R
 FLAT_ITEM = (
     "id STRING, title STRING, amount_usd DOUBLE, amount_formatted STRING, status STRING, created_at TIMESTAMP, "
     "updated_at TIMESTAMP, url STRING, description STRING, tags ARRAY<STRING>, attempt_count BIGINT, "
-    "difficulty STRING, repository STRUCT<owner: STRING, name: STRING, url: STRING>, issue_number BIGINT"
+    "difficulty STRING, repository STRUCT<owner: STRING, name: STRING, url: STRING>, issue_number BIGINT, copies BIGINT"
 )
 INDEX_ORG = (
     "display_name STRING, url STRING, bounty_count BIGINT, total_value_usd DOUBLE, last_updated TIMESTAMP, "

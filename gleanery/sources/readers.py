@@ -35,16 +35,40 @@ def read_registry(spark: SparkSession, path: str | Sequence[str], default: DataF
     return documents.select(F.explode(checked).alias("_o")).select("_o.*")
 
 
+def _documents(spark: SparkSession, schema: str, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
+    return spark.read.schema(schema).json(paths, multiLine=not lines)
+
+
+def parse_documents(raw: DataFrame, column: str, schema: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Landed JSON bodies in a text column to document columns."""
+    return raw.select(*keep, F.from_json(F.col(column), schema).alias("_d")).select(*keep, "_d.*")
+
+
+def listing_rows(documents: DataFrame) -> DataFrame:
+    """Listing bodies to one row per listed item; other columns stay."""
+    keep = [c for c in documents.columns if c != "items"]
+    return documents.select(*keep, F.explode("items").alias("_i")).select(*keep, "_i.*")
+
+
 def read_listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Landed listing bodies to one row per listed item."""
-    bodies = spark.read.schema(schemas.LISTING).json(paths, multiLine=True)
-    return bodies.select(F.explode("items").alias("_i")).select("_i.*")
+    return listing_rows(_documents(spark, schemas.LISTING, paths))
+
+
+def _expand_copies(rows: DataFrame) -> DataFrame:
+    """Repeat rows that a writer merged."""
+    times = F.sequence(F.lit(1), F.greatest(F.coalesce("copies", F.lit(1)), F.lit(1)).cast("int"))
+    return rows.select(*[c for c in rows.columns if c != "copies"], F.explode(times).alias("_time")).drop("_time")
+
+
+def envelope_rows(documents: DataFrame) -> DataFrame:
+    """API envelopes to nested items."""
+    return _expand_copies(documents.select(F.explode("result.data.json.items").alias("_i")).select("_i.*"))
 
 
 def read_envelope(spark: SparkSession, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
     """API envelopes to nested items. ``lines`` reads one envelope per line and splits large files."""
-    bodies = spark.read.schema(schemas.ENVELOPE).json(paths, multiLine=not lines)
-    return bodies.select(F.explode("result.data.json.items").alias("_i")).select("_i.*")
+    return envelope_rows(_documents(spark, schemas.ENVELOPE, paths, lines))
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
@@ -52,27 +76,37 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.ITEM).json(path)
 
 
-def read_index_orgs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def index_orgs(documents: DataFrame) -> DataFrame:
     """Keyed index documents to one row per organization with its nested items."""
-    documents = spark.read.schema(schemas.INDEX).json(paths, multiLine=True)
     return documents.select(F.explode("organizations").alias("handle", "_o")).select("handle", "_o.*")
 
 
-def read_index(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def index_items(documents: DataFrame) -> DataFrame:
     """Keyed index documents to flat items with their handle."""
-    orgs = read_index_orgs(spark, paths)
-    return orgs.select("handle", "display_name", F.explode("bounties").alias("_b")).select("handle", "display_name", "_b.*")
+    rows = index_orgs(documents).select("handle", "display_name", F.explode("bounties").alias("_b"))
+    return _expand_copies(rows.select("handle", "display_name", "_b.*"))
 
 
-def read_state_document(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_index_orgs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return index_orgs(_documents(spark, schemas.INDEX, paths))
+
+
+def read_index(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return index_items(_documents(spark, schemas.INDEX, paths))
+
+
+def state_rows(documents: DataFrame) -> DataFrame:
     """Keyed page-state documents to state rows."""
-    documents = spark.read.schema(schemas.STATE_DOCUMENT).json(paths, multiLine=True)
     return documents.select(F.explode("organizations").alias("handle", "_s")).select(
         "handle", "_s.url", "_s.hash", "_s.last_checked", "_s.last_changed",
         F.col("_s.bounty_count_estimate").alias("item_estimate"),
     )
 
 
+def read_state_document(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return state_rows(_documents(spark, schemas.STATE_DOCUMENT, paths))
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PAGES).parquet(path)
 

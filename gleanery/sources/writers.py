@@ -32,23 +32,34 @@ def write_items(items: DataFrame, path: str) -> None:
 
 
 def as_envelopes(items: DataFrame, page_size: int = 100) -> DataFrame:
-    """API envelopes per organization, paged; ``next_cursor`` names the following page, NULL on the last.
+    """API envelopes per organization, paged: (handle, page, value) with the JSON body as text.
 
-    Pages are filled by a hash of the item id, so sizes vary around ``page_size``. Items are variants
-    inside and cannot be compared, so repeats of one id share a page.
+    ``next_cursor`` names the following page and is null on the last. Pages are filled by a hash, so
+    sizes vary around ``page_size``. Equal items are merged first and carry ``copies`` when repeated.
     """
-    keyed = items.select(F.col("org.handle").alias("handle"), F.col("id"), F.struct(*items.columns).alias("_item"))
-    ids = keyed.select("handle", "id").distinct()
-    sizes = ids.groupBy("handle").agg(F.ceil(F.count("*") / page_size).cast("bigint").alias("pages"))
-    page = F.pmod(F.xxhash64("id"), F.col("pages")) + 1
-    paged = keyed.join(sizes, "handle").withColumn("page", page)
-    bodies = paged.groupBy("handle", "pages", "page").agg(F.collect_list("_item").alias("items"))
-    cursor = F.when(F.col("page") < F.col("pages"), (F.col("page") + 1).cast("string"))
-    body = F.struct(F.struct(F.struct("items", cursor.alias("next_cursor")).alias("json")).alias("data"))
-    return bodies.select("handle", "page", body.cast(_ENVELOPE_KIND).alias("result"))
-
-
-_ENVELOPE_KIND = schemas.ENVELOPE.removeprefix("result ")
+    options = {"timestampFormat": MILLIS, "ignoreNullFields": "false"}
+    bodies = items.select(F.col("org.handle").alias("handle"), F.to_json(F.struct(*items.columns), options).alias("_body"))
+    merged = bodies.groupBy("handle", "_body").agg(F.count("*").alias("_copies"))
+    sizes = merged.groupBy("handle").agg(F.ceil(F.count("*") / page_size).cast("bigint").alias("_pages"))
+    counted = F.concat(
+        F.substr("_body", F.lit(1), F.length("_body") - 1), F.lit(',"copies":'), F.col("_copies").cast("string"), F.lit("}")
+    )
+    paged = merged.join(sizes, "handle").select(
+        "handle", "_pages", (F.pmod(F.xxhash64("_body"), "_pages") + 1).alias("page"),
+        F.when(F.col("_copies") > 1, counted).otherwise(F.col("_body")).alias("_body"),
+    )
+    listed = F.array_join(F.array_sort(F.collect_list("_body")), ",")
+    cursor = F.when(F.col("page") < F.col("_pages"), F.concat(F.lit('"'), (F.col("page") + 1).cast("string"), F.lit('"')))
+    head, middle, tail = '{"result":{"data":{"json":{"items":[', '],"next_cursor":', "}}}}"
+    value = F.concat(F.lit(head), "_listed", F.lit(middle), F.coalesce(cursor, F.lit("null")), F.lit(tail))
+    return (
+        paged.groupBy("handle", "_pages", "page").agg(listed.alias("_listed")).select("handle", "page", value.alias("value"))
+    )
+
+
+def write_envelopes(items: DataFrame, path: str, page_size: int = 100) -> None:
+    """One envelope per line."""
+    as_envelopes(items, page_size).select("value").write.mode("overwrite").text(path)
 
 
 def write_index(nested: DataFrame, path: str, snapshot_date: Column) -> None:
