@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from gleanery.catalog.core import query
-from gleanery.catalog.tables import SIGNATURE, SIGNATURES, SNAPSHOTS, line_items, order_heads, table, text, with_ctes
+from gleanery.catalog.tables import SIGNATURE, SIGNATURES, SNAPSHOTS, line_items, order_heads, table, text, text_table, with_ctes
 from gleanery.functions.scalars import url_host
 from gleanery.operators import changes, keyed, page_state, quality
 from gleanery.sources import readers
@@ -48,7 +48,7 @@ def stream_page_changes(spark, sf):
 @query(_HOST_CHANGES)
 def batch_page_changes(spark, sf):
     """The same changes from the whole history in one batch."""
-    pages = table(spark, sf, "pages").select(url_host("url").alias("handle"), _at("page_id").alias("checked_at"), "html")
+    pages = text_table(spark, sf, "pages").select(url_host("url").alias("handle"), _at("page_id").alias("checked_at"), "html")
     found = page_changes.batch_page_changes(page_state.page_signatures(pages, SIGNATURE))
     return found.select("handle", F.unix_seconds("checked_at").alias("checked_at"), "hash")
 

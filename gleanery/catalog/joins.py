@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gleanery.catalog.core import query
 from gleanery.catalog.tables import (
     ITEMS, LISTINGS, SIGNATURE, SIGNATURES, SNAPSHOTS, URL_TEMPLATE, as_of, items, line_items, listings, order_heads,
-    page_check_state, page_checks, table, text, with_ctes,
+    page_check_state, page_checks, table, text, text_table, with_ctes,
 )
 from gleanery.functions.scalars import iso_millis
 from gleanery.operators import changes, discovery, items as item_ops, keyed, page_state, registry
@@ -264,7 +264,7 @@ _WORDS = "(SELECT DISTINCT w AS handle FROM (SELECT unnest(string_split_regex(te
 
 def _words(spark, sf):
     words = F.split("text", "[^A-Za-z]+")
-    return table(spark, sf, "documents").select(F.explode(F.array_distinct(words)).alias("handle"))
+    return text_table(spark, sf, "documents").select(F.explode(F.array_distinct(words)).alias("handle"))
 
 
 @query(f"""SELECT handle FROM {_WORDS} WHERE length(handle) BETWEEN 2 AND 50

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gleanery import schemas
 from gleanery.catalog.core import query
 from gleanery.catalog.tables import (
-    ITEMS, LISTINGS, URL_TEMPLATE, as_of, items, listings, table, text, with_ctes,
+    ITEMS, LISTINGS, URL_TEMPLATE, as_of, items, listings, table, text, text_table, with_ctes,
 )
 from gleanery.functions import markup, scalars
 from gleanery.operators import items as item_ops
@@ -125,7 +125,7 @@ def _listing_bodies(spark, sf):
         F.round("o_totalprice").cast("bigint").alias("amount"), F.lit("org").alias("repo_owner"), F.lit("repo").alias("repo_name"),
         F.col("o_orderdate").cast("timestamp").alias("created_at"), issue.alias("issue"),
     )
-    return table(spark, sf, "orders").select(
+    return text_table(spark, sf, "orders").select(
         text("o_custkey").alias("handle"), F.concat(F.lit("Customer "), text("o_custkey")).alias("display_name"),
         F.lit(None).cast("string").alias("description"), F.lit(None).cast("array<string>").alias("org_tech"),
         F.to_json(F.struct(F.array(row).alias("items"))).alias("body"),
@@ -197,7 +197,7 @@ def _state_pages(spark, sf):
     html = F.concat(
         F.lit('<html><body><script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":'), props, F.lit("}}</script></body></html>")
     )
-    return table(spark, sf, "orders").select(key.alias("page_id"), text("o_custkey").alias("handle"), html.alias("html"))
+    return text_table(spark, sf, "orders").select(key.alias("page_id"), text("o_custkey").alias("handle"), html.alias("html"))
 
 
 @query("""SELECT o_orderkey AS page_id, CAST(0 AS BIGINT) AS pos, 'n' || o_orderkey AS id,

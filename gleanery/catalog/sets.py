@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gleanery.catalog.core import query
 from gleanery.catalog.joins import _CHECK_CTES, _checked
-from gleanery.catalog.tables import SIGNATURES, SNAPSHOTS, line_items, order_heads, table, text, with_ctes
+from gleanery.catalog.tables import SIGNATURES, SNAPSHOTS, line_items, order_heads, table, text, text_table, with_ctes
 from gleanery.operators import changes, discovery, registry
 from gleanery.sources import writers
 
@@ -33,7 +33,7 @@ def appended_results(spark, sf):
 FROM (SELECT doc_id, string_split(lower(text), ' ') AS ws FROM documents)""")
 def distinct_in_row(spark, sf):
     words = F.array_distinct(F.split(F.lower("text"), " "))
-    return table(spark, sf, "documents").select("doc_id", F.array_join(words, " ").alias("distinct_words"))
+    return text_table(spark, sf, "documents").select("doc_id", F.array_join(words, " ").alias("distinct_words"))
 
 
 @query(with_ctes(SNAPSHOTS) + """

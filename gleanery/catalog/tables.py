@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.sources.readers import spread
+
 URL_TEMPLATE = "https://listings.example/{handle}/bounties?status=open"
 AS_OF = "2001-09-01 00:00:00"
 
@@ -20,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are costly to work on: over all cores even when it is one small file."""
+    return spread(table(spark, sf_dir, name))
+
+
 def text(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -133,7 +140,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     cards = F.array_join(F.transform(F.sequence(F.lit(0), (key % 4).cast("int")), card), "\n")
-    return table(spark, sf_dir, "orders").select(
+    return text_table(spark, sf_dir, "orders").select(
         key.alias("page_id"),
         cust.alias("handle"),
         F.concat(F.lit("https://listings.example/"), cust, F.lit("/bounties?page="), text(key)).alias("url"),
@@ -163,7 +170,7 @@ listings AS (
 
 def page_checks(spark: SparkSession, sf_dir: str):
     """(registry, pages, state) for a page check: pages with '#top' fail, https pages are known, long ones stale."""
-    pages = table(spark, sf_dir, "pages")
+    pages = text_table(spark, sf_dir, "pages")
     registry = pages.select(text("page_id").alias("handle"), F.when(F.contains("url", F.lit("?")), "").otherwise(F.col("url")).alias("url"))
     failed = F.contains("url", F.lit("#top"))
     fetched = pages.select(

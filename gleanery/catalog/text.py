@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gleanery.catalog.core import query
-from gleanery.catalog.tables import LISTINGS, SIGNATURE, SIGNATURES, listings, parts_tagged, PARTS_TAGGED, table, text, with_ctes
+from gleanery.catalog.tables import LISTINGS, SIGNATURE, SIGNATURES, listings, parts_tagged, PARTS_TAGGED, table, text, text_table, with_ctes
 from gleanery.functions import context, fingerprints, grading, markup, scalars
 from gleanery.operators import discovery, items as item_ops, page_state
 
@@ -16,7 +16,7 @@ _DOT = scalars.NOT_NEWLINE
 @query(r"""SELECT page_id, array_to_string(list_filter(a, lambda x, i: list_position(a, x) = i), ' ') AS hrefs
 FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]+)"', 1) AS a FROM pages)""")
 def attribute_values(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.array_join(markup.extract_attr("html", "href"), " ").alias("hrefs"))
+    return text_table(spark, sf, "pages").select("page_id", F.array_join(markup.extract_attr("html", "href"), " ").alias("hrefs"))
 
 
 @query(with_ctes(LISTINGS) + r"""
@@ -40,7 +40,7 @@ def issue_references(spark, sf):
   lambda t: regexp_replace(t, '^{_JS_SPACE}+|{_JS_SPACE}+$', '', 'g')), lambda t: length(t) > 10 AND NOT contains(t, 'Nicht')), ' ; ') AS titles FROM pages""")
 def page_titles(spark, sf):
     found = markup.extract_titles("html", site_name="Nicht")
-    return table(spark, sf, "pages").select("page_id", F.array_join(found, " ; ").alias("titles"))
+    return text_table(spark, sf, "pages").select("page_id", F.array_join(found, " ; ").alias("titles"))
 
 
 _RAW_TITLES = """(SELECT o_orderkey, ' [' || o_orderstatus || ']  ' || o_orderpriority || ' task · Site page' || CASE WHEN o_orderstatus = 'P' THEN ' | more text' ELSE '' END AS title FROM orders)"""
@@ -115,7 +115,7 @@ def _markdown_sql(column: str, tags=("script", "style")) -> str:
 
 @query(f"SELECT page_id, {_markdown_sql('html')} AS markdown FROM pages")
 def page_markdown(spark, sf):
-    return table(spark, sf, "pages").select("page_id", markup.html_to_markdown("html").alias("markdown"))
+    return text_table(spark, sf, "pages").select("page_id", markup.html_to_markdown("html").alias("markdown"))
 
 
 _MAIN_ONLY = ("script", "style", "nav", "footer", "aside")
@@ -123,7 +123,7 @@ _MAIN_ONLY = ("script", "style", "nav", "footer", "aside")
 
 @query(f"SELECT page_id, {_markdown_sql('html', _MAIN_ONLY)} AS markdown FROM pages")
 def page_markdown_main_only(spark, sf):
-    return table(spark, sf, "pages").select("page_id", markup.html_to_markdown("html", _MAIN_ONLY).alias("markdown"))
+    return text_table(spark, sf, "pages").select("page_id", markup.html_to_markdown("html", _MAIN_ONLY).alias("markdown"))
 
 
 _CONTEXT = """
@@ -135,14 +135,14 @@ hit AS (SELECT doc_id, lines, list_position(list_transform(lines, lambda l: cont
 SELECT doc_id, array_to_string(lines[greatest(1, hit_at - 5):hit_at + 4], chr(10)) AS context FROM hit WHERE hit_at > 0""")
 def context_windows(spark, sf):
     """Lines around the first line with a phrase, over whole documents."""
-    docs = table(spark, sf, "documents").select("doc_id", context.text_lines("text").alias("lines"))
+    docs = text_table(spark, sf, "documents").select("doc_id", context.text_lines("text").alias("lines"))
     found = docs.select("doc_id", context.context_lines(F.col("lines"), F.lit(" de ")).alias("c"))
     return found.select("doc_id", F.array_join("c", "\n").alias("context")).where("context IS NOT NULL")
 
 
 @query("SELECT doc_id, substr(text, 1, 200) AS head FROM documents")
 def text_heads(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 200).alias("head"))
+    return text_table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 200).alias("head"))
 
 
 _TECH_SQL = "list_filter([" + ", ".join(f"'{t}'" for t in context.CONTEXT_TERMS) + "], lambda t: contains(lower(joined), t))"
@@ -201,7 +201,7 @@ def _handles_sql(source: str, patterns, stop, fold: bool = True) -> str:
 
 @query(_handles_sql("pages", discovery.link_patterns(_SITE), discovery.STOP_WORDS))
 def page_handles(spark, sf):
-    return discovery.extract_handles(table(spark, sf, "pages"), discovery.link_patterns(_SITE))
+    return discovery.extract_handles(text_table(spark, sf, "pages"), discovery.link_patterns(_SITE))
 
 
 @query(with_ctes(LISTINGS) + _handles_sql("listings", discovery.link_patterns("listings.example", extended=True), discovery.STOP_WORDS).replace(
@@ -216,7 +216,7 @@ def listing_handles_with_stop_table(spark, sf):
 
 @query(_handles_sql("(SELECT url || '/bounties' AS html FROM pages)", [r"example\.com/([a-zA-Z0-9_-]+)/"], ("bounties",), fold=False))
 def url_path_handles(spark, sf):
-    urls = table(spark, sf, "pages").select(F.concat("url", F.lit("/bounties")).alias("html"))
+    urls = text_table(spark, sf, "pages").select(F.concat("url", F.lit("/bounties")).alias("html"))
     return discovery.extract_handles(urls, [r"example\.com/([a-zA-Z0-9_-]+)/"], ("bounties",), fold=False)
 
 
@@ -229,7 +229,7 @@ _HITS = " + ".join(f"CAST(contains(lower(html), '{t}') AS INTEGER)" for t in _TE
 
 @query(f"SELECT page_id, {_HITS} >= 3 AS is_listing FROM pages")
 def listing_page_check(spark, sf):
-    return table(spark, sf, "pages").select("page_id", markup.is_listing_page("html", _TERMS).alias("is_listing"))
+    return text_table(spark, sf, "pages").select("page_id", markup.is_listing_page("html", _TERMS).alias("is_listing"))
 
 
 @query(r"""SELECT doc_id, coalesce(TRY_CAST(nullif(regexp_extract(text, '(?i)(\d+)\s*bounties?', 1), '') AS BIGINT), TRY_CAST(nullif(regexp_extract(text, '(?i)(\d+)\s*open', 1), '') AS BIGINT),
@@ -241,7 +241,7 @@ def item_counts(spark, sf):
         .when(F.col("lang") == "fr", F.concat(text("doc_id"), F.lit(" Tasks and "), text("n_chars"), F.lit("  bounty, 3 BOUNTIES")))
         .otherwise("")
     )
-    return table(spark, sf, "documents").select("doc_id", markup.item_count(F.concat("text", tail)).alias("item_count"))
+    return text_table(spark, sf, "documents").select("doc_id", markup.item_count(F.concat("text", tail)).alias("item_count"))
 
 
 _NAME = rf"""regexp_replace(coalesce(nullif(regexp_extract(html, '(?i)<title>([^-]+)', 1), ''), nullif(regexp_extract(html, '(?i)<h1[^>]*>([^<]+)', 1), ''),
@@ -250,31 +250,31 @@ nullif(regexp_extract(html, '(?i)organization:{_JS_SPACE}*([^\n]+)', 1), '')), '
 
 @query(f"SELECT page_id, {_NAME} AS name FROM pages")
 def page_names(spark, sf):
-    return table(spark, sf, "pages").select("page_id", markup.display_name("html").alias("name"))
+    return text_table(spark, sf, "pages").select("page_id", markup.display_name("html").alias("name"))
 
 
 @query(with_ctes(SIGNATURES) + "SELECT page_id, hash, item_estimate FROM signed")
 def page_fingerprints(spark, sf):
-    signed = page_state.page_signatures(table(spark, sf, "pages"), SIGNATURE, marker="<nav>")
+    signed = page_state.page_signatures(text_table(spark, sf, "pages"), SIGNATURE, marker="<nav>")
     return signed.select("page_id", "hash", "item_estimate")
 
 
 @query(r"""SELECT page_id, substr(sha256(regexp_replace(html, 'track\(\d+\)', '', 'g')), 1, 16) AS hash FROM pages""")
 def page_content_fingerprints(spark, sf):
     """Hash of the text itself, without a counter that changes on each visit."""
-    return table(spark, sf, "pages").select(
+    return text_table(spark, sf, "pages").select(
         "page_id", fingerprints.fingerprint("html", ignore=[r"track\(\d+\)"], mode="content").alias("hash")
     )
 
 
 @query(r"""SELECT page_id, CASE WHEN len(regexp_extract_all(html, '<li>')) > 0 THEN len(regexp_extract_all(html, '<li>')) ELSE len(regexp_extract_all(html, '\$\d+')) END AS items FROM pages""")
 def item_estimates(spark, sf):
-    return table(spark, sf, "pages").select("page_id", fingerprints.estimate_items("html", marker="<li>").alias("items"))
+    return text_table(spark, sf, "pages").select("page_id", fingerprints.estimate_items("html", marker="<li>").alias("items"))
 
 
 @query(rf"""SELECT doc_id, text || chr(10) || chr(10) || source || chr(10) || chr(10) || lang AS combined FROM documents""")
 def combined_texts(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", scalars.combine_text("text", "source", "lang").alias("combined"))
+    return text_table(spark, sf, "documents").select("doc_id", scalars.combine_text("text", "source", "lang").alias("combined"))
 
 
 @query(with_ctes(LISTINGS) + r"""
@@ -284,7 +284,7 @@ SELECT page_id, array_to_string(CASE WHEN len(i) > 0 THEN i ELSE a END, ' ') AS
     (SELECT page_id, html FROM listings UNION ALL SELECT -1 - page_id, html FROM pages)))""")
 def preferred_links(spark, sf):
     both = listings(spark, sf).select("page_id", "html").unionByName(
-        table(spark, sf, "pages").select((-1 - F.col("page_id")).alias("page_id"), "html")
+        text_table(spark, sf, "pages").select((-1 - F.col("page_id")).alias("page_id"), "html")
     )
     return both.select("page_id", F.array_join(markup.prefer_issue_links(markup.extract_links("html")), " ").alias("links"))
 
@@ -294,7 +294,7 @@ coalesce(TRY_CAST(nullif(regexp_extract(html, '(?i)track\\((\\d+)\\)', 1), '') A
 ({_HITS} >= 3) AND coalesce(TRY_CAST(nullif(regexp_extract(html, '(?i)track\\((\\d+)\\)', 1), '') AS BIGINT), 0) >= 5 AS active, true AS validated FROM pages""".replace("\\\\", "\\"))
 def validated_organizations(spark, sf):
     """Discovered handles checked against their pages; unnamed ones take the page's name."""
-    pages = table(spark, sf, "pages").withColumn("handle", text("page_id"))
+    pages = text_table(spark, sf, "pages").withColumn("handle", text("page_id"))
     facts = discovery.page_facts(pages, _TERMS, count=markup.first_number("html", _COUNTS[:1]))
     named = F.when(F.startswith("url", F.lit("https:")), F.concat(F.lit("Known "), "handle")).otherwise(F.col("handle"))
     return discovery.validate_orgs(pages.select("handle", named.alias("display_name")), facts, 5)
@@ -336,4 +336,4 @@ def collection_helpers(spark, sf):
 
 @query(r"""SELECT page_id, nullif(regexp_extract(url, '^https?://([^/]+)', 1), '') AS host, nullif(regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1), '') AS handle FROM pages""")
 def url_parts(spark, sf):
-    return table(spark, sf, "pages").select("page_id", scalars.url_host("url").alias("host"), scalars.url_handle("url").alias("handle"))
+    return text_table(spark, sf, "pages").select("page_id", scalars.url_host("url").alias("host"), scalars.url_handle("url").alias("handle"))

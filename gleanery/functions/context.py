@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.grading import matching_terms
 from gleanery.functions.markup import AMOUNT
-from gleanery.functions.scalars import col, trim_text, utf16_length
+from gleanery.functions.scalars import col, let, trim_text, utf16_length
 
 # Technology terms looked for near a reference.
 CONTEXT_TERMS = ("typescript", "javascript", "react", "nodejs", "python", "rust", "go", "java")
@@ -21,9 +21,12 @@ def context_lines(lines: Column, needle: Column, before: int = 5, after: int = 5
     ``after`` counts from the hit itself, so 5 and 5 give at most ten lines.
     """
     hits = F.transform(lines, lambda line: F.contains(line, needle))
-    at = F.array_position(hits, F.lit(True)).cast("int")
-    start = F.greatest(F.lit(1), at - before)
-    return F.when(at > 0, F.slice(lines, start, at + after - start))
+
+    def around(hit: Column) -> Column:
+        start = F.greatest(F.lit(1), hit - before)
+        return F.when(hit > 0, F.slice(lines, start, hit + after - start))
+
+    return let(F.array_position(hits, F.lit(True)).cast("int"), around)
 
 
 def text_lines(text: Column | str) -> Column:
@@ -50,7 +53,7 @@ def context_cents(lines: Column, legacy_commas: bool = False) -> Column:
 
 
 def context_tech(lines: Column, terms: Sequence[str] = CONTEXT_TERMS) -> Column:
-    return matching_terms(F.array_join(lines, " "), terms)
+    return let(F.array_join(lines, " "), lambda text: matching_terms(text, terms))
 
 
 def context_description(lines: Column, length: int = 200) -> Column:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleanery.functions.scalars import NOT_NEWLINE, WHITESPACE, col, text_or, trim_text, utf16_length
+from gleanery.functions.scalars import NOT_NEWLINE, WHITESPACE, col, let, text_or, trim_text, utf16_length
 
 # What the listing pages look like.
 ITEM_ID_ATTRIBUTE = "phx-value-id"
@@ -126,8 +126,8 @@ def forge_links(links: Column, forge: str = "github.com") -> Column:
 
 def prefer_issue_links(links: Column) -> Column:
     """Issue and pull-request links when there are any, else all links."""
-    issues = F.filter(links, is_issue_link)
-    return F.when(F.size(issues) > 0, issues).otherwise(links)
+    choose = lambda found, issues: F.when(F.size(issues) > 0, issues).otherwise(found)
+    return let(links, lambda found: let(F.filter(found, is_issue_link), lambda issues: choose(found, issues)))
 
 
 def display_name(text: Column | str) -> Column:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The white space a JavaScript trim removes, as one class that Java and RE2 both read.
 WHITESPACE = r"[\s\x{0B}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+WHITESPACE_CHARS = (
+    " \t\n\x0b\f\r\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
 # What a JavaScript dot matches.
 NOT_NEWLINE = r"[^\n\r\x{2028}\x{2029}]"
 
@@ -15,6 +21,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value worked out once per row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def text_or(c: Column | str, default: Column | str) -> Column:
     """``c || default`` for strings: NULL and '' both take the default (a str default is a literal)."""
     fallback = F.lit(default) if isinstance(default, str) else default
@@ -59,7 +70,7 @@ def format_usd(usd: Column | str) -> Column:
 
 
 def trim_text(x: Column | str) -> Column:
-    return F.regexp_replace(col(x), rf"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(col(x), F.lit(WHITESPACE_CHARS))
 
 
 def utf16_length(x: Column | str) -> Column:

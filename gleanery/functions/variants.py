@@ -5,17 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FALSY_JSON = r'^(null|false|""|-?0(\.0*)?([eE].*)?)$'
-
-
 def at(v: Column, path: str, kind: str = "variant") -> Column:
     """Value at a path, NULL when absent or of another kind."""
     return F.try_variant_get(v, path, kind)
 
 
+def text_at(v: Column, *paths: str) -> Column:
+    """First non-empty text among several paths."""
+    return F.coalesce(*[F.nullif(at(v, p, "string"), F.lit("")) for p in paths])
+
+
+def number_at(v: Column, *paths: str) -> Column:
+    """First whole number other than 0 among several paths."""
+    return F.coalesce(*[F.nullif(at(v, p, "bigint"), F.lit(0)) for p in paths])
+
+
 def truthy(v: Column) -> Column:
-    """Neither absent, null, false, 0 nor ''. Empty arrays and objects count as present."""
-    return v.isNotNull() & ~F.rlike(F.coalesce(F.to_json(v), F.lit("null")), F.lit(FALSY_JSON))
+    """Neither absent, null, false nor 0. Arrays and objects count as present even when empty."""
+    return v.isNotNull() & ~F.is_variant_null(v) & F.coalesce(as_kind(v, "boolean"), F.lit(True))
 
 
 def first_truthy(*options: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,20 +31,16 @@ from gleanery.functions.scalars import (
     format_usd,
     issue_hash,
     item_key,
+    let,
     number_or,
     text_or,
 )
-from gleanery.functions.variants import as_kind, at, first_at, first_truthy
+from gleanery.functions.variants import as_kind, at, first_at, first_truthy, number_at, text_at
 
 DEFAULT_CENTS = 10000
 EMBEDDED_SCRIPT = r'(?s)<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>'
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value worked out once per row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 # --- items by position in one page -----------------------------------------------------------------
 
 
@@ -118,26 +114,28 @@ def positional_items(
 
 def mentions(text: Column | str, raw: bool = False, legacy_commas: bool = False) -> Column:
     """Array of issue references in a text with what their surroundings say."""
-    matches = find_all(text, ISSUE_REFERENCE, 0)
-    if not raw:
-        matches = F.array_distinct(matches)
-    parts = F.struct(matches.alias("matches"), context.text_lines(text).alias("lines"))
+
+    def split(page: Column) -> Column:
+        matches = find_all(page, ISSUE_REFERENCE, 0)
+        matches = matches if raw else F.array_distinct(matches)
+        return F.struct(matches.alias("matches"), context.text_lines(page).alias("lines"))
+
     near = lambda p: F.transform(
         p["matches"], lambda m: F.struct(m.alias("ref_url"), context.context_lines(p["lines"], m).alias("lines"))
     )
 
     def read(r: Column) -> Column:
-        tech = context.context_tech(r["lines"])
         return F.struct(
             issue_parts(r["ref_url"]).alias("issue"),
             context.context_title(r["lines"]).alias("title"),
             context.context_cents(r["lines"], legacy_commas).alias("cents"),
-            F.when(F.size(tech) > 0, tech).alias("tech"),
+            F.nullif(context.context_tech(r["lines"]), _strings()).alias("tech"),
             context.context_description(r["lines"]).alias("context"),
             r["ref_url"].alias("ref_url"),
         )
 
-    return F.transform(let(parts, near), read)
+    whole = F.col(text) if isinstance(text, str) else text
+    return F.transform(let(let(whole, split), near), read)
 
 
 def text_items(pages: DataFrame, text: str = "text", raw: bool = False, legacy_commas: bool = False) -> DataFrame:
@@ -168,8 +166,10 @@ def _task(item: Column) -> Column:
 
 def _reference(url: Column) -> Column:
     """(owner, repo, number) of an issue URL, NULL for other URLs."""
-    ref = F.nullif(F.regexp_extract(url, ISSUE_REFERENCE, 0), F.lit(""))
-    return F.when(ref.isNotNull(), issue_parts(ref))
+    return F.when(F.rlike(url, F.lit(ISSUE_REFERENCE)), issue_parts(url))
+
+
+_URL_PATHS = ("$.url", "$.html_url", "$.source.data.html_url")
 
 
 def candidates(state: Column) -> Column:
@@ -178,23 +178,25 @@ def candidates(state: Column) -> Column:
     # Where candidates may be, in order.
     spots = [f"{props}.bounties", f"{props}.items", f"{props}.data.bounties", f"{props}.data.items"]
     listed = as_kind(first_at(state, *spots), "array<variant>")
-    text = lambda *options: F.coalesce(as_kind(first_truthy(*options), "string"), F.lit(""))
+    blank = F.lit("")
 
-    def read(item: Column) -> Column:
-        task = _task(item)
-        url = text(at(task, "$.url"), at(task, "$.html_url"), at(task, "$.source.data.html_url"))
-        cents = as_kind(first_truthy(at(item, "$.reward.amount"), at(item, "$.amount")), "bigint")
+    def pair(item: Column) -> Column:
+        return let(_task(item), lambda t: F.struct(item.alias("item"), t.alias("task"), text_at(t, *_URL_PATHS).alias("url")))
+
+    def read(p: Column) -> Column:
+        item, task = p["item"], p["task"]
         return F.struct(
-            text(at(item, "$.id")).alias("id"),
-            text(at(task, "$.title"), at(task, "$.source.data.title")).alias("title"),
-            url.alias("url"),
-            F.coalesce(cents, F.lit(0)).alias("cents"),
-            text_or(text(at(item, "$.reward.currency"), at(item, "$.currency")), "USD").alias("currency"),
-            text(at(task, "$.body"), at(task, "$.source.data.body")).alias("body"),
-            _reference(url).alias("issue"),
+            F.coalesce(text_at(item, "$.id"), blank).alias("id"),
+            F.coalesce(text_at(task, "$.title", "$.source.data.title"), blank).alias("title"),
+            p["url"].alias("url"),
+            F.coalesce(number_at(item, "$.reward.amount", "$.amount"), F.lit(0)).alias("cents"),
+            F.coalesce(text_at(item, "$.reward.currency", "$.currency"), F.lit("USD")).alias("currency"),
+            F.coalesce(text_at(task, "$.body", "$.source.data.body"), blank).alias("body"),
+            _reference(p["url"]).alias("issue"),
         )
 
-    return F.filter(F.transform(listed, read), lambda c: F.contains(c["url"], F.lit("github.com")))
+    found = F.filter(F.transform(listed, pair), lambda p: F.contains(p["url"], F.lit("github.com")))
+    return F.transform(found, read)
 
 
 def embedded_candidates(pages: DataFrame, state: str = "state") -> DataFrame:
@@ -213,10 +215,8 @@ def raw_objects(state: Column) -> Column:
     listed = as_kind(first_at(state, *spots), "array<variant>")
 
     def read(item: Column) -> Column:
-        task = _task(item)
-        found = first_truthy(at(task, "$.url"), at(task, "$.html_url"), at(task, "$.source.data.html_url"))
-        url = as_kind(found, "string")
-        return F.struct(item.alias("item"), url.alias("issue_url"), _reference(url).alias("issue"))
+        url = let(_task(item), lambda t: text_at(t, *_URL_PATHS))
+        return let(url, lambda u: F.struct(item.alias("item"), u.alias("issue_url"), _reference(u).alias("issue")))
 
     return F.filter(F.transform(listed, read), lambda r: r["issue"].isNotNull())
 
@@ -301,11 +301,11 @@ def organization_struct(created_at: Column, forge_handle: Column) -> Column:
         "handle": handle, "id": F.concat(F.lit("generated-"), handle), "name": F.col("display_name"),
         "description": text_or("description", ""), "members": _objects(), "display_name": F.col("display_name"),
         "created_at": created_at, "website_url": F.lit(""), "avatar_url": _avatar(handle), "discord_url": F.lit(""),
-        "slack_url": F.lit(""), "stargazers_count": F.lit(0), "twitter_url": F.lit(""), "youtube_url": F.lit(""),
+        "slack_url": F.lit(""), "stargazers_count": F.lit(0).cast("bigint"), "twitter_url": F.lit(""), "youtube_url": F.lit(""),
         "tech": F.coalesce("org_tech", _strings()), "github_handle": forge_handle, "accepts_sponsorships": F.lit(False),
-        "days_until_timeout": F.lit(None), "enabled_expert_recs": F.lit(False), "enabled_private_bounties": F.lit(False),
+        "days_until_timeout": F.lit(None).cast("bigint"), "enabled_expert_recs": F.lit(False), "enabled_private_bounties": F.lit(False),
     }
-    return F.struct(*[c.alias(n) for n, c in values.items()]).cast(schemas.nested(schemas.ORGANIZATION))
+    return F.struct(*[c.alias(n) for n, c in values.items()])
 
 
 def team_user(
@@ -332,8 +332,8 @@ def source_struct(key: Column, user: Column, title: Column, body: Column, html_u
     return F.struct(data.alias("data"), F.lit("github").alias("type"))
 
 
-def _assemble(given: dict[str, Column]) -> Column:
-    """Nested item: given parts over the fixed ones, in schema order."""
+def _assemble(given: dict[str, Column]) -> dict[str, Column]:
+    """Columns of a nested item: given parts over the fixed ones, in schema order."""
     fixed = {
         "status": F.lit("open"), "type": F.lit("standard"), "kind": F.lit("dev"), "visibility": F.lit("public"),
         "autopay_disabled": F.lit(False), "tech": _strings(), "bids": _objects(), "is_external": F.lit(False),
@@ -348,13 +348,12 @@ def _assemble(given: dict[str, Column]) -> Column:
         "status": F.lit("open"), "type": F.lit("issue"), "tech": _strings(), "forge": F.lit("github"),
         **{k.removeprefix("task_"): parts.pop(k) for k in list(parts) if k.startswith("task_")},
     }
-    pick = lambda values, fields: [values[f.strip().split(" ")[0]].alias(f.strip().split(" ")[0]) for f in schemas._split(fields)]
-    parts["task"] = F.struct(*pick(task, schemas.TASK)).cast(schemas.nested(schemas.TASK))
-    return F.struct(*pick(parts, schemas.ITEM)).cast(schemas.nested(schemas.ITEM))
+    parts["task"] = F.struct(*[task[n].alias(n) for n in schemas.names(schemas.TASK)])
+    return {n: parts[n] for n in schemas.names(schemas.ITEM)}
 
 
-def _rows(df: DataFrame, item: Column, keep: Sequence[str]) -> DataFrame:
-    return df.select(*keep, item.alias("_item")).select(*keep, "_item.*")
+def _rows(df: DataFrame, item: dict[str, Column], keep: Sequence[str]) -> DataFrame:
+    return df.select(*keep, *[c.alias(n) for n, c in item.items()])
 
 
 def items_from_listing(rows: DataFrame, as_of: Column, keep: Sequence[str] = ()) -> DataFrame:
@@ -379,7 +378,7 @@ def items_from_listing(rows: DataFrame, as_of: Column, keep: Sequence[str] = ())
     return _rows(rows.where("status = 'active'"), item, keep)
 
 
-def reference_item(columns: Sequence[str], as_of: Column) -> Column:
+def reference_item(columns: Sequence[str], as_of: Column) -> dict[str, Column]:
     """Nested item of a row with owner, repo, number, id, title, body, link, cents, currency and tech.
 
     Looked-up issue columns (issue_title, issue_body, issue_html_url, issue_user) come first when the
@@ -419,10 +418,14 @@ def items_from_text(rows: DataFrame, as_of: Column, keep: Sequence[str] = ()) ->
     return _rows(given, reference_item(given.columns, as_of), keep)
 
 
-def embedded_item(as_of: Column, item: str = "item", url: str = "issue_url") -> Column:
-    """Nested item of a raw embedded object; absent or empty fields take their defaults."""
+def with_task(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_task", F.coalesce(at(F.col("item"), "$.task"), F.col("item")))
+
+
+def embedded_item(as_of: Column, url: str = "issue_url") -> dict[str, Column]:
+    """Nested item of a raw embedded object (see ``with_task``); absent or empty fields take their defaults."""
     now = as_of.cast("timestamp")
-    item, task = F.col(item), F.coalesce(at(F.col(item), "$.task"), F.col(item))
+    item, task = F.col("item"), F.col("_task")
     text = lambda v, path: at(v, path, "string")
     flag = lambda path: flag_or_false(at(item, path, "boolean"))
     time = lambda path: F.coalesce(text(item, path).try_cast("timestamp"), now)
@@ -432,7 +435,7 @@ def embedded_item(as_of: Column, item: str = "item", url: str = "issue_url") ->
     own_source = at(task, "$.source", schemas.nested(schemas.TASK_SOURCE))
     made_source = source_struct(
         key, team_user(), text_or(text(task, "$.title"), fallback), text_or(text(task, "$.body"), ""), F.col(url)
-    ).cast(schemas.nested(schemas.TASK_SOURCE))
+    )
     own_org = at(item, "$.org", schemas.nested(schemas.ORGANIZATION))
     task_tech = F.coalesce(listed(task, "$.tech", "string"), _strings())
     return _assemble(
@@ -463,15 +466,14 @@ def embedded_item(as_of: Column, item: str = "item", url: str = "issue_url") ->
 
 def items_from_embedded(rows: DataFrame, as_of: Column, keep: Sequence[str] = ()) -> DataFrame:
     """Nested items from raw embedded objects (``embedded_raw_rows`` plus registry columns)."""
-    return _rows(rows, embedded_item(as_of), keep)
+    return _rows(with_task(rows), embedded_item(as_of), keep)
 
 
 def items_from_best_source(rows: DataFrame, as_of: Column, keep: Sequence[str] = ()) -> DataFrame:
     """Nested items from ``best_source_rows`` plus registry columns, in one projection."""
-    item = F.when(F.col("source") == FROM_RAW, embedded_item(as_of, url="link")).otherwise(
-        reference_item(rows.columns, as_of)
-    )
-    return _rows(rows, item, keep)
+    raw, plain = embedded_item(as_of, url="link"), reference_item(rows.columns, as_of)
+    is_raw = F.col("source") == FROM_RAW
+    return _rows(with_task(rows), {n: F.when(is_raw, raw[n]).otherwise(plain[n]) for n in raw}, keep)
 
 
 def flatten_items(items: DataFrame) -> DataFrame:

@@ -23,6 +23,11 @@ def nested(fields: str) -> str:
     return f"STRUCT<{', '.join(out)}>"
 
 
+def names(fields: str) -> list[str]:
+    """Column names of a column list."""
+    return [part.strip().split(" ", 1)[0] for part in _split(fields)]
+
+
 def _split(fields: str) -> list[str]:
     parts, depth, start = [], 0, 0
     for i, ch in enumerate(fields):
