@@ -30,8 +30,6 @@ def main() -> None:
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
-        # Files of the bench size would give one task per table; small splits keep all cores busy.
-        .config("spark.sql.files.maxPartitionBytes", "1m").config("spark.sql.files.openCostInBytes", "64k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
