@@ -44,6 +44,19 @@ def field_changes(old: Column, new: Column, fields: Sequence[str] = _FIELDS, tag
     return F.array_compact(F.array(*lines))
 
 
+def fields_differ(old: Column, new: Column, fields: Sequence[str] = _FIELDS, tags: str | None = "tags") -> Column:
+    """Whether ``field_changes`` would say anything."""
+    out = F.lit(False)
+    for f in fields:
+        out = out | ~old[f].eqNullSafe(new[f])
+    if tags is not None:
+        none = F.array().cast("array<string>")
+        before, after = F.coalesce(old[tags], none), F.coalesce(new[tags], none)
+        moved = (F.size(F.array_except(after, before)) > 0) | (F.size(F.array_except(before, after)) > 0)
+        out = out | (~before.eqNullSafe(after) & moved)
+    return out
+
+
 def diff_snapshots(
     prev: DataFrame,
     cur: DataFrame,
@@ -62,12 +75,14 @@ def diff_snapshots(
     whole = lambda df: F.struct(*[F.col(c) for c in df.columns])
     old_side = lambda df: df.select(F.col(key), whole(df).alias("old"))
     new_side = lambda df: df.select(F.col(key), whole(df).alias("new"))
-    changes = F.when(F.col("old").isNotNull() & F.col("new").isNotNull(), field_changes(F.col("old"), F.col("new"), fields, tags))
+    old, new = F.col("old"), F.col("new")
+    one_side = old.isNull() | new.isNull()
+    texts = F.when(one_side, F.array().cast("array<string>")).otherwise(field_changes(old, new, fields, tags))
     kind = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").otherwise("updated")
     finish = lambda df: (
-        df.withColumn("changes", F.coalesce(changes, F.array().cast("array<string>")))
-        .where(F.col("old").isNull() | F.col("new").isNull() | (F.size("changes") > 0))
-        .select(kind.alias("change_type"), key, "old", "new", "changes")
+        # Rows are chosen by plain comparisons; texts are made for the chosen ones only.
+        df.where(one_side | fields_differ(old, new, fields, tags))
+        .select(kind.alias("change_type"), key, "old", "new", texts.alias("changes"))
     )
     if order is None:
         return finish(old_side(prev).join(new_side(cur), key, "full_outer"))

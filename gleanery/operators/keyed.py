@@ -98,17 +98,27 @@ def assign_batches(df: DataFrame, size: int, order: Sequence[str | Column]) -> D
     )
 
 
-def in_parts(df: DataFrame, keys: Sequence[str], part_size: int) -> DataFrame:
+def in_parts(df: DataFrame, keys: Sequence[str], part_size: int, max_copies: int = 1_000_000) -> DataFrame:
     """Spread each key's rows over parts of about ``part_size`` rows.
 
     Adds ``part_no`` and ``part_count`` (from 1) and ``copies``: equal rows are merged first and carry
-    their number, so copies of one row cannot swell a part.
+    their number, in blocks of at most ``max_copies``, so copies of one row cannot swell a part. The
+    result is partitioned by key and part, so a large key is spread over tasks from here on.
     """
-    merged = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
+    merged = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     others = [c for c in df.columns if c not in keys]
-    sizes = merged.groupBy(*keys).agg(F.ceil(F.count("*") / part_size).cast("bigint").alias("part_count"))
-    spread = F.pmod(F.xxhash64(*others, *keys), F.col("part_count")) + 1
-    return merged.join(sizes, list(keys)).withColumn("part_no", spread)
+    blocks = F.ceil(F.col("_copies") / max_copies).cast("bigint")
+    sizes = merged.groupBy(*keys).agg(F.ceil(F.sum(blocks) / part_size).cast("bigint").alias("part_count"))
+    block = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
+    left = F.col("_copies") - F.col("_block") * max_copies
+    return (
+        merged.join(sizes, list(keys))
+        .select(*keys, *others, "_copies", "part_count", block.alias("_block"))
+        .withColumn("part_no", F.pmod(F.xxhash64(*keys, *others, "_block"), F.col("part_count")) + 1)
+        .withColumn("copies", F.least(left, F.lit(max_copies).cast("bigint")))
+        .drop("_copies", "_block")
+        .repartition(*keys, "part_no")
+    )
 
 
 def nest_in_parts(df: DataFrame, keys: Sequence[str], part_size: int, name: str) -> DataFrame:

@@ -201,37 +201,40 @@ def stats_report(
 ) -> DataFrame:
     """The statistics report as rows (section, key, count, value).
 
-    Scalars come from one pass over the items, labels and ranges from one grouped pass, tags from one
-    exploded pass. ``full=False`` keeps the scalars only. With no items every breakdown is empty and
+    Scalars and ranges come from one pass over the items, labels and tags from one grouped pass, and
+    percentiles from the value counts. ``full=False`` keeps the scalars only. With no items every breakdown is empty and
     every number is 0.
     """
-    scalars = items.agg(
-        F.coalesce(money_sum("amount_usd") / F.nullif(F.count("amount_usd"), F.lit(0)), F.lit(0.0)).alias("average_value")
-    )
+    average = F.coalesce(money_sum("amount_usd") / F.nullif(F.count("amount_usd"), F.lit(0)), F.lit(0.0))
+    by_amount = _range_counts(value_range("amount_usd"), VALUE_RANGES) if full else []
+    by_age = _range_counts(age_range("created_at", as_of), AGE_RANGES) if full else []
+    scalars = items.agg(F.count("*").alias("_n"), average.alias("average_value"), *by_amount, *by_age)
     points = percentiles_row(items, "amount_usd", {"median_value": 0.5, **(DISTRIBUTION if full else {})}, exact)
-    report = _summary_rows(scalars, "summary").unionByName(_summary_rows(points.select("median_value"), "summary"))
+    report = _summary_rows(scalars.select("average_value"), "summary")
+    report = report.unionByName(_summary_rows(points.select("median_value"), "summary"))
     report = report.unionByName(_summary_rows(org_health(outcomes), "summary"))
     if not full:
         return report
-    tags = tag_counts(items)
-    shape = lambda df, section, key: df.select(
-        F.lit(section).alias("section"), F.col(key).alias("key"), "count",
-        (F.col("total_value_usd") if "total_value_usd" in df.columns else F.lit(None).cast("double")).alias("value"),
-    )
-    labels = F.array(
-        F.struct(F.lit("by_difficulty").alias("section"), label_or_unknown("difficulty").alias("key")),
-        F.struct(F.lit("by_status").alias("section"), label_or_unknown("status").alias("key")),
+    counted = [("by_amount", n) for n, _ in VALUE_RANGES] + [("age_distribution", n) for n, _ in AGE_RANGES]
+    ranges = scalars.where("_n > 0").select(
+        F.inline(F.array(*[F.struct(F.lit(s).alias("section"), F.lit(n).alias("key"), F.col(n).alias("count")) for s, n in counted]))
     )
-    by_label = (
-        items.select(F.inline(labels)).groupBy("section", "key")
-        .agg(F.count("*").alias("count")).withColumn("value", F.lit(None).cast("double"))
+    entry = lambda section, key: F.struct(F.lit(section).alias("section"), key.alias("key"))
+    labels = F.array(entry("by_difficulty", label_or_unknown("difficulty")), entry("by_status", label_or_unknown("status")))
+    tags = F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda t: entry("tag", F.lower(t)))
+    grouped = (
+        items.select(F.explode_outer(F.concat(labels, tags)).alias("_e"), "amount_usd")
+        .groupBy(F.col("_e.section").alias("section"), F.col("_e.key").alias("key"))
+        .agg(F.count("*").alias("count"), money_sum("amount_usd").alias("value"))
     )
+    none = F.lit(None).cast("double")
+    per_tag = grouped.where("section = 'tag'")
+    renamed = lambda df, section: df.withColumn("section", F.lit(section))
     return (
-        report.unionByName(_summary_rows(tags.agg(F.count("*").alias("total_tags")), "summary"))
+        report.unionByName(_summary_rows(per_tag.agg(F.count("*").alias("total_tags")), "summary"))
         .unionByName(_summary_rows(points.drop("median_value"), "value_distribution"))
-        .unionByName(by_label)
-        .unionByName(shape(value_histogram(items, skip_empty=True), "by_amount", "value_range"))
-        .unionByName(shape(age_histogram(items, as_of, skip_empty=True), "age_distribution", "age_range"))
-        .unionByName(shape(tags.where(any_term(F.col("tag"), terms)), "by_language", "tag"))
-        .unionByName(shape(top_k(tags, "count", k, ["tag"]), "top_tags", "tag"))
+        .unionByName(ranges.withColumn("value", none))
+        .unionByName(grouped.where("section <> 'tag'").withColumn("value", none))
+        .unionByName(renamed(per_tag.where(any_term(F.col("key"), terms)), "by_language"))
+        .unionByName(renamed(top_k(per_tag, "count", k, ["key"]), "top_tags"))
     )

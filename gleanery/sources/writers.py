@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gleanery import schemas
 from gleanery.operators.discovery import registry_summary
-from gleanery.operators.keyed import assign_batches
+from gleanery.operators.keyed import assign_batches, in_parts
 from gleanery.sources.readers import path_exists
 
 MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
@@ -39,21 +39,18 @@ def as_envelopes(items: DataFrame, page_size: int = 100) -> DataFrame:
     """
     options = {"timestampFormat": MILLIS, "ignoreNullFields": "false"}
     bodies = items.select(F.col("org.handle").alias("handle"), F.to_json(F.struct(*items.columns), options).alias("_body"))
-    merged = bodies.groupBy("handle", "_body").agg(F.count("*").alias("_copies"))
-    sizes = merged.groupBy("handle").agg(F.ceil(F.count("*") / page_size).cast("bigint").alias("_pages"))
     counted = F.concat(
-        F.substr("_body", F.lit(1), F.length("_body") - 1), F.lit(',"copies":'), F.col("_copies").cast("string"), F.lit("}")
+        F.substr("_body", F.lit(1), F.length("_body") - 1), F.lit(',"copies":'), F.col("copies").cast("string"), F.lit("}")
     )
-    paged = merged.join(sizes, "handle").select(
-        "handle", "_pages", (F.pmod(F.xxhash64("_body"), "_pages") + 1).alias("page"),
-        F.when(F.col("_copies") > 1, counted).otherwise(F.col("_body")).alias("_body"),
-    )
-    listed = F.array_join(F.array_sort(F.collect_list("_body")), ",")
-    cursor = F.when(F.col("page") < F.col("_pages"), F.concat(F.lit('"'), (F.col("page") + 1).cast("string"), F.lit('"')))
+    paged = in_parts(bodies, ["handle"], page_size)
+    listed = F.array_sort(F.collect_list(F.when(F.col("copies") > 1, counted).otherwise(F.col("_body"))))
+    last = F.col("part_no") == F.col("part_count")
+    cursor = F.when(last, "null").otherwise(F.concat(F.lit('"'), (F.col("part_no") + 1).cast("string"), F.lit('"')))
     head, middle, tail = '{"result":{"data":{"json":{"items":[', '],"next_cursor":', "}}}}"
-    value = F.concat(F.lit(head), "_listed", F.lit(middle), F.coalesce(cursor, F.lit("null")), F.lit(tail))
+    value = F.concat(F.lit(head), F.array_join("_listed", ","), F.lit(middle), cursor, F.lit(tail))
     return (
-        paged.groupBy("handle", "_pages", "page").agg(listed.alias("_listed")).select("handle", "page", value.alias("value"))
+        paged.groupBy("handle", "part_no", "part_count").agg(listed.alias("_listed"))
+        .select("handle", F.col("part_no").alias("page"), value.alias("value"))
     )
 
 

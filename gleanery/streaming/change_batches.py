@@ -33,6 +33,7 @@ def change_payloads(changes: DataFrame, max_handles: int = 1000) -> DataFrame:
     window = ["window_start", "window_end"]
     parts = changes.groupBy(*window).agg(F.ceil(F.count("*") / max_handles).cast("bigint").alias("_parts"))
     spread = changes.join(parts, window).withColumn("part_no", F.pmod(F.xxhash64("handle"), F.col("_parts")) + 1)
+    spread = spread.repartition(*window, "part_no")  # a busy window is more than one task
     return spread.groupBy(*window, "part_no").agg(
         F.array_sort(F.collect_list("handle")).alias("changed_orgs"), F.count("*").alias("batch_size")
     )

@@ -13,17 +13,18 @@ from gleanery.operators.page_state import page_signatures
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTPUT = "handle STRING, checked_at TIMESTAMP, hash STRING, item_estimate BIGINT, first_seen BOOLEAN"
+_RAW_OUTPUT = "handle STRING, at BIGINT, hash STRING, item_estimate BIGINT, first_seen BOOLEAN"
 
 
 class SignatureState(StatefulProcessor):
     """Keeps the last hash of a handle and passes on the checks that differ from it."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "hash STRING, checked_at TIMESTAMP, changed_at TIMESTAMP")
+        self.last = handle.getValueState("last", "hash STRING, at BIGINT, changed_at BIGINT")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         # Only the checks of one handle in one micro-batch, each a time and a short hash.
-        checks = sorted((r.checked_at, r.hash, r.item_estimate) for r in rows)
+        checks = sorted((r.at, r.hash, r.item_estimate) for r in rows)
         held = self.last.get() if self.last.exists() else None
         known, seen_at, changed_at = held if held is not None else (None, None, None)
         first = held is None
@@ -31,7 +32,7 @@ class SignatureState(StatefulProcessor):
             if seen_at is not None and at < seen_at:
                 continue  # an older check says nothing about the present state
             if first or digest != known:
-                yield Row(handle=key[0], checked_at=at, hash=digest, item_estimate=estimate, first_seen=first)
+                yield Row(handle=key[0], at=at, hash=digest, item_estimate=estimate, first_seen=first)
                 known, changed_at, first = digest, at, False
             seen_at = at
         self.last.update((known, seen_at, changed_at))
@@ -49,9 +50,12 @@ def stream_page_changes(
     the RocksDB state store. Bound the rows per micro-batch with the source's trigger options.
     """
     signed = page_signatures(pages.select("handle", "checked_at", "html"), patterns, ignore, mode)
-    return signed.groupBy("handle").transformWithState(
-        statefulProcessor=SignatureState(), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
+    # Times cross into Python as whole microseconds, free of time zones.
+    timed = signed.select("handle", F.unix_micros("checked_at").alias("at"), "hash", "item_estimate")
+    found = timed.groupBy("handle").transformWithState(
+        statefulProcessor=SignatureState(), outputStructType=_RAW_OUTPUT, outputMode="Append", timeMode="None"
     )
+    return found.select("handle", F.timestamp_micros("at").alias("checked_at"), "hash", "item_estimate", "first_seen")
 
 
 def batch_page_changes(history: DataFrame) -> DataFrame:

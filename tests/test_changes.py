@@ -160,6 +160,9 @@ def test_parts_hold_copies(spark):
     rows = keyed.in_parts(df, ["k"], 50).collect()
     assert sum(r["copies"] for r in rows) == 900 and max(r["copies"] for r in rows) == 600
     assert len(rows) == 301 and {r["part_count"] for r in rows} == {7}
+    blocks = keyed.in_parts(df, ["k"], 50, max_copies=100).collect()
+    assert sum(r["copies"] for r in blocks) == 900 and max(r["copies"] for r in blocks) == 100
+    assert len(blocks) == 306 and len({r["part_no"] for r in blocks if r["v"] == -1}) > 1
 
 
 def test_locale_order(spark):
