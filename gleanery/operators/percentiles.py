@@ -14,7 +14,12 @@ _ZERO_OFFSET = 1 << 17
 def magnitude_bucket(value: Column) -> Column:
     """A non-decreasing function of a double with fewer than 2**18 results, fine where values are dense."""
     size = F.floor(F.log2(F.abs(value)) * _STEPS_PER_DOUBLING) + _ZERO_OFFSET
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
+    far = F.lit(2 * _ZERO_OFFSET)
+    infinite = F.lit(float("inf"))
+    return (
+        F.when(value >= infinite, far).when(value == -infinite, -far)  # NaN sorts with the largest values
+        .when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
+    )
 
 
 def exact_percentiles(
@@ -29,7 +34,9 @@ def exact_percentiles(
     keys = list(keys)
     v = F.col(value).cast("double")
     counts = df.select(*keys, v.alias("_v")).where("_v IS NOT NULL").groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
-    counts = counts.withColumn("_b", magnitude_bucket(F.col("_v")))
+    # The explicit filter is what the join below asks for anyway; stating it keeps both uses of the
+    # counts the same plan, so their exchange is shared.
+    counts = counts.withColumn("_b", magnitude_bucket(F.col("_v"))).where("_b IS NOT NULL")
 
     buckets = counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
     by_bucket = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

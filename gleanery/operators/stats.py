@@ -18,7 +18,7 @@ from gleanery.functions.grading import (
 )
 from gleanery.functions.markup import forge_links, is_issue_link
 from gleanery.functions.scalars import money_sum
-from gleanery.operators.keyed import nest_in_parts, top_k
+from gleanery.operators.keyed import checkpoint_dir, nest_in_parts, top_k
 from gleanery.operators.percentiles import exact_percentiles, percentiles_row
 
 # The points of the value distribution.
@@ -185,14 +185,15 @@ def run_metrics(log: DataFrame, component: str, at: str, duration: str, success:
     return shares.join(p95, keys, "left")
 
 
-def _summary_rows(row: DataFrame, section: str) -> DataFrame:
-    """Turn a one-row table into report rows."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in row.columns]
-    )
-    return row.select(F.inline(pairs)).select(
-        F.lit(section).alias("section"), "key", F.lit(None).cast("bigint").alias("count"), "value"
+def _report_rows(row: DataFrame, entries: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Turn a one-row table into report rows; entries are (section, column, 'count' or 'value')."""
+    none = {"count": F.lit(None).cast("bigint"), "value": F.lit(None).cast("double")}
+    one = lambda section, name, kind: F.struct(
+        F.lit(section).alias("section"), F.lit(name).alias("key"),
+        (F.col(name).cast("bigint") if kind == "count" else none["count"]).alias("count"),
+        (F.col(name).cast("double") if kind == "value" else none["value"]).alias("value"),
     )
+    return row.select(F.inline(F.array(*[one(*e) for e in entries])))
 
 
 def stats_report(
@@ -201,40 +202,51 @@ def stats_report(
 ) -> DataFrame:
     """The statistics report as rows (section, key, count, value).
 
-    Scalars and ranges come from one pass over the items, labels and tags from one grouped pass, and
-    percentiles from the value counts. ``full=False`` keeps the scalars only. With no items every breakdown is empty and
-    every number is 0.
+    Scalars and ranges come from one pass over the items, percentiles from the value counts, labels and
+    tags from one grouped pass. That grouped table is checkpointed (one job), as three sections read it.
+    ``full=False`` keeps the scalars only. With no items every breakdown is empty and every number is 0.
     """
     average = F.coalesce(money_sum("amount_usd") / F.nullif(F.count("amount_usd"), F.lit(0)), F.lit(0.0))
-    by_amount = _range_counts(value_range("amount_usd"), VALUE_RANGES) if full else []
-    by_age = _range_counts(age_range("created_at", as_of), AGE_RANGES) if full else []
-    scalars = items.agg(F.count("*").alias("_n"), average.alias("average_value"), *by_amount, *by_age)
-    points = percentiles_row(items, "amount_usd", {"median_value": 0.5, **(DISTRIBUTION if full else {})}, exact)
-    report = _summary_rows(scalars.select("average_value"), "summary")
-    report = report.unionByName(_summary_rows(points.select("median_value"), "summary"))
-    report = report.unionByName(_summary_rows(org_health(outcomes), "summary"))
+    health = ("organizations_with_items", "organizations_with_errors")
+    by_org = _report_rows(org_health(outcomes), [("summary", n, "value") for n in health])
     if not full:
-        return report
-    counted = [("by_amount", n) for n, _ in VALUE_RANGES] + [("age_distribution", n) for n, _ in AGE_RANGES]
-    ranges = scalars.where("_n > 0").select(
-        F.inline(F.array(*[F.struct(F.lit(s).alias("section"), F.lit(n).alias("key"), F.col(n).alias("count")) for s, n in counted]))
+        middle = percentiles_row(items, "amount_usd", {"median_value": 0.5}, exact)
+        return (
+            _report_rows(items.agg(average.alias("average_value")), [("summary", "average_value", "value")])
+            .unionByName(_report_rows(middle, [("summary", "median_value", "value")]))
+            .unionByName(by_org)
+        )
+    scalars = items.agg(
+        F.count("*").alias("_n"), average.alias("average_value"),
+        *_range_counts(value_range("amount_usd"), VALUE_RANGES), *_range_counts(age_range("created_at", as_of), AGE_RANGES),
     )
+    ranges = [("by_amount", n, "count") for n, _ in VALUE_RANGES] + [("age_distribution", n, "count") for n, _ in AGE_RANGES]
+    filled = _report_rows(scalars.where("_n > 0"), ranges)
+    points = percentiles_row(items, "amount_usd", {"median_value": 0.5, **DISTRIBUTION}, exact)
+    at_points = [("summary", "median_value", "value"), *[("value_distribution", n, "value") for n in DISTRIBUTION]]
+
     entry = lambda section, key: F.struct(F.lit(section).alias("section"), key.alias("key"))
     labels = F.array(entry("by_difficulty", label_or_unknown("difficulty")), entry("by_status", label_or_unknown("status")))
     tags = F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda t: entry("tag", F.lower(t)))
+    checkpoint_dir(items.sparkSession)
     grouped = (
         items.select(F.explode_outer(F.concat(labels, tags)).alias("_e"), "amount_usd")
         .groupBy(F.col("_e.section").alias("section"), F.col("_e.key").alias("key"))
         .agg(F.count("*").alias("count"), money_sum("amount_usd").alias("value"))
+        .checkpoint()
+    )
+    is_tag = F.col("section") == "tag"
+    per_tag = grouped.where(is_tag)
+    shown = grouped.where(~is_tag | any_term(F.col("key"), terms)).select(
+        F.when(is_tag, "by_language").otherwise(F.col("section")).alias("section"), "key", "count",
+        F.when(is_tag, F.col("value")).alias("value"),
     )
-    none = F.lit(None).cast("double")
-    per_tag = grouped.where("section = 'tag'")
-    renamed = lambda df, section: df.withColumn("section", F.lit(section))
     return (
-        report.unionByName(_summary_rows(per_tag.agg(F.count("*").alias("total_tags")), "summary"))
-        .unionByName(_summary_rows(points.drop("median_value"), "value_distribution"))
-        .unionByName(ranges.withColumn("value", none))
-        .unionByName(grouped.where("section <> 'tag'").withColumn("value", none))
-        .unionByName(renamed(per_tag.where(any_term(F.col("key"), terms)), "by_language"))
-        .unionByName(renamed(top_k(per_tag, "count", k, ["key"]), "top_tags"))
+        _report_rows(scalars, [("summary", "average_value", "value")])
+        .unionByName(filled)
+        .unionByName(_report_rows(points, at_points))
+        .unionByName(by_org)
+        .unionByName(_report_rows(per_tag.agg(F.count("*").alias("total_tags")), [("summary", "total_tags", "value")]))
+        .unionByName(shown)
+        .unionByName(top_k(per_tag, "count", k, ["key"]).withColumn("section", F.lit("top_tags")))
     )
