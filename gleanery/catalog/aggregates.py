@@ -206,7 +206,7 @@ def stats_report(spark, sf):
     return report.withColumn("value", F.round("value", 6))
 
 
-@query(with_ctes(ITEMS, _OUTCOMES) + _REPORT_SUMMARY)
+@query(with_ctes(ITEMS, _OUTCOMES) + _REPORT_SUMMARY.replace("count_if(item_count > 0)", "count_if(success)"))
 def stats_short_report(spark, sf):
     report = stats.stats_report(items(spark, sf), customer_outcomes(spark, sf), as_of(), full=False)
     return report.withColumn("value", F.round("value", 6))

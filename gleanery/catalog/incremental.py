@@ -91,7 +91,7 @@ def parsed_webhooks(spark, sf):
         F.concat(F.lit("https://listings.example/org"), text("user_id"), F.lit("/bounties?status=open")).alias("watch_url"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"), F.get_json_object("props", "$.k").alias("snapshot_id"),
     ))
-    found = readers.parse_webhooks(table(spark, sf, "events").select(body.alias("value")))
+    found = readers.parse_webhooks(text_table(spark, sf, "events").select(body.alias("value")))
     return found.withColumn("at", F.date_format("at", "yyyy-MM-dd HH:mm:ss"))
 
 

@@ -65,7 +65,7 @@ items AS (
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = F.round("l_extendedprice").cast("bigint")
     key = F.concat(text("l_orderkey"), F.lit("#"), text("l_linenumber"))
-    return table(spark, sf_dir, "lineitem").select(
+    return text_table(spark, sf_dir, "lineitem").select(
         key.alias("id"),
         text("l_suppkey").alias("handle"),
         F.concat(F.lit("Item "), key).alias("title"),
@@ -82,7 +82,7 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = F.round("o_totalprice").cast("bigint")
     key = F.concat(text("o_orderkey"), F.lit("#1"))
-    return table(spark, sf_dir, "orders").select(
+    return text_table(spark, sf_dir, "orders").select(
         key.alias("id"),
         text("o_custkey").alias("handle"),
         F.concat(F.lit("Item "), key).alias("title"),

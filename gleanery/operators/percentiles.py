@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_STEPS_PER_DOUBLING = 64
-_ZERO_OFFSET = 1 << 17
+_STEPS_PER_DOUBLING = 4096
+_ZERO_OFFSET = 1 << 23
 
 
 def magnitude_bucket(value: Column) -> Column:
-    """A non-decreasing function of a double with fewer than 2**18 results, fine where values are dense."""
+    """A non-decreasing function of a double with at most 2**24 results, fine where values are dense."""
     size = F.floor(F.log2(F.abs(value)) * _STEPS_PER_DOUBLING) + _ZERO_OFFSET
     far = F.lit(2 * _ZERO_OFFSET)
     infinite = F.lit(float("inf"))
@@ -28,7 +28,7 @@ def exact_percentiles(
     """Rows (*keys, point, percentile) with linear interpolation at ``point * (n - 1)``.
 
     Equal values are counted first, so a hot value is one row per map task. Ranks are then found in
-    two steps: over bucket totals (fewer than 2**18 rows per key), and inside the few buckets that
+    two steps: over bucket totals (at most 2**24 rows per key, a few thousand per doubling of the values), and inside the few buckets that
     hold a wanted rank. Groups without a value give no rows.
     """
     keys = list(keys)

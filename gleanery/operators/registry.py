@@ -63,15 +63,16 @@ def registry_rows(
 def outcomes(registry: DataFrame, items: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """One row per organization: success, item count, value, duration and error.
 
-    Items are added up per handle before the join. ``pages`` may bring (handle, error, duration_ms); a
-    failed page keeps no items.
+    Items are added up per handle before the join. ``pages`` may bring (handle, error, duration_ms); an
+    organization with a failed page keeps no items.
     """
     sums = items.groupBy("handle").agg(F.count("*").alias("_n"), money_sum("amount_usd").alias("_value"))
     joined = registry.select("handle").join(sums, "handle", "left")
     if pages is None:
         joined = joined.withColumns({"error": F.lit(None).cast("string"), "duration_ms": F.lit(0).cast("bigint")})
     else:
-        joined = joined.join(pages.select("handle", "error", "duration_ms"), "handle", "left")
+        runs = pages.groupBy("handle").agg(F.max("error").alias("error"), F.sum("duration_ms").alias("duration_ms"))
+        joined = joined.join(runs, "handle", "left")
     ok = F.col("error").isNull()
     return joined.select(
         "handle",

@@ -153,6 +153,13 @@ def org_health(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def run_health(outcomes: DataFrame) -> DataFrame:
+    """Organizations that succeeded and that failed, whatever their items."""
+    return outcomes.agg(
+        F.count_if("success").alias("organizations_with_items"), F.count_if(~F.col("success")).alias("organizations_with_errors")
+    )
+
+
 def success_rate(df: DataFrame, success: Column, *keys: str) -> DataFrame:
     """Share of successful rows; NULL when there are none."""
     return df.groupBy(*keys).agg(F.try_divide(F.count_if(success).cast("double"), F.count("*")).alias("success_rate"))
@@ -204,11 +211,11 @@ def stats_report(
 
     Scalars and ranges come from one pass over the items, percentiles from the value counts, labels and
     tags from one grouped pass. That grouped table is checkpointed (one job), as three sections read it.
-    ``full=False`` keeps the scalars only. With no items every breakdown is empty and every number is 0.
+    ``full=False`` keeps the average, the median and the organizations that succeeded and failed. With no items every breakdown is empty and every number is 0.
     """
     average = F.coalesce(money_sum("amount_usd") / F.nullif(F.count("amount_usd"), F.lit(0)), F.lit(0.0))
     health = ("organizations_with_items", "organizations_with_errors")
-    by_org = _report_rows(org_health(outcomes), [("summary", n, "value") for n in health])
+    by_org = _report_rows((org_health if full else run_health)(outcomes), [("summary", n, "value") for n in health])
     if not full:
         middle = percentiles_row(items, "amount_usd", {"median_value": 0.5}, exact)
         return (

@@ -12,35 +12,39 @@ from gleanery.operators import changes, discovery, items, page_state, registry,
 
 @dataclass(frozen=True)
 class Snapshot:
-    """Tables of one run, each a lazy plan of its own."""
+    """Tables of one run, each a plan of its own."""
 
     items: DataFrame
     organizations: DataFrame
-    totals: DataFrame
-    stats: DataFrame
-    metadata: DataFrame
-
-
-def build_snapshot(
-    flat_items: DataFrame, outcomes: DataFrame, as_of: Column, version: str = "1.0.0", full_stats: bool = True
-) -> Snapshot:
-    now = as_of.cast("timestamp")
-    totals = outcomes.agg(
-        F.count("*").alias("total_organizations"),
-        F.sum("item_count").alias("total_items"),
-        F.round(F.sum("total_value_usd"), 2).alias("total_value_usd"),
-    )
-    metadata = outcomes.agg(
-        F.try_divide(F.count_if("success").cast("double"), F.count("*")).alias("success_rate"),
-        F.sum("duration_ms").alias("processing_time_ms"),
-    ).select(F.lit(version).alias("version"), now.alias("generated_at"), "success_rate", "processing_time_ms")
-    return Snapshot(
-        items=flat_items,
-        organizations=outcomes.withColumn("last_updated", now),
-        totals=totals,
-        stats=stats.stats_report(flat_items, outcomes, as_of, full=full_stats),
-        metadata=metadata,
-    )
+    as_of: Column
+    version: str = "1.0.0"
+
+    @property
+    def totals(self) -> DataFrame:
+        """One row: organizations, items and value. Items of failed organizations do not count."""
+        return self.organizations.agg(
+            F.count("*").alias("total_organizations"),
+            F.sum("item_count").alias("total_items"),
+            stats.money_sum("total_value_usd").alias("total_value_usd"),
+        )
+
+    @property
+    def metadata(self) -> DataFrame:
+        done = self.organizations.agg(
+            F.try_divide(F.count_if("success").cast("double"), F.count("*")).alias("success_rate"),
+            F.sum("duration_ms").alias("processing_time_ms"),
+        )
+        return done.select(
+            F.lit(self.version).alias("version"), self.as_of.cast("timestamp").alias("generated_at"), "success_rate", "processing_time_ms"
+        )
+
+    def stats(self, full: bool = True) -> DataFrame:
+        return stats.stats_report(self.items, self.organizations, self.as_of, full=full)
+
+
+def build_snapshot(flat_items: DataFrame, outcomes: DataFrame, as_of: Column, version: str = "1.0.0") -> Snapshot:
+    """Items and outcome rows of a run as a snapshot; ``nested_by_org`` and the writers publish it."""
+    return Snapshot(flat_items, outcomes.withColumn("last_updated", as_of.cast("timestamp")), as_of, version)
 
 
 def collect_items(
