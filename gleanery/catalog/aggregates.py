@@ -8,7 +8,6 @@ from gleanery.catalog.core import query
 from gleanery.catalog.joins import customer_outcomes
 from gleanery.catalog.tables import ITEMS, LISTINGS, PARTS_TAGGED, AS_OF, as_of, items, listings, parts_tagged, table, text, with_ctes
 from gleanery.functions import markup
-from gleanery.functions.grading import label_or_unknown
 from gleanery.operators import discovery, keyed, percentiles, registry, stats
 from gleanery.plans import runs
 

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from gleanery.catalog.core import query
 from gleanery.catalog.tables import (
-    ITEMS, LISTINGS, SIGNATURE, SIGNATURES, SNAPSHOTS, URL_TEMPLATE, as_of, items, line_items, listings, order_heads,
+    ITEMS, LISTINGS, REPOS, SIGNATURE, SIGNATURES, SNAPSHOTS, URL_TEMPLATE, as_of, items, line_items, listings, order_heads,
     page_check_state, page_checks, table, text, text_table, with_ctes,
 )
 from gleanery.functions.scalars import iso_millis
-from gleanery.operators import changes, discovery, items as item_ops, keyed, page_state, registry
+from gleanery.operators import changes, discovery, items as item_ops, keyed, page_state, registry, stats
 
 # --- snapshots -------------------------------------------------------------------------------------
 
@@ -359,10 +359,8 @@ SELECT handle, count(*) AS item_count, CAST(sum(CAST(round(amount_usd * 100) AS
 FROM by_position GROUP BY handle""")
 def listing_rollup(spark, sf):
     """Pages to items to organization totals."""
-    from gleanery.operators.stats import rollup_by_org
-
     found = item_ops.positional_items(listings(spark, sf)).withColumn("display_name", F.col("handle"))
-    return rollup_by_org(found).drop("display_name")
+    return stats.rollup_by_org(found).drop("display_name")
 
 
 @query(with_ctes(LISTINGS, _POSITIONAL) + r"""
@@ -371,9 +369,7 @@ SELECT page_id, p.pos::INTEGER AS pos, coalesce(nullif(CASE WHEN o_orderpriority
 FROM by_position p LEFT JOIN orders ON o_orderkey * 10 = issue_number""")
 def positional_items_with_issues(spark, sf):
     """Positional items that take the title of the landed issue when there is one."""
-    from gleanery.catalog.tables import _REPOS
-
-    repo = F.element_at(F.array(*[F.lit(r) for r in _REPOS]), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    repo = F.element_at(F.array(*[F.lit(r) for r in REPOS]), (F.col("o_orderkey") % 5 + 1).cast("int"))
     issues = table(spark, sf, "orders").select(
         F.concat(F.lit("org"), text("o_custkey")).alias("owner"), repo.alias("repo"), (F.col("o_orderkey") * 10).alias("number"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.concat("o_orderpriority", F.lit(" real title"))).otherwise("").alias("title"),

@@ -119,7 +119,7 @@ last_lines AS (
 
 
 # One listing page per order with one to four items, among them a repeated id and a zero amount.
-_REPOS = ("react-app", "zio-http", "django-kit", "tools", "vue-ui")
+REPOS = ("react-app", "zio-http", "django-kit", "tools", "vue-ui")
 _PHRASES = (" fix api bug", " security review for rust", " update docs | more", " plain work")
 
 
@@ -127,7 +127,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, cust = F.col("o_orderkey"), text("o_custkey")
     cents = F.round("o_totalprice").cast("bigint")
     pick = lambda values, at: F.element_at(F.array(*[F.lit(v) for v in values]), at.cast("int"))
-    repo = pick(_REPOS, key % 5 + 1)
+    repo = pick(REPOS, key % 5 + 1)
 
     def card(i):
         number = text(key * 10 + i)

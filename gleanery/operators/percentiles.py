@@ -53,11 +53,20 @@ def exact_percentiles(
         )
     )
     inside = lambda s, start, count: (s["at"] >= start) & (s["at"] < start + count)
+
+    def holds_a_rank(start: Column, count: Column) -> Column:
+        """Plain comparisons that drop nearly all rows before ``spots`` are worked out."""
+        out = F.lit(False)
+        for p in points:
+            r = rank(F.lit(float(p)))
+            out = out | ((F.ceil(r) >= start) & (F.floor(r) < start + count))
+        return out
+
     targets = (
         buckets.withColumn("_start", F.coalesce(F.sum("_bc").over(by_bucket), F.lit(0)))
         .withColumn("_n", F.sum("_bc").over(whole))
+        .where(holds_a_rank(F.col("_start"), F.col("_bc")))
         .withColumn("_spots", F.filter(spots, lambda s: inside(s, F.col("_start"), F.col("_bc"))))
-        .where(F.size("_spots") > 0)
         .select(*keys, "_b", "_start", "_n", "_spots")
     )
     if not keys:
@@ -66,6 +75,7 @@ def exact_percentiles(
     ranked = (
         counts.join(targets, [*keys, "_b"])
         .withColumn("_from", F.col("_start") + F.coalesce(F.sum("_c").over(in_bucket), F.lit(0)))
+        .where(holds_a_rank(F.col("_from"), F.col("_c")))
         .withColumn("_hit", F.explode_outer(F.filter("_spots", lambda s: inside(s, F.col("_from"), F.col("_c")))))
         .where("_hit IS NOT NULL")
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.functions.scalars import capitalise, col, fill_url, money_sum, split_handles
+from gleanery.functions.scalars import capitalise, fill_url, money_sum, split_handles
 
 
 def active_orgs(registry: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery import schemas
+from gleanery.functions.scalars import url_handle
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -120,8 +121,8 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PAGES).parquet(path)
 
 
-def stream_pages(spark: SparkSession, path: str, schema: str = schemas.PAGES, max_files: int = 1000) -> DataFrame:
-    """Landed page files as a stream, a bounded number of files per batch."""
+def stream_pages(spark: SparkSession, path: str, schema: str = schemas.PAGES, max_files: int = 64) -> DataFrame:
+    """Landed page files as a stream. The files per batch bound what one busy handle can bring at once."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
@@ -136,8 +137,6 @@ def read_probes(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_webhooks(raw: DataFrame, body: str = "value") -> DataFrame:
     """Webhook bodies to (handle, at, snapshot_id); the handle is the first path part of the watched URL."""
-    from gleanery.functions.scalars import url_handle
-
     parsed = raw.select(F.from_json(F.col(body), schemas.WEBHOOK).alias("_w"))
     return parsed.select(
         url_handle("_w.watch_url").alias("handle"), F.col("_w.timestamp").alias("at"), F.col("_w.snapshot_id").alias("snapshot_id")

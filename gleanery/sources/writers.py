@@ -35,7 +35,8 @@ def as_envelopes(items: DataFrame, page_size: int = 100) -> DataFrame:
     """API envelopes per organization, paged: (handle, page, value) with the JSON body as text.
 
     ``next_cursor`` names the following page and is null on the last. Pages are filled by a hash, so
-    sizes vary around ``page_size``; with very small pages a cursor may name one that stayed empty. Equal items are merged first and carry ``copies`` when repeated.
+    sizes vary around ``page_size``; with very small pages a cursor may name one that stayed empty. Equal
+    items are merged first and carry ``copies`` when repeated.
     """
     options = {"timestampFormat": MILLIS, "ignoreNullFields": "false"}
     bodies = items.select(F.col("org.handle").alias("handle"), F.to_json(F.struct(*items.columns), options).alias("_body"))

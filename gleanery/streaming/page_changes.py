@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from gleanery.functions.fingerprints import SIGNATURE_PATTERNS
-from gleanery.operators.page_state import page_signatures
+from gleanery.operators.page_state import carry_last_changed, page_signatures
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTPUT = "handle STRING, checked_at TIMESTAMP, hash STRING, item_estimate BIGINT, first_seen BOOLEAN"
@@ -60,7 +60,5 @@ def stream_page_changes(
 
 def batch_page_changes(history: DataFrame) -> DataFrame:
     """Batch twin over signed pages (handle, checked_at, hash, item_estimate): the same rows as the stream."""
-    from gleanery.operators.page_state import carry_last_changed
-
     checks = carry_last_changed(history, "handle", "checked_at", "hash", ["item_estimate"])
     return checks.where("changed").select("handle", "checked_at", "hash", "item_estimate")

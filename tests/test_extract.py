@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gleanery.functions import context, fingerprints, grading, markup, scalars
+from gleanery.functions import fingerprints, grading, markup, scalars
 from gleanery.operators import discovery, items
 from gleanery.plans import runs
 

@@ -54,3 +54,71 @@ def test_hot_values_are_merged_before_the_exchange(spark):
     df = spark.range(0, 100000, 1, 4).select(F.lit(1.0).alias("amount_usd"), F.lit("h").alias("handle"))
     text = plan(stats.median_value(df))
     assert "partial_count" in text
+
+
+@pytest.fixture
+def small_limits(spark):
+    """Limits small enough that test data counts as large and skewed."""
+    values = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_rows(spark, n=60000):
+    """A third of the rows share one key; many map tasks, so their blocks can be divided."""
+    key = F.when(F.col("n") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("n").cast("string")))
+    return spark.range(0, n, 1, 32).select(
+        F.col("id").alias("n")
+    ).select(key.alias("id"), F.lit("org").alias("handle"), F.sha2(F.col("n").cast("string"), 256).alias("title"), (F.col("n") / 1.0).alias("amount_usd"))
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_current_id_is_split_in_the_diff(spark, small_limits):
+    cur = hot_rows(spark)
+    prev = hot_rows(spark, 300).withColumn("amount_usd", F.col("amount_usd") + 1)
+    diff = changes.diff_snapshots(prev, cur, order=["amount_usd"], fields=("title", "amount_usd"), tags=None)
+    text = final_plan(diff)
+    assert "skew=true" in text
+    counts = {r["change_type"]: r["count"] for r in diff.groupBy("change_type").count().collect()}
+    assert counts == {"added": 40000 - 200, "updated": 20000 + 200}
+
+
+def test_hot_source_rows_are_split(spark, small_limits):
+    from gleanery.operators import keyed
+
+    df = hot_rows(spark).withColumn("source", F.when(F.col("amount_usd") < 30000, 1).otherwise(2))
+    found = keyed.first_source(df, ["id"], "source")
+    assert "skew=true" in final_plan(found)
+    assert found.count() == 10000 + 40000
+
+
+def test_hot_organization_is_spread_over_parts(spark, small_limits):
+    from gleanery.operators import keyed
+
+    parts = keyed.in_parts(hot_rows(spark).select(F.col("id").alias("handle"), "title"), ["handle"], 500)
+    hot = parts.where("handle = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(hot) >= 8 and max(r["count"] for r in hot) < 6000 and sum(r["count"] for r in hot) == 20000
+
+
+def test_one_hot_host_is_cut_by_day(spark, small_limits):
+    from gleanery.operators import page_state
+
+    rows = spark.range(0, 20000, 1, 8).select(
+        F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") * 600).alias("at"), (F.col("id") % 7 > 3).cast("string").alias("h"), "id"
+    )
+    checks = page_state.carry_last_changed(rows, "k", "at", "h", ["id"])
+    tasks = checks.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 8 and sum(r["count"] for r in tasks) == 20000
