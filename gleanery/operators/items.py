@@ -274,9 +274,12 @@ def best_source_rows(pages: DataFrame) -> DataFrame:
         ),
     )
     best = let(let(embedded_state("html"), from_state), lambda found: F.when(F.size(found) > 0, found).otherwise(from_text))
-    rows = pages.select(*keep, F.explode_outer(best).alias("_b")).where("_b IS NOT NULL")
+    # The page's columns travel inside the exploded rows, so no later join by them can move below the
+    # extraction and drag the HTML through an exchange.
+    carried = F.transform(best, lambda b: F.struct(*keep, b.alias("found")))
+    rows = pages.select(F.explode_outer(carried).alias("_r")).where("_r IS NOT NULL")
     fields = ("source", "id", "title", "body", "link", "cents", "currency", "tech", "item")
-    return rows.select(*keep, *[f"_b.{f}" for f in fields], "_b.issue.*")
+    return rows.select(*[f"_r.{c}" for c in keep], *[f"_r.found.{f}" for f in fields], "_r.found.issue.*")
 
 
 # --- nested items ----------------------------------------------------------------------------------

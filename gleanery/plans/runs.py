@@ -54,14 +54,14 @@ def collect_items(
 
     Order: listing API, then page by page pre-extracted state, raw state and text. ``orgs`` holds handle,
     display_name, description and org_tech; ``pages`` (handle, html) and ``listing`` (handle plus the
-    listing row) bring the data. Pages are scanned once and the HTML is dropped before any join; pages of
-    an organization served by the listing are not searched.
+    listing row) bring the data. Pages are scanned once and the HTML is dropped before any join; what the
+    pages of an organization served by the listing held is dropped after the scan.
     """
     details = orgs.select("handle", "display_name", "description", "org_tech")
+    found = items.best_source_rows(pages.select("handle", "html"))
     if listing is not None:
         served = listing.where("status = 'active'").select("handle").distinct()
-        pages = pages.join(served, "handle", "left_anti")
-    found = items.best_source_rows(pages.select("handle", "html"))
+        found = found.join(served, "handle", "left_anti")
     if issues is not None:
         known = issues.select(
             "owner", "repo", "number", F.col("title").alias("issue_title"), F.col("body").alias("issue_body"),

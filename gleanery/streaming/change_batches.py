@@ -45,10 +45,18 @@ def once_per_delay(events: DataFrame, delay: str, at: str = "at") -> DataFrame:
 
 
 def stream_payloads(changes: DataFrame, path: str, checkpoint: str, max_handles: int = 1000):
-    """Write the messages of finished windows. Each batch replaces its own folder, so a retry does no harm."""
+    """Write the changes of finished windows and, from them, their messages.
+
+    Each batch replaces its own folders under ``changes`` and ``messages``, so a retry does no harm. The
+    changes are written before they are used twice, so the stateful part runs once per batch.
+    """
+    kinds = changes.schema
 
     def send(batch: DataFrame, batch_id: int) -> None:
-        change_payloads(batch, max_handles).write.mode("overwrite").json(f"{path}/batch={batch_id}")
+        rows = f"{path}/changes/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(rows)
+        landed = batch.sparkSession.read.schema(kinds).parquet(rows)
+        change_payloads(landed, max_handles).write.mode("overwrite").json(f"{path}/messages/batch={batch_id}")
 
     return (
         changes.writeStream.outputMode("append").option("checkpointLocation", checkpoint)

@@ -162,7 +162,7 @@ def test_change_windows_stream(spark, tmp_path):
         change_batches.changes_per_window(stream, "2 minutes", "1 minute"), str(tmp_path / "out"), str(tmp_path / "log"), 10
     )
     run.awaitTermination()
-    sent = spark.read.json(str(tmp_path / "out"))
+    sent = spark.read.json(str(tmp_path / "out" / "messages"))
     got = sent.select(F.to_timestamp("window_start").alias("w"), F.explode("changed_orgs").alias("h"))
     batch = change_batches.changes_per_window(events, "2 minutes").where(F.col("window_end") <= F.lit(T0 + dt.timedelta(seconds=535)))
     expected = batch.select(F.col("window_start").alias("w"), F.col("handle").alias("h"))

@@ -122,3 +122,23 @@ def test_one_hot_host_is_cut_by_day(spark, small_limits):
     checks = page_state.carry_last_changed(rows, "k", "at", "h", ["id"])
     tasks = checks.groupBy(F.spark_partition_id()).count().collect()
     assert len(tasks) >= 8 and sum(r["count"] for r in tasks) == 20000
+
+
+def test_pages_are_extracted_before_any_join(spark, small_limits, tmp_path):
+    from gleanery.plans import runs
+
+    schema = "handle STRING, html STRING"
+    spark.createDataFrame([("a", "<p>github.com/o/r/issues/1</p>")], schema).write.parquet(str(tmp_path / "pages"))
+    pages = spark.read.schema(schema).parquet(str(tmp_path / "pages"))
+    orgs = spark.sql("SELECT 'a' handle, 'A' display_name, '' description, array('x') org_tech")
+    listing = spark.sql(
+        "SELECT 'b' handle, '1' id, 'active' status, 5L amount, 'USD' currency, 'o' repo_owner, 'r' repo_name, "
+        "now() created_at, now() updated_at, CAST(NULL AS STRUCT<number: BIGINT, title: STRING, body: STRING, "
+        "html_url: STRING, user: STRUCT<id: BIGINT, login: STRING, avatar_url: STRING, html_url: STRING>>) issue"
+    )
+    text = plan(runs.collect_items(orgs, pages, F.lit("2025-01-01").cast("timestamp"), listing=listing))
+    # Plans print from the top: the join comes first, and below the extraction there is only the scan.
+    below = text[text.index("Generate explode"):]
+    below = below[: below.index("FileScan")]
+    assert text.index("LeftAnti") < text.index("Generate explode")
+    assert "html" in below and "Exchange" not in below and "Join" not in below
