@@ -6,6 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+SETTINGS = {
+    # NTZ columns are read as UTC instants, as the SQL does.
+    "spark.sql.session.timeZone": "UTC",
+    # HotSpot does not compile longer methods; beyond this Spark splits the projection instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -15,7 +22,8 @@ def query(sql: str | None = None):
 
     def add(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            for name, value in SETTINGS.items():
+                spark.conf.set(name, value)
             return fn(spark, sf_dir)
 
         QUERIES[fn.__name__] = run
