@@ -192,15 +192,23 @@ def run_metrics(log: DataFrame, component: str, at: str, duration: str, success:
     return shares.join(p95, keys, "left")
 
 
-def _report_rows(row: DataFrame, entries: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """Turn a one-row table into report rows; entries are (section, column, 'count' or 'value')."""
+def _report_rows(
+    row: DataFrame, entries: Sequence[tuple[str, str, str]], filled: Sequence[tuple[str, str, str]] = ()
+) -> DataFrame:
+    """Turn a one-row table into report rows; entries are (section, column, 'count' or 'value').
+
+    ``filled`` entries appear only when the row's ``_n`` is above 0.
+    """
     none = {"count": F.lit(None).cast("bigint"), "value": F.lit(None).cast("double")}
     one = lambda section, name, kind: F.struct(
         F.lit(section).alias("section"), F.lit(name).alias("key"),
         (F.col(name).cast("bigint") if kind == "count" else none["count"]).alias("count"),
         (F.col(name).cast("double") if kind == "value" else none["value"]).alias("value"),
     )
-    return row.select(F.inline(F.array(*[one(*e) for e in entries])))
+    rows = F.array(*[one(*e) for e in entries])
+    if filled:
+        rows = F.when(F.col("_n") > 0, F.concat(rows, F.array(*[one(*e) for e in filled]))).otherwise(rows)
+    return row.select(F.inline(rows))
 
 
 def stats_report(
@@ -210,7 +218,8 @@ def stats_report(
     """The statistics report as rows (section, key, count, value).
 
     Scalars and ranges come from one pass over the items, percentiles from the value counts, labels and
-    tags from one grouped pass. That grouped table is checkpointed (one job), as three sections read it.
+    tags from one grouped pass. The percentiles and the grouped table, which three sections read, are
+    checkpointed (two jobs).
     ``full=False`` keeps the average, the median and the organizations that succeeded and failed. With no items every breakdown is empty and every number is 0.
     """
     average = F.coalesce(money_sum("amount_usd") / F.nullif(F.count("amount_usd"), F.lit(0)), F.lit(0.0))
@@ -228,14 +237,14 @@ def stats_report(
         *_range_counts(value_range("amount_usd"), VALUE_RANGES), *_range_counts(age_range("created_at", as_of), AGE_RANGES),
     )
     ranges = [("by_amount", n, "count") for n, _ in VALUE_RANGES] + [("age_distribution", n, "count") for n, _ in AGE_RANGES]
-    filled = _report_rows(scalars.where("_n > 0"), ranges)
-    points = percentiles_row(items, "amount_usd", {"median_value": 0.5, **DISTRIBUTION}, exact)
+    checkpoint_dir(items.sparkSession)
+    # One row; kept out of the final plan, which would otherwise be planned anew after each of its stages.
+    points = percentiles_row(items, "amount_usd", {"median_value": 0.5, **DISTRIBUTION}, exact).checkpoint()
     at_points = [("summary", "median_value", "value"), *[("value_distribution", n, "value") for n in DISTRIBUTION]]
 
     entry = lambda section, key: F.struct(F.lit(section).alias("section"), key.alias("key"))
     labels = F.array(entry("by_difficulty", label_or_unknown("difficulty")), entry("by_status", label_or_unknown("status")))
     tags = F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda t: entry("tag", F.lower(t)))
-    checkpoint_dir(items.sparkSession)
     grouped = (
         items.select(F.explode_outer(F.concat(labels, tags)).alias("_e"), "amount_usd")
         .groupBy(F.col("_e.section").alias("section"), F.col("_e.key").alias("key"))
@@ -249,8 +258,7 @@ def stats_report(
         F.when(is_tag, F.col("value")).alias("value"),
     )
     return (
-        _report_rows(scalars, [("summary", "average_value", "value")])
-        .unionByName(filled)
+        _report_rows(scalars, [("summary", "average_value", "value")], ranges)
         .unionByName(_report_rows(points, at_points))
         .unionByName(by_org)
         .unionByName(_report_rows(per_tag.agg(F.count("*").alias("total_tags")), [("summary", "total_tags", "value")]))
