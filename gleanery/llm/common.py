@@ -43,3 +43,17 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def text_hash(text: str | Column = "text") -> Column:
+    """Hash by which a row is found again beside its id; null and empty differ."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.xxhash64(text, text.isNull())
+
+
+def rows_of_keepers(docs: DataFrame, keepers: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` named by ``keepers`` (id, text_hash); rows repeated with id and text count as one row."""
+    named = keepers.select(F.col("id").alias("_id"), F.col("text_hash").alias("_th"))
+    hashed = docs.withColumn(own := free_name(docs, "_text_hash"), text_hash(text))
+    found = hashed.join(named, hashed[doc_id].eqNullSafe(named["_id"]) & (hashed[own] == named["_th"]), "left_semi")
+    return found.dropDuplicates([doc_id, own]).select(*docs.columns)

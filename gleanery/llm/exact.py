@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import SPACE, settled
 
-#: Distinct keys that a bucket may hold, and the bits by which keys are counted at a time.
-CAPACITY = 20_000
-STEP_BITS = 12
-MOST_BITS = 48
+#: Distinct keys that a bucket may hold before it is split, the bits by which keys are counted at a time, and the deepest the
+#: directory gets: 65,536 entries. Beyond that buckets grow, and their owners read them as a stream just the same.
+CAPACITY = 256
+STEP_BITS = 8
+MOST_BITS = 16
 SALTS = 16
 
 
@@ -56,8 +57,8 @@ def split_counts(counts: dict[int, int], bits: int, at: int, room: int) -> tuple
 def directory(keys: DataFrame, room: int = CAPACITY) -> np.ndarray:
     """First keys (unsigned) of the buckets, in order, for a table of distinct long keys.
 
-    Keys are counted by prefixes, some bits more each time and only within the buckets that are still too full; the counts
-    that reach the driver are at most ``2 ** STEP_BITS`` for each such bucket.
+    Keys are counted by prefixes, some bits more each time and only within the buckets that are still too full; at most
+    ``2 ** MOST_BITS`` counts reach the driver.
     """
     spread = keys.select(F.shiftrightunsigned("key", 64 - MOST_BITS).alias("high"))
     buckets: list[tuple[int, int]] = []
