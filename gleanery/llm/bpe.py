@@ -22,10 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import settled
-
 #: Text bytes of a block, and hash parts of the word table.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 PARTS = 1024
 DOCUMENTS = -1
 
@@ -110,6 +108,9 @@ def _groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[list[tuple]]
                 yield rows
                 rows = []
             rows.append(row)
+            if row[1] == DOCUMENTS and by == 1:  # goes through alone
+                yield rows
+                rows = []
     if rows:
         yield rows
 
@@ -123,6 +124,9 @@ def _encoded(batches: Iterator[pa.RecordBatch], tokenizer_json: str) -> Iterator
     tokenizer.no_truncation()
     tokenizer.no_padding()
     for rows in _groups(batches, 1):
+        if rows[0][1] == DOCUMENTS:
+            yield _batch(rows)
+            continue
         asked = [zstandard.decompress(p).split(b"\n") if p else [] for _, _, p in rows]
         table = dict.fromkeys(w for ws in asked for w in ws)
         spelled = list(table)
@@ -201,10 +205,11 @@ def encode(docs: DataFrame, tokenizer: str, row: str = "doc_id", text: str = "te
     pieces = [(known.id_to_token(i) or "").encode() for i in range(known.get_vocab_size(with_added_tokens=True))]
     emit, schema = FORMS[form]
     narrow = docs.select(F.coalesce(F.col(row).cast("long"), F.lit(-1)).alias("row"), F.col(text).alias("text"))
-    blocks = settled(narrow.mapInArrow(lambda b: _blocks(b, block_bytes, parts), BLOCK))
-    asked = blocks.where(F.col("part") != DOCUMENTS).repartition("part").sortWithinPartitions("part")
-    answers = asked.mapInArrow(lambda b: _encoded(b, spec), BLOCK)
-    both = blocks.where(F.col("part") == DOCUMENTS).unionByName(answers).repartition("block").sortWithinPartitions("block")
+    blocks = narrow.mapInArrow(lambda b: _blocks(b, block_bytes, parts), BLOCK)
+    spread = F.when(F.col("part") == DOCUMENTS, F.col("block")).otherwise(0)
+    # The rows with the documents' word places only pass through the tasks that encode, so the texts are split just once.
+    answered = blocks.repartition("part", spread).sortWithinPartitions("part").mapInArrow(lambda b: _encoded(b, spec), BLOCK)
+    both = answered.repartition("block").sortWithinPartitions("block")
     return both.mapInArrow(lambda b: _rebuilt(b, pieces, emit), schema)
 
 
