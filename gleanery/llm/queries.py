@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe, exact, lines, mixing, sharding, simhash
+from gleanery.llm import bpe, exact, extraction, lines, mixing, quality, sharding, simhash
 from gleanery.llm.common import table
 
 #: The tokenizer's file is a parameter of the operator; this is where the public one is installed.
@@ -20,12 +20,14 @@ def tokenizer_path() -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": lambda spark, sf_dir: quality.op2(table(spark, sf_dir, "documents")),
     "op3_mixing": lambda spark, sf_dir: mixing.op3(table(spark, sf_dir, "documents")),
     "op5_line_dedup": lambda spark, sf_dir: lines.op5(table(spark, sf_dir, "pages")),
     "op6_exact_dedup": lambda spark, sf_dir: exact.op6(table(spark, sf_dir, "documents")),
     "op7_sharding": lambda spark, sf_dir: sharding.op7(table(spark, sf_dir, "documents")),
     "op8_bpe": lambda spark, sf_dir: bpe.op8(table(spark, sf_dir, "documents"), tokenizer_path()),
     "op9_simhash": lambda spark, sf_dir: simhash.op9(table(spark, sf_dir, "documents")),
+    "op10_extraction": lambda spark, sf_dir: extraction.op10(table(spark, sf_dir, "pages")),
 }
 
 ORACLES: dict[str, str] = {"op3_mixing": mixing.OP3_SQL, "op5_line_dedup": lines.OP5_SQL, "op6_exact_dedup": exact.OP6_SQL}
