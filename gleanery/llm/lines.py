@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import free_name
+from gleanery.llm.common import free_name, settled
 
 #: A line goes if it is on more than this share of its site's pages, and on so many pages at least.
 RATIO = 0.3
@@ -52,8 +52,9 @@ def line_dedup(pages: DataFrame, lines: Column, site: Column, tie: str, ratio: f
     hashed = read.select("site", F.transform(F.array_distinct(own), lambda x: F.unhex(F.md5(x))).alias("l"))
     # A null stands for the page itself.
     counts = hashed.select("site", F.explode(F.concat(F.array(F.lit(None).cast("binary")), "l")).alias("line")).groupBy("site", "line").agg(F.count("*").alias("n"))
+    counts = settled(counts.where(F.col("line").isNull() | (F.col("n") >= least)))
     totals = counts.where(F.col("line").isNull()).select("site", F.col("n").alias("pages"))
-    often = counts.where(F.col("line").isNotNull() & (F.col("n") >= least))
+    often = counts.where(F.col("line").isNotNull())
     drops = often.join(totals, "site").where(F.col("n") > F.lit(ratio) * F.col("pages")).groupBy("site").agg(F.collect_list("line").alias("_drops"))
     salted = drops.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     met = read.withColumn("_salt", F.pmod(F.xxhash64(tie), F.lit(SALTS)).cast("int")).join(salted, ["site", "_salt"], "left")
