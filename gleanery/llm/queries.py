@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe, exact, extraction, lines, mixing, quality, sharding, simhash
+from gleanery.llm import bpe, exact, extraction, language, lines, mixing, quality, sharding, simhash, toxicity
 from gleanery.llm.common import table
 
 #: The tokenizer's file is a parameter of the operator; this is where the public one is installed.
@@ -20,8 +20,10 @@ def tokenizer_path() -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": lambda spark, sf_dir: toxicity.op1(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op2_quality": lambda spark, sf_dir: quality.op2(table(spark, sf_dir, "documents")),
     "op3_mixing": lambda spark, sf_dir: mixing.op3(table(spark, sf_dir, "documents")),
+    "op4_language": lambda spark, sf_dir: language.op4(table(spark, sf_dir, "documents")),
     "op5_line_dedup": lambda spark, sf_dir: lines.op5(table(spark, sf_dir, "pages")),
     "op6_exact_dedup": lambda spark, sf_dir: exact.op6(table(spark, sf_dir, "documents")),
     "op7_sharding": lambda spark, sf_dir: sharding.op7(table(spark, sf_dir, "documents")),
