@@ -57,3 +57,8 @@ def rows_of_keepers(docs: DataFrame, keepers: DataFrame, doc_id: str = "doc_id",
     hashed = docs.withColumn(own := free_name(docs, "_text_hash"), text_hash(text))
     found = hashed.join(named, hashed[doc_id].eqNullSafe(named["_id"]) & (hashed[own] == named["_th"]), "left_semi")
     return found.dropDuplicates([doc_id, own]).select(*docs.columns)
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """``df`` (settled, of short rows) with a broadcast hint if it has at most so many rows; Spark chooses beyond that."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

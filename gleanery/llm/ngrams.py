@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import settled
+from gleanery.llm.common import broadcast_if_small, settled
+from gleanery.llm.packing import pack, unpack
 
 ORDER = 5
 #: Bits of a symbol and of a hash slot. The model has at most 2 ** SLOT_BITS entries, whatever it is counted from.
@@ -19,6 +21,8 @@ SLOT_BITS = 22
 DIRECTORY_BITS = 20
 BEGIN, END = 2, 3
 STEP = 1 << 20
+#: Hash parts in which counts are added up.
+PARTS = 64
 
 
 def symbols(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -81,9 +85,9 @@ def _counted(batches: Iterable[pa.RecordBatch], order: int) -> Iterator[pa.Recor
 
     def out(lang: str) -> Iterator[pa.RecordBatch]:
         keys, counts = merge(held.pop(lang))
-        for at in range(0, len(keys), STEP):
-            k, c = keys[at : at + STEP], counts[at : at + STEP]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k)), pa.array(k), pa.array(c)], ["lang", "gram", "n"])
+        part = (keys * -7046029254386353131 >> 58) & (PARTS - 1)
+        rows = [(p, lang, pack(np.diff(keys[own], prepend=0), counts[own])) for p in range(PARTS) if (own := part == p).any()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows], pa.binary())], ["part", "lang", "payload"])
 
     for langs, texts in pieces(batches):
         for lang, rows in by_lang(langs).items():
@@ -97,6 +101,34 @@ def _counted(batches: Iterable[pa.RecordBatch], order: int) -> Iterator[pa.Recor
         yield from out(lang)
 
 
+def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of each n-gram from what the tasks counted, in rows sorted by part and language."""
+    last, parts, size = None, [], 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        return _sum(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+
+    def out() -> Iterator[pa.RecordBatch]:
+        keys, counts = merged()
+        for at in range(0, len(keys), STEP):
+            k, c = keys[at : at + STEP], counts[at : at + STEP]
+            yield pa.RecordBatch.from_arrays([pa.array([last[1]] * len(k), pa.string()), pa.array(k), pa.array(c)], ["lang", "gram", "n"])
+
+    for batch in batches:
+        for part, lang, payload in zip(*(c.to_pylist() for c in batch.columns)):
+            if (part, lang) != last:
+                if parts:
+                    yield from out()
+                last, parts, size = (part, lang), [], 0
+            steps, counts = unpack(payload)
+            parts.append((np.cumsum(steps), counts))
+            size += len(counts)
+            if size > STEP:
+                parts, size = [merged()], 0
+    if parts:
+        yield from out()
+
+
 def _sum(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
@@ -113,8 +145,9 @@ def _discount(k: int) -> Column:
 
 def counts(docs: DataFrame, lang: str, text: str, order: int = ORDER) -> DataFrame:
     """(lang, gram, n) over all rows; null languages are the language ""."""
-    found = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).mapInArrow(lambda b: _counted(b, order), "lang string, gram long, n long")
-    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    found = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    sent = found.mapInArrow(lambda b: _counted(b, order), "part int, lang string, payload binary").repartition("part").sortWithinPartitions("part", "lang")
+    return sent.mapInArrow(_added, "lang string, gram long, n long")
 
 
 def entries(counted: DataFrame, order: int = ORDER) -> DataFrame:
@@ -126,33 +159,36 @@ def entries(counted: DataFrame, order: int = ORDER) -> DataFrame:
     low = lambda m: F.col("gram").bitwiseAND((1 << (SYMBOL_BITS * m)) - 1)
     by_order = {order: settled(counted)}
     for m in range(order - 1, 0, -1):
-        by_order[m] = settled(by_order[m + 1].groupBy("lang", low(m).alias("gram")).agg(F.count("*").alias("n")))
-    out, lower, backs = [], None, {}
+        by_order[m] = by_order[m + 1].groupBy("lang", low(m).alias("gram")).agg(F.count("*").alias("n"))
+    every = _together(c.withColumn("order", F.lit(m)) for m, c in by_order.items())
+    few = every.groupBy("lang", "order").agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in range(1, 5)], F.count("*").alias("types"))
+    discounts = broadcast_if_small(settled(few.select("lang", "order", "types", *[_discount(k).alias(f"d{k}") for k in (1, 2, 3)])))
+    context = Window.partitionBy("lang", "context")
+    less = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    out, lower, weighed = [], None, {}
     for m in range(1, order + 1):
-        c = by_order[m]
-        d = c.groupBy("lang").agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in range(1, 5)], F.count("*").alias("types"))
-        d = d.select("lang", "types", *[_discount(k).alias(f"d{k}") for k in (1, 2, 3)])
-        context = F.shiftright("gram", SYMBOL_BITS)
-        less = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        cut = c.join(d, "lang").withColumn("less", less)
-        sums = cut.groupBy("lang", context.alias("context")).agg(F.sum("n").alias("s"), (F.sum("less") / F.sum("n")).alias("back"))
-        both = cut.withColumn("context", context).join(sums, ["lang", "context"])
+        cut = by_order[m].join(discounts.where(F.col("order") == m), "lang").select("lang", "gram", "n", F.shiftright("gram", SYMBOL_BITS).alias("context"), less.alias("less"), "types")
+        weighed[m] = cut.withColumn("s", F.sum("n").over(context)).withColumn("back", F.sum("less").over(context) / F.col("s"))
         if m == 1:
-            below = both.withColumn("below", 1.0 / (F.col("types") + 1))
+            below = weighed[m].withColumn("below", 1.0 / (F.col("types") + 1))
         else:
-            below = both.withColumn("suffix", low(m - 1)).join(lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below")), ["lang", "suffix"])
+            below = weighed[m].withColumn("suffix", low(m - 1)).join(lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below")), ["lang", "suffix"])
         p = below.select("lang", "gram", "n", ((F.col("n") - F.col("less")) / F.col("s") + F.col("back") * F.col("below")).alias("p"))
-        lower = settled(p)
-        backs[m - 1] = sums.select("lang", F.col("context").alias("gram"), "back")
+        lower = p if m == order else settled(p)
         out.append(lower)
     named = []
     for m, p in enumerate(out, 1):
-        p = p.join(backs[m], ["lang", "gram"], "left") if m < order else p.withColumn("back", F.lit(None).cast("double"))
+        if m < order:
+            backs = weighed[m + 1].groupBy("lang", F.col("context").alias("gram")).agg(F.first("back").alias("back"))
+            p = p.join(backs, ["lang", "gram"], "left")
+        else:
+            p = p.withColumn("back", F.lit(1.0))
         named.append(p.select("lang", F.lit(m).alias("order"), "gram", "n", F.log("p").alias("logp"), F.log(F.coalesce("back", F.lit(1.0))).alias("logb")))
-    every = named[0]
-    for x in named[1:]:
-        every = every.unionByName(x)
-    return every
+    return _together(named)
+
+
+def _together(parts: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 class Model:

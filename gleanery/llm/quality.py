@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm import ngrams
-from gleanery.llm.common import settled
+from gleanery.llm.common import broadcast_if_small, settled
 
 SYMBOLS = b"#*$%&|<>"
 BLANK = b" \t\n\x0b\x0c\r"
@@ -97,7 +97,7 @@ def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     aren't read.
     """
     scored, limits = _scored(docs, doc_id, text, lang)
-    found = scored.join(limits, "lang")
+    found = scored.join(broadcast_if_small(limits), "lang")
     return found.select(
         F.col("id").alias(doc_id), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & in_band()).alias("kept"),
         F.exp("entropy").alias("perplexity"), F.exp(F.col("middle") - BELOW * F.col("spread")).alias("lower"), F.exp(F.col("middle") + ABOVE * F.col("spread")).alias("upper"),
@@ -121,7 +121,7 @@ def quality_filter(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     own = measures(model, F.col(text), name, docs.sparkSession)
     limits = settled(bands(docs.select(name.alias("lang"), own.alias("m")).select("lang", "m.entropy")))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name.alias("lang"), own.alias("m")).select("row", "lang", "m.*")
-    return rows.join(limits, "lang").where(~base_failed() & in_band()).select("row.*")
+    return rows.join(broadcast_if_small(limits), "lang").where(~base_failed() & in_band()).select("row.*")
 
 
 def op2(docs: DataFrame) -> DataFrame:
