@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import SPACE, settled
+from gleanery.llm.common import SPACE, rows_of_keepers, settled, text_hash
 
 #: Distinct keys that a bucket may hold before it is split, the bits by which keys are counted at a time, and the deepest the
 #: directory gets: 65,536 entries. Beyond that buckets grow, and their owners read them as a stream just the same.
@@ -153,13 +153,13 @@ def index(docs: DataFrame, entries: DataFrame, doc_id: str, text: str, room: int
 
 
 def exact_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", room: int = CAPACITY) -> DataFrame:
-    """A row per row of ``docs``: doc_id, keep_id, group_size, text_sha256.
+    """A row per row of ``docs``: doc_id, keep_id, group_size, text_sha256, text_hash.
 
     Null texts are empty texts, and empty texts are equal. Rows without an id belong to their group but are kept only if no
     row of it has one. Repeated rows count each time. An empty table gives an empty table; other columns aren't read.
     """
-    norm = docs.select(F.col(doc_id).cast("long").alias("doc_id"), normal_text(F.col(text)).alias("t"))
-    entries = settled(norm.select("doc_id", F.xxhash64("t").alias("key"), F.unhex(F.sha2("t", 256)).alias("sha")))
+    norm = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_hash(text).alias("text_hash"), normal_text(F.col(text)).alias("t"))
+    entries = settled(norm.select("doc_id", "text_hash", F.xxhash64("t").alias("key"), F.unhex(F.sha2("t", 256)).alias("sha")))
     classes = settled(index(docs, entries, doc_id, text, room))
     # A text without a copy needs no look-up; a class with copies is there once for each salt.
     many = classes.where(F.col("group_size") > 1).select(
@@ -169,10 +169,18 @@ def exact_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     found = salted.join(many, (F.col("key") == F.col("k")) & (F.col("sha") == F.col("s")) & (salted["salt"] == many["salt"]), "left")
     return found.select(
         "doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), F.lower(F.hex("sha")).alias("text_sha256"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), F.lower(F.hex("sha")).alias("text_sha256"), "text_hash",
     )
 
 
+def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of equal texts, with all its columns: that of the smallest id; without an id only if none has one."""
+    rows = exact_classes(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    # Rows with one id may differ in their white space; one of them stays.
+    first = rows.groupBy("text_sha256", F.col("doc_id").alias("id")).agg(F.min("text_hash").alias("text_hash"))
+    return rows_of_keepers(docs, first, doc_id, text)
+
+
 def op6(docs: DataFrame) -> DataFrame:
     """A row per document with the row that stays for it."""
     return exact_classes(docs).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
