@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import held_out, settled
 
-#: Expected examples of each label, most terms, least evidence for a term (G2), neighbours, block size and weight of no vote.
-EXAMPLES = 4096
+#: Expected examples of label 1 and of label 0, most terms, least evidence for a term (G2), neighbours, block size and weight of no vote.
+EXAMPLES = (1500, 6000)
 TERMS = 2048
 EVIDENCE = 30.0
 NEIGHBOURS = 15
@@ -134,15 +134,15 @@ def _raw(value: pa.Scalar) -> bytes:
     return value.as_buffer().to_pybytes() if value.is_valid else b""
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", examples: int = EXAMPLES) -> Index:
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", examples: tuple[int, int] = EXAMPLES) -> Index:
     """An index of labelled rows.
 
     ``labels`` has ids with a label of 0 or 1; other labels and null ids are left out, of repeated ids the larger label holds.
-    Of each label ``examples`` rows are taken (expected, by a hash of the id; all where there are fewer), so their number is
-    bounded, and so is all that the driver and the workers hold of them. Rates are corrected for the sampling.
+    Of label 1 and label 0 as many rows as ``examples`` says are taken (expected, by a hash of the id; all where there are
+    fewer), so their number is bounded, and so is all that the driver and the workers hold of them. Rates are corrected for the sampling.
     """
     given = settled(labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.max(label).cast("int").alias("label")))
-    share = {r.label: min(1.0, examples / r["count"]) for r in given.groupBy("label").count().collect()}
+    share = {r.label: min(1.0, examples[1 - r.label] / r["count"]) for r in given.groupBy("label").count().collect()}
     place = F.shiftrightunsigned(F.xxhash64("id", F.lit(3)), 11) / F.lit(float(1 << 53))
     taken = F.broadcast(given.where(place < F.when(F.col("label") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0))))
     sample = settled(docs.join(taken, docs[doc_id] == taken["id"]).select("id", "label", F.col(text).alias("text")))
