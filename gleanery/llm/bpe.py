@@ -27,6 +27,8 @@ from gleanery.llm.packing import pack, unpack
 BLOCK_BYTES = 32 << 20
 PARTS = 1024
 DOCUMENTS = -1
+#: Stands for the id of rows without one.
+NO_ID = -(1 << 63)
 
 BLOCK = "block long, part int, payload binary"
 
@@ -169,7 +171,7 @@ def encode(docs: DataFrame, tokenizer: str, row: str = "doc_id", text: str = "te
     """A row per row of ``docs``: ``row`` (its id, a long) with its ids and the text decoded from them, or with digests of both.
 
     ``tokenizer`` is the path of a file of the tokenizers library, read on the driver; special tokens aren't added. Null texts
-    are empty texts and have no ids; rows without an id come back with -1. Repeated ids come back as often as they are there.
+    are empty texts and have no ids; rows without an id come back without one. Repeated ids come back as often as they are there.
     An empty table gives an empty table; other columns aren't read. A document is whole within one block, so a block is as
     large as the longest text at least.
     """
@@ -182,13 +184,13 @@ def encode(docs: DataFrame, tokenizer: str, row: str = "doc_id", text: str = "te
         raise ValueError("only tokenizers without a decoder, whose pieces are joined by spaces")
     pieces = [(known.id_to_token(i) or "").encode() for i in range(known.get_vocab_size(with_added_tokens=True))]
     emit, schema = FORMS[form]
-    narrow = docs.select(F.coalesce(F.col(row).cast("long"), F.lit(-1)).alias("row"), F.col(text).alias("text"))
+    narrow = docs.select(F.coalesce(F.col(row).cast("long"), F.lit(NO_ID)).alias("row"), F.col(text).alias("text"))
     blocks = narrow.mapInArrow(lambda b: _blocks(b, block_bytes, parts), BLOCK)
     spread = F.when(F.col("part") == DOCUMENTS, F.col("block")).otherwise(0)
     # The rows with the documents' word places only pass through the tasks that encode, so the texts are split just once.
     answered = blocks.repartition("part", spread).sortWithinPartitions("part").mapInArrow(lambda b: _encoded(b, spec), BLOCK)
     both = answered.repartition("block").sortWithinPartitions("block")
-    return both.mapInArrow(lambda b: _rebuilt(b, pieces, emit), schema)
+    return both.mapInArrow(lambda b: _rebuilt(b, pieces, emit), schema).withColumn("row", F.nullif("row", F.lit(NO_ID)))
 
 
 def op8(docs: DataFrame, tokenizer: str) -> DataFrame:

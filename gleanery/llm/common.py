@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the cluster's shared checkpoint folder.
 
-    The folder is ``spark.checkpoint.dir``; only where a session has none (a local test) a new one is made.
+    The folder is ``spark.checkpoint.dir``; where a session has none, as in tests, a folder in the warehouse.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        conf = df.sparkSession.conf
+        context.setCheckpointDir(conf.get("spark.checkpoint.dir", None) or f"{conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return df.checkpoint()
 
 

@@ -68,7 +68,7 @@ def line_dedup(pages: DataFrame, lines: Column, site: Column, tie: str, ratio: f
 
 def op5(pages: DataFrame) -> DataFrame:
     """The lines of every page without its host's boilerplate."""
-    found = line_dedup(pages, visible_lines("html"), host("url"), "page_id")
+    found = line_dedup(pages.select("page_id", "url", "html"), visible_lines("html"), host("url"), "page_id")
     return found.select("page_id", F.col("site").alias("host"), "n_lines", "n_dropped", F.array_join("kept_lines", "\n").alias("text"))
 
 

@@ -61,27 +61,28 @@ def mix(
     gives an empty table. Extra columns stay as they are, except that the four names above are replaced.
     """
     high = 1 << 60
-    keyed = docs.drop("mix_size", "mix_source_size", "mix_target", "mix_taken").select(
-        "*", size.cast("long").alias("mix_size"), random_key(doc_id, seed).alias("_mix_key"), F.col(source).alias("_mix_source")
-    ).withColumn("_mix_bucket", F.floor(F.col("_mix_key") / F.lit(high // buckets)).cast("int"))
-    sums = settled(keyed.groupBy("_mix_source", "_mix_bucket").agg(F.sum("mix_size").alias("words")))
-    targets = source_targets(sums.groupBy(F.col("_mix_source").alias("source")).agg(F.sum("words").alias("size")), weights, most)
-    earlier = Window.partitionBy("_mix_source").orderBy("_mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    own = [c for c in docs.columns if c not in ("mix_size", "mix_source_size", "mix_target", "mix_taken")]
+    # The row travels as one struct, so that no column of it meets a name used here.
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), size.cast("long").alias("mix_size"), random_key(doc_id, seed).alias("key"), F.col(source).alias("source")
+    ).withColumn("bucket", F.floor(F.col("key") / F.lit(high // buckets)).cast("int"))
+    sums = settled(keyed.groupBy("source", "bucket").agg(F.sum("mix_size").alias("words")))
+    targets = source_targets(sums.groupBy("source").agg(F.sum("words").alias("size")), weights, most).withColumnRenamed("source", "of")
+    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         sums.withColumn("start", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
-        .join(targets, F.col("_mix_source").eqNullSafe(F.col("source")))
-        .select(F.col("_mix_source").alias("_s"), F.col("_mix_bucket").alias("_b"), "start", F.col("size").alias("mix_source_size"), F.col("target").alias("mix_target"), "budget")
+        .join(targets, F.col("source").eqNullSafe(F.col("of")))
+        .select(F.col("source").alias("of"), F.col("bucket").alias("part"), "start", F.col("size").alias("mix_source_size"), F.col("target").alias("mix_target"), "budget")
     )
-    in_bucket = Window.partitionBy("_mix_source", "_mix_bucket").orderBy("_mix_key", "mix_size", F.xxhash64(*docs.columns)).rowsBetween(Window.unboundedPreceding, -1)
+    in_bucket = Window.partitionBy("source", "bucket").orderBy("key", "mix_size", F.xxhash64("row")).rowsBetween(Window.unboundedPreceding, -1)
     epochs = F.when(F.col("mix_source_size") > 0, F.floor(F.col("budget") / F.greatest("mix_source_size", F.lit(1)))).otherwise(0)
-    before = F.col("start") + F.col("_mix_before")
-    rest = F.col("budget") - F.col("_epochs") * F.col("mix_source_size")
+    rest = F.col("budget") - F.col("epochs") * F.col("mix_source_size")
     return (
-        keyed.withColumn("_mix_before", F.coalesce(F.sum("mix_size").over(in_bucket), F.lit(0)))
-        .join(starts, F.col("_mix_source").eqNullSafe(F.col("_s")) & (F.col("_mix_bucket") == F.col("_b")))
-        .withColumn("_epochs", epochs.cast("long"))
-        .withColumn("mix_taken", F.col("_epochs") * F.col("mix_size") + F.greatest(F.lit(0), F.least(F.col("mix_size"), rest - before)))
-        .drop("_mix_key", "_mix_source", "_mix_bucket", "_mix_before", "_s", "_b", "start", "budget", "_epochs")
+        keyed.withColumn("before", F.coalesce(F.sum("mix_size").over(in_bucket), F.lit(0)))
+        .join(starts, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("part")))
+        .withColumn("epochs", epochs.cast("long"))
+        .withColumn("mix_taken", F.col("epochs") * F.col("mix_size") + F.greatest(F.lit(0), F.least(F.col("mix_size"), rest - F.col("start") - F.col("before"))))
+        .select("row.*", "mix_size", "mix_source_size", "mix_target", "mix_taken")
     )
 
 
@@ -90,9 +91,10 @@ def mixed_rows(docs: DataFrame, size: Column, **options) -> DataFrame:
 
     Rows are whole: of the one row at a source's cut, a further copy is given if half of its words or more are taken.
     """
-    counted = mix(docs, size, **options)
-    copies = F.when(F.col("mix_size") > 0, F.round(F.col("mix_taken") / F.col("mix_size"))).otherwise(0).cast("int")
-    return counted.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(options.pop("source", "source")).alias("source"), F.col(options.pop("doc_id", "doc_id")).alias("doc_id"), size.alias("words"))
+    counted = mix(whole, F.col("words"), **options)
+    copies = F.when(F.col("mix_size") > 0, F.round(F.col("mix_taken") / F.greatest("mix_size", F.lit(1)))).otherwise(0).cast("int")
+    return counted.select("doc", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy")).select("doc.*")
 
 
 def op3(docs: DataFrame) -> DataFrame:
