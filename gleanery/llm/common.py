@@ -55,7 +55,7 @@ def rows_of_keepers(docs: DataFrame, keepers: DataFrame, doc_id: str = "doc_id",
     named = keepers.select(F.col("id").alias("_id"), F.col("text_hash").alias("_th"))
     hashed = docs.withColumn(own := free_name(docs, "_text_hash"), text_hash(text))
     found = hashed.join(named, hashed[doc_id].eqNullSafe(named["_id"]) & (hashed[own] == named["_th"]), "left_semi")
-    return found.dropDuplicates([doc_id, own]).select(*docs.columns)
+    return found.dropDuplicates([doc_id, own]).drop(own)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = 50_000) -> DataFrame:

@@ -61,7 +61,7 @@ def line_dedup(pages: DataFrame, lines: Column, site: Column, tie: str, ratio: f
     kept = F.when(F.col("_drops").isNull(), F.col(own)).otherwise(F.filter(own, lambda x: ~F.array_contains("_drops", F.unhex(F.md5(x)))))
     out = met.withColumn("kept_lines", kept)
     return out.select(
-        *[c for c in pages.columns if c not in ("site", "n_lines", "n_dropped", "kept_lines")], "site", F.size(own).cast("long").alias("n_lines"),
+        *[F.col(f"`{c}`") for c in pages.columns if c not in ("site", "n_lines", "n_dropped", "kept_lines")], "site", F.size(own).cast("long").alias("n_lines"),
         (F.size(own) - F.size("kept_lines")).cast("long").alias("n_dropped"), "kept_lines",
     )
 

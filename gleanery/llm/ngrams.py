@@ -20,6 +20,7 @@ SYMBOL_BITS = 12
 SLOT_BITS = 22
 DIRECTORY_BITS = 20
 BEGIN, END = 2, 3
+UNIFORM = 1.0 / (1 << SYMBOL_BITS)
 STEP = 1 << 20
 #: Hash parts in which counts are added up.
 PARTS = 64
@@ -161,16 +162,16 @@ def entries(counted: DataFrame, order: int = ORDER) -> DataFrame:
     for m in range(order - 1, 0, -1):
         by_order[m] = by_order[m + 1].groupBy("lang", low(m).alias("gram")).agg(F.count("*").alias("n"))
     every = _together(c.withColumn("order", F.lit(m)) for m, c in by_order.items())
-    few = every.groupBy("lang", "order").agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in range(1, 5)], F.count("*").alias("types"))
-    discounts = broadcast_if_small(settled(few.select("lang", "order", "types", *[_discount(k).alias(f"d{k}") for k in (1, 2, 3)])))
+    few = every.groupBy("lang", "order").agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in range(1, 5)])
+    discounts = broadcast_if_small(settled(few.select("lang", "order", *[_discount(k).alias(f"d{k}") for k in (1, 2, 3)])))
     context = Window.partitionBy("lang", "context")
     less = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     out, lower, weighed = [], None, {}
     for m in range(1, order + 1):
-        cut = by_order[m].join(discounts.where(F.col("order") == m), "lang").select("lang", "gram", "n", F.shiftright("gram", SYMBOL_BITS).alias("context"), less.alias("less"), "types")
+        cut = by_order[m].join(discounts.where(F.col("order") == m), "lang").select("lang", "gram", "n", F.shiftright("gram", SYMBOL_BITS).alias("context"), less.alias("less"))
         weighed[m] = cut.withColumn("s", F.sum("n").over(context)).withColumn("back", F.sum("less").over(context) / F.col("s"))
         if m == 1:
-            below = weighed[m].withColumn("below", 1.0 / (F.col("types") + 1))
+            below = weighed[m].withColumn("below", F.lit(UNIFORM))
         else:
             below = weighed[m].withColumn("suffix", low(m - 1)).join(lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below")), ["lang", "suffix"])
         p = below.select("lang", "gram", "n", ((F.col("n") - F.col("less")) / F.col("s") + F.col("back") * F.col("below")).alias("p"))
@@ -180,10 +181,14 @@ def entries(counted: DataFrame, order: int = ORDER) -> DataFrame:
     for m, p in enumerate(out, 1):
         if m < order:
             backs = weighed[m + 1].groupBy("lang", F.col("context").alias("gram")).agg(F.first("back").alias("back"))
-            p = p.join(backs, ["lang", "gram"], "left")
+            # Contexts of begin marks alone aren't n-grams themselves: nothing asks for their own probability.
+            p = p.join(backs, ["lang", "gram"], "full")
         else:
             p = p.withColumn("back", F.lit(1.0))
-        named.append(p.select("lang", F.lit(m).alias("order"), "gram", "n", F.log("p").alias("logp"), F.log(F.coalesce("back", F.lit(1.0))).alias("logb")))
+        named.append(p.select("lang", F.lit(m).alias("order"), "gram", F.coalesce("n", F.lit(1)).alias("n"), F.log(F.coalesce("p", F.lit(1.0))).alias("logp"), F.log(F.coalesce("back", F.lit(1.0))).alias("logb")))
+    # Order 0 is the chance of any one symbol that a language doesn't have.
+    unseen = weighed[1].groupBy("lang").agg(F.log(F.first("back") * UNIFORM).alias("logp"))
+    named.append(unseen.select("lang", F.lit(0).alias("order"), F.lit(0).cast("long").alias("gram"), F.lit(1).cast("long").alias("n"), "logp", F.lit(0.0).alias("logb")))
     return _together(named)
 
 
@@ -222,7 +227,8 @@ class Model:
         out, left, weight, m = np.zeros(len(keys), np.float32), np.arange(len(keys)), np.zeros(len(keys), np.float32), self.order
         while len(left):
             if m == 0:
-                out[left] = weight[left] - np.log(1 << SYMBOL_BITS)
+                at, there = self.find(slots(np.zeros(1, np.int64), lang, 0))
+                out[left] = weight[left] + (self.logp[at] if there[0] else np.log(UNIFORM))
                 break
             at, there = self.find(slots(keys[left] & ((1 << (SYMBOL_BITS * m)) - 1), lang, m))
             out[left] = weight[left] + self.logp[at]

@@ -98,7 +98,7 @@ def shard(docs: DataFrame, key: str = "key", tie: str = "doc_id", shards: int =
     base = key_starts.join(sub_starts, ["_arc", "_sub"]).select("_arc", "_sub", key, "_salt", (F.col("_a") + F.col("_b")).alias("_base"))
     in_key = Window.partitionBy("_arc", "_sub", key, "_salt").orderBy(tie)
     ranked = placed.withColumn("_r", F.row_number().over(in_key) - 1).join(base, ["_arc", "_sub", key, "_salt"])
-    return ranked.withColumn("_to", handed_out("_arc", F.col("_base") + F.col("_r"))).select(*docs.columns, F.col("_to.shard").alias("shard"), F.col("_to.slot").alias("slot"))
+    return ranked.withColumn("_to", handed_out("_arc", F.col("_base") + F.col("_r"))).select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_to.shard").alias("shard"), F.col("_to.slot").alias("slot"))
 
 
 def op7(docs: DataFrame) -> DataFrame:
