@@ -254,15 +254,17 @@ def top_organization_items(spark, sf):
     return stats.top_org_items(items(spark, sf)).select("handle", "id", "amount_usd", "item_count", "total_value_usd")
 
 
-@query()
+@query("""SELECT handle, row_number() OVER (ORDER BY lower(handle), handle DESC) AS position
+FROM (SELECT unnest([lower(c_name), upper(c_name)]) AS handle FROM customer)""")
 def handles_by_locale(spark, sf):
+    """Handles in both cases with their place in the locale's order."""
     names = table(spark, sf, "customer").select(F.explode(F.array(F.lower("c_name"), F.upper("c_name"))).alias("handle"))
-    return keyed.sort_by_locale(names)
+    return keyed.with_locale_position(names)
 
 
-@query()
+@query(f"SELECT handle, tier, row_number() OVER (ORDER BY tier DESC, handle) AS position FROM {_TIERED}")
 def registry_by_tier(spark, sf):
-    return keyed.sort_by_locale(_graded(spark, sf).select("handle", "tier"), tier="tier")
+    return keyed.with_locale_position(_graded(spark, sf).select("handle", "tier"), tier="tier")
 
 
 @query("SELECT o_orderkey, o_orderdate::VARCHAR AS day FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 100")

@@ -6,12 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-SETTINGS = {
-    # NTZ columns are read as UTC instants, as the SQL does.
-    "spark.sql.session.timeZone": "UTC",
-    # HotSpot does not compile longer methods; beyond this Spark splits the projection instead.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-}
+ZONE = "spark.sql.session.timeZone"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,9 +17,13 @@ def query(sql: str | None = None):
 
     def add(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            for name, value in SETTINGS.items():
-                spark.conf.set(name, value)
-            return fn(spark, sf_dir)
+            # NTZ columns are read as UTC instants, as the SQL does. A plan takes the zone when it is built; the session keeps its own.
+            before = spark.conf.get(ZONE)
+            spark.conf.set(ZONE, "UTC")
+            try:
+                return fn(spark, sf_dir)
+            finally:
+                spark.conf.set(ZONE, before)
 
         QUERIES[fn.__name__] = run
         if sql is not None:

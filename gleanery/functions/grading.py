@@ -86,16 +86,20 @@ def derive_tags(
     return F.array_distinct(F.array_compact(F.concat(*parts)))
 
 
+# Amounts from which a difficulty holds whatever the title says, and the amount that lifts the others.
+AMOUNT_LEVELS = ((2000, "expert"), (1000, "advanced"), (500, "intermediate"))
+LIFTING_AMOUNT = 200
+
+
 def infer_difficulty(amount: Column | str, title: Column | str) -> Column:
     a, t = col(amount), F.lower(col(title))
-    return (
-        F.when(a >= 2000, "expert")
-        .when(a >= 1000, "advanced")
-        .when(a >= 500, "intermediate")
-        .when(any_term(t, COMPLEX_TERMS), F.when(a >= 200, "advanced").otherwise("intermediate"))
+    lifted = lambda high, low: F.when(a >= LIFTING_AMOUNT, high).otherwise(low)
+    by_title = (
+        F.when(any_term(t, COMPLEX_TERMS), lifted("advanced", "intermediate"))
         .when(any_term(t, SIMPLE_TERMS), "beginner")
-        .otherwise(F.when(a >= 200, "intermediate").otherwise("beginner"))
+        .otherwise(lifted("intermediate", "beginner"))
     )
+    return F.coalesce(*[F.when(a >= least, level) for least, level in AMOUNT_LEVELS], by_title)
 
 
 def range_label(value: Column, ranges: Sequence[tuple[str, float | None]]) -> Column:

@@ -67,10 +67,11 @@ def diff_snapshots(
 ) -> DataFrame:
     """Rows (change_type, key, old, new, changes) for added, removed and updated items.
 
-    With ``order`` both snapshots may repeat keys: current rows are compared with the last previous row
+    Both snapshots may repeat keys. With ``order``, current rows are compared with the last previous row
     of their key, and repeats stay in the result. A hot key is split by the join, as its rows sit on the
-    left of a left and of an anti join whose right sides hold one row per key. Without ``order`` the keys
-    must be unique, and one full outer join does all the work.
+    left of a left and of an anti join whose right sides hold one row per key. Without ``order``, rows
+    have no time, and each side counts with one row per key: its largest by content. A snapshot
+    compared with itself then has no changes.
     """
     whole = lambda df: F.struct(*[F.col(c) for c in df.columns])
     old_side = lambda df: df.select(F.col(key), whole(df).alias("old"))
@@ -85,7 +86,8 @@ def diff_snapshots(
         .select(kind.alias("change_type"), key, "old", "new", texts.alias("changes"))
     )
     if order is None:
-        return finish(old_side(prev).join(new_side(cur), key, "full_outer"))
+        largest = lambda df, name: df.groupBy(key).agg(F.max(whole(df)).alias(name))
+        return finish(largest(prev, "old").join(largest(cur, "new"), key, "full_outer"))
     matched = new_side(cur).join(old_side(last_per_key(prev, [key], order)), key, "left")
     removed = old_side(prev).join(cur.select(key).distinct(), key, "left_anti")
     return finish(matched).unionByName(

@@ -124,14 +124,13 @@ def candidate_totals(classified: DataFrame) -> DataFrame:
 
 def merge_handles(*sources: tuple[str, DataFrame]) -> DataFrame:
     """Distinct handles with the method of the first source that has them. Sources come in order."""
-    tagged = [
-        df.select("handle", F.struct(F.lit(i).alias("rank"), F.lit(name).alias("method")).alias("_from"))
-        for i, (name, df) in enumerate(sources)
-    ]
+    tagged = [df.select("handle", F.lit(i).alias("_rank")) for i, (_, df) in enumerate(sources)]
     out = tagged[0]
     for t in tagged[1:]:
         out = out.unionByName(t)
-    return out.groupBy("handle").agg(F.min("_from").alias("_from")).select("handle", F.col("_from.method").alias("discovery_method"))
+    names = F.array(*[F.lit(name) for name, _ in sources])
+    # The least of a number is found by hashing; a struct or a text would have to be sorted first.
+    return out.groupBy("handle").agg(F.min("_rank").alias("_rank")).select("handle", F.get(names, F.col("_rank")).alias("discovery_method"))
 
 
 def page_facts(
@@ -144,14 +143,18 @@ def page_facts(
         is_listing_page(text, terms, at_least).alias("is_listing"),
         (item_count(text) if count is None else count).alias("item_count"),
         display_name(text).alias("page_name"),
+        F.col(text).isNotNull().alias("loaded"),
     )
 
 
 def validate_orgs(discovered: DataFrame, facts: DataFrame, min_items: int = 1) -> DataFrame:
-    """Discovered rows checked against their page: validated, active, item count and name."""
+    """Discovered rows checked against their page: validated, active, item count and name.
+
+    A page that was landed without a text did not load, and validates nothing.
+    """
     found = facts.select(
         "handle", F.col("is_listing").alias("_listing"), F.col("item_count").alias("_n"), F.col("page_name").alias("_name"),
-        F.lit(True).alias("_seen"),
+        (F.col("loaded") if "loaded" in facts.columns else F.lit(True)).alias("_seen"),
     )
     seen = F.coalesce("_seen", F.lit(False))
     own = F.nullif("display_name", F.lit(""))

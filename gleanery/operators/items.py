@@ -422,7 +422,7 @@ def items_from_text(rows: DataFrame, as_of: Column, keep: Sequence[str] = ()) ->
 
 
 def with_task(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("_task", F.coalesce(at(F.col("item"), "$.task"), F.col("item")))
+    return rows.withColumn("_task", _task(F.col("item")))
 
 
 def embedded_item(as_of: Column, url: str = "issue_url") -> dict[str, Column]:

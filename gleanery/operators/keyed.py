@@ -6,7 +6,6 @@ and numbering works on range partitions.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -46,16 +45,11 @@ def first_source(df: DataFrame, keys: Sequence[str], priority: str) -> DataFrame
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a private one only for a local master that names none."""
+    """The session's ``spark.checkpoint.dir``; where none is set, a folder in the warehouse, which all executors reach as well."""
     context = spark.sparkContext
-    current = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        current = tempfile.mkdtemp(prefix="checkpoints-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(current)
-    return current
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+    return context.getCheckpointDir()
 
 
 def with_row_index(
@@ -142,9 +136,16 @@ def locale_order(handle: str = "handle") -> Column:
     return F.expr(f"collate(`{handle}`, 'UNICODE')")
 
 
-def sort_by_locale(df: DataFrame, *, tier: str | None = None, handle: str = "handle") -> DataFrame:
-    """Sort by handle, or by tier descending and then handle."""
+def locale_keys(tier: str | None = None, handle: str = "handle") -> list[Column]:
+    """Sort keys: the handle, or the tier descending and then the handle."""
     keys = [locale_order(handle).asc()]
-    if tier is not None:
-        keys.insert(0, locale_order(tier).desc())
-    return df.orderBy(*keys)
+    return keys if tier is None else [locale_order(tier).desc(), *keys]
+
+
+def sort_by_locale(df: DataFrame, *, tier: str | None = None, handle: str = "handle") -> DataFrame:
+    return df.orderBy(*locale_keys(tier, handle))
+
+
+def with_locale_position(df: DataFrame, *, tier: str | None = None, handle: str = "handle", name: str = "position") -> DataFrame:
+    """The rows with their place, from 1, in that order."""
+    return with_row_index(df, locale_keys(tier, handle), "_place_", "_all_").withColumn(name, F.col("_place_") + 1).drop("_place_", "_all_")

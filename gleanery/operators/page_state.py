@@ -57,7 +57,8 @@ def check_pages(
             F.col("item_estimate").alias("_old_estimate"), F.lit(True).alias("_known"),
         )
         joined = joined.join(stored, "handle", "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
-    failed = F.col("_fetched").isNull() | F.col("_error").isNotNull()
+    # A page without a hash was not read, whether or not the fetch says why.
+    failed = F.col("_fetched").isNull() | F.col("_error").isNotNull() | F.col("_hash").isNull()
     differs = ~F.col("_known") | ~F.col("_hash").eqNullSafe(F.col("_old_hash"))
     now = as_of.cast("timestamp")
     pick = lambda fresh, old: F.when(failed, F.col(old)).otherwise(fresh)

@@ -81,10 +81,12 @@ def exact_percentiles(
     )
     side = lambda u: F.max(F.when(F.col("_hit.upper") == u, F.col("_v")))
     weight = rank(F.col("point")) - F.floor(rank(F.col("point")))
+    # Equal ends need no arithmetic, which would make NaN of an infinity.
+    between = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(F.col("_low") * (1 - weight) + F.col("_high") * weight)
     return (
         ranked.groupBy(*keys, F.col("_hit.point").alias("point"))
         .agg(side(0).alias("_low"), side(1).alias("_high"), F.max("_n").alias("_n"))
-        .select(*keys, "point", (F.col("_low") * (1 - weight) + F.col("_high") * weight).alias("percentile"))
+        .select(*keys, "point", between.alias("percentile"))
     )
 
 

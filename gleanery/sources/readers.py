@@ -23,15 +23,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a source only if it has fewer splits than there are cores to work on it.
-
-    Meant for text-heavy rows from few small files; a large table has more splits and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_registry(spark: SparkSession, path: str | Sequence[str], default: DataFrame | None = None) -> DataFrame:
     """Registry documents to one row per organization.
 

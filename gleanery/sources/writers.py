@@ -6,7 +6,7 @@ items come in parts of bounded size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery import schemas
@@ -34,9 +34,9 @@ def write_items(items: DataFrame, path: str) -> None:
 def as_envelopes(items: DataFrame, page_size: int = 100) -> DataFrame:
     """API envelopes per organization, paged: (handle, page, value) with the JSON body as text.
 
-    ``next_cursor`` names the following page and is null on the last. Pages are filled by a hash, so
-    sizes vary around ``page_size``; with very small pages a cursor may name one that stayed empty. Equal
-    items are merged first and carry ``copies`` when repeated.
+    ``next_cursor`` names the following page that there is, and is null on the last. Pages are filled by
+    a hash, so sizes vary around ``page_size``, and numbers of pages that stayed empty are left out.
+    Equal items are merged first and carry ``copies`` when repeated.
     """
     options = {"timestampFormat": MILLIS, "ignoreNullFields": "false"}
     bodies = items.select(F.col("org.handle").alias("handle"), F.to_json(F.struct(*items.columns), options).alias("_body"))
@@ -45,12 +45,16 @@ def as_envelopes(items: DataFrame, page_size: int = 100) -> DataFrame:
     )
     paged = in_parts(bodies, ["handle"], page_size)
     listed = F.array_sort(F.collect_list(F.when(F.col("copies") > 1, counted).otherwise(F.col("_body"))))
-    last = F.col("part_no") == F.col("part_count")
-    cursor = F.when(last, "null").otherwise(F.concat(F.lit('"'), (F.col("part_no") + 1).cast("string"), F.lit('"')))
+    following = F.col("_next").cast("string")
+    cursor = F.when(following.isNull(), "null").otherwise(F.concat(F.lit('"'), following, F.lit('"')))
     head, middle, tail = '{"result":{"data":{"json":{"items":[', '],"next_cursor":', "}}}}"
     value = F.concat(F.lit(head), F.array_join("_listed", ","), F.lit(middle), cursor, F.lit(tail))
+    # Page numbers without their items: a few bytes for each page of an organization.
+    there = paged.select("handle", "part_no").distinct()
+    numbered = there.withColumn("_next", F.lead("part_no").over(Window.partitionBy("handle").orderBy("part_no")))
     return (
-        paged.groupBy("handle", "part_no", "part_count").agg(listed.alias("_listed"))
+        paged.groupBy("handle", "part_no").agg(listed.alias("_listed"))
+        .join(numbered, ["handle", "part_no"])
         .select("handle", F.col("part_no").alias("page"), value.alias("value"))
     )
 

@@ -28,10 +28,10 @@ def batch_sizes(changes: DataFrame) -> DataFrame:
     )
 
 
-def change_payloads(changes: DataFrame, max_handles: int = 1000) -> DataFrame:
-    """Messages of about ``max_handles`` handles: (window_start, window_end, part_no, changed_orgs, batch_size)."""
+def change_payloads(changes: DataFrame, handles: int = 1000) -> DataFrame:
+    """Messages of about ``handles`` handles (a target, as they are dealt out by a hash): (window_start, window_end, part_no, changed_orgs, batch_size)."""
     window = ["window_start", "window_end"]
-    parts = changes.groupBy(*window).agg(F.ceil(F.count("*") / max_handles).cast("bigint").alias("_parts"))
+    parts = changes.groupBy(*window).agg(F.ceil(F.count("*") / handles).cast("bigint").alias("_parts"))
     spread = changes.join(parts, window).withColumn("part_no", F.pmod(F.xxhash64("handle"), F.col("_parts")) + 1)
     spread = spread.repartition(*window, "part_no")  # a busy window is more than one task
     return spread.groupBy(*window, "part_no").agg(
@@ -44,7 +44,7 @@ def once_per_delay(events: DataFrame, delay: str, at: str = "at") -> DataFrame:
     return events.withWatermark(at, delay).dropDuplicatesWithinWatermark(["handle"])
 
 
-def stream_payloads(changes: DataFrame, path: str, checkpoint: str, max_handles: int = 1000):
+def stream_payloads(changes: DataFrame, path: str, checkpoint: str, handles: int = 1000):
     """Write the changes of finished windows and, from them, their messages.
 
     Each batch replaces its own folders under ``changes`` and ``messages``, so a retry does no harm. The
@@ -56,7 +56,7 @@ def stream_payloads(changes: DataFrame, path: str, checkpoint: str, max_handles:
         rows = f"{path}/changes/batch={batch_id}"
         batch.write.mode("overwrite").parquet(rows)
         landed = batch.sparkSession.read.schema(kinds).parquet(rows)
-        change_payloads(landed, max_handles).write.mode("overwrite").json(f"{path}/messages/batch={batch_id}")
+        change_payloads(landed, handles).write.mode("overwrite").json(f"{path}/messages/batch={batch_id}")
 
     return (
         changes.writeStream.outputMode("append").option("checkpointLocation", checkpoint)

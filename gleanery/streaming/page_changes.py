@@ -24,7 +24,8 @@ class SignatureState(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         # Only the checks of one handle in one micro-batch, each a time and a short hash.
-        checks = sorted((r.at, r.hash, r.item_estimate) for r in rows)
+        # Of one time the smallest hash comes first; failed fetches don't get here, so no field is missing.
+        checks = sorted(((r.at, r.hash, r.item_estimate or 0) for r in rows))
         held = self.last.get() if self.last.exists() else None
         known, seen_at, changed_at = held if held is not None else (None, None, None)
         first = held is None
@@ -44,12 +45,12 @@ class SignatureState(StatefulProcessor):
 def stream_page_changes(
     pages: DataFrame, patterns: Sequence[str] = SIGNATURE_PATTERNS, ignore: Sequence[str] = (), mode: str = "counts"
 ) -> DataFrame:
-    """Changed pages from a stream of (handle, checked_at, html).
+    """Changed pages from a stream of (handle, checked_at, html); pages without html are failed fetches and say nothing.
 
     Signatures are made before the exchange, so only a short hash per page is shuffled and kept. Needs
     the RocksDB state store. Bound the rows per micro-batch with the source's trigger options.
     """
-    signed = page_signatures(pages.select("handle", "checked_at", "html"), patterns, ignore, mode)
+    signed = page_signatures(pages.select("handle", "checked_at", "html"), patterns, ignore, mode).where("hash IS NOT NULL")
     # Times cross into Python as whole microseconds, free of time zones.
     timed = signed.select("handle", F.unix_micros("checked_at").alias("at"), "hash", "item_estimate")
     found = timed.groupBy("handle").transformWithState(
@@ -60,5 +61,5 @@ def stream_page_changes(
 
 def batch_page_changes(history: DataFrame) -> DataFrame:
     """Batch twin over signed pages (handle, checked_at, hash, item_estimate): the same rows as the stream."""
-    checks = carry_last_changed(history, "handle", "checked_at", "hash", ["item_estimate"])
+    checks = carry_last_changed(history.where("hash IS NOT NULL"), "handle", "checked_at", "hash", ["item_estimate"])
     return checks.where("changed").select("handle", "checked_at", "hash", "item_estimate")

@@ -30,13 +30,18 @@ def kinds(diff):
 
 
 @pytest.mark.parametrize("order", [None, ["seen"]])
-def test_mixed(spark, order):
-    prev = item(spark, ("b1", 100), ("b2", 200), ("b3", 300))
-    cur = item(spark, ("b1", 100), ("b2", 250, "org", ["a", "b"]), ("b4", 400))
+def test_every_kind(spark, order):
+    prev = item(spark, ("stays", 12), ("rises", 80), ("goes", 5), ("falls", 900))
+    cur = item(spark, ("comes", 61), ("rises", 95, "org", ["a", "c"]), ("stays", 12), ("falls", 890))
     diff = changes.diff_snapshots(prev, cur, order=order)
-    assert kinds(diff) == {"added": ["b4"], "removed": ["b3"], "updated": ["b2"]}
-    lines = diff.where("change_type = 'updated'").first()["changes"]
-    assert lines == ["amount: $200 → $250", "tags added: b"]
+    assert kinds(diff) == {"added": ["comes"], "removed": ["goes"], "updated": ["falls", "rises"]}
+    lines = diff.where("id = 'rises'").first()["changes"]
+    assert lines == ["amount: $80 → $95", "tags added: c"]
+
+
+def test_repeated_ids_against_itself(spark):
+    same = item(spark, *[("unknown-0", n) for n in range(40)])
+    assert changes.diff_snapshots(same, same).isEmpty()
 
 
 def test_nothing_changed(spark):

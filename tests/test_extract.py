@@ -7,18 +7,12 @@ from gleanery.functions import fingerprints, grading, markup, scalars
 from gleanery.operators import discovery, items
 from gleanery.plans import runs
 
-TWO = """
-<div class="x-item" phx-value-id="b123">
-  <div class="x-title">Test Bounty Title</div>
-  <div class="x-amount">$150</div>
-  <span class="tag">typescript</span>
-  <a href="https://github.com/test/repo/issues/123">GitHub Issue</a>
-</div>
-<div class="x-item" phx-value-id="b456">
-  <div class="x-title">Another Bounty</div>
-  <div class="x-amount">$75</div>
-  <a href="https://github.com/test/repo/issues/456">GitHub Issue</a>
-</div>
+PAIR = """
+<section><p phx-value-id="k-90">
+<h3 class="card-title">Cache the lookup table</h3> pays <b>$640</b>
+see <a href="https://github.com/pine/cone/issues/8">the report</a></p>
+<p phx-value-id="k-91"><h3 class="card-title">Rename a flag</h3> pays <b>$35</b>
+see <a href="https://github.com/pine/needle/issues/2041">the report</a></p></section>
 """
 
 
@@ -31,14 +25,14 @@ def positional(spark, html, **options):
     return items.positional_items(pages, **options).orderBy("pos").collect()
 
 
-def test_two_item_page(spark):
-    rows = positional(spark, TWO)
+def test_pair_of_items(spark):
+    rows = positional(spark, PAIR)
     assert [(r["id"], r["amount_usd"], r["issue_number"], r["title"]) for r in rows] == [
-        ("b123", 150, 123, "Test Bounty Title"), ("b456", 75, 456, "Another Bounty"),
+        ("k-90", 640, 8, "Cache the lookup table"), ("k-91", 35, 2041, "Rename a flag"),
     ]
-    assert [r["tags"] for r in rows] == [["repo"], ["repo"]]
-    assert rows[0]["item_url"] == "https://github.com/test/repo/issues/123" and rows[0]["amount_formatted"] == "$150"
-    assert [r["difficulty"] for r in rows] == ["beginner", "beginner"]
+    assert [r["tags"] for r in rows] == [["cone"], ["needle"]]
+    assert rows[0]["item_url"] == "https://github.com/pine/cone/issues/8" and rows[0]["amount_formatted"] == "$640"
+    assert [r["difficulty"] for r in rows] == ["intermediate", "beginner"]
 
 
 def test_empty_page(spark):
@@ -46,9 +40,9 @@ def test_empty_page(spark):
 
 
 def test_amount_forms(spark):
-    html = "".join(f'<i phx-value-id="b{i}">{a}</i>' for i, a in enumerate(("$100", "$1,250", "$50.00", "none")))
+    html = "".join(f'<i phx-value-id="z{i}">{a}</i>' for i, a in enumerate(("$31", "$48,007", "$9.90", "soon")))
     rows = positional(spark, html)
-    assert [r["amount_usd"] for r in rows] == [100, 1250, 50]
+    assert [r["amount_usd"] for r in rows] == [31, 48007, 9.9]
     assert [r["item_url"] for r in rows] == ["https://x/p"] * 3 and rows[1]["title"] == "Bounty 2"
 
 
@@ -58,8 +52,8 @@ def test_padded_ids_keep_the_first(spark):
 
 
 def test_issue_titles_come_first(spark):
-    issues = spark.createDataFrame([("test", "repo", 123, "[Bug] Real one | extra"), ("test", "repo", 456, "")], "owner STRING, repo STRING, number BIGINT, title STRING")
-    assert [r["title"] for r in positional(spark, TWO, issues=issues)] == ["Real one", "Another Bounty"]
+    issues = spark.createDataFrame([("pine", "cone", 8, "[Bug] Real one | extra"), ("pine", "needle", 2041, "")], "owner STRING, repo STRING, number BIGINT, title STRING")
+    assert [r["title"] for r in positional(spark, PAIR, issues=issues)] == ["Real one", "Rename a flag"]
 
 
 @pytest.mark.parametrize("title,clean", [("[Bug] [x] Fix it | repo", "[x] Fix it"), (" a · Site more", "a"), ("plain ", "plain"), ("|x", "")])
@@ -133,8 +127,8 @@ def test_best_source_order(spark):
             ("first", EMBEDDED % f'{{"bounties":[{WITH_TASK},{BARE},{OTHER}]}}'),
             ("deep", EMBEDDED % f'{{"bounties":0,"data":{{"items":[{WITH_TASK}]}}}}'),
             ("raw", EMBEDDED % f'{{"data":[{WITH_TASK},{BARE}]}}'),
-            ("emptied", EMBEDDED % f'{{"bounties":[],"items":[{WITH_TASK}]}}' + TWO),
-            ("text", TWO), ("broken", EMBEDDED % "{" + TWO), ("nothing", "<p></p>"),
+            ("emptied", EMBEDDED % f'{{"bounties":[],"items":[{WITH_TASK}]}}' + PAIR),
+            ("text", PAIR), ("broken", EMBEDDED % "{" + PAIR), ("nothing", "<p></p>"),
         ],
         "handle STRING, html STRING",
     )
@@ -149,7 +143,7 @@ def test_best_source_order(spark):
     assert got["raw"] == [("x1", 5000, "open", "T")]
     assert got["zz"] == [("raw#8", 10000, "closed", "Issue #8")]
     for handle in ("emptied", "text", "broken"):
-        assert sorted(i[0] for i in got[handle]) == [f"{handle}#123", f"{handle}#456"]
+        assert sorted(i[0] for i in got[handle]) == [f"{handle}#2041", f"{handle}#8"]
     assert "nothing" not in got
 
 
@@ -162,17 +156,17 @@ def test_listing_comes_before_pages(spark):
     from gleanery.sources import readers
 
     rows = readers.listing_rows(readers.parse_documents(listing, "body", schemas.LISTING, ["handle"]))
-    pages = spark.createDataFrame([("a", TWO), ("b", TWO)], "handle STRING, html STRING")
+    pages = spark.createDataFrame([("a", PAIR), ("b", PAIR)], "handle STRING, html STRING")
     found = runs.collect_items(orgs(spark, "a", "b"), pages, F.lit("2025-01-01").cast("timestamp"), listing=rows)
-    assert sorted(r["id"] for r in found.collect()) == ["1", "b#123", "b#456"]
+    assert sorted(r["id"] for r in found.collect()) == ["1", "b#2041", "b#8"]
     assert found.where("id = '1'").first()["reward_formatted"] == "$25"
 
 
 def test_issue_lookup_fills_nested_items(spark):
-    issues = spark.sql("SELECT 'test' owner, 'repo' repo, 123L number, 'Real' title, 'B' body, 'https://h' html_url, parse_json('{\"login\":\"me\"}') user")
-    pages = spark.createDataFrame([("a", TWO)], "handle STRING, html STRING")
+    issues = spark.sql("SELECT 'pine' owner, 'cone' repo, 8L number, 'Real' title, 'B' body, 'https://h' html_url, parse_json('{\"login\":\"me\"}') user")
+    pages = spark.createDataFrame([("a", PAIR)], "handle STRING, html STRING")
     found = runs.collect_items(orgs(spark, "a"), pages, F.lit("2025-01-01").cast("timestamp"), issues=issues)
-    row = found.where("task.number = 123").select("task.title", "task.body", "task.url", F.expr("variant_get(task.source.data.user, '$.login', 'string') AS login")).first()
+    row = found.where("task.number = 8").select("task.title", "task.body", "task.url", F.expr("variant_get(task.source.data.user, '$.login', 'string') AS login")).first()
     assert tuple(row) == ("Real", "B", "https://h", "me")
 
 

@@ -28,7 +28,7 @@ def test_top_k_does_not_sort_all(spark, sf):
     assert "TakeOrderedAndProject" in plan(QUERIES["top_organizations"](spark, sf))
 
 
-def test_unique_diff_is_one_join(spark, sf):
+def test_diff_without_order_is_one_join(spark, sf):
     one = items(spark, sf)
     text = plan(changes.diff_snapshots(one, one.where("amount_usd > 50")))
     assert len(re.findall(r"Join", text)) == 1

@@ -36,16 +36,16 @@ def test_empty(spark):
 
 
 def test_basic(spark):
-    items = make(spark, (100, ["typescript", "react"], 1), (200, ["javascript", "vue"], 1), (150, ["python", "django"], 1))
+    items = make(spark, (40, ["sql", "spark"], 1), (90, ["sql"], 2), (700, ["zig", "wasm", "sql"], 9), (18, ["perl"], 3))
     found = report(spark, items)
-    assert found["summary", "average_value"]["value"] == 150
-    assert found["summary", "median_value"]["value"] == 150
-    assert found["summary", "total_tags"]["value"] == 6
+    assert found["summary", "average_value"]["value"] == 212
+    assert found["summary", "median_value"]["value"] == 65
+    assert found["summary", "total_tags"]["value"] == 5
 
 
 def test_value_ranges(spark):
-    items = make(spark, *[(a, [], 1) for a in (25, 75, 150, 300, 750, 1500)])
-    assert [r["count"] for r in stats.value_histogram(items).collect()] == [1] * 6
+    items = make(spark, *[(a, [], 1) for a in (3, 49, 51, 101, 499, 999, 1001, 80_000)])
+    assert [r["count"] for r in stats.value_histogram(items).collect()] == [2, 1, 1, 1, 1, 2]
 
 
 def test_languages(spark):
@@ -61,6 +61,11 @@ def test_top_tags_ignore_case(spark):
     assert stats.distinct_tags(items).first()[0] == 3
 
 
+def test_infinite_amounts_stay_infinite(spark):
+    row = stats.value_distribution(make(spark, (5, [], 1), (float("inf"), [], 1))).first()
+    assert row["max"] == float("inf") and row["min"] == 5
+
+
 def test_ages(spark):
     items = make(spark, *[(1, [], d) for d in (3, 15, 60, 180, 400)])
     missing = make(spark, (1, [], 0)).withColumn("created_at", F.lit(None).cast("timestamp"))
