@@ -15,9 +15,8 @@ from gleanery.llm.common import broadcast_if_small, settled
 from gleanery.llm.packing import pack, unpack
 
 ORDER = 5
-#: Bits of a symbol and of a hash slot. The model has at most 2 ** SLOT_BITS entries, whatever it is counted from.
+#: Bits of a symbol.
 SYMBOL_BITS = 12
-SLOT_BITS = 22
 DIRECTORY_BITS = 20
 BEGIN, END = 2, 3
 UNIFORM = 1.0 / (1 << SYMBOL_BITS)
@@ -50,11 +49,10 @@ def grams(codes: np.ndarray, order: int) -> Iterator[np.ndarray]:
 
 
 def slots(keys: np.ndarray, lang: str, order: int) -> np.ndarray:
-    """Hash slots of the n-grams of a language and order."""
+    """64-bit hashes of the n-grams of a language and order, without collisions among these."""
     salt = np.uint64(int.from_bytes(hashlib.blake2b(f"{order}|{lang}".encode(), digest_size=8).digest(), "big"))
     h = (keys.astype(np.uint64) ^ salt) * np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.uint32)
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
 def pieces(batches: Iterable[pa.RecordBatch], size: int = STEP) -> Iterator[tuple[list[str], list[str]]]:
@@ -197,11 +195,11 @@ def _together(parts: Iterable[DataFrame]) -> DataFrame:
 
 
 class Model:
-    """Sorted hash slots with the log probability and back-off of each; n-grams that share a slot share their mean by count."""
+    """Sorted 64-bit hashes with the log probability and back-off of each; an n-gram that isn't there is a miss."""
 
     def __init__(self, found: np.ndarray, logp: np.ndarray, logb: np.ndarray, order: int = ORDER):
         self.order = order
-        self.slots = np.append(found, np.uint32(0xFFFFFFFF))
+        self.slots = np.append(found, np.uint64(0xFFFFFFFFFFFFFFFF))
         self.logp, self.logb = np.append(logp, np.float32(0)), np.append(logb, np.float32(0))
 
     def __len__(self) -> int:
@@ -212,14 +210,14 @@ class Model:
         return self.slots[:-1], self.logp[:-1], self.logb[:-1], self.order
 
     def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of slots in the arrays, and whether they are there; the leading bits say where to begin."""
+        """Places of hashes in the arrays, and whether they are there; the leading bits say where to begin."""
         if not hasattr(self, "directory"):
-            self.directory = np.searchsorted(self.slots, np.arange(1 << DIRECTORY_BITS, dtype=np.uint32) << np.uint32(SLOT_BITS - DIRECTORY_BITS)).astype(np.int32)
-        at = self.directory[wanted >> np.uint32(SLOT_BITS - DIRECTORY_BITS)]
+            self.directory = np.searchsorted(self.slots, np.arange(1 << DIRECTORY_BITS, dtype=np.uint64) << np.uint64(64 - DIRECTORY_BITS))
+        at = self.directory[wanted >> np.uint64(64 - DIRECTORY_BITS)]
         while True:
             before = self.slots[at] < wanted
             if not before.any():
-                return at, self.slots[at] == wanted
+                return at, (self.slots[at] == wanted) & (at < len(self))
             at += before
 
     def log_probabilities(self, keys: np.ndarray, lang: str) -> np.ndarray:
@@ -246,21 +244,20 @@ class Model:
 
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = ORDER) -> Model:
-    """A model of all rows, for each language. The driver holds the model's arrays, at most ``2 ** SLOT_BITS`` rows of them."""
+    """A model of all rows, for each language. The driver holds the model's arrays, an entry of 16 bytes for each distinct n-gram."""
 
-    @F.arrow_udf("int")
+    @F.arrow_udf("long")
     def slot(langs: pa.Array, orders: pa.Array, keys: pa.Array) -> pa.Array:
-        key, kind, out = keys.to_numpy(), orders.to_numpy(), np.zeros(len(keys), np.int32)
+        key, kind, out = keys.to_numpy(), orders.to_numpy(), np.zeros(len(keys), np.int64)
         names = np.array(langs.to_pylist(), dtype=object)
         for name in set(names.tolist()):
             for m in np.unique(kind):
                 own = (names == name) & (kind == m)
-                out[own] = slots(key[own], name, int(m)).astype(np.int32)
+                out[own] = slots(key[own], name, int(m)).view(np.int64)
         return pa.array(out)
 
-    weighed = lambda c: (F.sum(F.col("n") * F.col(c)) / F.sum("n")).cast("float").alias(c)
-    arrays = entries(counts(docs, lang, text, order), order).select(slot("lang", "order", "gram").alias("slot"), "n", "logp", "logb").groupBy("slot").agg(weighed("logp"), weighed("logb"))
+    arrays = entries(counts(docs, lang, text, order), order).select(slot("lang", "order", "gram").alias("slot"), F.col("logp").cast("float"), F.col("logb").cast("float"))
     got = arrays.toArrow()
-    found = got.column("slot").to_numpy()
+    found = got.column("slot").to_numpy().view(np.uint64)
     rank = np.argsort(found)
-    return Model(found[rank].astype(np.uint32), got.column("logp").to_numpy()[rank], got.column("logb").to_numpy()[rank], order)
+    return Model(found[rank], got.column("logp").to_numpy()[rank], got.column("logb").to_numpy()[rank], order)

@@ -42,7 +42,7 @@ def measure(text: bytes) -> tuple[int, int, int, int, int]:
 
 
 def measures(model: ngrams.Model, text: str | Column, lang: str | Column, spark) -> Column:
-    """A struct of ``MEASURES`` for each row; ``model`` is of bounded size and sent to every worker."""
+    """A struct of ``MEASURES`` for each row; ``model`` grows with the distinct n-grams and is sent to every worker."""
     sent = spark.sparkContext.broadcast(model.arrays())
     held: list[ngrams.Model] = []
 

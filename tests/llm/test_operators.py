@@ -106,6 +106,17 @@ def test_model_gives_distributions(spark):
         assert abs(sum(chance(context << bits | last, ngrams.ORDER) for last in range(1 << bits) if last != ngrams.BEGIN) - 1) <= ngrams.UNIFORM + 1e-6
 
 
+def test_model_misses_what_it_has_not_seen(spark):
+    """Every n-gram has a hash of its own, and n-grams that weren't counted aren't found."""
+    import numpy as np
+
+    table = spark.createDataFrame([("x", "abracadabra abacus cadabra"), ("y", "abraham a bar")], "lang string, text string")
+    model = ngrams.train(table)
+    assert len(model) == ngrams.entries(ngrams.counts(table, "lang", "text")).count()
+    keys = np.random.default_rng(1).integers(1 << 50, 1 << 60, 2_000_000)
+    assert not model.find(ngrams.slots(keys, "x", ngrams.ORDER))[1].any()
+
+
 # 3
 
 
