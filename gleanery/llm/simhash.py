@@ -146,7 +146,7 @@ def _forest(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Rec
         sizes = np.diff(np.concatenate([starts, [n]]))
         group = np.repeat(np.arange(len(starts)), sizes)
         small = sizes[group] <= LEAF
-        for step in range(1, LEAF):  # all small nodes at once
+        for step in range(1, min(LEAF, n)):  # all small nodes at once
             i = np.flatnonzero(small[: n - step] & (group[: n - step] == group[step:]))
             i = i[np.bitwise_count(codes[i] ^ codes[i + step]) <= distance]
             _join(labels, i, i + step)

@@ -79,3 +79,18 @@ def targets(sizes, weights=(5, 2, 1), most=3):
 def tokens(tokenizer, text):
     ids = tokenizer.encode(text or "", add_special_tokens=False).ids
     return len(ids), sha(np.array(ids, "<u4").tobytes()), sha(tokenizer.decode(ids, skip_special_tokens=False))
+
+
+def classes(nodes, links):
+    """Node to the least node that it reaches."""
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}

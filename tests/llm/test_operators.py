@@ -234,6 +234,23 @@ def test_near(docs, given, none):
     assert simhash.op9(none).count() == 0
 
 
+@pytest.mark.parametrize("n", range(1, 41))
+def test_forest_of_small_nodes(n):
+    """Links of one node or of several, in batches cut anywhere, join what a plain search joins."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(n)
+    codes = np.unique(np.concatenate([rng.integers(-(1 << 62), 1 << 62, n // 2 + 1), [c ^ (1 << int(b)) for c, b in zip(rng.integers(0, 8, n), rng.integers(0, 60, n))]]))[:n]
+    for nodes in (np.zeros(len(codes), np.int64), np.sort(rng.integers(0, 3, len(codes)))):
+        for size in (1, 3, 7, 100):
+            batches = [pa.RecordBatch.from_arrays([pa.array(np.zeros(len(codes), np.int64)[i:i + size]), pa.array(nodes[i:i + size]), pa.array(codes[i:i + size])], ["mask", "pattern", "code"]) for i in range(0, len(codes), size)]
+            links = [(int(a), int(b)) for out in simhash._forest(iter(batches), 4) for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist())]
+            every = [(int(a), int(b)) for x, a in zip(nodes, codes) for y, b in zip(nodes, codes) if x == y and a != b and (int(a) ^ int(b)).bit_count() <= 4 and int(a) ^ int(b) >= 0]
+            assert all((a ^ b) & ((1 << 64) - 1) and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 4 for a, b in links)
+            assert plain.classes(codes.tolist(), links) == plain.classes(codes.tolist(), every)
+
+
 def test_near_dedup_keeps_one_row(docs):
     found = simhash.near_dedup(docs)
     assert found.columns == docs.columns
