@@ -94,3 +94,35 @@ def classes(nodes, links):
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
     return {n: find(n) for n in nodes}
+
+
+def trie(rows, splice=True):
+    """(conv_id, turn, role, text) -> one row per node, as op13 returns them."""
+    import zlib
+
+    turns = {}
+    for c, t, r, x in rows:
+        if c is not None:
+            turns.setdefault(c, []).append((t, r or "", x or ""))
+    key = lambda t: (t[0] is not None, t[0] or 0, hashlib.md5(f"{len(t[1].encode())}|{t[1]}{t[2]}".encode()).digest())
+    own = {c: [t[1:] for t in sorted(v, key=key)] for c, v in turns.items()}
+    made = own
+    if splice:
+        h = {c: zlib.crc32(str(c).encode()) % 9 for c in own}
+        base = lambda c: c - int(np.fmod(c, 5))
+        made = {c: own.get(base(c), [])[: h[c]] + own[c][h[c]:] for c in own}
+    members = {}
+    for c, path in made.items():
+        for d in range(len(path) + 1):
+            members.setdefault(tuple(path[:d]), []).append(c)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, m in members.items():
+        worth = (len(m) - 1) * len(p[-1][1].encode()) if p else 0
+        for d in range(len(p) + 1):
+            saved[p[:d]] += worth
+            leaves[p[:d]] += not children[p]
+    return sorted(
+        (min(m), len(p), min(members[p[:-1]]) if p else None, len(m), children[p], leaves[p], saved[p], sha(",".join(str(c) for c in sorted(m) if len(made[c]) == len(p))))
+        for p, m in members.items()
+    )
