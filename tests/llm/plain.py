@@ -126,3 +126,27 @@ def trie(rows, splice=True):
         (min(m), len(p), min(members[p[:-1]]) if p else None, len(m), children[p], leaves[p], saved[p], sha(",".join(str(c) for c in sorted(m) if len(made[c]) == len(p))))
         for p, m in members.items()
     )
+
+
+def negatives(rows, k=5):
+    """(vec_id, label, vector) -> (anchor_id, positive_id, rank, negative_id, positive_score, negative_score)."""
+    import math
+
+    whole = []
+    for i, label, v in rows:
+        if label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        row = (i, (label + 1) % 10 if i is not None and i % 7 == 0 else label, tuple(math.floor(256 * float(np.float32(x))) for x in v))
+        if row not in whole:
+            whole.append(row)
+    score = lambda a, b: sum(x * y for x, y in zip(a[2], b[2]))
+    place = lambda found: sorted(found, key=lambda f: (-f[0], f[1] is None, f[1] or 0))
+    out = []
+    for a in whole:
+        if a[0] is None or a[0] % 100:
+            continue
+        others = [(score(a, b), b[0], b[1]) for b in whole if b != a and len(b[2]) == len(a[2])]
+        for p, pid, _ in place(f for f in others if f[2] == a[1])[:k]:
+            fits = place(f for f in others if f[2] != a[1] and 80 * p <= 100 * f[0] <= 100 * p)
+            out += [(a[0], pid, n, nid, p, s) for n, (s, nid, _) in enumerate(fits[:k], 1)]
+    return sorted(out, key=repr)
