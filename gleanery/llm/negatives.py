@@ -248,7 +248,7 @@ def _tiles(anchors: DataFrame, buckets: DataFrame, k: int, same: bool, low: int,
             held = a.to_pydict()
             for dim in np.unique(dims):
                 rows = sorted((r for r in b.to_pylist() if r["dim"] == dim), key=lambda r: -r["norm"])
-                found = [(r["label"], np.frombuffer(r["ids"], np.int64), _unpacked(r["matrix"]).astype(np.int64).reshape(-1, dim)) for r in rows]
+                found = [(r["label"], np.frombuffer(r["ids"], np.int64), _unpacked(r["matrix"]).astype(np.int64).reshape(len(r["ids"]) // 8, dim)) for r in rows]
                 at = [i for i, d in enumerate(held["dim"]) if d == dim]
                 if not at:
                     continue
