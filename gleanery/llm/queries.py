@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe, exact, extraction, language, lines, mixing, negatives, quality, sharding, simhash, toxicity, trie
+from gleanery.llm import bpe, exact, extraction, jaccard, language, lines, mixing, negatives, quality, sharding, simhash, toxicity, trie
 from gleanery.llm.common import table
 
 #: The tokenizer's file is a parameter of the operator; this is where the public one is installed.
@@ -29,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sharding": lambda spark, sf_dir: sharding.op7(table(spark, sf_dir, "documents")),
     "op8_bpe": lambda spark, sf_dir: bpe.op8(table(spark, sf_dir, "documents"), tokenizer_path()),
     "op9_simhash": lambda spark, sf_dir: simhash.op9(table(spark, sf_dir, "documents")),
+    "op11_jaccard": lambda spark, sf_dir: jaccard.op11(table(spark, sf_dir, "documents")),
     "op12_negatives": lambda spark, sf_dir: negatives.op12(table(spark, sf_dir, "embeddings")),
     "op13_trie": lambda spark, sf_dir: trie.op13(table(spark, sf_dir, "conversations")),
     "op10_extraction": lambda spark, sf_dir: extraction.op10(table(spark, sf_dir, "pages")),

@@ -150,3 +150,29 @@ def negatives(rows, k=5):
             fits = place(f for f in others if f[2] != a[1] and 80 * p <= 100 * f[0] <= 100 * p)
             out += [(a[0], pid, n, nid, p, s) for n, (s, nid, _) in enumerate(fits[:k], 1)]
     return sorted(out, key=repr)
+
+
+def shingle_set(text, k=5):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(tuple(words[i:i + k]) for i in range(len(words) - k + 1)) if len(words) >= k else frozenset([tuple(words)] if words else [])
+
+
+def jaccard(rows, percent=80):
+    """(doc_id, text) -> (doc_id, n_shingles, component_id), from the overlaps of all documents that share a shingle."""
+    sets = [(i, shingle_set(t)) for i, t in rows]
+    groups = {}
+    for _, s in sets:
+        groups.setdefault(s, len(groups))
+    whole, where, links = list(groups), {}, []
+    for k, s in enumerate(whole):
+        overlap = Counter(j for x in s for j in where.get(x, ()))
+        links += [(k, j) for j, n in overlap.items() if 100 * n >= percent * (len(s) + len(whole[j]) - n)]
+        for x in s:
+            where.setdefault(x, []).append(k)
+    root = classes(range(len(whole)), links)
+    least = {}
+    for i, s in sets:
+        if i is not None:
+            c = root[groups[s]]
+            least[c] = min(least.get(c, i), i)
+    return sorted(((i, len(s), least.get(root[groups[s]]) if s else i) for i, s in sets), key=repr)
