@@ -7,79 +7,86 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_STEPS_PER_DOUBLING = 4096
-_ZERO_OFFSET = 1 << 23
+#: A sketch's ranks are off by at most one part in so many.
+ACCURACY = 100_000
 
 
-def magnitude_bucket(value: Column) -> Column:
-    """A non-decreasing function of a double with at most 2**24 results, fine where values are dense."""
-    size = F.floor(F.log2(F.abs(value)) * _STEPS_PER_DOUBLING) + _ZERO_OFFSET
-    far = F.lit(2 * _ZERO_OFFSET)
-    infinite = F.lit(float("inf"))
-    return (
-        F.when(value >= infinite, far).when(value == -infinite, -far)  # NaN sorts with the largest values
-        .when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
-    )
+def _edges(points: Sequence[float], accuracy: int) -> list[float]:
+    return [e for p in points for e in (p - 2 / accuracy, p + 2 / accuracy)]
 
 
-def exact_percentiles(
-    df: DataFrame, value: str, points: Sequence[float], keys: Sequence[str] = ()
-) -> DataFrame:
-    """Rows (*keys, point, percentile) with linear interpolation at ``point * (n - 1)``.
+def sketch(value: Column, points: Sequence[float], accuracy: int = ACCURACY) -> Column:
+    """A mergeable sketch of the values around each point, for ``bands``. NaN counts as infinity, after which it sorts."""
+    return F.percentile_approx(F.nanvl(value, F.lit(float("inf"))), [min(1.0, max(0.0, e)) for e in _edges(points, accuracy)], accuracy)
+
+
+def bands(found: Column, points: Sequence[float], accuracy: int = ACCURACY) -> Column:
+    """Array of (low, high) for each point, from a sketch: its rank lies between these, or is the next one to them."""
+    edges = _edges(points, accuracy)
+    side = lambda i: F.lit(float("-inf")) if edges[i] <= 0 else F.lit(float("inf")) if edges[i] >= 1 else F.get(found, F.lit(i))
+    return F.array(*[F.struct(side(2 * i).alias("low"), side(2 * i + 1).alias("high")) for i in range(len(points))])
 
-    Equal values are counted first, so a hot value is one row per map task. Ranks are then found in
-    two steps: over bucket totals (at most 2**24 rows per key, a few thousand per doubling of the values), and inside the few buckets that
-    hold a wanted rank. Groups without a value give no rows.
+
+def known_bands(rows: DataFrame, value: Column, points: Sequence[float], accuracy: int = ACCURACY) -> Column:
+    """The bands of a whole table, read by the driver: two numbers a point."""
+    found = rows.agg(sketch(value, points, accuracy).alias("_found")).select(bands(F.col("_found"), points, accuracy).alias("b")).first()["b"]
+    if any(e is None for band in found for e in band):
+        found = [(float("-inf"), float("inf"))] * len(points)  # no values at all
+    return F.array(*[F.struct(F.lit(float(lo)).alias("low"), F.lit(float(hi)).alias("high")) for lo, hi in found])
+
+
+def cut(value: Column, known: Column, points: Sequence[float]) -> Column:
+    """(seg, inside, v): how many bands lie below a value, whether it is in one, and the value if so.
+
+    Bands rise with their points, so this is the order of the values, and all values between two bands are one.
     """
-    keys = list(keys)
-    v = F.col(value).cast("double")
-    counts = df.select(*keys, v.alias("_v")).where("_v IS NOT NULL").groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
-    # The explicit filter is what the join below asks for anyway; stating it keeps both uses of the
-    # counts the same plan, so their exchange is shared.
-    counts = counts.withColumn("_b", magnitude_bucket(F.col("_v"))).where("_b IS NOT NULL")
-
-    buckets = counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
-    by_bucket = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    wanted = F.array(*[F.lit(float(p)) for p in points])
-    rank = lambda p: p * (F.col("_n") - 1)
-    spots = F.flatten(
-        F.transform(
-            wanted,
-            lambda p: F.array(
-                F.struct(p.alias("point"), F.floor(rank(p)).cast("bigint").alias("at"), F.lit(0).alias("upper")),
-                F.struct(p.alias("point"), F.ceil(rank(p)).cast("bigint").alias("at"), F.lit(1).alias("upper")),
-            ),
-        )
+    at = F.nanvl(value, F.lit(float("inf")))
+    band = lambda i: F.get(known, F.lit(i))
+    below, inside = F.lit(0), F.lit(False)
+    for i in range(len(points)):
+        below = below + F.when(band(i)["high"] < at, 1).otherwise(0)
+        inside = inside | ((at >= band(i)["low"]) & (at <= band(i)["high"]))
+    return F.struct(below.alias("seg"), inside.alias("inside"), F.when(inside, value).alias("v"))
+
+
+def counted(value: Column) -> list[Column]:
+    """Aggregates over each ``cut`` that ``from_counts`` reads: its number of rows, least and greatest value."""
+    return [F.count(value).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")]
+
+
+def from_counts(counts: DataFrame, points: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """Rows (*keys, point, percentile) from how often each ``cut`` occurs: (*keys, seg, inside, v, n, lo, hi).
+
+    Only values inside of bands are sorted, a task for each key and segment. A rank beside its band is the
+    first or last one between two bands. One that is neither, which the sketch rules out, would fail the job.
+    """
+    keys, points = list(keys), sorted(set(points))
+    parts = counts.groupBy(*keys, "seg").agg(F.sum("n").alias("_sc"))
+    earlier = Window.partitionBy(*keys).orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(  # at most one row more than there are points
+        *[F.col(k).alias(f"_of_{k}") for k in keys], F.col("seg").alias("_of"),
+        F.coalesce(F.sum("_sc").over(earlier), F.lit(0)).alias("_start"), F.sum("_sc").over(Window.partitionBy(*keys)).alias("_n"),
     )
-    inside = lambda s, start, count: (s["at"] >= start) & (s["at"] < start + count)
-
-    def holds_a_rank(start: Column, count: Column) -> Column:
-        """Plain comparisons that drop nearly all rows before ``spots`` are worked out."""
-        out = F.lit(False)
-        for p in points:
-            r = rank(F.lit(float(p)))
-            out = out | ((F.ceil(r) >= start) & (F.floor(r) < start + count))
-        return out
-
-    targets = (
-        buckets.withColumn("_start", F.coalesce(F.sum("_bc").over(by_bucket), F.lit(0)))
-        .withColumn("_n", F.sum("_bc").over(whole))
-        .where(holds_a_rank(F.col("_start"), F.col("_bc")))
-        .withColumn("_spots", F.filter(spots, lambda s: inside(s, F.col("_start"), F.col("_bc"))))
-        .select(*keys, "_b", "_start", "_n", "_spots")
+    same = F.col("seg") == F.col("_of")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    in_part = Window.partitionBy(*keys, "seg").orderBy("inside", "v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        counts.withColumn("_from", F.coalesce(F.sum("n").over(in_part), F.lit(0)))
+        .join(parts if keys else F.broadcast(parts), same).withColumn("_from", F.col("_from") + F.col("_start"))
     )
-    if not keys:
-        targets = F.broadcast(targets)  # at most two buckets per point
-    in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (
-        counts.join(targets, [*keys, "_b"])
-        .withColumn("_from", F.col("_start") + F.coalesce(F.sum("_c").over(in_bucket), F.lit(0)))
-        .where(holds_a_rank(F.col("_from"), F.col("_c")))
-        .withColumn("_hit", F.explode_outer(F.filter("_spots", lambda s: inside(s, F.col("_from"), F.col("_c")))))
-        .where("_hit IS NOT NULL")
+    rank = lambda p: p * (F.col("_n") - 1)
+    holds = lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("n"))
+    number = lambda r: (
+        F.when(F.col("inside"), F.col("v")).when(r == F.col("_from"), F.col("lo")).when(r == F.col("_from") + F.col("n") - 1, F.col("hi"))
+        .otherwise(F.raise_error(F.lit("a rank lies outside of its band")).cast("double"))
     )
-    side = lambda u: F.max(F.when(F.col("_hit.upper") == u, F.col("_v")))
+    hits = F.array_compact(F.array(*[
+        F.when(holds(r), F.struct(F.lit(float(p)).alias("point"), F.lit(upper).alias("upper"), number(r).alias("value")))
+        for p in points for r, upper in ((F.floor(rank(F.lit(float(p)))), 0), (F.ceil(rank(F.lit(float(p)))), 1))
+    ]))
+    ranked = placed.withColumn("_hit", F.explode(hits))
+    side = lambda u: F.max(F.when(F.col("_hit.upper") == u, F.col("_hit.value")))
     weight = rank(F.col("point")) - F.floor(rank(F.col("point")))
     # Equal ends need no arithmetic, which would make NaN of an infinity.
     between = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(F.col("_low") * (1 - weight) + F.col("_high") * weight)
@@ -90,6 +97,28 @@ def exact_percentiles(
     )
 
 
+def exact_percentiles(
+    df: DataFrame, value: str, points: Sequence[float], keys: Sequence[str] = (), accuracy: int = ACCURACY
+) -> DataFrame:
+    """Rows (*keys, point, percentile) with linear interpolation at ``point * (n - 1)``.
+
+    A sketch gives for each wanted rank a band of values that holds it. A second pass counts the values
+    between the bands, and keeps those inside, each value once with its count: some millionths of the rows.
+    Groups without a value give no rows.
+    """
+    keys, points = list(keys), sorted(set(points))
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    if keys:
+        found = rows.groupBy(*keys).agg(sketch(F.col("_v"), points, accuracy).alias("_found"))
+        named = found.select(*[F.col(k).alias(f"_of_{k}") for k in keys], bands(F.col("_found"), points, accuracy).alias("_bands"))
+        same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+        rows, known = rows.join(named, same), F.col("_bands")
+    else:
+        known = known_bands(rows, F.col("_v"), points, accuracy)
+    pieces = rows.select(*keys, "_v", cut(F.col("_v"), known, points).alias("_c")).select(*keys, "_v", "_c.*")
+    return from_counts(pieces.groupBy(*keys, "seg", "inside", "v").agg(*counted(F.col("_v"))), points, keys)
+
+
 def approx_percentiles(
     df: DataFrame, value: str, points: Sequence[float], keys: Sequence[str] = (), accuracy: int = 100_000
 ) -> DataFrame:
@@ -105,6 +134,10 @@ def approx_percentiles(
 def percentiles_row(df: DataFrame, value: str, points: dict[str, float], exact: bool = True) -> DataFrame:
     """One row with a named column per point, 0 when there are no values."""
     find = exact_percentiles if exact else approx_percentiles
-    found = find(df, value, sorted(set(points.values())))
+    return named_points(find(df, value, sorted(set(points.values()))), points)
+
+
+def named_points(found: DataFrame, points: dict[str, float]) -> DataFrame:
+    """One row with a named column per point from (point, percentile), 0 where there is none."""
     pick = lambda p: F.coalesce(F.max(F.when(F.col("point") == F.lit(float(p)), F.col("percentile"))), F.lit(0.0))
     return found.agg(*[pick(p).alias(name) for name, p in points.items()])

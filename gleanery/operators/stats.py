@@ -19,7 +19,7 @@ from gleanery.functions.grading import (
 from gleanery.functions.markup import forge_links, is_issue_link
 from gleanery.functions.scalars import money_sum
 from gleanery.operators.keyed import checkpoint_dir, nest_in_parts, top_k
-from gleanery.operators.percentiles import exact_percentiles, percentiles_row
+from gleanery.operators.percentiles import counted, cut, exact_percentiles, from_counts, known_bands, named_points, percentiles_row
 
 # The points of the value distribution.
 DISTRIBUTION = {
@@ -217,51 +217,61 @@ def stats_report(
 ) -> DataFrame:
     """The statistics report as rows (section, key, count, value).
 
-    Scalars and ranges come from one pass over the items, percentiles from the value counts, labels and
-    tags from one grouped pass. The percentiles and the grouped table, which three sections read, are
-    checkpointed (two jobs).
+    Beside a sketch of the amounts, the items are read once: each is expanded to an entry for every section it
+    counts in, its amount among them as the percentiles need it, and one aggregate with a map-side part counts
+    them all. Its result is checkpointed (one job), as every section reads it.
     ``full=False`` keeps the average, the median and the organizations that succeeded and failed. With no items every breakdown is empty and every number is 0.
     """
-    average = F.coalesce(money_sum("amount_usd") / F.nullif(F.count("amount_usd"), F.lit(0)), F.lit(0.0))
     health = ("organizations_with_items", "organizations_with_errors")
     by_org = _report_rows((org_health if full else run_health)(outcomes), [("summary", n, "value") for n in health])
-    if not full:
-        middle = percentiles_row(items, "amount_usd", {"median_value": 0.5}, exact)
-        return (
-            _report_rows(items.agg(average.alias("average_value")), [("summary", "average_value", "value")])
-            .unionByName(_report_rows(middle, [("summary", "median_value", "value")]))
-            .unionByName(by_org)
-        )
-    scalars = items.agg(
-        F.count("*").alias("_n"), average.alias("average_value"),
-        *_range_counts(value_range("amount_usd"), VALUE_RANGES), *_range_counts(age_range("created_at", as_of), AGE_RANGES),
-    )
-    ranges = [("by_amount", n, "count") for n, _ in VALUE_RANGES] + [("age_distribution", n, "count") for n, _ in AGE_RANGES]
+    names = {"median_value": 0.5, **(DISTRIBUTION if full else {})}
+    points = sorted(set(names.values()))
+    amount = F.col("amount_usd").cast("double")
+    no_value = F.struct(F.lit(None).cast("int").alias("seg"), F.lit(None).cast("boolean").alias("inside"), F.lit(None).cast("double").alias("v"))
+    entry = lambda section, key=F.lit(None).cast("string"), value=no_value: F.struct(F.lit(section).alias("section"), key.alias("key"), value.alias("value"))
+    entries = [entry("all")]
+    if exact:
+        known = known_bands(items.where("amount_usd IS NOT NULL"), amount, points)
+        entries.append(F.when(amount.isNotNull(), entry("amount", value=cut(amount, known, points))))
+    if full:
+        entries += [
+            entry("by_difficulty", label_or_unknown("difficulty")), entry("by_status", label_or_unknown("status")),
+            entry("by_amount", value_range("amount_usd")), entry("age_distribution", age_range("created_at", as_of)),
+        ]
+    listed = F.array_compact(F.array(*entries))
+    if full:
+        listed = F.concat(listed, F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda t: entry("tag", F.lower(t))))
     checkpoint_dir(items.sparkSession)
-    # One row; kept out of the final plan, which would otherwise be planned anew after each of its stages.
-    points = percentiles_row(items, "amount_usd", {"median_value": 0.5, **DISTRIBUTION}, exact).checkpoint()
-    at_points = [("summary", "median_value", "value"), *[("value_distribution", n, "value") for n in DISTRIBUTION]]
-
-    entry = lambda section, key: F.struct(F.lit(section).alias("section"), key.alias("key"))
-    labels = F.array(entry("by_difficulty", label_or_unknown("difficulty")), entry("by_status", label_or_unknown("status")))
-    tags = F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda t: entry("tag", F.lower(t)))
-    grouped = (
-        items.select(F.explode_outer(F.concat(labels, tags)).alias("_e"), "amount_usd")
-        .groupBy(F.col("_e.section").alias("section"), F.col("_e.key").alias("key"))
-        .agg(F.count("*").alias("count"), money_sum("amount_usd").alias("value"))
+    table = (
+        items.select(F.explode(listed).alias("_e"), "amount_usd").select("_e.section", "_e.key", "_e.value.*", "amount_usd")
+        .groupBy("section", "key", "seg", "inside", "v")
+        .agg(F.count("*").alias("count"), money_sum("amount_usd").alias("value"), *counted(amount))
         .checkpoint()
     )
-    is_tag = F.col("section") == "tag"
-    per_tag = grouped.where(is_tag)
-    shown = grouped.where(~is_tag | any_term(F.col("key"), terms)).select(
-        F.when(is_tag, "by_language").otherwise(F.col("section")).alias("section"), "key", "count",
-        F.when(is_tag, F.col("value")).alias("value"),
+    average = F.coalesce(F.max("value") / F.nullif(F.max("n"), F.lit(0)), F.lit(0.0))
+    whole = table.where("section = 'all'").agg(average.alias("average_value"), F.coalesce(F.max("count"), F.lit(0)).alias("_n"))
+    if exact:
+        found = from_counts(table.where("section = 'amount'").select("seg", "inside", "v", "n", "lo", "hi"), points)
+        at_points = named_points(found, names)
+    else:
+        at_points = percentiles_row(items, "amount_usd", names, exact)
+    shown = [("summary", "median_value", "value"), *([("value_distribution", n, "value") for n in DISTRIBUTION] if full else [])]
+    report = _report_rows(at_points, shown).unionByName(by_org)
+    if not full:
+        return report.unionByName(_report_rows(whole, [("summary", "average_value", "value")]))
+    in_range = lambda section, ranges: [F.coalesce(F.max(F.when((F.col("section") == section) & (F.col("key") == n), F.col("count"))), F.lit(0)).alias(n) for n, _ in ranges]
+    ranged = table.where("section IN ('by_amount', 'age_distribution', 'all', 'tag')").agg(
+        F.coalesce(F.max(F.when(F.col("section") == "all", F.col("count"))), F.lit(0)).alias("_n"),
+        F.coalesce(F.max(F.when(F.col("section") == "all", F.col("value") / F.nullif(F.col("n"), F.lit(0)))), F.lit(0.0)).alias("average_value"),
+        F.count(F.when((F.col("section") == "tag") & F.col("key").isNotNull(), 1)).alias("total_tags"),
+        *in_range("by_amount", VALUE_RANGES), *in_range("age_distribution", AGE_RANGES),
     )
+    ranges = [("by_amount", n, "count") for n, _ in VALUE_RANGES] + [("age_distribution", n, "count") for n, _ in AGE_RANGES]
+    is_tag = F.col("section") == "tag"
+    tags = table.where(is_tag & F.col("key").isNotNull())
+    rows = table.where("section IN ('by_difficulty', 'by_status') OR section = 'tag' AND key IS NOT NULL").where(~is_tag | any_term(F.col("key"), terms))
     return (
-        _report_rows(scalars, [("summary", "average_value", "value")], ranges)
-        .unionByName(_report_rows(points, at_points))
-        .unionByName(by_org)
-        .unionByName(_report_rows(per_tag.agg(F.count("*").alias("total_tags")), [("summary", "total_tags", "value")]))
-        .unionByName(shown)
-        .unionByName(top_k(per_tag, "count", k, ["key"]).withColumn("section", F.lit("top_tags")))
+        report.unionByName(_report_rows(ranged, [("summary", "average_value", "value"), ("summary", "total_tags", "value")], ranges))
+        .unionByName(rows.select(F.when(is_tag, "by_language").otherwise(F.col("section")).alias("section"), "key", "count", F.when(is_tag, F.col("value")).alias("value")))
+        .unionByName(top_k(tags.select("key", "count", "value"), "count", k, ["key"]).withColumn("section", F.lit("top_tags")))
     )

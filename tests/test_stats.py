@@ -87,6 +87,21 @@ def test_median(spark, values, median):
     assert stats.median_value(make(spark, *[(v, [], 1) for v in values])).first()[0] == median
 
 
+def test_percentiles_of_epoch_micros_and_few_values(spark):
+    """Values that lie close together far from zero, and groups of one, two and equal values."""
+    df = spark.range(30_000).select((F.col("id") % 7).alias("k"), (F.lit(1.7e15) + (F.col("id") * 7919 % 30_011)).cast("double").alias("v"))
+    few = spark.createDataFrame([(100, 1.0), (101, 1.0), (101, 2.0), (102, 5.0), (102, 5.0), (102, 5.0), (None, 3.0)], "k BIGINT, v DOUBLE")
+    df, points = df.unionByName(few), [0.0, 0.001, 0.25, 0.5, 0.9999, 1.0]
+    got = {(r["k"], r["point"]): r["percentile"] for r in percentiles.exact_percentiles(df, "v", points, ["k"], accuracy=50).collect()}
+    for row in df.groupBy("k").agg(F.percentile("v", F.array(*[F.lit(p) for p in points])).alias("p")).collect():
+        for p, value in zip(points, row["p"]):
+            assert got[row["k"], p] == pytest.approx(value)
+    whole = {r["point"]: r["percentile"] for r in percentiles.exact_percentiles(df, "v", points, accuracy=50).collect()}
+    expected = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in points])).alias("p")).first()["p"]
+    assert [whole[p] for p in points] == pytest.approx(expected)
+    assert percentiles.exact_percentiles(df.where("false"), "v", points).count() == 0
+
+
 def test_percentiles_match_builtin_on_odd_values(spark):
     rng = random.Random(3)
     values = [rng.choice([0.0, -1.0, 1e-9, 1e12]) if rng.random() < 0.3 else rng.gauss(0, 1000) for _ in range(3000)]
