@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 
 from pyspark.sql import functions as F
 
 from gleanery.catalog.core import query
-from gleanery.catalog.tables import SIGNATURE, SIGNATURES, SNAPSHOTS, line_items, order_heads, table, text, with_ctes
+from gleanery.catalog.rows import state_pages
+from gleanery.catalog.tables import SIGNATURE, SIGNATURES, SNAPSHOTS, URL_TEMPLATE, as_of, line_items, order_heads, table, text, with_ctes
 from gleanery.functions.scalars import url_host
 from gleanery.operators import changes, keyed, page_state, quality
-from gleanery.sources import readers
+from gleanery.plans import runs
+from gleanery.sources import readers, writers
 from gleanery.streaming import change_batches, page_changes
 
 _HOST_CHANGES = with_ctes(SIGNATURES) + r""",
@@ -23,9 +26,8 @@ def _at(page_id):
     return F.timestamp_seconds(page_id)
 
 
-@query(_HOST_CHANGES)
-def stream_page_changes(spark, sf):
-    """Page changes per host, found by a stateful stream over the page files."""
+def _streamed(spark, sf, **options):
+    """(handle, checked_at, hash) from a stateful stream over the page files, run to its end."""
     folder = f"{keyed.checkpoint_dir(spark)}/page-changes-{uuid.uuid4().hex}"
     setting = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(setting, None)
@@ -35,7 +37,7 @@ def stream_page_changes(spark, sf):
             url_host("url").alias("handle"), _at("page_id").alias("checked_at"), "html"
         )
         run = (
-            page_changes.stream_page_changes(pages, SIGNATURE).writeStream.format("parquet")
+            page_changes.stream_page_changes(pages, SIGNATURE, **options).writeStream.format("parquet")
             .option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start()
         )
         run.awaitTermination()
@@ -45,11 +47,34 @@ def stream_page_changes(spark, sf):
     return found.select("handle", F.unix_seconds("checked_at").alias("checked_at"), "hash")
 
 
+def _host_checks(spark, sf):
+    pages = table(spark, sf, "pages").select(url_host("url").alias("handle"), _at("page_id").alias("checked_at"), "html")
+    return page_state.page_signatures(pages, SIGNATURE)
+
+
+@query(_HOST_CHANGES)
+def stream_page_changes(spark, sf):
+    """Page changes per host, found by a stateful stream over the page files."""
+    return _streamed(spark, sf)
+
+
+@query(_HOST_CHANGES.replace("WHERE before IS NULL", "WHERE page_id > (SELECT max(page_id) // 2 FROM pages) AND (before IS NULL") + ")")
+def stream_changes_since_state(spark, sf):
+    """The same stream begun from stored state, which knows each host's last check in the first half: only later changes come out."""
+    checks = page_state.carry_last_changed(_host_checks(spark, sf), "handle", "checked_at", "hash", ["hash", "item_estimate"])
+    half = checks.agg(F.unix_seconds(F.max("checked_at"))).first()[0] or 0
+    known = checks.where(F.unix_seconds("checked_at") <= half // 2)
+    last = page_state.latest_signatures(known, ["checked_at"])
+    state = last.select("handle", F.lit(None).cast("string").alias("url"), "hash", F.col("checked_at").alias("last_checked"), "last_changed", "item_estimate")
+    path = f"{keyed.checkpoint_dir(spark)}/state-{uuid.uuid4().hex}"
+    writers.write_state(state, path)
+    return _streamed(spark, sf, state=writers.read_state(spark, path))
+
+
 @query(_HOST_CHANGES)
 def batch_page_changes(spark, sf):
     """The same changes from the whole history in one batch."""
-    pages = table(spark, sf, "pages").select(url_host("url").alias("handle"), _at("page_id").alias("checked_at"), "html")
-    found = page_changes.batch_page_changes(page_state.page_signatures(pages, SIGNATURE))
+    found = page_changes.batch_page_changes(_host_checks(spark, sf))
     return found.select("handle", F.unix_seconds("checked_at").alias("checked_at"), "hash")
 
 
@@ -84,6 +109,14 @@ def change_payloads(spark, sf):
     return sent.select(_minute("window_start").alias("window_start"), F.array_join("changed_orgs", ",").alias("changed_orgs"), "batch_size")
 
 
+@query(f"""SELECT window_start, (place - 1) // 3 + 1 AS part_no, string_agg(handle, ',' ORDER BY handle) AS changed_orgs, count(*) AS batch_size
+FROM (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY handle) AS place FROM {_WINDOWS}) GROUP BY 1, 2""")
+def change_payload_parts(spark, sf):
+    """Messages of three handles each, the last of an hour with what is left."""
+    sent = change_batches.change_payloads(_changes(spark, sf), 3)
+    return sent.select(_minute("window_start").alias("window_start"), "part_no", F.array_join("changed_orgs", ",").alias("changed_orgs"), "batch_size")
+
+
 @query("""SELECT 'org' || user_id AS handle, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS at, CAST(CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) AS VARCHAR) AS snapshot_id FROM events""".replace("\\\\", "\\"))
 def parsed_webhooks(spark, sf):
     """Webhook bodies read from JSON, the handle from the watched URL."""
@@ -105,6 +138,42 @@ def refreshed_snapshot(spark, sf):
     return changes.apply_changes(line_items(spark, sf).select(keep), order_heads(spark, sf).select(keep), changed)
 
 
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS handle, 'n' || o_orderkey AS id,
+CASE WHEN o_custkey % 3 = 0 THEN 'before' WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority ELSE 'Issue #' || o_orderkey END AS title,
+CASE WHEN o_custkey % 3 = 0 THEN 1.0::DOUBLE WHEN o_orderstatus = 'P' THEN 100.0::DOUBLE ELSE CAST(round(o_totalprice) AS BIGINT) / 100.0::DOUBLE END AS amount_usd,
+CASE WHEN o_custkey % 3 = 0 THEN NULL WHEN o_custkey % 3 = 1 THEN 'updated' ELSE 'added' END AS change_type
+FROM orders
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'gone' || c_custkey, 'before', 1.0::DOUBLE, NULL FROM customer WHERE c_custkey % 3 = 0
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'gone' || c_custkey, NULL, NULL, 'removed' FROM customer WHERE c_custkey % 3 = 1 AND c_custkey IN (SELECT o_custkey FROM orders)
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'gone' || c_custkey, 'before', 1.0::DOUBLE, NULL FROM customer WHERE c_custkey % 3 = 1 AND c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+def refreshed_from_pages(spark, sf):
+    """A targeted refresh that starts from the pages: customers, each with a page per order, in a table bucketed by handle.
+
+    Every third customer's pages are as the stored state knows them, the next one's have changed, and the last one is new. Each item of
+    the new snapshot comes with its change against the last one; removed items come without the rest.
+    """
+    name = f"landed_pages_{zlib.crc32(sf.encode())}"
+    pages = writers.land_pages(state_pages(spark, sf), name, 16)
+    kind = F.col("handle").cast("bigint") % 3
+    known = page_state.handle_signatures(page_state.page_signatures(pages.select("handle", "html"), SIGNATURE)).where(kind < 2)
+    state = known.select(
+        "handle", F.lit("u").alias("url"), F.when(kind == 0, F.col("hash")).otherwise("other").alias("hash"), as_of().alias("last_checked"),
+        as_of().alias("last_changed"), "item_estimate",
+    )
+    blank = F.lit(None).cast("string")
+    orgs = table(spark, sf, "customer").select(
+        text("c_custkey").alias("handle"), blank.alias("url"), blank.alias("display_name"), blank.alias("description"), F.lit(None).cast("array<string>").alias("org_tech")
+    )
+    before = F.lit("before").alias("title"), F.lit(1.0).alias("amount_usd"), F.lit("open").alias("status"), blank.alias("url")
+    link = F.concat(F.lit("https://github.com/org"), text("o_custkey"), F.lit("/repo/issues/"), text("o_orderkey"))
+    listed = table(spark, sf, "orders").select(text("o_custkey").alias("handle"), F.concat(F.lit("n"), text("o_orderkey")).alias("id"), *before[:3], link.alias("url")).where(kind < 2)
+    gone = orgs.where(kind < 2).select("handle", F.concat(F.lit("gone"), "handle").alias("id"), *before)
+    done = runs.refresh(orgs, pages, state, listed.unionByName(gone), as_of(), URL_TEMPLATE, patterns=SIGNATURE)
+    changed = done.diff.select("id", "change_type", F.col("old.handle").alias("_handle"))
+    found = done.snapshot.join(changed, "id", "full_outer")
+    return found.select(F.coalesce("handle", "_handle").alias("handle"), "id", "title", "amount_usd", "change_type")
+
+
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS handle FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS seen FROM orders GROUP BY 1) ON o_custkey = c_custkey
 WHERE seen IS NULL OR seen + to_seconds(CASE c_mktsegment WHEN 'BUILDING' THEN 864000 ELSE 8640000 END) <= TIMESTAMP '2001-09-01 00:00:00'""")
 def due_organizations(spark, sf):

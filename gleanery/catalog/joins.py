@@ -75,11 +75,31 @@ SELECT id, CASE WHEN p.seen_at IS NULL THEN 'added' WHEN c.seen_at IS NULL THEN
 FROM order_heads c FULL JOIN last_lines p USING (id)
 WHERE p.seen_at IS NULL OR c.seen_at IS NULL OR {_CHANGES} <> ''""")
 def diff_unique_keys(spark, sf):
-    """Snapshots with unique ids need one full outer join."""
+    """Snapshots with unique ids: nothing is numbered."""
     previous = keyed.last_per_key(line_items(spark, sf), ["id"], _SEEN)
     return changes.diff_snapshots(previous, order_heads(spark, sf)).select("id", "change_type")
 
 
+_REPEATED = """,
+before AS (SELECT id, title, amount_usd, status, url, difficulty, tags FROM line_items),
+after AS (SELECT id, title, CASE WHEN l_quantity > 40 THEN amount_usd + 1 ELSE amount_usd END AS amount_usd, status, url, difficulty, tags FROM line_items WHERE l_tax > 0.01),
+gone AS (SELECT *, row_number() OVER r AS place FROM (FROM before EXCEPT ALL FROM after) WINDOW r AS (PARTITION BY id ORDER BY title, amount_usd, status, url, difficulty NULLS FIRST, tags)),
+come AS (SELECT *, row_number() OVER r AS place FROM (FROM after EXCEPT ALL FROM before) WINDOW r AS (PARTITION BY id ORDER BY title, amount_usd, status, url, difficulty NULLS FIRST, tags))
+SELECT id, CASE WHEN g.place IS NULL THEN 'added' WHEN c.place IS NULL THEN 'removed' ELSE 'updated' END AS change_type,
+  g.amount_usd AS old_usd, c.amount_usd AS new_usd, CAST(coalesce(g.difficulty <> c.difficulty, (g.difficulty IS NULL) <> (c.difficulty IS NULL)) AS BOOLEAN) AS moved
+FROM gone g FULL JOIN come c USING (id, place)"""
+
+
+@query(with_ctes(SNAPSHOTS) + _REPEATED)
+def diff_repeated_keys(spark, sf):
+    """Snapshots without an order whose ids repeat: what both say cancels out, the rest is paired by content."""
+    before = line_items(spark, sf)
+    dearer = F.when(F.col("tie.l_quantity") > 40, F.col("amount_usd") + 1).otherwise(F.col("amount_usd"))
+    found = changes.diff_snapshots(before, before.where("tie.l_tax > 0.01").withColumn("amount_usd", dearer))
+    moved = F.coalesce(F.col("old.difficulty") != F.col("new.difficulty"), F.col("old.difficulty").isNull() != F.col("new.difficulty").isNull())
+    return found.select("id", "change_type", F.col("old.amount_usd").alias("old_usd"), F.col("new.amount_usd").alias("new_usd"), moved.alias("moved"))
+
+
 @query(with_ctes(SNAPSHOTS) + """
 SELECT handle, CASE WHEN p IS NULL THEN 'added' ELSE 'removed' END AS change_type
 FROM (SELECT DISTINCT handle, 1 AS p FROM order_heads) FULL JOIN (SELECT DISTINCT handle, 1 AS c FROM line_items) USING (handle)
@@ -411,7 +431,7 @@ def last_per_key(spark, sf):
 SELECT *, coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) <> event_type, true) AS changed FROM events)
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
 def carried_last_changed(spark, sf):
-    """Change flag and time of last change over each user's events, worked out per user and day."""
+    """Change flag and time of last change over each user's events, worked out per sorted range of users and times."""
     checks = page_state.carry_last_changed(table(spark, sf, "events"), "user_id", "ts", "event_type", ["event_id"])
     return checks.select("event_id", "changed", F.date_format("last_changed", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_changed"))
 

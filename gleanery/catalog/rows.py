@@ -178,7 +178,7 @@ def nested_item_parts(spark, sf):
     )
 
 
-def _state_pages(spark, sf):
+def state_pages(spark, sf):
     """Pages whose embedded state lists one order; places, names and defaults vary with the order."""
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     link = F.concat(F.lit("https://github.com/org"), text("o_custkey"), F.lit("/repo/issues/"), text("o_orderkey"))
@@ -205,7 +205,7 @@ CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority ELSE '' END AS title,
 CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(round(o_totalprice) AS BIGINT) END AS cents, 'USD' AS currency,
 'org' || o_custkey AS owner, o_orderkey AS number FROM orders""")
 def embedded_candidates(spark, sf):
-    state = _state_pages(spark, sf).withColumn("state", item_ops.embedded_state("html")).drop("html")
+    state = state_pages(spark, sf).withColumn("state", item_ops.embedded_state("html")).drop("html")
     found = item_ops.embedded_candidates(state)
     return found.select("page_id", F.col("pos").cast("bigint").alias("pos"), "id", "title", "cents", "currency", "owner", "number")
 
@@ -215,7 +215,7 @@ CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority ELSE 'Issue #' || o_or
 'org' || o_custkey AS github_handle FROM orders WHERE o_orderstatus <> 'O'""")
 def embedded_raw_items(spark, sf):
     """Raw objects; the nested ``data.items`` place is not searched for these."""
-    pages = _state_pages(spark, sf)
+    pages = state_pages(spark, sf)
     state = pages.withColumn("state", item_ops.embedded_state("html")).drop("html")
     rows = item_ops.embedded_raw_rows(state).withColumns(
         {"display_name": F.col("handle"), "description": F.lit(None).cast("string"), "org_tech": F.lit(None).cast("array<string>")}
@@ -229,19 +229,21 @@ CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority ELSE 'Issue #' || o_or
 CASE WHEN o_orderstatus = 'P' THEN 100.0::DOUBLE ELSE CAST(round(o_totalprice) AS BIGINT) / 100.0::DOUBLE END AS amount_usd
 FROM orders
 UNION ALL
-SELECT handle, handle || '#' || regexp_extract(m, '(\\d+)$', 1), 'Issue #' || regexp_extract(m, '(\\d+)$', 1), 100.0::DOUBLE
-FROM (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS handle, 'github.com/o/r/issues/' || l_partkey AS m FROM lineitem)""".replace("\\\\", "\\"))
+SELECT handle, handle || '#' || issue, 'Issue #' || issue, 100.0::DOUBLE
+FROM (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS handle, l_partkey AS issue FROM lineitem UNION SELECT CAST(l_suppkey AS VARCHAR), l_orderkey FROM lineitem)
+WHERE handle NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders)""")
 def items_from_best_source(spark, sf):
-    """Pages with embedded state and pages with only text, each served by its best source."""
-    text_pages = (
-        table(spark, sf, "lineitem").select("l_suppkey", "l_partkey").distinct()
-        .select(
-            F.lit(None).cast("bigint").alias("page_id"), text("l_suppkey").alias("handle"),
-            F.concat(F.lit("<p>see github.com/o/r/issues/"), text("l_partkey"), F.lit("</p>")).alias("html"),
-        )
+    """Pages with embedded state and pages with only text, one per line item; each organization has its best source.
+
+    A part sold twice is named by two pages of one organization, and is one item. Organizations with both kinds of pages have the
+    items of the first kind only.
+    """
+    link = lambda c: F.concat(F.lit("<p>see github.com/o/r/issues/"), text(c), F.lit("</p>"))
+    text_pages = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("page_id"), text("l_suppkey").alias("handle"), F.concat(link("l_partkey"), link("l_orderkey")).alias("html")
     )
-    pages = _state_pages(spark, sf).unionByName(text_pages)
-    rows = item_ops.best_source_rows(pages).withColumns(
+    pages = state_pages(spark, sf).unionByName(text_pages)
+    rows = item_ops.organization_rows(item_ops.best_source_rows(pages), ["page_id"]).withColumns(
         {"display_name": F.col("handle"), "description": F.lit(None).cast("string"), "org_tech": F.lit(None).cast("array<string>")}
     )
     flat = item_ops.flatten_items(item_ops.items_from_best_source(rows, as_of()))

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.scalars import number_text
-from gleanery.operators.keyed import last_per_key
+from gleanery.operators.keyed import checkpoint_dir, last_per_key
+from gleanery.operators.scans import number_within
 
-_FIELDS = ("title", "amount_usd", "status", "url", "difficulty")
+FIELDS = ("title", "amount_usd", "status", "url", "difficulty")
 
 
 def _shown(c: Column) -> Column:
@@ -22,7 +23,7 @@ def _moved(label: str, old: Column, new: Column, quote: str = "", prefix: str =
     return F.concat(F.lit(f"{label}: "), side(old), F.lit(" → "), side(new))
 
 
-def field_changes(old: Column, new: Column, fields: Sequence[str] = _FIELDS, tags: str | None = "tags") -> Column:
+def field_changes(old: Column, new: Column, fields: Sequence[str] = FIELDS, tags: str | None = "tags") -> Column:
     """Readable differences of two item structs, in field order; empty when equal. NULL equals NULL."""
 
     def one(field: str) -> Column:
@@ -44,7 +45,7 @@ def field_changes(old: Column, new: Column, fields: Sequence[str] = _FIELDS, tag
     return F.array_compact(F.array(*lines))
 
 
-def fields_differ(old: Column, new: Column, fields: Sequence[str] = _FIELDS, tags: str | None = "tags") -> Column:
+def fields_differ(old: Column, new: Column, fields: Sequence[str] = FIELDS, tags: str | None = "tags") -> Column:
     """Whether ``field_changes`` would say anything."""
     out = F.lit(False)
     for f in fields:
@@ -62,7 +63,7 @@ def diff_snapshots(
     cur: DataFrame,
     key: str = "id",
     order: Sequence[str] | None = None,
-    fields: Sequence[str] = _FIELDS,
+    fields: Sequence[str] = FIELDS,
     tags: str | None = "tags",
 ) -> DataFrame:
     """Rows (change_type, key, old, new, changes) for added, removed and updated items.
@@ -70,8 +71,9 @@ def diff_snapshots(
     Both snapshots may repeat keys. With ``order``, current rows are compared with the last previous row
     of their key, and repeats stay in the result. A hot key is split by the join, as its rows sit on the
     left of a left and of an anti join whose right sides hold one row per key. Without ``order``, rows
-    have no time, and each side counts with one row per key: its largest by content. A snapshot
-    compared with itself then has no changes.
+    have no time, and the two sides of a key are compared as multisets: rows that say the same cancel out,
+    and what is left over is paired in the order of its content (see ``paired_rows``). No row is left out,
+    and a snapshot compared with itself has no changes.
     """
     whole = lambda df: F.struct(*[F.col(c) for c in df.columns])
     old_side = lambda df: df.select(F.col(key), whole(df).alias("old"))
@@ -86,8 +88,7 @@ def diff_snapshots(
         .select(kind.alias("change_type"), key, "old", "new", texts.alias("changes"))
     )
     if order is None:
-        largest = lambda df, name: df.groupBy(key).agg(F.max(whole(df)).alias(name))
-        return finish(largest(prev, "old").join(largest(cur, "new"), key, "full_outer"))
+        return finish(paired_rows(prev, cur, key, fields, tags))
     matched = new_side(cur).join(old_side(last_per_key(prev, [key], order)), key, "left")
     removed = old_side(prev).join(cur.select(key).distinct(), key, "left_anti")
     return finish(matched).unionByName(
@@ -99,6 +100,56 @@ def diff_snapshots(
     )
 
 
+def _content(fields: Sequence[str], tags: str | None) -> list[Column]:
+    """Two hashes of what ``field_changes`` compares."""
+    parts = [F.col(f) for f in fields]
+    if tags is not None:
+        parts.append(F.array_sort(F.array_distinct(F.coalesce(F.col(tags), F.array().cast("array<string>")))))
+    # A null hashes as nothing, so which fields are null counts as well.
+    nulls = F.concat_ws("", *[F.when(F.col(f).isNull(), "n").otherwise("v") for f in fields])
+    return [F.xxhash64(*parts, nulls).alias("_h1"), F.xxhash64(nulls, *parts[::-1]).alias("_h2")]
+
+
+def paired_rows(prev: DataFrame, cur: DataFrame, key: str, fields: Sequence[str] = FIELDS, tags: str | None = "tags") -> DataFrame:
+    """(key, old, new): rows of two snapshots without an order, but those that say the same on both sides.
+
+    Rows that say the same are counted per key, by hashes of the compared fields; as many as both sides
+    have cancel out. What is left of a key is numbered on both sides by the compared fields and paired by
+    number; rows without a partner stand alone. Counting is an aggregate with a map-side part. Only rows with
+    a change of keys that repeat are numbered, on sorted ranges, so a key with very many rows is split.
+    """
+    hashes = ["_h1", "_h2"]
+    said = [*fields, *([] if tags is None else [tags])]
+    sides = [df.select(F.col(key).alias("_key"), F.struct(*[F.col(c) for c in df.columns]).alias("_row"), *_content(fields, tags)) for df in (prev, cur)]
+    counted = sides[0].select("_key", *hashes, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
+        sides[1].select("_key", *hashes, F.lit(0).alias("_a"), F.lit(1).alias("_b"))
+    )
+    found = counted.groupBy("_key", *hashes).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b")).where("_a <> _b")
+    more = lambda x, y: F.greatest(F.col(x) - F.col(y), F.lit(0))
+    keys = found.groupBy(F.col("_key").alias("_k")).agg((F.greatest(F.sum(more("_a", "_b")), F.sum(more("_b", "_a"))) > 1).alias("_many"))
+    checkpoint_dir(prev.sparkSession)
+    left_over = found.join(keys, F.col("_key").eqNullSafe(F.col("_k"))).drop("_k").checkpoint()
+
+    def numbered(side: DataFrame, own: str, other: str, name: str) -> DataFrame:
+        mine = left_over.where(F.col(own) > F.col(other)).select(
+            F.col("_key").alias("_of"), *[F.col(h).alias(f"{h}_of") for h in hashes], (F.col(own) - F.col(other)).alias("_more"), (F.col(other) > 0).alias("_some"), "_many"
+        )
+        same = F.col("_key").eqNullSafe(F.col("_of")) & (F.col("_h1") == F.col("_h1_of")) & (F.col("_h2") == F.col("_h2_of"))
+        rows = side.join(mine, same).select("_key", "_row", *hashes, "_more", "_some", "_many")
+        text = F.to_json("_row")  # settles which of several rows that say the same are left over
+        kept = ["_key", "_row", "_many"]
+        extra = number_within(rows.where("_some").withColumn("_text", text), ["_key", *hashes], ["_text"], "_copy").where("_copy <= _more")
+        rows = rows.where("NOT _some").select(kept).unionByName(extra.select(kept))
+        order = [F.struct(*[F.col(f"_row.{f}") for f in said]), text]
+        placed = number_within(rows.where("_many"), ["_key"], order, "_place").unionByName(rows.where("NOT _many").withColumn("_place", F.lit(1).cast("bigint")))
+        return placed.select("_key", "_place", F.col("_row").alias(name))
+
+    old = numbered(sides[0], "_a", "_b", "old")
+    new = numbered(sides[1], "_b", "_a", "new").withColumnsRenamed({"_key": "_key_new", "_place": "_place_new"})
+    together = old.join(new, F.col("_key").eqNullSafe(F.col("_key_new")) & (F.col("_place") == F.col("_place_new")), "full_outer")
+    return together.select(F.coalesce("_key", "_key_new").alias(key), "old", "new")
+
+
 def diff_keys(prev: DataFrame, cur: DataFrame, key: str = "handle") -> DataFrame:
     """Keys on one side only, as (change_type, key)."""
     before = prev.select(key).distinct().withColumn("_before", F.lit(True))
@@ -145,8 +196,12 @@ def initial_summary(cur: DataFrame, noun: str = "bounties") -> DataFrame:
     return counts.withColumn("summary", text)
 
 
+def replace_keys(snapshot: DataFrame, fresh: DataFrame, changed: DataFrame, key: str = "handle") -> DataFrame:
+    """Snapshot with all items of the changed keys replaced by the fresh ones, which are of these keys only."""
+    return snapshot.join(changed.select(key).distinct(), key, "left_anti").unionByName(fresh)
+
+
 def apply_changes(snapshot: DataFrame, fresh: DataFrame, changed: DataFrame, key: str = "handle") -> DataFrame:
     """Snapshot with all items of the changed keys replaced by fresh ones; other keys are kept."""
     keys = changed.select(key).distinct()
-    kept = snapshot.join(keys, key, "left_anti")
-    return kept.unionByName(fresh.join(keys, key, "left_semi"))
+    return replace_keys(snapshot, fresh.join(keys, key, "left_semi"), keys, key)

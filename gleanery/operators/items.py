@@ -237,7 +237,8 @@ def best_source_rows(pages: DataFrame) -> DataFrame:
     """References of each page (handle, html, ...) from its best source, in one scan.
 
     The first of pre-extracted state, raw state and text that has any issue wins; later ones are not
-    worked out. Columns: the page's own, source, owner, repo, number and what that source knows.
+    worked out. Columns: the page's own, pos (place in the page), source, owner, repo, number and what that
+    source knows. What an organization's pages give together is ``organization_rows``.
     """
     keep = [c for c in pages.columns if c != "html"]
     none = lambda kind: F.lit(None).cast(kind)
@@ -277,9 +278,30 @@ def best_source_rows(pages: DataFrame) -> DataFrame:
     # The page's columns travel inside the exploded rows, so no later join by them can move below the
     # extraction and drag the HTML through an exchange.
     carried = F.transform(best, lambda b: F.struct(*keep, b.alias("found")))
-    rows = pages.select(F.explode_outer(carried).alias("_r")).where("_r IS NOT NULL")
+    rows = pages.select(F.posexplode_outer(carried).alias("pos", "_r")).where("_r IS NOT NULL")
     fields = ("source", "id", "title", "body", "link", "cents", "currency", "tech", "item")
-    return rows.select(*[f"_r.{c}" for c in keep], *[f"_r.found.{f}" for f in fields], "_r.found.issue.*")
+    return rows.select(*[f"_r.{c}" for c in keep], "pos", *[f"_r.found.{f}" for f in fields], "_r.found.issue.*")
+
+
+_ISSUE = ["handle", "owner", "repo", "number"]
+
+
+def organization_rows(rows: DataFrame, page: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``best_source_rows`` as each organization's: its best source, and one row per issue.
+
+    The best source of an organization is the least of all its pages; what pages of a lesser source say is
+    left out. An issue that several pages or places name counts once, as the first in the order of the
+    ``page`` columns and the place in the page has it; without an order of pages the content settles it.
+
+    Rows are reduced per issue first, an aggregate with a map-side part whose best source comes first, and an
+    organization's best source is then found from the reduced rows. Those of a hot organization are on the
+    left of the join, whose right side holds one row per organization.
+    """
+    first = F.struct("source", *page, "pos", "cents", "title", "link", "body")
+    others = [c for c in rows.columns if c not in _ISSUE]
+    once = rows.groupBy(*_ISSUE).agg(F.min_by(F.struct(*others), first).alias("_row")).select(*_ISSUE, "_row.*")
+    best = once.groupBy("handle").agg(F.min("source").alias("_best"))
+    return once.join(best, "handle").where("source = _best").select(*rows.columns)
 
 
 # --- nested items ----------------------------------------------------------------------------------

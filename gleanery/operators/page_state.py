@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gleanery.functions.fingerprints import SIGNATURE_PATTERNS, estimate_items, fingerprint
 from gleanery.functions.scalars import url_or_template
 from gleanery.operators.keyed import last_per_key
+from gleanery.operators.scans import PART, PLACE, before_range, in_ranges, with_summary
 
 
 def page_signatures(
@@ -25,6 +26,34 @@ def page_signatures(
     )
 
 
+def handle_signatures(signatures: DataFrame) -> DataFrame:
+    """One signature per handle from those of its pages (handle, hash, item_estimate, error if there is one).
+
+    A handle with one page has that page's hash. Of several, the hash is one of their number and of sums that do
+    not depend on their order, so a handle with very many pages is an aggregate with a map-side part. A page
+    that was not read leaves the handle without a hash, which is a failed check.
+    """
+    error = F.col("error") if "error" in signatures.columns else F.lit(None).cast("string")
+    each = signatures.select("handle", "hash", "item_estimate", error.alias("error"), F.xxhash64("hash").alias("_a"), F.xxhash64(F.reverse("hash")).alias("_b"))
+    sums = each.groupBy("handle").agg(
+        F.count("*").alias("_n"), F.count("hash").alias("_read"), F.min("hash").alias("_only"), F.sum(F.col("_a").cast("decimal(20,0)")).alias("_a"),
+        F.sum(F.col("_b").cast("decimal(20,0)")).alias("_b"), F.sum("item_estimate").alias("item_estimate"), F.min("error").alias("error"),
+    )
+    whole = F.substring(F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in ("_n", "_a", "_b")]), 256), 1, 16)
+    digest = F.when(F.col("_read") == F.col("_n"), F.when(F.col("_n") == 1, F.col("_only")).otherwise(whole))
+    return sums.select("handle", digest.alias("hash"), "item_estimate", "error")
+
+
+def pages_of(pages: DataFrame, handles: DataFrame, most: int = 100_000) -> DataFrame:
+    """The pages of some handles (settled, one row each), as they are read.
+
+    Up to ``most`` handles are sent to the readers. More meet the pages by a hash join that builds on the
+    handles: pages from a table bucketed by handle (``land_pages``) are not moved for it.
+    """
+    few = handles.limit(most + 1).count() <= most
+    return pages.join(F.broadcast(handles) if few else handles.hint("shuffle_hash"), "handle", "left_semi")
+
+
 def check_pages(
     registry: DataFrame, signatures: DataFrame, state: DataFrame | None, as_of: Column, url_template: str,
     force_all: bool = False,
@@ -94,40 +123,34 @@ def check_summary(checked: DataFrame) -> DataFrame:
     return counts.withColumn("skipped_percent", share)
 
 
-def carry_last_changed(
-    history: DataFrame, key: str, at: str, value: str, tie: Sequence[str], span: str = "day"
-) -> DataFrame:
+def carry_last_changed(history: DataFrame, key: str, at: str, value: str, tie: Sequence[str]) -> DataFrame:
     """Add ``changed`` and ``last_changed`` to a check history.
 
     A check has changed when its value differs from the key's previous check (the first one always
-    has). Each key is cut into calendar spans that run as separate tasks; one summary row per span then
-    carries the last value and change time across spans. So a hot key costs one task per span, not one
-    in all, and only its span summaries meet in one place.
+    has). Checks are cut into sorted ranges of key and time, and a key that is large is split wherever it is,
+    also within one day. One summary row per key and range carries the last value and change time on to
+    the ranges that follow; only these summaries of a key meet in one place.
     """
-    order = [at, *tie]
-    rows = history.withColumn("_span", F.date_trunc(span, at))
-    inside = Window.partitionBy(key, "_span").orderBy(*order)
+    rows = in_ranges(history, [key], [at, *tie])
+    inside = Window.partitionBy(key, PART).orderBy(PLACE)
     rows = rows.withColumn("_before", F.lag(F.struct(value)).over(inside))
     first = F.col("_before").isNull()
     moved = ~F.col(value).eqNullSafe(F.col(f"_before.{value}"))
-    stamp = F.struct(*order)
-    spans = rows.groupBy(key, "_span").agg(
-        F.min_by(F.struct(value, at), stamp).alias("_first"),
-        F.max_by(F.struct(value), stamp).alias("_last"),
+    ranges = rows.groupBy(key, PART).agg(
+        F.min_by(F.struct(value, at), PLACE).alias("_first"),
+        F.max_by(F.struct(value), PLACE).alias("_last"),
         F.max(F.when(~first & moved, F.col(at))).alias("_moved_at"),
     )
-    across = Window.partitionBy(key).orderBy("_span")
-    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.withColumn("_prior", F.lag("_last").over(across))
+    ranges = ranges.withColumn("_prior", F.lag("_last").over(Window.partitionBy(key).orderBy(PART)))
     opens = F.col("_prior").isNull() | ~F.col(f"_first.{value}").eqNullSafe(F.col(f"_prior.{value}"))
-    spans = spans.withColumn("_opens", opens).withColumn(
+    ranges = ranges.withColumn("_opens", opens).withColumn(
         "_change", F.coalesce("_moved_at", F.when(F.col("_opens"), F.col(f"_first.{at}")))
     )
-    spans = spans.select(key, "_span", "_opens", F.last("_change", ignorenulls=True).over(earlier).alias("_carried"))
-    joined = rows.join(spans, [key, "_span"]).withColumn("changed", F.when(first, F.col("_opens")).otherwise(moved))
+    ranges = ranges.withColumn("_carried", F.last("_change", ignorenulls=True).over(before_range([key])))
+    joined = with_summary(rows, ranges, [key], "_opens", "_carried").withColumn("changed", F.when(first, F.col("_opens")).otherwise(moved))
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = F.last(F.when(F.col("changed"), F.col(at)), ignorenulls=True).over(running)
-    return joined.withColumn("last_changed", F.coalesce(last, F.col("_carried"))).drop("_span", "_before", "_opens", "_carried")
+    return joined.withColumn("last_changed", F.coalesce(last, F.col("_carried"))).drop(PART, PLACE, "_before", "_opens", "_carried")
 
 
 def due(registry: DataFrame, state: DataFrame, as_of: Column) -> DataFrame:

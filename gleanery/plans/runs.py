@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.operators import changes, discovery, items, page_state, registry, stats
+from gleanery.operators.keyed import checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -52,13 +53,15 @@ def collect_items(
 ) -> DataFrame:
     """Nested items of each organization from its best source.
 
-    Order: listing API, then page by page pre-extracted state, raw state and text. ``orgs`` holds handle,
-    display_name, description and org_tech; ``pages`` (handle, html) and ``listing`` (handle plus the
-    listing row) bring the data. Pages are scanned once and the HTML is dropped before any join; what the
-    pages of an organization served by the listing held is dropped after the scan.
+    Order: listing API, then of all pages of the organization pre-extracted state, raw state and text; an issue
+    counts once per organization. ``orgs`` holds handle, display_name, description and org_tech; ``pages``
+    (handle, html, and page_id or url for their order) and ``listing`` (handle plus the listing row) bring
+    the data. Pages are scanned once and the HTML is dropped before any join; what the pages of an
+    organization served by the listing held is dropped after the scan.
     """
     details = orgs.select("handle", "display_name", "description", "org_tech")
-    found = items.best_source_rows(pages.select("handle", "html"))
+    order = [c for c in ("page_id", "url") if c in pages.columns]
+    found = items.organization_rows(items.best_source_rows(pages.select("handle", *order, "html")), order)
     if listing is not None:
         served = listing.where("status = 'active'").select("handle").distinct()
         found = found.join(served, "handle", "left_anti")
@@ -84,18 +87,47 @@ class Refresh:
     diff: DataFrame
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def refresh(
-    orgs: DataFrame, signatures: DataFrame, state: DataFrame | None, previous: DataFrame, fresh: DataFrame, as_of: Column,
-    url_template: str, force_all: bool = False,
+    orgs: DataFrame, pages: DataFrame, state: DataFrame | None, previous: DataFrame, as_of: Column, url_template: str,
+    force_all: bool = False, issues: DataFrame | None = None, **signature,
 ) -> Refresh:
-    """Check pages, replace the items of changed organizations, and compare with the last snapshot.
+    """Check the pages, extract those of changed organizations, and put their items into the last snapshot.
 
-    ``fresh`` is the lazy item table; only its changed handles are read from it.
+    ``orgs`` holds handle, url, display_name, description and org_tech; ``pages`` handle and html, with page_id or
+    url for their order and error if there is one; ``previous`` flat items as ``flatten_items`` makes them.
+    Every page is read once for its signature. The changed handles are settled, and only their pages are
+    read again and extracted: the handles meet the pages below the extraction (``pages_of``), and no HTML is
+    moved if the pages are a table bucketed by handle or few handles changed.
     """
-    checked = page_state.check_pages(orgs, signatures, state, as_of, url_template, force_all)
+    read = pages.select("handle", "html", *[c for c in ("error",) if c in pages.columns])
+    signatures = page_state.handle_signatures(page_state.page_signatures(read, **signature))
+    checked = _settled(page_state.check_pages(orgs, signatures, state, as_of, url_template, force_all))
+    changed = page_state.changed_handles(checked)
+    todo = page_state.pages_of(pages, changed)
+    fresh = items.flatten_items(collect_items(orgs, todo, as_of, issues=issues)).select(*previous.columns)
+    return _replaced(checked, changed, previous, fresh)
+
+
+def refresh_from_items(
+    orgs: DataFrame, signatures: DataFrame, state: DataFrame | None, previous: DataFrame, fresh: DataFrame, as_of: Column,
+    url_template: str, force_all: bool = False,
+) -> Refresh:
+    """The same from signatures and a ready table of items, of which the changed organizations' are taken."""
+    checked = _settled(page_state.check_pages(orgs, signatures, state, as_of, url_template, force_all))
     changed = page_state.changed_handles(checked)
-    snapshot = changes.apply_changes(previous, fresh, changed)
-    return Refresh(checked, page_state.next_state(checked), snapshot, changes.diff_snapshots(previous, snapshot))
+    return _replaced(checked, changed, previous, fresh.join(changed, "handle", "left_semi"))
+
+
+def _replaced(checked: DataFrame, changed: DataFrame, previous: DataFrame, fresh: DataFrame) -> Refresh:
+    snapshot = _settled(changes.replace_keys(previous, fresh, changed))
+    fields = [f for f in changes.FIELDS if f in previous.columns]
+    diff = changes.diff_snapshots(previous, snapshot, fields=fields, tags="tags" if "tags" in previous.columns else None)
+    return Refresh(checked, page_state.next_state(checked), snapshot, diff)
 
 
 def discover(

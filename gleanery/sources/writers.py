@@ -132,6 +132,15 @@ def publish_changes(checked: DataFrame, path: str, fmt: str = "lines", size: int
         raise ValueError(f"unknown format: {fmt}")
 
 
+def land_pages(pages: DataFrame, name: str, buckets: int = 256) -> DataFrame:
+    """Pages as a table bucketed by handle, replacing one of that name.
+
+    Later joins by handle leave the pages where they are: only the other side is moved, to as many buckets.
+    """
+    pages.write.mode("overwrite").format("parquet").bucketBy(buckets, "handle").saveAsTable(name)
+    return pages.sparkSession.table(name)
+
+
 def append_run_log(entries: DataFrame, path: str) -> None:
     """Log entries as JSON lines under component and day."""
     dated = entries.withColumn("log_date", F.to_date("timestamp"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.operators.registry import select_targets
+from gleanery.operators.scans import number_within
 
 
 def changes_per_window(events: DataFrame, width: str = "2 minutes", watermark: str | None = None, at: str = "at") -> DataFrame:
@@ -29,12 +30,14 @@ def batch_sizes(changes: DataFrame) -> DataFrame:
 
 
 def change_payloads(changes: DataFrame, handles: int = 1000) -> DataFrame:
-    """Messages of about ``handles`` handles (a target, as they are dealt out by a hash): (window_start, window_end, part_no, changed_orgs, batch_size)."""
+    """Messages of ``handles`` handles, the last of a window with what is left: (window_start, window_end, part_no, changed_orgs, batch_size).
+
+    Handles are numbered within their window over sorted ranges, so a busy window is more than one task.
+    """
     window = ["window_start", "window_end"]
-    parts = changes.groupBy(*window).agg(F.ceil(F.count("*") / handles).cast("bigint").alias("_parts"))
-    spread = changes.join(parts, window).withColumn("part_no", F.pmod(F.xxhash64("handle"), F.col("_parts")) + 1)
-    spread = spread.repartition(*window, "part_no")  # a busy window is more than one task
-    return spread.groupBy(*window, "part_no").agg(
+    placed = number_within(changes.select(*window, "handle"), window, ["handle"], "_place")
+    parts = placed.withColumn("part_no", F.floor((F.col("_place") - 1) / handles) + 1)
+    return parts.groupBy(*window, "part_no").agg(
         F.array_sort(F.collect_list("handle")).alias("changed_orgs"), F.count("*").alias("batch_size")
     )
 

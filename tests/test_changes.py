@@ -14,6 +14,21 @@ ITEM = "id STRING, handle STRING, title STRING, amount_usd DOUBLE, url STRING, s
 T0 = dt.datetime(2025, 1, 1)
 
 
+@pytest.fixture
+def restored(spark):
+    """Session options for one test."""
+    before = {}
+
+    def put(options):
+        for k, v in options.items():
+            before.setdefault(k, spark.conf.get(k, None))
+            spark.conf.set(k, v)
+
+    yield put
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def item(spark, *rows):
     full = []
     for i, (id_, amount, *rest) in enumerate(rows):
@@ -44,6 +59,23 @@ def test_repeated_ids_against_itself(spark):
     assert changes.diff_snapshots(same, same).isEmpty()
 
 
+def test_repeated_ids_without_an_order(spark):
+    """Every row of a repeated id counts: what both sides say cancels out, the rest is paired."""
+    prev = item(spark, ("unknown-0", 1, "org", None, "A"), ("unknown-0", 9, "org", None, "Z"), ("unknown-0", 9, "org", None, "Z"), ("b", 1), (None, 4))
+    cur = item(spark, ("unknown-0", 500, "org", None, "A"), ("unknown-0", 9, "org", None, "Z"), ("b", 1), ("b", 1), (None, 4), (None, 6))
+    found = sorted((r.change_type, r.id, r.changes) for r in changes.diff_snapshots(prev, cur).where("id IS NOT NULL").collect())
+    assert found == [("added", "b", []), ("removed", "unknown-0", []), ("updated", "unknown-0", ["amount: $1 → $500"])]
+    assert kinds(changes.diff_snapshots(prev, cur).where("id IS NULL")) == {"added": [None]}
+
+
+def test_many_rows_of_one_id(spark):
+    """As many rows are left over as the multisets differ by, on a key that holds all rows."""
+    rows = spark.range(4000).select(F.lit("hot").alias("id"), (F.col("id") % 1500).cast("double").alias("amount_usd"), F.col("id").alias("seen"))
+    cur = rows.select("id", F.when(F.col("seen") % 100 == 0, F.col("amount_usd") + 0.5).otherwise(F.col("amount_usd")).alias("amount_usd"), F.col("seen") + 1)
+    diff = changes.diff_snapshots(rows, cur.withColumnRenamed("(seen + 1)", "seen"), fields=("amount_usd",), tags=None)
+    assert {r.change_type: r["count"] for r in diff.groupBy("change_type").count().collect()} == {"updated": 40}
+
+
 def test_nothing_changed(spark):
     prev = item(spark, ("b1", 100), ("b2", 200))
     assert changes.diff_snapshots(prev, prev).isEmpty()
@@ -111,8 +143,9 @@ def test_page_check(spark):
     assert sorted(r[0] for r in page_state.changed_handles(forced).collect()) == ["diff", "new", "same"]
 
 
-@pytest.mark.parametrize("span", ["day", "hour", "month"])
-def test_last_changed_is_carried_over_spans(spark, span):
+@pytest.mark.parametrize("partitions", ["1", "7", "40"])
+def test_last_changed_is_carried_over_ranges(spark, restored, partitions):
+    restored({"spark.sql.shuffle.partitions": partitions, "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     rng = random.Random(5)
     rows = [("hot" if rng.random() < 0.6 else f"k{rng.randrange(4)}", T0 + dt.timedelta(minutes=rng.randrange(60 * 24 * 9)), rng.choice("AAB"), i) for i in range(1500)]
     rows += [("nulls", T0, None, 9001), ("nulls", T0 + dt.timedelta(days=2), None, 9002), ("nulls", T0 + dt.timedelta(days=3), "A", 9003)]
@@ -122,11 +155,22 @@ def test_last_changed_is_carried_over_spans(spark, span):
     plain = history.withColumn("changed", before.isNull() | ~F.col("hash").eqNullSafe(before["hash"])).withColumn(
         "last_changed", F.last(F.when(F.col("changed"), F.col("at")), True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     )
-    got = page_state.carry_last_changed(history, "k", "at", "hash", ["n"], span)
+    got = page_state.carry_last_changed(history, "k", "at", "hash", ["n"])
     key = lambda df: sorted((r["n"], r["changed"], r["last_changed"]) for r in df.collect())
     assert key(got) == key(plain)
 
 
+def test_a_key_with_a_million_checks_in_a_day_is_split(spark, restored):
+    restored({"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    history = spark.range(1_000_000).select(F.lit("hot").alias("k"), F.timestamp_micros(F.col("id") * 80_000).alias("at"), F.floor(F.col("id") / 1000).alias("hash"), "id")
+    got = page_state.carry_last_changed(history, "k", "at", "hash", ["id"])
+    tasks = got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count_if("changed").alias("c")).collect()
+    assert len(tasks) >= 8 and max(t["n"] for t in tasks) < 500_000
+    assert sum(t["n"] for t in tasks) == 1_000_000 and sum(t["c"] for t in tasks) == 1000
+    wrong = got.where(F.unix_micros("last_changed") != F.floor(F.col("id") / 1000) * 80_000_000)
+    assert wrong.isEmpty()
+
+
 def test_due(spark):
     orgs = spark.createDataFrame([("never", 10), ("late", 60), ("exact", 100), ("early", 1000)], "handle STRING, scrape_interval BIGINT")
     state = _state(spark, ("late", ""), ("exact", ""), ("early", ""))
@@ -139,11 +183,29 @@ def test_refresh(spark):
     fresh = item(spark, ("a", 9, "x"), ("c", 3, "x"), ("b", 100, "y"))
     registry = spark.createDataFrame([("x", "u"), ("y", "u")], "handle STRING, url STRING")
     signed = spark.createDataFrame([("x", "new", 1), ("y", "old", 1)], "handle STRING, hash STRING, item_estimate BIGINT")
-    done = runs.refresh(registry, signed, _state(spark, ("x", "old"), ("y", "old")), prev, fresh, F.lit(T0), "https://x/{handle}")
+    done = runs.refresh_from_items(registry, signed, _state(spark, ("x", "old"), ("y", "old")), prev, fresh, F.lit(T0), "https://x/{handle}")
     assert kinds(done.diff) == {"added": ["c"], "updated": ["a"]}
     assert done.snapshot.where("id = 'b'").first()["amount_usd"] == 2
 
 
+def test_refresh_from_pages(spark):
+    """Only pages of changed organizations give items; an issue that two pages name is one item, and a failed page changes nothing."""
+    link = lambda *n: "".join(f"<p>github.com/o/r/issues/{i} for $5</p>" for i in n)
+    pages = [("same", link(1), 1), ("moved", link(2, 3), 1), ("moved", link(3, 4), 2), ("new", link(9), 1), ("failed", link(7), 1), ("failed", None, 2)]
+    page_rows = spark.createDataFrame(pages, "handle STRING, html STRING, page_id INT")
+    orgs = spark.createDataFrame([(h, "u", h, None, None) for h in ("same", "moved", "new", "failed", "unseen")], "handle STRING, url STRING, display_name STRING, description STRING, org_tech ARRAY<STRING>")
+    signed = {r["handle"]: r["hash"] for r in page_state.handle_signatures(page_state.page_signatures(page_rows)).collect()}
+    assert signed["failed"] is None and signed["moved"] is not None
+    state = _state(spark, ("same", signed["same"]), ("moved", "h"), ("failed", "h"))
+    flat = "id STRING, handle STRING, title STRING, amount_usd DOUBLE, url STRING, status STRING"
+    previous = spark.createDataFrame([("same#1", "same", "old", 1.0, "u", "open"), ("moved#2", "moved", "old", 1.0, "u", "open"), ("moved#5", "moved", "old", 1.0, "u", "open"), ("failed#7", "failed", "old", 1.0, "u", "open")], flat)
+    done = runs.refresh(orgs, page_rows, state, previous, F.lit(T0), "https://x/{handle}")
+    assert sorted(r["id"] for r in done.snapshot.collect()) == ["failed#7", "moved#2", "moved#3", "moved#4", "new#9", "same#1"]
+    assert kinds(done.diff) == {"added": ["moved#3", "moved#4", "new#9"], "removed": ["moved#5"], "updated": ["moved#2"]}
+    assert {r["handle"]: r["outcome"] for r in done.checked.collect()} == {"same": "unchanged", "moved": "changed", "new": "changed", "failed": "error", "unseen": "error"}
+    assert {r["handle"]: r["hash"] for r in done.state.collect()}["failed"] == "h"
+
+
 def test_batches_are_exact_and_complete(spark):
     rows = spark.range(1003).select((F.col("id") % 5).alias("hot"), F.col("id"))
     got = keyed.assign_batches(rows, 10, ["hot", "id"])

@@ -136,15 +136,18 @@ def _checks(spark):
     return spark.createDataFrame(rows, "handle STRING, checked_at TIMESTAMP, html STRING")
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    checks = _checks(spark)
+@pytest.mark.parametrize("held", [3, 10_000])
+def test_stream_equals_batch(spark, tmp_path, held):
+    """Several micro-batches, with more checks of a handle in one than are held in memory, and two at one time."""
+    twice = spark.createDataFrame([("hot", T0 + dt.timedelta(hours=3), "open open"), ("hot", T0 + dt.timedelta(hours=3), "open")], "handle STRING, checked_at TIMESTAMP, html STRING")
+    checks = _checks(spark).unionByName(twice)
     # Files in time order, one per micro-batch.
     for day, cut in enumerate((T0, T0 + dt.timedelta(hours=12), T0 + dt.timedelta(hours=25))):
         end = cut + dt.timedelta(hours=(12, 13, 99)[day])
         checks.where((F.col("checked_at") >= F.lit(cut)) & (F.col("checked_at") < F.lit(end))).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(checks.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     run = (
-        page_changes.stream_page_changes(stream).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        page_changes.stream_page_changes(stream, held=held).writeStream.format("parquet").option("path", str(tmp_path / "out"))
         .option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True).start()
     )
     run.awaitTermination()
@@ -167,11 +170,18 @@ def test_change_windows_stream(spark, tmp_path):
     batch = change_batches.changes_per_window(events, "2 minutes").where(F.col("window_end") <= F.lit(T0 + dt.timedelta(seconds=535)))
     expected = batch.select(F.col("window_start").alias("w"), F.col("handle").alias("h"))
     assert sorted(got.collect()) == sorted(expected.collect()) and got.count() > 30
-    assert sent.agg(F.max("batch_size")).first()[0] < 25
+    assert sent.agg(F.max("batch_size")).first()[0] == 10
     sizes = {r["batch_size"] for r in change_batches.batch_sizes(batch).collect()}
     assert sizes <= {19, 20}
 
 
+def test_messages_have_a_true_maximum(spark):
+    rows = spark.range(1000).select(F.lit(T0).alias("window_start"), F.lit(T0).alias("window_end"), F.concat(F.lit("h"), F.col("id")).alias("handle"))
+    sent = change_batches.change_payloads(rows.unionByName(rows.limit(7).withColumn("window_end", F.lit(None).cast("timestamp"))), 100).collect()
+    assert sorted(r["batch_size"] for r in sent) == [7] + [100] * 10
+    assert len({h for r in sent for h in r["changed_orgs"]}) == 1000
+
+
 def test_repeats_within_delay(spark, tmp_path):
     rows = [("a", T0), ("a", T0 + dt.timedelta(seconds=5)), ("b", T0)]
     events = spark.createDataFrame(rows, "handle STRING, at TIMESTAMP")

@@ -9,7 +9,7 @@ from gleanery.catalog import QUERIES
 from gleanery.catalog.tables import items
 from gleanery.operators import changes, stats
 
-SKIP = {"stream_page_changes"}  # runs a stream with a Python state processor
+SKIP = {"stream_page_changes", "stream_changes_since_state"}  # run a stream with a Python state processor
 
 
 def plan(df):
@@ -28,12 +28,6 @@ def test_top_k_does_not_sort_all(spark, sf):
     assert "TakeOrderedAndProject" in plan(QUERIES["top_organizations"](spark, sf))
 
 
-def test_diff_without_order_is_one_join(spark, sf):
-    one = items(spark, sf)
-    text = plan(changes.diff_snapshots(one, one.where("amount_usd > 50")))
-    assert len(re.findall(r"Join", text)) == 1
-
-
 def test_scans_read_only_what_they_need(spark, sf):
     text = plan(stats.totals(items(spark, sf)))
     assert "o_orderpriority" not in text and "o_orderstatus" not in text
@@ -113,7 +107,33 @@ def test_hot_organization_is_spread_over_parts(spark, small_limits):
     assert len(hot) >= 8 and max(r["count"] for r in hot) < 6000 and sum(r["count"] for r in hot) == 20000
 
 
-def test_one_hot_host_is_cut_by_day(spark, small_limits):
+def test_diff_without_order_splits_a_hot_key(spark, small_limits):
+    rows = spark.range(0, 20000, 1, 8).select(F.lit("hot").alias("id"), F.col("id").cast("double").alias("amount_usd"), F.lit("x").alias("title"))
+    diff = changes.diff_snapshots(rows, rows.withColumn("amount_usd", F.col("amount_usd") + 0.5), fields=("title", "amount_usd"), tags=None)
+    tasks = diff.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 8 and sum(r["count"] for r in tasks) == 20000
+
+
+@pytest.mark.parametrize("most", [100, 0])
+def test_refresh_reads_the_changed_pages_without_moving_html(spark, most):
+    """The handles meet the pages below the extraction; beyond the limit they go to the buckets of the pages."""
+    from gleanery.operators import items as item_ops, page_state
+    from gleanery.sources import writers
+
+    schema = "handle STRING, html STRING"
+    rows = [(f"h{i}", f"<p>github.com/o/r/issues/{i}</p>") for i in range(50)]
+    pages = writers.land_pages(spark.createDataFrame(rows, schema), "pages_by_handle_test", 4)
+    handles = spark.createDataFrame([("h3",), ("h7",), ("none",)], "handle STRING")
+    found = item_ops.best_source_rows(page_state.pages_of(pages, handles, most))
+    text = plan(found)
+    below = text[text.index("Generate"):]
+    assert "LeftSemi" in below and ("BroadcastHashJoin" if most else "ShuffledHashJoin") in below
+    scan = below[below.index("LeftSemi"):]
+    assert "Exchange" not in scan[: scan.index("FileScan")]  # the pages are the left side, and come straight from their files
+    assert sorted(r["number"] for r in found.collect()) == [3, 7]
+
+
+def test_one_hot_host_is_cut_by_ranges(spark, small_limits):
     from gleanery.operators import page_state
 
     rows = spark.range(0, 20000, 1, 8).select(
