@@ -6,7 +6,7 @@ from importlib import import_module
 
 from gleanery.catalog.core import ORACLES, QUERIES
 
-for _section in ("rows", "joins", "aggregates", "sets", "text", "incremental"):
+for _section in ("rows", "joins", "aggregates", "sets", "text", "incremental", "files"):
     import_module(f"gleanery.catalog.{_section}")
 
 __all__ = ["ORACLES", "QUERIES"]

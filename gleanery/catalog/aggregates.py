@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gleanery.catalog.core import query
 from gleanery.catalog.joins import customer_outcomes
+from gleanery.catalog.rows import state_pages
 from gleanery.catalog.tables import ITEMS, LISTINGS, PARTS_TAGGED, AS_OF, as_of, items, listings, parts_tagged, table, text, with_ctes
 from gleanery.functions import markup
-from gleanery.operators import discovery, keyed, percentiles, registry, stats
+from gleanery.operators import discovery, items as item_ops, keyed, percentiles, registry, stats
 from gleanery.plans import runs
 
 _USD = "CAST(sum(CAST(round({0} * 100) AS BIGINT)) AS BIGINT) / 100.0::DOUBLE"
@@ -224,12 +227,35 @@ def snapshot_totals(spark, sf):
 
 @query(with_ctes(LISTINGS) + r""", links AS (SELECT page_id, list_filter(regexp_extract_all(html, '(?i)<a\b[^>]*href="([^"]*)"', 1), lambda l: contains(l, 'github.com')) AS f FROM listings)
 SELECT page_id, len(f) AS total, len(list_filter(f, lambda l: contains(l, '/issues/') OR contains(l, '/pull/'))) AS issues,
-len(f) - len(list_filter(f, lambda l: contains(l, '/issues/') OR contains(l, '/pull/'))) AS other FROM links""")
+len(f) - len(list_filter(f, lambda l: contains(l, '/issues/') OR contains(l, '/pull/'))) AS other, 0::BIGINT AS embedded FROM links""")
 def link_statistics(spark, sf):
     links = listings(spark, sf).select("page_id", markup.extract_links("html").alias("links"))
     return stats.link_counts(links)
 
 
+@query(with_ctes(LISTINGS) + r""", links AS (SELECT list_filter(regexp_extract_all(html, '(?i)<a\b[^>]*href="([^"]*)"', 1), lambda l: contains(l, 'github.com')) AS f FROM listings),
+counts AS (SELECT len(f) AS total, len(list_filter(f, lambda l: contains(l, '/issues/') OR contains(l, '/pull/'))) AS issues, 0 AS embedded FROM links
+  UNION ALL SELECT 0, 0, 1 FROM orders)
+SELECT count(*) AS pages, sum(total)::BIGINT AS total, sum(issues)::BIGINT AS issues, sum(total - issues)::BIGINT AS other, sum(embedded)::BIGINT AS embedded,
+count_if(total = 0)::BIGINT AS pages_without_links, count_if(issues = 0)::BIGINT AS pages_without_issues FROM counts""")
+def link_totals(spark, sf):
+    """Links of all listing pages and rows of all embedded states."""
+    pages = listings(spark, sf).select("page_id", "html").unionByName(state_pages(spark, sf).select("page_id", "html"))
+    found = pages.select("page_id", markup.extract_links("html").alias("links"), item_ops.candidates(item_ops.embedded_state("html")).alias("rows"))
+    return stats.link_totals(stats.link_counts(found, embedded="rows"))
+
+
+@query("""SELECT event_type AS component, count(*) AS entries, count(DISTINCT user_id) AS users, true AS close FROM events GROUP BY 1""")
+def distinct_from_daily_sketches(spark, sf):
+    """Distinct users of all days from sketches stored per day, against the exact number: less than 2 % apart."""
+    path = f"{keyed.checkpoint_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    events = table(spark, sf, "events").withColumnRenamed("event_type", "component")
+    stats.daily_sketches(events, "component", "ts", "user_id").write.parquet(path)
+    merged = stats.distinct_over_days(spark.read.schema("component STRING, day DATE, entries BIGINT, sketch BINARY").parquet(path), "component")
+    exact = events.groupBy("component").agg(F.countDistinct("user_id").alias("users"))
+    return merged.join(exact, "component").select("component", "entries", "users", (F.abs(F.col("distinct_values") - F.col("users")) < 0.02 * F.col("users")).alias("close"))
+
+
 @query("""SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS entries, count_if(value < 50)::DOUBLE / count(*) AS success_rate,
 CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) / 100.0::DOUBLE / count(value) AS avg_duration, round(quantile_cont(value, 0.95), 6) AS p95_duration
 FROM events GROUP BY 1, 2""")

@@ -163,6 +163,15 @@ def items_through_envelopes(spark, sf):
     return _flat(readers.envelope_rows(readers.parse_documents(envelopes, "value", schemas.ENVELOPE)))
 
 
+@query(_LISTING_SQL)
+def items_through_cursor_chain(spark, sf):
+    """Envelopes of about two items each, whose cursors are followed from the first page to the last."""
+    envelopes = writers.as_envelopes(_listing_items(spark, sf), 2)
+    pages = readers.parse_documents(envelopes, "value", schemas.ENVELOPE, ["handle", "page"])
+    chained = readers.chained_pages(pages.withColumn("next_cursor", F.col("result.data.json.next_cursor")), ["handle"], "page")
+    return _flat(readers.envelope_rows(chained.where("page_no >= 1")))
+
+
 @query(r"""SELECT 'i' || o_orderkey AS id, 'task-i' || o_orderkey AS task_id, 'org/repo#' || o_orderkey AS hash,
 '$' || CAST(round(CAST(round(o_totalprice) AS BIGINT) / 100.0::DOUBLE) AS BIGINT) AS reward_formatted,
 'user' || o_custkey AS login, o_custkey AS user_id, 'Customer ' || o_custkey AS company,

@@ -165,20 +165,49 @@ def success_rate(df: DataFrame, success: Column, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.try_divide(F.count_if(success).cast("double"), F.count("*")).alias("success_rate"))
 
 
-def link_counts(links: DataFrame, key: str = "page_id") -> DataFrame:
-    """Per page: forge links, issue links among them and the rest. Row-local."""
+def link_counts(links: DataFrame, key: str = "page_id", embedded: str | None = None) -> DataFrame:
+    """Per page: forge links, issue links among them and the rest, and the rows of its embedded state. Row-local.
+
+    ``embedded`` names the column with the candidates of the page's state (see ``items.candidates``).
+    """
     forge = forge_links(F.col("links"))
+    rows = F.lit(0) if embedded is None else F.greatest(F.coalesce(F.size(embedded), F.lit(0)), F.lit(0))
     return (
-        links.select(key, forge.alias("_forge"))
+        links.select(key, forge.alias("_forge"), rows.cast("bigint").alias("embedded"))
         .select(
             key,
             F.size("_forge").cast("bigint").alias("total"),
             F.size(F.filter("_forge", is_issue_link)).cast("bigint").alias("issues"),
+            "embedded",
         )
         .withColumn("other", F.col("total") - F.col("issues"))
     )
 
 
+def link_totals(counts: DataFrame) -> DataFrame:
+    """One row over all pages of ``link_counts``: pages, their links of each kind, and pages without a link and without an issue link."""
+    summed = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "issues", "other", "embedded")]
+    return counts.agg(
+        F.count("*").alias("pages"), *summed, F.count_if(F.col("total") == 0).alias("pages_without_links"), F.count_if(F.col("issues") == 0).alias("pages_without_issues")
+    )
+
+
+#: 2**14 registers: a standard error below 1 %, and at most 16 kB a sketch.
+SKETCH_BITS = 14
+
+
+def daily_sketches(log: DataFrame, component: str, at: str, value: str) -> DataFrame:
+    """Entries and a mergeable sketch of the distinct values per component and day, to be stored."""
+    days = log.withColumn("day", F.to_date(at))
+    return days.groupBy(component, "day").agg(F.count("*").alias("entries"), F.hll_sketch_agg(value, SKETCH_BITS).alias("sketch"))
+
+
+def distinct_over_days(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Entries and about how many distinct values there are, over all days of stored sketches; nothing is scanned again."""
+    merged = sketches.groupBy(*keys).agg(F.sum("entries").alias("entries"), F.hll_union_agg("sketch").alias("_sketch"))
+    return merged.select(*keys, "entries", F.hll_sketch_estimate("_sketch").alias("distinct_values"))
+
+
 def run_metrics(log: DataFrame, component: str, at: str, duration: str, success: Column) -> DataFrame:
     """Volume, success rate and processing time per component and day."""
     days = log.withColumn("day", F.to_date(at)).withColumn("_ok", success)

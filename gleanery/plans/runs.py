@@ -42,6 +42,13 @@ class Snapshot:
     def stats(self, full: bool = True) -> DataFrame:
         return stats.stats_report(self.items, self.organizations, self.as_of, full=full)
 
+    def tables(self, full: bool = True, k: int = 10) -> dict[str, DataFrame]:
+        """All that is published of a run, by name (see ``publish_snapshot``)."""
+        return {
+            "items": self.items, "organizations": self.organizations, "totals": self.totals, "metadata": self.metadata,
+            "stats": self.stats(full), "top_organizations": stats.top_orgs(self.items, k),
+        }
+
 
 def build_snapshot(flat_items: DataFrame, outcomes: DataFrame, as_of: Column, version: str = "1.0.0") -> Snapshot:
     """Items and outcome rows of a run as a snapshot; ``nested_by_org`` and the writers publish it."""

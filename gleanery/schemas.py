@@ -74,6 +74,11 @@ INDEX = (
     f"version STRING, organizations MAP<STRING, {nested(INDEX_ORG)}>"
 )
 
+INDEX_ROW = (
+    "handle STRING, display_name STRING, item_count BIGINT, total_value_usd DOUBLE, part_no BIGINT, part_count BIGINT, "
+    f"items ARRAY<{nested(FLAT_ITEM)}>, snapshot_date DATE"
+)
+
 PAGE_STATE = (
     "url STRING, hash STRING, last_checked TIMESTAMP, last_changed TIMESTAMP, bounty_count_estimate BIGINT"
 )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gleanery import schemas
 from gleanery.functions.scalars import url_handle
+from gleanery.operators.keyed import checkpoint_dir
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -67,6 +68,41 @@ def envelope_rows(documents: DataFrame) -> DataFrame:
     return _expand_copies(documents.select(F.explode("result.data.json.items").alias("_i")).select("_i.*"))
 
 
+def chained_pages(pages: DataFrame, keys: Sequence[str], cursor: str = "cursor", following: str = "next_cursor") -> DataFrame:
+    """Pages with their place (``page_no``, from 1) in the chain of cursors of their key.
+
+    A page is named by ``cursor`` and names the next one by ``following``; the last names none. A chain that is
+    broken fails when its rows are read: a page that is named and not there, two pages of one name, two
+    that lead to one page, more or less than one last page, or pages that lead round in a loop.
+
+    Places are found by doubling: in each round a page learns how far the end is by asking the page that it
+    can already see, so a chain of n pages takes about log2(n) joins on unique keys.
+    """
+    keys = list(keys)
+    checkpoint_dir(pages.sparkSession)
+    links = pages.select(*keys, F.col(cursor).cast("string").alias("_c"), F.col(following).cast("string").alias("_next")).checkpoint()
+    named = links.where("_next IS NOT NULL").select(*keys, F.col("_next").alias("_c"), F.lit(1).alias("_named"))
+    both = links.groupBy(*keys, "_c").agg(F.count("*").alias("_pages")).join(named.groupBy(*keys, "_c").agg(F.sum("_named").alias("_named")), [*keys, "_c"], "full_outer")
+    faults = both.groupBy(*keys).agg(
+        F.count_if(F.col("_pages").isNull()).alias("_missing"), F.count_if(F.col("_pages") > 1).alias("_twice"), F.count_if(F.col("_named") > 1).alias("_joined")
+    )
+    ends = links.groupBy(*keys).agg(F.count("*").alias("_n"), F.count_if(F.col("_next").isNull()).alias("_ends"))
+    most = ends.agg(F.max("_n")).first()[0] or 1
+    far = links.withColumn("_left", F.when(F.col("_next").isNull(), 0).otherwise(1).cast("bigint"))
+    for _ in range(max(1, (most - 1).bit_length())):
+        seen = far.select(*keys, F.col("_c").alias("_next"), F.col("_left").alias("_more"), F.col("_next").alias("_beyond"))
+        far = far.join(seen, [*keys, "_next"], "left").select(*keys, "_c", F.col("_beyond").alias("_next"), (F.col("_left") + F.coalesce("_more", F.lit(0))).alias("_left")).checkpoint()
+    loops = far.groupBy(*keys).agg(F.count("_next").alias("_looped"))
+    said = F.concat_ws(", ", *[
+        F.when(F.col(c) > 0, F.lit(text)) for c, text in (("_missing", "a page is missing"), ("_twice", "two pages have one cursor"), ("_joined", "two pages lead to one"), ("_looped", "pages lead round in a loop"))
+    ], F.when(F.col("_ends") != 1, F.lit("there is not one last page")))
+    checked = ends.join(faults, keys).join(loops, keys).withColumn("_fault", F.nullif(said, F.lit("")))
+    message = F.concat(F.lit("broken chain of "), F.concat_ws("/", *keys), F.lit(": "), "_fault")
+    place = F.when(F.col("_fault").isNotNull(), F.raise_error(message).cast("bigint")).otherwise(F.col("_n") - F.col("_left"))
+    placed = far.select(*keys, F.col("_c").alias("_cursor"), "_left").join(checked.select(*keys, "_n", "_fault"), keys).select(*keys, "_cursor", place.alias("page_no"))
+    return pages.withColumn("_cursor", F.col(cursor).cast("string")).join(placed, [*keys, "_cursor"]).drop("_cursor")
+
+
 def read_envelope(spark: SparkSession, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
     """API envelopes to nested items. ``lines`` reads one envelope per line and splits large files."""
     return envelope_rows(_documents(spark, schemas.ENVELOPE, paths, lines))
@@ -96,6 +132,13 @@ def read_index(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return index_items(_documents(spark, schemas.INDEX, paths))
 
 
+def read_index_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Flat items of all dates of an index as ``write_index`` leaves it: snapshot_date, handle, display_name and the item."""
+    rows = spark.read.schema(schemas.INDEX_ROW).json(path)
+    found = rows.select("snapshot_date", "handle", "display_name", F.explode("items").alias("_b"))
+    return _expand_copies(found.select("snapshot_date", "handle", "display_name", "_b.*"))
+
+
 def state_rows(documents: DataFrame) -> DataFrame:
     """Keyed page-state documents to state rows."""
     return documents.select(F.explode("organizations").alias("handle", "_s")).select(

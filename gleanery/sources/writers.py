@@ -6,7 +6,13 @@ items come in parts of bounded size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import json
+import uuid
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery import schemas
@@ -69,47 +75,161 @@ def write_index(nested: DataFrame, path: str, snapshot_date: Column) -> None:
     _json(nested.withColumn("snapshot_date", snapshot_date), path, "overwrite", "snapshot_date", dynamic=True)
 
 
+def _dates(df: DataFrame, snapshot_date: Column) -> list:
+    """The dates that a snapshot is written under: one, unless the date depends on the rows."""
+    spark = df.sparkSession
+    try:
+        return [spark.range(1).select(snapshot_date.cast("date").alias("d")).first()["d"]]
+    except AnalysisException:
+        return [r["d"] for r in df.select(snapshot_date.cast("date").alias("d")).distinct().collect()]
+
+
 def archive(df: DataFrame, path: str, snapshot_date: Column, on_exists: str = "overwrite") -> None:
-    """Dated copy. A date that is already there is replaced, or left alone with ``on_exists='skip'``."""
+    """Dated copy. A date that is already there is replaced, or left alone with ``on_exists='skip'``.
+
+    Whether a date is there is asked of its folder alone; no file of the archive is opened.
+    """
     dated = df.withColumn("snapshot_date", snapshot_date.cast("date"))
-    writer = lambda d, mode: d.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path)
-    if on_exists == "overwrite":
-        writer(dated, "overwrite")
-    elif on_exists == "skip":
-        spark = df.sparkSession
-        if path_exists(spark, path):
-            present = spark.read.parquet(path).select(F.col("snapshot_date").cast("date")).distinct()
-            dated = dated.join(present, "snapshot_date", "left_anti")
-        writer(dated, "append")
-    else:
+    if on_exists == "skip":
+        days = _dates(df, snapshot_date)
+        present = [d for d in days if path_exists(df.sparkSession, f"{path}/snapshot_date={d}")]
+        if len(present) == len(days):
+            return
+        if present:
+            dated = dated.where(~F.col("snapshot_date").isin(present))
+    elif on_exists != "overwrite":
         raise ValueError(f"unknown on_exists: {on_exists}")
+    mode = "overwrite" if on_exists == "overwrite" else "append"
+    dated.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path)
 
 
-def current_version(spark: SparkSession, path: str) -> int | None:
-    """Number of the last complete state version, from the one-row commit records."""
+# --- versions --------------------------------------------------------------------------------------
+
+#: Versions from one full copy to the next, and full copies that are kept.
+FULL_EVERY, KEEP = 16, 2
+
+
+class Conflict(RuntimeError):
+    """Another writer has committed the same version first."""
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its terms."""
+    jvm = spark.sparkContext._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), there, jvm
+
+
+def _commit(spark: SparkSession, path: str, version: int, folder: str, full: bool) -> None:
+    """Record a version: a file that only one writer can create, named by its number, with the folder that holds its rows."""
+    files, _, jvm = _files(spark, path)
+    record = jvm.org.apache.hadoop.fs.Path(f"{path}/commits/{version:012d}.json")
+    try:
+        out = files.create(record, False)
+    except Py4JJavaError as e:
+        raise Conflict(f"version {version} of {path} is there already") from e
+    out.write(bytearray(json.dumps({"version": version, "folder": folder, "is_full": full}).encode()))
+    out.close()
+
+
+def versions(spark: SparkSession, path: str) -> list[Row]:
+    """The committed versions (version, folder, is_full) that can still be read, in order: those since the oldest full copy kept."""
     if not path_exists(spark, f"{path}/commits"):
+        return []
+    return spark.read.schema("version BIGINT, folder STRING, is_full BOOLEAN").json(f"{path}/commits").orderBy("version").collect()
+
+
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """Number of the last committed version."""
+    done = versions(spark, path)
+    return done[-1]["version"] if done else None
+
+
+def _drop_old(spark: SparkSession, path: str, keep: int) -> None:
+    """Remove what lies before the oldest of the last ``keep`` full copies: the records first, then their rows."""
+    done = versions(spark, path)
+    full = [v["version"] for v in done if v["is_full"]]
+    if len(full) <= keep:
+        return
+    files, _, jvm = _files(spark, path)
+    old = [v for v in done if v["version"] < full[-keep]]
+    for v in old:
+        files.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/commits/{v['version']:012d}.json"), False)
+    for v in old:
+        files.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{v['folder']}"), True)
+
+
+def write_state(state: DataFrame, path: str, keep: int = KEEP, full_every: int = FULL_EVERY) -> int:
+    """Write the next version of a state (one row per handle) and record it; readers see the last one until then.
+
+    A version holds the rows that differ from the version before and the handles that are gone; every
+    ``full_every`` versions it is a full copy, and copies older than the last ``keep`` are removed. Two writers
+    cannot both commit a version: the later one fails with ``Conflict`` and leaves a folder that nothing names.
+    """
+    spark = state.sparkSession
+    done = versions(spark, path)
+    version = done[-1]["version"] + 1 if done else 1
+    since = next((i for i, v in enumerate(reversed(done)) if v["is_full"]), None)
+    full = since is None or since + 1 >= full_every
+    folder = f"versions/{version:012d}-{uuid.uuid4().hex}"
+    rows = state.withColumn("_gone", F.lit(False))
+    if not full:
+        before = read_state(spark, path)
+        names = state.columns
+        differs = F.lit(False)
+        for c in names:
+            differs = differs | ~F.col(f"_new.{c}").eqNullSafe(F.col(f"_old.{c}"))
+        both = state.select("handle", F.struct(*names).alias("_new")).join(before.select(F.col("handle").alias("_h"), F.struct(*names).alias("_old")), F.col("handle") == F.col("_h"), "full_outer")
+        gone = F.col("_new").isNull()
+        kept = [F.when(gone, F.col(f"_old.{c}")).otherwise(F.col(f"_new.{c}")).alias(c) for c in names]
+        rows = both.where(gone | F.col("_old").isNull() | differs).select(*kept, gone.alias("_gone"))
+    rows.write.mode("errorifexists").parquet(f"{path}/{folder}")
+    _commit(spark, path, version, folder, full)
+    _drop_old(spark, path, keep)
+    return version
+
+
+def read_state(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """The last state, or that of a version still kept; None when there is none yet, which means a first run. Damaged state fails.
+
+    A handle's row is its last one since the full copy that the version builds on.
+    """
+    done = [v for v in versions(spark, path) if version is None or v["version"] <= version]
+    if not done or version is not None and done[-1]["version"] != version:
         return None
-    row = spark.read.schema("version BIGINT").json(f"{path}/commits").agg(F.max("version").alias("v")).first()
-    return row["v"]
+    start = max(i for i, v in enumerate(done) if v["is_full"])
+    read = lambda v: spark.read.schema(f"{schemas.STATE}, _gone BOOLEAN").parquet(f"{path}/{v['folder']}").withColumn("_version", F.lit(v["version"]))
+    parts = [read(v) for v in done[start:]]
+    if len(parts) == 1:
+        return parts[0].drop("_gone", "_version")
+    rows = reduce(DataFrame.unionByName, parts)
+    names = [c for c in rows.columns if c != "_version"]
+    last = rows.groupBy("handle").agg(F.max_by(F.struct(*names), "_version").alias("_r"))
+    return last.select("_r.*").where("NOT _gone").drop("_gone")
 
 
-def write_state(state: DataFrame, path: str) -> int:
-    """Write a full new state version, then record it. Readers see the old version until then.
+def publish_snapshot(tables: dict[str, DataFrame], path: str, changes: DataFrame | None = None, keep: int = KEEP) -> int | None:
+    """Write all tables of a snapshot and then record them as one version, so that readers see all or none of them.
 
-    One writer at a time. A failed write leaves a folder without a commit record, which the next
-    version with that number replaces.
+    Without a row in ``changes`` nothing is written. Versions older than the last ``keep`` are removed.
     """
-    spark = state.sparkSession
-    version = (current_version(spark, path) or 0) + 1
-    state.write.mode("overwrite").parquet(f"{path}/versions/{version}")
-    spark.range(1).select(F.lit(version).cast("bigint").alias("version")).coalesce(1).write.mode("append").json(f"{path}/commits")
+    if changes is not None and changes.isEmpty():
+        return None
+    spark = next(iter(tables.values())).sparkSession
+    done = versions(spark, path)
+    version = done[-1]["version"] + 1 if done else 1
+    folder = f"versions/{version:012d}-{uuid.uuid4().hex}"
+    for name, table in tables.items():
+        table.write.mode("errorifexists").parquet(f"{path}/{folder}/{name}")
+    _commit(spark, path, version, folder, True)
+    _drop_old(spark, path, keep)
     return version
 
 
-def read_state(spark: SparkSession, path: str) -> DataFrame | None:
-    """Latest state version; None when there is none yet, which means a first run. Damaged state fails."""
-    version = current_version(spark, path)
-    return None if version is None else spark.read.schema(schemas.STATE).parquet(f"{path}/versions/{version}")
+def read_snapshot(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    """A table of the last published snapshot; None before the first one."""
+    done = versions(spark, path)
+    return spark.read.parquet(f"{path}/{done[-1]['folder']}/{name}") if done else None
 
 
 def comma_batches(handles: DataFrame, size: int = 1000) -> DataFrame:
@@ -147,14 +267,6 @@ def append_run_log(entries: DataFrame, path: str) -> None:
     _json(dated, path, "append", "component", "log_date")
 
 
-def publish_if_changed(snapshot: DataFrame, path: str, changes: DataFrame | None) -> bool:
-    """Write the snapshot when the change table holds a row, or always without one. Asks for one row first."""
-    if changes is not None and changes.isEmpty():
-        return False
-    snapshot.write.mode("overwrite").parquet(path)
-    return True
-
-
 def write_registry(registry: DataFrame, discovered: DataFrame, path: str) -> None:
     """Graded registry rows and, beside them, totals and counts by discovery method."""
     _json(registry, f"{path}/organizations")

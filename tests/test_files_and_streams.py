@@ -61,6 +61,31 @@ def test_items_and_envelopes_survive(spark, tmp_path):
     assert len(pages) <= 3 and sum('"next_cursor":null' in p["value"] for p in pages) <= 1
 
 
+def chain(spark, *pages):
+    rows = spark.createDataFrame([(h, c, n, i) for i, (h, c, n) in enumerate(pages)], "handle STRING, cursor STRING, next_cursor STRING, i INT")
+    return {(r["handle"], r["cursor"]): r["page_no"] for r in readers.chained_pages(rows, ["handle"]).collect()}
+
+
+def test_cursor_chains(spark):
+    long = [("long", str(i * 7 % 101), str((i + 1) * 7 % 101) if i < 100 else None) for i in range(101)]
+    found = chain(spark, *long, ("one", "x", None), ("two", "b", None), ("two", "a", "b"))
+    assert found["one", "x"] == 1 and found["two", "a"] == 1 and found["two", "b"] == 2
+    assert [found["long", str(i * 7 % 101)] for i in range(101)] == list(range(1, 102))
+
+
+@pytest.mark.parametrize("pages, fault", [
+    ([("a", "1", "2"), ("a", "3", None)], "missing"),
+    ([("a", "1", "2"), ("a", "2", None), ("a", "2", None)], "one cursor"),
+    ([("a", "1", "3"), ("a", "2", "3"), ("a", "3", None)], "lead to one"),
+    ([("a", "1", None), ("a", "2", "3"), ("a", "3", "4"), ("a", "4", "2")], "loop"),
+    ([("a", "1", "2"), ("a", "2", "1")], "not one last page"),
+    ([("a", "1", None), ("a", "2", None)], "not one last page"),
+])
+def test_broken_chains_fail(spark, pages, fault):
+    with pytest.raises(PySparkException, match=fault):
+        chain(spark, ("fine", "1", None), *pages)
+
+
 def test_index_rows_and_archive(spark, tmp_path):
     flat = items.flatten_items(nested(spark))
     rows = stats.nested_by_org(flat, 3)
@@ -77,6 +102,14 @@ def test_index_rows_and_archive(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5
     writers.archive(second, path, F.lit(dt.date(2025, 1, 2)), "skip")
     assert spark.read.parquet(path).count() == 10
+    # A date that is there is skipped by its folder: none of the files is opened, not even a damaged one.
+    damaged = tmp_path / "archive/snapshot_date=2025-01-03"
+    damaged.mkdir()
+    (damaged / "part-0.parquet").write_text("not parquet")
+    writers.archive(second, path, F.lit(dt.date(2025, 1, 3)), "skip")
+    by_row = second.withColumn("d", F.when(F.col("id") > "", F.lit(dt.date(2025, 1, 3))))
+    writers.archive(by_row, path, F.col("d"), "skip")
+    assert (damaged / "part-0.parquet").read_text() == "not parquet"
 
 
 def test_state_versions(spark, tmp_path):
@@ -98,8 +131,60 @@ def test_publish(spark, tmp_path):
     assert read("commas") == ["h0,h1,h2", "h3,h4"]
     writers.publish_changes(checked, str(tmp_path / "json"), "json")
     assert spark.read.json(str(tmp_path / "json")).count() == 8
-    assert not writers.publish_if_changed(checked, str(tmp_path / "out"), checked.limit(0))
-    assert writers.publish_if_changed(checked, str(tmp_path / "out"), None)
+
+
+def _state_of(spark, *rows):
+    return spark.createDataFrame([(h, "u", digest, T0, T0, 1) for h, digest in rows], "handle STRING, url STRING, hash STRING, last_checked TIMESTAMP, last_changed TIMESTAMP, item_estimate BIGINT")
+
+
+def test_state_versions_hold_what_differs(spark, tmp_path):
+    path = str(tmp_path / "state")
+    hashes = lambda version=None: {r["handle"]: r["hash"] for r in writers.read_state(spark, path, version).collect()}
+    writers.write_state(_state_of(spark, ("a", "1"), ("b", "1"), ("c", "1")), path)
+    writers.write_state(_state_of(spark, ("a", "1"), ("b", "2"), ("d", None)), path)
+    last = writers.versions(spark, path)[-1]
+    assert not last["is_full"]
+    written = spark.read.parquet(f"{path}/{last['folder']}").collect()
+    assert sorted((r["handle"], r["hash"], r["_gone"]) for r in written) == [("b", "2", False), ("c", "1", True), ("d", None, False)]
+    writers.write_state(_state_of(spark, ("a", "1"), ("b", "2"), ("c", "9")), path)
+    assert hashes() == {"a": "1", "b": "2", "c": "9"} and hashes(1) == {"a": "1", "b": "1", "c": "1"} and hashes(2) == {"a": "1", "b": "2", "d": None}
+
+
+def test_old_versions_go(spark, tmp_path):
+    path = str(tmp_path / "state")
+    for n in range(1, 8):
+        writers.write_state(_state_of(spark, ("a", str(n)), ("b", "x")), path, keep=2, full_every=2)
+    left = [(v["version"], v["is_full"]) for v in writers.versions(spark, path)]
+    assert left == [(5, True), (6, False), (7, True)]
+    assert len(list((tmp_path / "state/versions").iterdir())) == 3
+    assert writers.read_state(spark, path, 6).where("handle = 'a'").first()["hash"] == "6" and writers.read_state(spark, path, 2) is None
+
+
+def test_two_writers_cannot_both_commit(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "state")
+    writers.write_state(_state_of(spark, ("a", "1")), path)
+    behind = writers.versions(spark, path)
+    writers.write_state(_state_of(spark, ("a", "2")), path)
+    monkeypatch.setattr(writers, "versions", lambda spark, path: behind)
+    with pytest.raises(writers.Conflict):
+        writers.write_state(_state_of(spark, ("a", "3")), path)
+    monkeypatch.undo()
+    assert writers.read_state(spark, path).first()["hash"] == "2"
+
+
+def test_a_snapshot_is_published_whole_or_not(spark, tmp_path):
+    path = str(tmp_path / "snapshots")
+    tables = {"items": spark.range(5), "totals": spark.range(1)}
+    assert writers.read_snapshot(spark, path, "items") is None
+    assert writers.publish_snapshot(tables, path, spark.range(0)) is None
+    assert writers.publish_snapshot(tables, path) == 1
+    broken = {"items": spark.range(9), "totals": spark.range(1).select(F.raise_error(F.lit("broken")).cast("long").alias("id"))}
+    with pytest.raises(Exception, match="broken"):
+        writers.publish_snapshot(broken, path)
+    assert writers.read_snapshot(spark, path, "items").count() == 5
+    for _ in range(3):
+        writers.publish_snapshot(tables, path, spark.range(1))
+    assert [v["version"] for v in writers.versions(spark, path)] == [3, 4]
 
 
 def test_run_log(spark, tmp_path):
