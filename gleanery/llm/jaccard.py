@@ -6,8 +6,9 @@ of its shingles' hashes, so the bits in which two bitmaps differ are at most the
 bounds the overlap from above. Pairs that may still be similar are settled by intersecting their sorted arrays.
 
 What counts are the classes of linked documents. Equal sets are one from the start. Then the members of each tile are held against
-one of them; that joins most copies, and tiles whose sets are all in one class need no further look. In the others all pairs of
-different classes are held against each other, in chunks of bounded size.
+its first one; that settles tiles of two, joins most copies, and tiles whose sets are all in one class need no further look. What is
+left is brought together by the first sets of the tiles, so that a group of copies that share many shingles meets once. There all
+pairs of different classes are held against each other, in chunks of bounded size, until what is linked is one class.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import broadcast_if_small, settled, text_hash
+from gleanery.llm.common import SENT_KEYS, broadcast_if_small, settled, text_hash
 from gleanery.llm.graph import components
 from gleanery.llm.packing import pack, unpack
 
@@ -29,8 +30,9 @@ PERCENT = 80
 #: Counters of the sketch that says which shingles are rare, and the rows it is sent in.
 SKETCH_BITS = 24
 SLICES = 256
-#: Sets of a chunk of a tile.
+#: Sets and shingles of a chunk of a tile.
 CHUNK = 2048
+CHUNK_SHINGLES = 1 << 21
 #: Texts and hashes handled at once.
 STEP = 1 << 20
 #: Words whose hashes a task remembers.
@@ -69,8 +71,8 @@ def shingles(text: bytes, known: WordHashes, words: int = WORDS) -> np.ndarray:
 
 
 def bitmap(found: np.ndarray) -> bytes:
-    """Parity of the shingles that fall on each bit; about two bits a shingle, a power of two."""
-    width = max(64, 1 << (2 * len(found) - 1).bit_length()) if len(found) else 64
+    """Parity of the shingles that fall on each bit; four to eight bits a shingle, a power of two."""
+    width = max(64, 1 << (4 * len(found) - 1).bit_length()) if len(found) else 64
     return np.packbits(np.bincount((found & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).tobytes()
 
 
@@ -211,6 +213,25 @@ def _prefixes(batches: Iterable[pa.RecordBatch], sent, words: int, percent: int)
         yield flush()
 
 
+def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (shingle, ref, n) sorted by shingle and ref, each once, those whose shingle another set has as well."""
+    held, told = [np.empty(0, np.int64)] * 3, False  # the last row, and whether it was passed on
+    for batch in batches:
+        s, r, n = (np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns))
+        if not len(s):
+            continue
+        new = np.concatenate([[True], (s[1:] != s[:-1]) | (r[1:] != r[:-1])])
+        s, r, n = s[new], r[new], n[new]
+        with_last = np.concatenate([[False], s[1:] == s[:-1]])
+        out = with_last | np.concatenate([with_last[1:], [False]])
+        before = told and len(held[0]) > 0
+        told = bool(out[-1]) or before and len(s) == 1
+        if before:
+            out[0] = False
+        held = [s[-1:], r[-1:], n[-1:]]
+        yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (s, r, n)], ["shingle", "ref", "n"])
+
+
 def _payloads(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     known = WordHashes()
     for batch, texts in _texts(batches, 1):
@@ -232,84 +253,64 @@ def _intersected(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa
         keep = []
         for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.searchsorted(y, x)
-            overlap = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
-            if overlap and similar(overlap, len(x), len(y), percent):
+            if similar(_overlap(x, y), len(x), len(y), percent):
                 keep.append(i)
         keep = pa.array(keep, pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], ["a", "b"])
 
 
-def _tile_pairs(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of different classes that bitmaps don't rule out, from rows (shingle, band, lo, hi, chunk, ref, n, root, data) sorted by tile.
+def _link_tile(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links that join all sets (chunk, ref, n, root, array) of a tile that are linked and in different classes so far.
 
     Of a tile of two chunks, pairs of one chunk belong to that chunk's own tile.
     """
+    rows = sorted(rows, key=lambda r: r[2])
+    chunks, sizes, roots = (np.array([r[i] for r in rows]) for i in (0, 2, 3))
+    labels = np.unique(roots, return_inverse=True)[1]
+    arrays = [np.frombuffer(r[4], np.uint64) for r in rows]
+    width = max(64, 1 << (8 * int(sizes[-1]) - 1).bit_length())
+    maps = np.stack([np.packbits(np.bincount((x & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).view(np.uint64) for x in arrays])
+    across, found = len(np.unique(chunks)) > 1, []
+    for i in range(len(rows) - 1):
+        end = int(np.searchsorted(sizes, 100 * sizes[i] // percent, "right"))  # larger sets are too large
+        at = np.arange(i + 1, end)
+        at = at[(labels[at] != labels[i]) & (chunks[at] != chunks[i] if across else True)]
+        if not len(at):
+            continue
+        bits = np.bitwise_count(maps[at] ^ maps[i]).sum(axis=1).astype(np.int64)
+        may = may_be_similar(bits, sizes[at], sizes[i], percent)
+        for j in at[may][np.argsort(bits[may], kind="stable")]:
+            if labels[j] != labels[i] and similar(_overlap(arrays[i], arrays[j]), sizes[i], sizes[j], percent):
+                labels[labels == labels[j]] = labels[i]
+                found.append((rows[i][1], rows[j][1]))
+    return found
+
+
+def _overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Common elements of two sorted arrays."""
+    if len(x) > len(y):
+        x, y = y, x
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
+
+
+def _tile_links(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links of each tile from rows (lead, band, lo, hi, chunk, ref, n, root, data) sorted by tile."""
     held: list[tuple] = []
-    done: set[tuple[int, int]] = set()
-
-    def pairs() -> list[tuple[int, int]]:
-        out = []
-        lo, hi = held[0][2:4]
-        rows = sorted(held, key=lambda r: r[6])
-        sizes = np.array([r[6] for r in rows])
-        for width, own in _by_width([r[8] for r in rows]):
-            # Bitmaps of this width and of those folded to it.
-            refs, roots = np.array([rows[i][5] for i in own[0]]), np.array([rows[i][7] for i in own[0]])
-            chunks, n, maps = np.array([rows[i][4] for i in own[0]]), sizes[own[0]], own[1]
-            for i in range(len(refs)):
-                if len(rows[own[0][i]][8]) != width:
-                    continue
-                other = (roots != roots[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & (own[2] | (np.arange(len(refs)) > i))
-                if lo != hi:
-                    other &= chunks != chunks[i]
-                at = np.flatnonzero(other)
-                if len(at):
-                    bits = np.bitwise_count(maps[at] ^ maps[i]).sum(axis=1).astype(np.int64)
-                    out += [(int(min(refs[i], refs[j])), int(max(refs[i], refs[j]))) for j in at[may_be_similar(bits, n[at], n[i], percent)]]
-        return out
-
-    def flush() -> list[tuple[int, int]]:
-        if len(held) < 2 or len({r[7] for r in held}) < 2:
-            return []
-        if len(done) > STEP:
-            done.clear()
-        new = [p for p in dict.fromkeys(pairs()) if p not in done]
-        done.update(new)
-        return new
-
-    def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    key = None
+
+    def out() -> pa.RecordBatch:
+        found = _link_tile(held, percent) if len({r[3] for r in held}) > 1 else []
         return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     for batch in batches:
-        found: list[tuple[int, int]] = []
         for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if held and row[:4] != held[0][:4]:
-                found += flush()
-                held = []
-                if len(found) > STEP:
-                    yield out(found)
-                    found = []
-            held.append(row)
-        yield out(found)
+            if row[:4] != key:
+                if held:
+                    yield out()
+                held, key = [], row[:4]
+            held.append(row[4:])
     if held:
-        yield out(flush())
-
-
-def _by_width(maps: list[bytes]) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-    """For each width of bitmaps: the places of those at least as wide, these folded to that width, and which of them were wider."""
-    widths = np.array([len(m) for m in maps])
-    for width in np.unique(widths):
-        own = np.flatnonzero((widths >= width) & (widths <= 4 * width))
-        folded = []
-        for i in own:
-            x = np.frombuffer(maps[i], np.uint8)
-            while len(x) > width:
-                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-            folded.append(x)
-        yield int(width), (own, np.stack(folded), widths[own] > width)
+        yield out()
 
 
 def _band(n: str, percent: int) -> Column:
@@ -317,14 +318,12 @@ def _band(n: str, percent: int) -> Column:
     return F.floor(F.log(F.col(n).cast("double")) / float(np.log(100 / percent)) + 1e-9).cast("int")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of refs that are similar, by their sorted arrays; only the texts of these pairs are read into arrays."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("ref")).distinct().join(sets, "ref").select("ref", "rep.id", "rep.text_hash")
-    needed = broadcast_if_small(settled(needed.withColumnsRenamed({"id": "rep_id", "text_hash": "rep_hash"})), 500_000)
+def _arrays(refs: DataFrame, sets: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(ref, data): sorted arrays of some sets (ref), from one text of each. Other texts aren't read into arrays."""
+    needed = refs.distinct().join(sets, "ref").select("ref", F.col("rep.id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash"))
+    needed = broadcast_if_small(settled(needed), SENT_KEYS)
     texts = docs.join(needed, docs["id"].eqNullSafe(needed["rep_id"]) & (docs["text_hash"] == needed["rep_hash"])).select("ref", "text")
-    arrays = settled(texts.mapInArrow(lambda b: _payloads(b, words), "ref long, data binary").groupBy("ref").agg(F.first("data").alias("data")))
-    side = lambda ref, name: arrays.select(F.col("ref").alias(ref), F.col("data").alias(name))
-    return settled(pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(lambda b: _intersected(b, percent), "a long, b long"))
+    return settled(texts.mapInArrow(lambda b: _payloads(b, words), "ref long, data binary").groupBy("ref").agg(F.first("data").alias("data")))
 
 
 def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, bits: int = SKETCH_BITS, chunk: int = CHUNK) -> DataFrame:
@@ -345,32 +344,35 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     context = docs.sparkSession.sparkContext
     sent = context.broadcast(rarity(scanned.where("slice >= 0").select("slice", "data"), bits).tobytes())
-    entries = settled(given.select("text").mapInArrow(lambda b: _prefixes(b, sent, words, percent), "shingle long, ref long, n long"))
+    entries = given.select("text").mapInArrow(lambda b: _prefixes(b, sent, words, percent), "shingle long, ref long, n long")
+    sorted_ = entries.repartition("shingle").sortWithinPartitions("shingle", "ref")
+    found = settled(sorted_.mapInArrow(_shared, "shingle long, ref long, n long"))
     sent.destroy()
-    shared = entries.groupBy("shingle").agg(F.min("ref").alias("least"), F.max("ref").alias("most")).where("least < most").select("shingle")
-    found = entries.join(shared, "shingle").distinct()
+
     # A set stands in its own band's tile and, for larger ones, in that of the band above.
-    band = _band("n", percent)
-    tiles = settled(found.withColumn("band", F.explode(F.array(band, band + 1))))
-
-    leads = tiles.groupBy("shingle", "band").agg(F.min("ref").alias("a"), F.max("ref").alias("most")).where("a < most").drop("most")
-    stars = tiles.join(leads, ["shingle", "band"]).where("ref <> a").select("a", F.col("ref").alias("b")).distinct()
-    side = lambda of, n, d: sets.select(F.col("ref").alias(of), F.col("n").alias(n), F.col("data").alias(d))
-    bounded = stars.join(side("a", "na", "da"), "a").join(side("b", "nb", "db"), "b").select("a", "b", "na", "nb", "da", "db")
-    stars = settled(bounded.mapInArrow(lambda b: _bounded(b, percent), "a long, b long"))
-    first = _verified(stars, sets, given, words, percent)
-    classes = settled(components(first))
-
-    named = classes.withColumnsRenamed({"node": "ref"})
-    rooted = tiles.join(named, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
-    mixed = rooted.groupBy("shingle", "band").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("m")).where("least < most")
-    chunks = F.ceil(F.col("m") / chunk)
-    mine = F.pmod(F.xxhash64("ref"), chunks)
-    placed = rooted.join(mixed, ["shingle", "band"]).withColumn("chunk", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-    keyed = placed.join(sets.select("ref", "data"), "ref").select("shingle", "band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "ref", "n", "root", "data")
-    key = ["shingle", "band", "lo", "hi"]
-    pairs = settled(keyed.repartition(*key).sortWithinPartitions(*key).mapInArrow(lambda b: _tile_pairs(b, percent), "a long, b long").distinct())
-    links = first.unionByName(_verified(pairs, sets, given, words, percent))
+    tile, band = ["shingle", "band"], _band("n", percent)
+    tiles = lambda rows: rows.withColumn("band", F.explode(F.array(band, band + 1)))
+    side = lambda of, **columns: sets.select(F.col("ref").alias(of), *[F.col(c).alias(n) for n, c in columns.items()])
+
+    leads = tiles(found).groupBy(*tile).agg(F.min("ref").alias("a"), F.max("ref").alias("most")).where("a < most").drop("most")
+    pairs = tiles(found).join(leads, tile).where("ref <> a").select("a", F.col("ref").alias("b")).distinct()
+    bounded = pairs.join(side("a", na="n", da="data"), "a").join(side("b", nb="n", db="data"), "b").select("a", "b", "na", "nb", "da", "db")
+    pairs = settled(bounded.mapInArrow(lambda b: _bounded(b, percent), "a long, b long"))
+    arrays = _arrays(pairs.select(F.explode(F.array("a", "b")).alias("ref")), sets, given, words)
+    both = pairs.join(arrays.withColumnsRenamed({"ref": "a", "data": "x"}), "a").join(arrays.withColumnsRenamed({"ref": "b", "data": "y"}), "b").select("a", "b", "x", "y")
+    first = settled(both.mapInArrow(lambda b: _intersected(b, percent), "a long, b long"))
+    classes = settled(components(first)).withColumnsRenamed({"node": "ref"})
+
+    rooted = found.join(classes, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
+    # Both sets of a tile of two have been held against each other.
+    mixed = tiles(rooted).groupBy(*tile).agg(F.min("ref").alias("lead"), F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("m")).where("least < most AND m > 2")
+    members = settled(tiles(rooted).join(mixed.select(*tile, "lead"), tile).select("lead", "band", "ref", "n", "root").distinct())
+    sizes = members.groupBy("lead", "band").agg(F.ceil(F.greatest(F.count("*") / chunk, F.sum("n") / CHUNK_SHINGLES)).alias("chunks"))
+    placed = members.join(sizes, ["lead", "band"]).withColumn("chunk", F.pmod(F.xxhash64("ref"), F.col("chunks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    cut = placed.join(_arrays(members.select("ref"), sets, given, words), "ref").select("lead", "band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "ref", "n", "root", "data")
+    key = ["lead", "band", "lo", "hi"]
+    more = settled(cut.repartition(*key).sortWithinPartitions(*key).mapInArrow(lambda b: _tile_links(b, percent), "a long, b long"))
+    links = more.unionByName(classes.select(F.col("ref").alias("a"), F.col("root").alias("b")))
 
     whole = settled(components(links)).withColumnsRenamed({"node": "ref"})
     linked = settled(sets.join(whole, "ref", "left").select("ref", F.coalesce("root", "ref").alias("class"), "least"))

@@ -63,6 +63,22 @@ def test_awkward_rows(spark):
         assert found(jaccard.op11(table(spark, none))) == plain.jaccard(none)
 
 
+def test_shared_entries_in_batches():
+    """Entries cut into batches anywhere pass on each row of a shared shingle once."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    rows = sorted((int(s), int(r), 5) for s, r in zip(rng.integers(0, 30, 200), rng.integers(0, 6, 200)))
+    refs = {}
+    for s, r, _ in rows:
+        refs.setdefault(s, set()).add(r)
+    expected = sorted({x for x in rows if len(refs[x[0]]) > 1})
+    for size in (1, 2, 3, 17, 500):
+        batches = [pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows[at:at + size]], pa.int64()) for i in range(3)], ["shingle", "ref", "n"]) for at in range(0, len(rows), size)]
+        got = [tuple(x) for out in jaccard._shared(iter(batches)) for x in zip(*(c.to_pylist() for c in out.columns))]
+        assert got == expected
+
+
 def test_bounds_hold():
     """Bitmaps of any two sizes never say more than the sets differ in, and prefixes of similar sets meet."""
     rng = np.random.default_rng(5)
