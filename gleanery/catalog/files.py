@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from gleanery.catalog.aggregates import customer_outcomes
 from gleanery.catalog.core import query
+from gleanery.catalog.rows import listing_bodies
 from gleanery.catalog.tables import ITEMS, as_of, items, table, text, with_ctes
-from gleanery.operators import keyed, stats
+from gleanery.operators import discovery, keyed, stats
 from gleanery.plans import runs
 from gleanery.sources import readers, writers
 
@@ -138,3 +139,48 @@ def run_log_through_files(spark, sf):
     log = readers.read_run_log(spark, path)
     found = log.groupBy("component", F.date_format("log_date", "yyyy-MM-dd").alias("day"))
     return found.agg(F.count("*").alias("entries"), F.sum("duration_ms").alias("duration_ms"))
+
+
+# --- documents, one per line -----------------------------------------------------------------------
+
+
+def _landed(bodies, spark, name):
+    path = _folder(spark, name)
+    bodies.select("body").write.text(path)
+    return path
+
+
+@query("""SELECT 'i' || o_orderkey AS id, CASE WHEN o_orderstatus <> 'F' THEN 'active' ELSE 'done' END AS status, CAST(round(o_totalprice) AS BIGINT) AS amount,
+'org' AS repo_owner, o_orderkey AS number FROM orders""")
+def listing_through_files(spark, sf):
+    """Landed listing bodies."""
+    found = readers.read_listing(spark, _landed(listing_bodies(spark, sf), spark, "listing"), lines=True)
+    return found.select("id", "status", "amount", "repo_owner", F.col("issue.number").alias("number"))
+
+
+@query("SELECT CAST(page_id AS VARCHAR) AS handle, url, md5(html) AS hash FROM pages")
+def state_document_through_files(spark, sf):
+    """Landed page-state documents, keyed by handle."""
+    entry = F.struct("url", F.md5("html").alias("hash"), F.length("html").alias("bounty_count_estimate"))
+    bodies = table(spark, sf, "pages").select(F.to_json(F.struct(F.create_map(text("page_id"), entry).alias("organizations"))).alias("body"))
+    return readers.read_state_document(spark, _landed(bodies, spark, "state"), lines=True).select("handle", "url", "hash")
+
+
+@query(with_ctes(ITEMS) + """SELECT handle, min(display_name) AS display_name, count(*) AS bounty_count FROM items GROUP BY handle""")
+def index_organizations_through_files(spark, sf):
+    """Organizations of landed index documents, which are keyed by handle."""
+    rows = stats.rollup_by_org(_flat(spark, sf))
+    org = F.struct("display_name", F.col("item_count").alias("bounty_count"), "total_value_usd")
+    bodies = rows.select(F.to_json(F.struct(F.create_map("handle", org).alias("organizations"))).alias("body"))
+    return readers.read_index_orgs(spark, _landed(bodies, spark, "index"), lines=True).select("handle", "display_name", "bounty_count")
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS handle, CASE WHEN c_custkey % 7 = 0 THEN 'error' WHEN c_acctbal > 0 THEN 'valid' ELSE 'invalid' END AS outcome FROM customer""")
+def probes_through_files(spark, sf):
+    """Candidates classified by landed probe rows."""
+    path = _folder(spark, "probes")
+    customers = table(spark, sf, "customer").select(text("c_custkey").alias("handle"), "c_custkey", "c_acctbal")
+    customers.select(
+        "handle", F.when(F.col("c_acctbal") > 0, 200).otherwise(404).alias("status"), F.when(F.col("c_custkey") % 7 == 0, "timeout").alias("error")
+    ).write.json(path)
+    return discovery.classify_candidates(customers.select("handle"), readers.read_probes(spark, path))

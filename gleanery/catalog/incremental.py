@@ -117,6 +117,13 @@ def change_payload_parts(spark, sf):
     return sent.select(_minute("window_start").alias("window_start"), "part_no", F.array_join("changed_orgs", ",").alias("changed_orgs"), "batch_size")
 
 
+@query(f"SELECT DISTINCT handle FROM {_WINDOWS} WHERE handle IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 0)")
+def targets_of_changes(spark, sf):
+    """Registered organizations among the handles that changed in any hour."""
+    orgs = table(spark, sf, "customer").where("c_acctbal > 0").select(text("c_custkey").alias("handle"))
+    return change_batches.targets_of(_changes(spark, sf), orgs).select("handle")
+
+
 @query("""SELECT 'org' || user_id AS handle, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS at, CAST(CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) AS VARCHAR) AS snapshot_id FROM events""".replace("\\\\", "\\"))
 def parsed_webhooks(spark, sf):
     """Webhook bodies read from JSON, the handle from the watched URL."""

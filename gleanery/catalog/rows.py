@@ -11,7 +11,7 @@ from gleanery.catalog.tables import (
 )
 from gleanery.functions import markup, scalars
 from gleanery.operators import items as item_ops
-from gleanery.operators import registry, stats
+from gleanery.operators import discovery, registry, stats
 from gleanery.sources import readers, writers
 
 
@@ -27,14 +27,18 @@ def registry_active(spark, sf):
     return registry.active_orgs(orgs).select("c_custkey", "c_name")
 
 
-@query("SELECT o_orderkey, 'open' AS status FROM orders WHERE o_orderstatus = 'O'")
+@query("SELECT o_orderkey, 'open' AS status FROM orders WHERE o_orderstatus <> 'F'")
 def listing_active_status(spark, sf):
-    return table(spark, sf, "orders").where("o_orderstatus = 'O'").select("o_orderkey", F.lit("open").alias("status"))
+    """Only active rows of a listing become items, and these are open."""
+    return _listing_items(spark, sf).select(F.col("task.number").alias("o_orderkey"), "status")
 
 
 @query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0")
 def positive_amounts(spark, sf):
-    return table(spark, sf, "customer").where("c_acctbal > 0").select("c_custkey", "c_acctbal")
+    """Dollar amounts in a text; those of zero don't count."""
+    said = F.concat(F.lit("<p>worth $"), F.format_number(F.greatest("c_acctbal", F.lit(0.0)), 2), F.lit("</p>"))
+    found = table(spark, sf, "customer").select("c_custkey", F.explode_outer(markup.extract_amounts(said)).alias("c_acctbal"))
+    return found.where("c_acctbal IS NOT NULL")
 
 
 @query(with_ctes(LISTINGS) + r"""
@@ -47,8 +51,15 @@ def issue_links(spark, sf):
 
 @query("""SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 0 AND s_nationkey IN (SELECT n_nationkey FROM nation)""")
 def validated_active(spark, sf):
+    """Discovered organizations that their page confirms; suppliers of a nation have a page, and a balance makes it a listing."""
     nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"))
-    return table(spark, sf, "supplier").where("s_acctbal > 0").join(nations, "s_nationkey", "left_semi").select("s_suppkey", "s_name")
+    suppliers = table(spark, sf, "supplier").withColumn("handle", text("s_suppkey"))
+    found = suppliers.select("handle", F.col("s_name").alias("display_name"), F.lit("given").alias("discovery_method"))
+    facts = suppliers.join(nations, "s_nationkey", "left_semi").select(
+        "handle", (F.col("s_acctbal") > 0).alias("is_listing"), F.lit(1).cast("bigint").alias("item_count"), F.lit(None).cast("string").alias("page_name"), F.lit(True).alias("loaded")
+    )
+    graded = discovery.graded_registry(discovery.validate_orgs(found, facts), URL_TEMPLATE)
+    return graded.select(F.col("handle").cast("bigint").alias("s_suppkey"), F.col("display_name").alias("s_name"))
 
 
 @query(r"""SELECT o_orderkey, CAST(round(o_totalprice) AS BIGINT) / 100.0::DOUBLE AS amount_usd,
@@ -111,7 +122,7 @@ def falsy_defaults(spark, sf):
     )
 
 
-def _listing_bodies(spark, sf):
+def listing_bodies(spark, sf):
     """Landed listing bodies: one JSON document per order, with the registry columns beside it."""
     user = F.struct(F.col("o_custkey").alias("id"), F.concat(F.lit("user"), text("o_custkey")).alias("login"))
     issue = F.struct(
@@ -134,7 +145,7 @@ def _listing_bodies(spark, sf):
 
 def _listing_items(spark, sf):
     keep = ["handle", "display_name", "description", "org_tech"]
-    documents = readers.parse_documents(_listing_bodies(spark, sf), "body", schemas.LISTING, keep)
+    documents = readers.parse_documents(listing_bodies(spark, sf), "body", schemas.LISTING, keep)
     return item_ops.items_from_listing(readers.listing_rows(documents), as_of())
 
 
@@ -219,6 +230,28 @@ def embedded_candidates(spark, sf):
     return found.select("page_id", F.col("pos").cast("bigint").alias("pos"), "id", "title", "cents", "currency", "owner", "number")
 
 
+@query("""SELECT o_orderkey AS page_id, 'n' || o_orderkey AS id, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority ELSE 'Issue #' || o_orderkey END AS title,
+CASE WHEN o_orderstatus = 'P' THEN 10000 ELSE CAST(round(o_totalprice) AS BIGINT) END AS cents, 'USD' AS currency, 'task-' || o_custkey || '#' || o_orderkey AS task_id,
+'repo' AS repo_name, 'org' || o_custkey AS repo_owner, 'org' || o_custkey || '/repo#' || o_orderkey AS hash, o_orderkey AS number, 'source-' || o_custkey || '#' || o_orderkey AS source_id,
+'https://github.com/org' || o_custkey || '/repo/issues/' || o_orderkey AS url, 'open' AS status, 'standard' AS type, 'dev' AS kind, 'public' AS visibility, 'cash' AS reward_type,
+'generated-' || o_custkey AS org_id, 'org' || o_custkey AS github_handle, 'Customer ' || o_custkey AS display_name, 'some' AS description, o_custkey || '-team' AS login,
+'Customer ' || o_custkey || ' Team' AS author, false AS is_external, 0::BIGINT AS bids, 'github' AS forge, 'issue' AS task_type, '' AS body FROM orders""")
+def candidate_item_fields(spark, sf):
+    """Nested items of pre-extracted candidates, most of their fields."""
+    state = state_pages(spark, sf).withColumn("state", item_ops.embedded_state("html")).drop("html")
+    rows = item_ops.embedded_candidates(state).withColumns(
+        {"display_name": F.concat(F.lit("Customer "), "handle"), "description": F.lit("some"), "org_tech": F.lit(None).cast("array<string>")}
+    )
+    nested = item_ops.items_from_candidates(rows, as_of(), keep=["page_id"])
+    user = lambda path: F.try_variant_get("task.source.data.user", path, "string")
+    return nested.select(
+        "page_id", "id", F.col("task.title").alias("title"), F.col("reward.amount").alias("cents"), F.col("reward.currency").alias("currency"), F.col("task.id").alias("task_id"),
+        "task.repo_name", "task.repo_owner", "task.hash", "task.number", F.col("task.source.data.id").alias("source_id"), F.col("task.url").alias("url"), "status", "type", "kind",
+        "visibility", "reward_type", F.col("org.id").alias("org_id"), "org.github_handle", "org.display_name", "org.description", user("$.login").alias("login"),
+        user("$.name").alias("author"), "is_external", F.size("bids").cast("bigint").alias("bids"), "task.forge", F.col("task.type").alias("task_type"), F.col("task.body").alias("body"),
+    )
+
+
 @query("""SELECT o_orderkey AS page_id, 'n' || o_orderkey AS id,
 CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority ELSE 'Issue #' || o_orderkey END AS title,
 'org' || o_custkey AS github_handle FROM orders WHERE o_orderstatus <> 'O'""")

@@ -220,6 +220,13 @@ def url_path_handles(spark, sf):
     return discovery.extract_handles(urls, [r"example\.com/([a-zA-Z0-9_-]+)/"], ("bounties",), fold=False)
 
 
+@query(_handles_sql("(SELECT 'https://listings.example/' || o_custkey || '/bounties?page=' || o_orderkey AS html FROM orders)", [discovery.listing_pattern("listings.example")], ("bounties",)))
+def listing_address_handles(spark, sf):
+    """Handles in the addresses of listing pages."""
+    urls = listings(spark, sf).select(F.col("url").alias("html"))
+    return discovery.extract_handles(urls, [discovery.listing_pattern("listings.example")], ("bounties",))
+
+
 # --- page facts ------------------------------------------------------------------------------------
 
 _TERMS = ("reward", "que ", " the ", "sch", "attion", "de ")

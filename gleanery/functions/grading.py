@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleanery.functions.scalars import col
+from gleanery.functions.scalars import col, let
 
 # Tags that a repository name implies.
 REPO_TAGS = {
@@ -62,9 +62,9 @@ def any_term(lowered: Column, terms: Sequence[str], match: str = "substring") ->
 
 
 def matching_terms(text: Column | str, terms: Sequence[str], match: str = "substring") -> Column:
-    """The terms found in the text, in list order."""
-    lowered = F.lower(col(text))
-    return F.array_compact(F.array(*[F.when(contains_term(lowered, t, match), F.lit(t)) for t in terms]))
+    """The terms found in the text, in list order. The text is lowered once."""
+    found = lambda lowered: F.array_compact(F.array(*[F.when(contains_term(lowered, t, match), F.lit(t)) for t in terms]))
+    return let(F.lower(col(text)), found)
 
 
 def derive_tags(

@@ -5,7 +5,7 @@ Arrays come out of the page in one pass per pattern, so callers can drop the HTM
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -96,19 +96,36 @@ def drop_elements(html: Column | str, tags: Sequence[str]) -> Column:
 
 
 def html_to_markdown(html: Column | str, exclude_tags: Sequence[str] = ("script", "style")) -> Column:
-    """Page text as markdown. Step order is part of the result and must stay as it is."""
-    out = drop_elements(html, exclude_tags)
-    for level in range(1, 7):
-        heading = "#" * level
-        out = F.regexp_replace(out, rf"(?i)<h{level}[^>]*>({NOT_NEWLINE}*?)</h{level}>", f"{heading} $1\n")
-    out = F.regexp_replace(out, rf'(?i)<a[^>]*href="([^"]*)"[^>]*>({NOT_NEWLINE}*?)</a>', "[$2]($1)")
-    out = F.regexp_replace(out, rf"(?i)<p[^>]*>({NOT_NEWLINE}*?)</p>", "$1\n\n")
-    out = F.regexp_replace(out, rf"(?i)<br{WHITESPACE}*/?>", "\n")
-    out = F.regexp_replace(out, r"<[^>]+>", "")
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    out = F.regexp_replace(out, r"\n{3,}", "\n\n")
-    return trim_text(out)
+    """Page text as markdown. Step order is part of the result and must stay as it is.
+
+    Most steps have nothing to do on most pages, and a search for the tag in the lowered page tells so at a small
+    part of the price of the pattern. No step makes a tag that a later one looks for.
+    """
+
+    def when_there(text: Column, there: Column, change: Callable[[Column], Column]) -> Column:
+        return let(text, lambda t: F.when(there, change(t)).otherwise(t))
+
+    def steps(page: Column) -> Column:
+        out, has = page["html"], lambda tag: F.contains(page["lowered"], F.lit(tag))
+        for tag in exclude_tags:
+            out = when_there(out, has(f"<{tag.lower()}"), lambda t, tag=tag: drop_elements(t, [tag]))
+        for level in range(1, 7):
+            pattern, made = rf"(?i)<h{level}[^>]*>({NOT_NEWLINE}*?)</h{level}>", f"{'#' * level} $1\n"
+            out = when_there(out, has(f"<h{level}"), lambda t, pattern=pattern, made=made: F.regexp_replace(t, pattern, made))
+        out = when_there(out, has("<a"), lambda t: F.regexp_replace(t, rf'(?i)<a[^>]*href="([^"]*)"[^>]*>({NOT_NEWLINE}*?)</a>', "[$2]($1)"))
+        out = when_there(out, has("<p"), lambda t: F.regexp_replace(t, rf"(?i)<p[^>]*>({NOT_NEWLINE}*?)</p>", "$1\n\n"))
+        out = when_there(out, has("<br"), lambda t: F.regexp_replace(t, rf"(?i)<br{WHITESPACE}*/?>", "\n"))
+        return F.regexp_replace(out, r"<[^>]+>", "")
+
+    def decoded(text: Column) -> Column:
+        for entity, char in ENTITIES:
+            text = F.replace(text, F.lit(entity), F.lit(char))
+        return text
+
+    # (?i) finds ASCII letters of either case, as the lowered page has them.
+    page = F.struct(col(html).alias("html"), F.lower(col(html)).alias("lowered"))
+    plain = let(let(page, steps), lambda t: F.when(F.contains(t, F.lit("&")), decoded(t)).otherwise(t))
+    return trim_text(let(plain, lambda t: F.when(F.contains(t, F.lit("\n\n\n")), F.regexp_replace(t, r"\n{3,}", "\n\n")).otherwise(t)))
 
 
 def extract_links(html: Column | str) -> Column:

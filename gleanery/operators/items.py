@@ -113,24 +113,30 @@ def positional_items(
 
 
 def mentions(text: Column | str, raw: bool = False, legacy_commas: bool = False) -> Column:
-    """Array of issue references in a text with what their surroundings say."""
+    """Array of issue references in a text with what their surroundings say.
+
+    References are found and the text is split once; each reference finds its line by its place in the text, and
+    all that is read around it comes from its few lines, joined once.
+    """
 
     def split(page: Column) -> Column:
         matches = find_all(page, ISSUE_REFERENCE, 0)
-        matches = matches if raw else F.array_distinct(matches)
-        return F.struct(matches.alias("matches"), context.text_lines(page).alias("lines"))
+        return F.struct((matches if raw else F.array_distinct(matches)).alias("matches"), context.text_lines(page).alias("lines"), page.alias("text"))
 
-    near = lambda p: F.transform(
-        p["matches"], lambda m: F.struct(m.alias("ref_url"), context.context_lines(p["lines"], m).alias("lines"))
-    )
+    def near(page: Column) -> Column:
+        def one(ref: Column) -> Column:
+            around = let(context.line_of(page["text"], ref).cast("int"), lambda hit: F.when(hit.isNotNull(), context.lines_around(page["lines"], hit)))
+            return let(around, lambda lines: F.struct(ref.alias("ref_url"), lines.alias("lines"), context.joined_lines(lines).alias("joined")))
+
+        return F.transform(page["matches"], one)
 
     def read(r: Column) -> Column:
         return F.struct(
             issue_parts(r["ref_url"]).alias("issue"),
             context.context_title(r["lines"]).alias("title"),
-            context.context_cents(r["lines"], legacy_commas).alias("cents"),
-            F.nullif(context.context_tech(r["lines"]), _strings()).alias("tech"),
-            context.context_description(r["lines"]).alias("context"),
+            context.amount_cents(r["joined"], legacy_commas).alias("cents"),
+            F.nullif(context.matching_terms(r["joined"], context.CONTEXT_TERMS), _strings()).alias("tech"),
+            F.substring(r["joined"], 1, 200).alias("context"),
             r["ref_url"].alias("ref_url"),
         )
 

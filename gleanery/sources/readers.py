@@ -52,9 +52,9 @@ def listing_rows(documents: DataFrame) -> DataFrame:
     return documents.select(*keep, F.explode("items").alias("_i")).select(*keep, "_i.*")
 
 
-def read_listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Landed listing bodies to one row per listed item."""
-    return listing_rows(_documents(spark, schemas.LISTING, paths))
+def read_listing(spark: SparkSession, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
+    """Landed listing bodies to one row per listed item. ``lines`` reads one body per line and splits large files."""
+    return listing_rows(_documents(spark, schemas.LISTING, paths, lines))
 
 
 def _expand_copies(rows: DataFrame) -> DataFrame:
@@ -124,12 +124,12 @@ def index_items(documents: DataFrame) -> DataFrame:
     return _expand_copies(rows.select("handle", "display_name", "_b.*"))
 
 
-def read_index_orgs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return index_orgs(_documents(spark, schemas.INDEX, paths))
+def read_index_orgs(spark: SparkSession, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
+    return index_orgs(_documents(spark, schemas.INDEX, paths, lines))
 
 
-def read_index(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return index_items(_documents(spark, schemas.INDEX, paths))
+def read_index(spark: SparkSession, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
+    return index_items(_documents(spark, schemas.INDEX, paths, lines))
 
 
 def read_index_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -147,8 +147,8 @@ def state_rows(documents: DataFrame) -> DataFrame:
     )
 
 
-def read_state_document(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return state_rows(_documents(spark, schemas.STATE_DOCUMENT, paths))
+def read_state_document(spark: SparkSession, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
+    return state_rows(_documents(spark, schemas.STATE_DOCUMENT, paths, lines))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
