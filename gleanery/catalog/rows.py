@@ -198,6 +198,36 @@ def nested_item_parts(spark, sf):
     )
 
 
+@query(r"""SELECT 'i' || o_orderkey AS id, 'open' AS status, 'standard' AS type, 'dev' AS kind, 'public' AS visibility, 'cash' AS reward_type, 'USD' AS currency,
+CAST(round(o_totalprice) AS BIGINT) AS cents, false AS autopay_disabled, false AS is_external, false AS manual_assignments, false AS timeouts_disabled, NULL::BIGINT AS point_reward,
+0::BIGINT AS tech, 0::BIGINT AS bids, 0::BIGINT AS tiers, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%gZ') AS created_at, '2001-09-01T00:00:00.000Z' AS updated_at,
+CAST(o_custkey AS VARCHAR) AS org_handle, 'generated-' || o_custkey AS org_id, 'Customer ' || o_custkey AS org_name, 'Customer ' || o_custkey AS org_display_name, '' AS org_description,
+'org' AS org_forge_handle, 0::BIGINT AS org_stars, '' AS org_website, 'https://avatars.githubusercontent.com/u/' || o_custkey || '?v=4' AS org_avatar, 0::BIGINT AS org_members,
+false AS org_sponsors, NULL::BIGINT AS org_days, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%gZ') AS org_created_at, 0::BIGINT AS org_tech,
+'open' AS task_status, 'issue' AS task_type, 'github' AS task_forge, 'repo' AS task_repo, 'org' AS task_owner, '' AS task_body, o_orderkey AS task_number,
+'https://github.com/org/repo/issues/' || o_orderkey AS task_url, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority || ' task' ELSE 'Issue #' || o_orderkey END AS task_title,
+'github' AS source_type, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority || ' task' ELSE 'Issue #' || o_orderkey END AS source_title, '' AS source_body,
+'https://github.com/org/repo/issues/' || o_orderkey AS source_url, 'user' || o_custkey AS user_name, '' AS user_location, '' AS user_twitter,
+'https://github.com/' || o_custkey || '-team' AS user_url FROM orders WHERE o_orderstatus <> 'F'""")
+def listing_item_fields(spark, sf):
+    """Nested items of listing rows, all fields beside those of ``nested_item_parts``."""
+    nested = _listing_items(spark, sf)
+    size = lambda c: F.size(c).cast("bigint")
+    user = lambda path: F.try_variant_get("task.source.data.user", path, "string")
+    org = {"handle": "handle", "id": "id", "name": "name", "display_name": "display_name", "description": "description", "forge_handle": "github_handle", "stars": "stargazers_count",
+           "website": "website_url", "avatar": "avatar_url", "sponsors": "accepts_sponsorships", "days": "days_until_timeout"}
+    task = {"status": "status", "type": "type", "forge": "forge", "repo": "repo_name", "owner": "repo_owner", "body": "body", "number": "number", "url": "url", "title": "title"}
+    return nested.select(
+        "id", "status", "type", "kind", "visibility", "reward_type", "reward.currency", F.col("reward.amount").alias("cents"), "autopay_disabled", "is_external", "manual_assignments",
+        "timeouts_disabled", "point_reward", size("tech").alias("tech"), size("bids").alias("bids"), size("reward_tiers").alias("tiers"), scalars.iso_millis("created_at").alias("created_at"),
+        scalars.iso_millis("updated_at").alias("updated_at"), *[F.col(f"org.{c}").alias(f"org_{n}") for n, c in org.items()], size("org.members").alias("org_members"),
+        scalars.iso_millis("org.created_at").alias("org_created_at"), size("org.tech").alias("org_tech"), *[F.col(f"task.{c}").alias(f"task_{n}") for n, c in task.items()],
+        F.col("task.source.type").alias("source_type"), F.col("task.source.data.title").alias("source_title"), F.col("task.source.data.body").alias("source_body"),
+        F.col("task.source.data.html_url").alias("source_url"), user("$.name").alias("user_name"), user("$.location").alias("user_location"), user("$.twitter_username").alias("user_twitter"),
+        user("$.html_url").alias("user_url"),
+    )
+
+
 def state_pages(spark, sf):
     """Pages whose embedded state lists one order; places, names and defaults vary with the order."""
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
@@ -266,6 +296,61 @@ def embedded_raw_items(spark, sf):
     return nested.select("page_id", "id", F.col("task.title").alias("title"), F.col("org.github_handle").alias("github_handle"))
 
 
+def _raw_pages(spark, sf):
+    """Pages whose embedded state has one raw object: with all fields, with hardly any, or with empty ones."""
+    key, kind = F.col("o_orderkey"), F.col("o_orderkey") % 3
+    pick = lambda full, empty: F.when(kind == 0, full).when(kind == 2, empty)
+    say = lambda value: pick(F.lit(value), F.lit(""))
+    flag = pick(F.lit(True), F.lit(False))
+    words = lambda *w: pick(F.array(*[F.lit(x) for x in w]), F.array().cast("array<string>"))
+    link = F.concat(F.lit("https://github.com/org"), text("o_custkey"), F.lit("/repo/issues/"), text("o_orderkey"))
+    task = F.struct(
+        pick(F.concat(F.lit("t"), text("o_orderkey")), F.lit("")).alias("id"), say("closed").alias("status"), say("pull").alias("type"),
+        pick(F.col("o_orderpriority"), F.lit("")).alias("title"), say("Some text.").alias("body"), link.alias("html_url"), words("rust").alias("tech"),
+    )
+    reward = F.struct(say("EUR").alias("currency"), pick(F.round("o_totalprice").cast("bigint"), F.lit(0).cast("bigint")).alias("amount"))
+    item = F.struct(
+        pick(F.concat(F.lit("r"), text("o_orderkey")), F.lit("")).alias("id"), say("paid").alias("status"), say("contest").alias("type"), say("design").alias("kind"),
+        say("2020-01-02T03:04:05Z").alias("created_at"), say("2020-02-03T04:05:06Z").alias("updated_at"), say("private").alias("visibility"), flag.alias("autopay_disabled"),
+        words("go", "ui").alias("tech"), flag.alias("is_external"), flag.alias("manual_assignments"), pick(F.lit(5), F.lit(0)).alias("point_reward"), F.when(kind != 1, reward).alias("reward"),
+        say("points").alias("reward_type"), flag.alias("timeouts_disabled"), task.alias("task"),
+    )
+    state = F.to_json(F.struct(F.struct(F.struct(F.array(item).alias("bounties")).alias("pageProps")).alias("props")))
+    html = F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), state, F.lit("</script>"))
+    return table(spark, sf, "orders").select(key.alias("page_id"), text("o_custkey").alias("handle"), html.alias("html"))
+
+
+_FULL = "CASE WHEN o_orderkey % 3 = 0 THEN {0} ELSE {1} END"
+
+
+@query("SELECT o_orderkey AS page_id, " + ", ".join(f"{_FULL.format(full, other)} AS {name}" for name, full, other in (
+    ("id", "'r' || o_orderkey", "o_custkey || '#' || o_orderkey"), ("status", "'paid'", "'open'"), ("type", "'contest'", "'standard'"), ("kind", "'design'", "'dev'"),
+    ("created_at", "'2020-01-02T03:04:05.000Z'", "'2001-09-01T00:00:00.000Z'"), ("updated_at", "'2020-02-03T04:05:06.000Z'", "'2001-09-01T00:00:00.000Z'"),
+    ("visibility", "'private'", "'public'"), ("autopay_disabled", "true", "false"), ("tech", "'go,ui'", "''"), ("is_external", "true", "false"),
+    ("manual_assignments", "true", "false"), ("point_reward", "5::BIGINT", "NULL"), ("currency", "'EUR'", "'USD'"), ("cents", "CAST(round(o_totalprice) AS BIGINT)", "10000"),
+    ("reward_type", "'points'", "'cash'"), ("timeouts_disabled", "true", "false"), ("task_id", "'t' || o_orderkey", "'task-' || o_custkey || '#' || o_orderkey"),
+    ("task_status", "'closed'", "'open'"), ("task_type", "'pull'", "'issue'"), ("title", "o_orderpriority", "'Issue #' || o_orderkey"), ("body", "'Some text.'", "''"), ("task_tech", "'rust'", "''"),
+)) + """, '$' || CAST(round(CASE WHEN o_orderkey % 3 = 0 THEN CAST(round(o_totalprice) AS BIGINT) ELSE 10000 END / 100.0::DOUBLE) AS BIGINT) AS reward_formatted,
+'https://github.com/org' || o_custkey || '/repo/issues/' || o_orderkey AS url, 'org' || o_custkey || '/repo#' || o_orderkey AS hash, o_orderkey AS number,
+'repo' AS repo_name, 'org' || o_custkey AS repo_owner, 'github' AS forge, 'generated-' || o_custkey AS org_id, 0::BIGINT AS bids, 0::BIGINT AS tiers,
+'source-' || o_custkey || '#' || o_orderkey AS source_id FROM orders""")
+def raw_item_fields(spark, sf):
+    """Nested items of raw embedded objects: given fields stay, absent and empty ones take their defaults."""
+    state = _raw_pages(spark, sf).withColumn("state", item_ops.embedded_state("html")).drop("html")
+    rows = item_ops.embedded_raw_rows(state).withColumns(
+        {"display_name": F.col("handle"), "description": F.lit(None).cast("string"), "org_tech": F.lit(None).cast("array<string>")}
+    )
+    nested = item_ops.items_from_embedded(rows, as_of(), keep=["page_id"])
+    joined = lambda c: F.array_join(c, ",")
+    return nested.select(
+        "page_id", "id", "status", "type", "kind", scalars.iso_millis("created_at").alias("created_at"), scalars.iso_millis("updated_at").alias("updated_at"), "visibility",
+        "autopay_disabled", joined("tech").alias("tech"), "is_external", "manual_assignments", "point_reward", "reward.currency", F.col("reward.amount").alias("cents"), "reward_type",
+        "timeouts_disabled", F.col("task.id").alias("task_id"), F.col("task.status").alias("task_status"), F.col("task.type").alias("task_type"), "task.title", "task.body",
+        joined("task.tech").alias("task_tech"), "reward_formatted", "task.url", "task.hash", "task.number", "task.repo_name", "task.repo_owner", "task.forge", F.col("org.id").alias("org_id"),
+        F.size("bids").cast("bigint").alias("bids"), F.size("reward_tiers").cast("bigint").alias("tiers"), F.col("task.source.data.id").alias("source_id"),
+    )
+
+
 @query("""SELECT CAST(o_custkey AS VARCHAR) AS handle, 'n' || o_orderkey AS id,
 CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority ELSE 'Issue #' || o_orderkey END AS title,
 CASE WHEN o_orderstatus = 'P' THEN 100.0::DOUBLE ELSE CAST(round(o_totalprice) AS BIGINT) / 100.0::DOUBLE END AS amount_usd
