@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-import zlib
 
 from pyspark.sql import functions as F
 
@@ -159,8 +158,8 @@ def refreshed_from_pages(spark, sf):
     Every third customer's pages are as the stored state knows them, the next one's have changed, and the last one is new. Each item of
     the new snapshot comes with its change against the last one; removed items come without the rest.
     """
-    name = f"landed_pages_{zlib.crc32(sf.encode())}"
-    pages = writers.land_pages(state_pages(spark, sf), name, 16)
+    name = f"landed_pages_{uuid.uuid4().hex}"
+    pages = writers.land_pages(state_pages(spark, sf), name, 16, f"{keyed.checkpoint_dir(spark)}/{name}")
     kind = F.col("handle").cast("bigint") % 3
     known = page_state.handle_signatures(page_state.page_signatures(pages.select("handle", "html"), SIGNATURE)).where(kind < 2)
     state = known.select(

@@ -252,12 +252,13 @@ def publish_changes(checked: DataFrame, path: str, fmt: str = "lines", size: int
         raise ValueError(f"unknown format: {fmt}")
 
 
-def land_pages(pages: DataFrame, name: str, buckets: int = 256) -> DataFrame:
-    """Pages as a table bucketed by handle, replacing one of that name.
+def land_pages(pages: DataFrame, name: str, buckets: int = 256, path: str | None = None) -> DataFrame:
+    """Pages as a table bucketed by handle, replacing one of that name; at ``path``, or where the warehouse puts it.
 
     Later joins by handle leave the pages where they are: only the other side is moved, to as many buckets.
     """
-    pages.write.mode("overwrite").format("parquet").bucketBy(buckets, "handle").saveAsTable(name)
+    writer = pages.write.mode("overwrite").format("parquet").bucketBy(buckets, "handle")
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)
     return pages.sparkSession.table(name)
 
 
