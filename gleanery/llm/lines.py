@@ -47,7 +47,7 @@ def line_dedup(pages: DataFrame, lines: Column, site: Column, tie: str, ratio: f
     Lines are counted by their MD5, summed within each task first. What a site loses is one set per site, and small: with a
     mean of m lines to a page it has at most m / ratio members. That set meets the pages by site and a salt of ``tie``.
     """
-    own = free_name(pages, "_lines")
+    own, salt, gone = (free_name(pages, n) for n in ("_lines", "_salt", "_drops"))
     read = pages.drop("site", "n_lines", "n_dropped", "kept_lines").withColumn("site", F.coalesce(site, F.lit(""))).withColumn(own, lines)
     hashed = read.select("site", F.transform(F.array_distinct(own), lambda x: F.unhex(F.md5(x))).alias("l"))
     # A null stands for the page itself.
@@ -55,10 +55,10 @@ def line_dedup(pages: DataFrame, lines: Column, site: Column, tie: str, ratio: f
     counts = settled(counts.where(F.col("line").isNull() | (F.col("n") >= least)))
     totals = counts.where(F.col("line").isNull()).select("site", F.col("n").alias("pages"))
     often = counts.where(F.col("line").isNotNull())
-    drops = often.join(totals, "site").where(F.col("n") > F.lit(ratio) * F.col("pages")).groupBy("site").agg(F.collect_list("line").alias("_drops"))
-    salted = drops.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    met = read.withColumn("_salt", F.pmod(F.xxhash64(tie), F.lit(SALTS)).cast("int")).join(salted, ["site", "_salt"], "left")
-    kept = F.when(F.col("_drops").isNull(), F.col(own)).otherwise(F.filter(own, lambda x: ~F.array_contains("_drops", F.unhex(F.md5(x)))))
+    drops = often.join(totals, "site").where(F.col("n") > F.lit(ratio) * F.col("pages")).groupBy("site").agg(F.collect_list("line").alias(gone))
+    salted = drops.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = read.withColumn(salt, F.pmod(F.xxhash64(tie), F.lit(SALTS)).cast("int")).join(salted, ["site", salt], "left")
+    kept = F.when(F.col(gone).isNull(), F.col(own)).otherwise(F.filter(own, lambda x: ~F.array_contains(gone, F.unhex(F.md5(x)))))
     out = met.withColumn("kept_lines", kept)
     return out.select(
         *[F.col(f"`{c}`") for c in pages.columns if c not in ("site", "n_lines", "n_dropped", "kept_lines")], "site", F.size(own).cast("long").alias("n_lines"),

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import settled
+from gleanery.llm.common import free_name, settled
 
 SHARDS = 24
 NODES = 64
@@ -68,17 +68,18 @@ def shard(docs: DataFrame, key: str = "key", tie: str = "doc_id", shards: int =
     """
     places, owners = ring(shards, nodes)
     arcs = len(places)
+    arc, sub, salt, rank, to, base_n = (free_name(docs, n) for n in ("_arc", "_sub", "_salt", "_r", "_to", "_base"))
 
     @F.pandas_udf("int")
     def arc_of(keys: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(places, keys.to_numpy(np.int64)) % arcs, dtype="int32")
 
-    placed = docs.select("*", arc_of(key).alias("_arc"), F.col(key).bitwiseAND(SUB - 1).cast("int").alias("_sub"), F.pmod(F.xxhash64(tie), F.lit(SALTS)).cast("int").alias("_salt"))
-    counts = settled(placed.groupBy("_arc", "_sub", key, "_salt").agg(F.count("*").alias("_n")))
-    subs = settled(counts.groupBy("_arc", "_sub").agg(F.sum("_n").alias("_n")))
+    placed = docs.select("*", arc_of(key).alias(arc), F.col(key).bitwiseAND(SUB - 1).cast("int").alias(sub), F.pmod(F.xxhash64(tie), F.lit(SALTS)).cast("int").alias(salt))
+    counts = settled(placed.groupBy(arc, sub, key, salt).agg(F.count("*").alias("_n")))
+    subs = settled(counts.groupBy(arc, sub).agg(F.sum("_n").alias("_n")))
     loads = [0] * arcs
-    for arc, n in subs.groupBy("_arc").agg(F.sum("_n")).collect():  # a row per virtual node at most
-        loads[arc] = n
+    for place, n in subs.groupBy(arc).agg(F.sum("_n")).collect():  # a row per virtual node at most
+        loads[place] = n
     parts = flows(loads, owners.tolist(), shards)
     first = np.concatenate([[0], np.cumsum(loads)])[:-1]
     starts = np.concatenate([[0], np.cumsum([p[1] for p in parts])])[:-1].astype(np.int64)
@@ -86,19 +87,19 @@ def shard(docs: DataFrame, key: str = "key", tie: str = "doc_id", shards: int =
     part_slot = np.array([p[3] for p in parts], dtype=np.int64)
 
     @F.pandas_udf("shard int, slot long")
-    def handed_out(arc: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        at = first[arc.to_numpy()] + rank.to_numpy(np.int64)
+    def handed_out(arcs_: pd.Series, ranks: pd.Series) -> pd.DataFrame:
+        at = first[arcs_.to_numpy()] + ranks.to_numpy(np.int64)
         part = np.searchsorted(starts, at, side="right") - 1
         return pd.DataFrame({"shard": part_shard[part], "slot": part_slot[part] + at - starts[part]})
 
-    earlier_subs = Window.partitionBy("_arc").orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    earlier_keys = Window.partitionBy("_arc", "_sub").orderBy(key, "_salt").rowsBetween(Window.unboundedPreceding, -1)
-    sub_starts = subs.select("_arc", "_sub", F.coalesce(F.sum("_n").over(earlier_subs), F.lit(0)).alias("_a"))
-    key_starts = counts.select("_arc", "_sub", key, "_salt", F.coalesce(F.sum("_n").over(earlier_keys), F.lit(0)).alias("_b"))
-    base = key_starts.join(sub_starts, ["_arc", "_sub"]).select("_arc", "_sub", key, "_salt", (F.col("_a") + F.col("_b")).alias("_base"))
-    in_key = Window.partitionBy("_arc", "_sub", key, "_salt").orderBy(tie)
-    ranked = placed.withColumn("_r", F.row_number().over(in_key) - 1).join(base, ["_arc", "_sub", key, "_salt"])
-    return ranked.withColumn("_to", handed_out("_arc", F.col("_base") + F.col("_r"))).select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_to.shard").alias("shard"), F.col("_to.slot").alias("slot"))
+    earlier_subs = Window.partitionBy(arc).orderBy(sub).rowsBetween(Window.unboundedPreceding, -1)
+    earlier_keys = Window.partitionBy(arc, sub).orderBy(key, salt).rowsBetween(Window.unboundedPreceding, -1)
+    sub_starts = subs.select(arc, sub, F.coalesce(F.sum("_n").over(earlier_subs), F.lit(0)).alias("_a"))
+    key_starts = counts.select(arc, sub, key, salt, F.coalesce(F.sum("_n").over(earlier_keys), F.lit(0)).alias("_b"))
+    base = key_starts.join(sub_starts, [arc, sub]).select(arc, sub, key, salt, (F.col("_a") + F.col("_b")).alias(base_n))
+    in_key = Window.partitionBy(arc, sub, key, salt).orderBy(tie)
+    ranked = placed.withColumn(rank, F.row_number().over(in_key) - 1).join(base, [arc, sub, key, salt])
+    return ranked.withColumn(to, handed_out(arc, F.col(base_n) + F.col(rank))).select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"{to}.shard").alias("shard"), F.col(f"{to}.slot").alias("slot"))
 
 
 def op7(docs: DataFrame) -> DataFrame:
