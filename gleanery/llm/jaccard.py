@@ -13,12 +13,12 @@ pairs of different classes are held against each other, in chunks of bounded siz
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import SENT_KEYS, broadcast_if_small, settled, text_hash
@@ -110,14 +110,12 @@ def _key(found: np.ndarray) -> tuple[int, int]:
     return tuple(int(np.uint64(xxhash.xxh3_64_intdigest(data, seed)).view(np.int64)) for seed in (1, 2))
 
 
-SET_ROW = "slice int, id long, text_hash long, ref long, proof long, n long, data binary"
+SET_ROW = "slice int, id long, text_hash long, ref long, proof long, n long, counts binary"
 
 
 def _sets(batches: Iterable[pa.RecordBatch], words: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """A row per document (id, text_hash, text) with its set's key, size and bitmap; and at the end the task's part of the sketch.
-
-    Equal sets of a task count once in the sketch, and only the first has its bitmap.
-    """
+    """A row per document (id, text_hash, text) with its set's key and size; and at the end the task's part of the sketch, in which
+    equal sets of a task count once."""
     known, seen = WordHashes(), set()
     counters, held, size = np.zeros(1 << bits, np.uint32), [], 0
     names = [f.split()[0] for f in SET_ROW.split(", ")]
@@ -132,18 +130,17 @@ def _sets(batches: Iterable[pa.RecordBatch], words: int, bits: int) -> Iterator[
         for text in texts:
             found = shingles(text, known, words)
             ref, proof = _key(found)
-            first = ref not in seen
-            if first:
+            if ref not in seen:
                 seen.add(ref)
                 held.append((found >> np.uint64(64 - bits)).astype(np.int64))
                 size += len(found)
                 if size > 4 * STEP:
                     add()
                     size = 0
-            rows.append((ref, proof, len(found), bitmap(found) if first else None))
-        refs, proofs, sizes, maps = zip(*rows) if rows else ((),) * 4
+            rows.append((ref, proof, len(found)))
+        refs, proofs, sizes = zip(*rows) if rows else ((),) * 3
         yield pa.RecordBatch.from_arrays(
-            [pa.array([-1] * len(rows), pa.int32()), batch.column(0), batch.column(1), pa.array(refs, pa.int64()), pa.array(proofs, pa.int64()), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary())], names
+            [pa.array([-1] * len(rows), pa.int32()), batch.column(0), batch.column(1), pa.array(refs, pa.int64()), pa.array(proofs, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(len(rows), pa.binary())], names
         )
     if held:
         add()
@@ -213,29 +210,59 @@ def _prefixes(batches: Iterable[pa.RecordBatch], sent, words: int, percent: int)
         yield flush()
 
 
-def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (shingle, ref, n) sorted by shingle and ref, each once, those whose shingle another set has as well."""
-    held, told = [np.empty(0, np.int64)] * 3, False  # the last row, and whether it was passed on
+STAR = "lead long, lead_n long, band int, ref long, n long, more boolean"
+
+
+def _stars(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The tiles of entries (shingle, ref, n) sorted by shingle and ref: a row for each set beside the first one of its tile.
+
+    ``more`` says that a tile has more than two sets; of a shingle that may go on in the next batch it is taken to have.
+    """
+    last, leads = None, {}  # the last shingle, and of its tiles the first set, its size and the number of sets
+    before = None
     for batch in batches:
-        s, r, n = (np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns))
+        s, r, n = (c.to_numpy() for c in batch.columns)
         if not len(s):
             continue
-        new = np.concatenate([[True], (s[1:] != s[:-1]) | (r[1:] != r[:-1])])
+        new = np.concatenate([[before != (s[0], r[0])], (s[1:] != s[:-1]) | (r[1:] != r[:-1])])
+        before = (s[-1], r[-1])
         s, r, n = s[new], r[new], n[new]
-        with_last = np.concatenate([[False], s[1:] == s[:-1]])
-        out = with_last | np.concatenate([with_last[1:], [False]])
-        before = told and len(held[0]) > 0
-        told = bool(out[-1]) or before and len(s) == 1
-        if before:
-            out[0] = False
-        held = [s[-1:], r[-1:], n[-1:]]
-        yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (s, r, n)], ["shingle", "ref", "n"])
+        if not len(s):
+            continue
+        # A set stands in its own band's tile and, for larger ones, in that of the band above.
+        band = np.floor(np.log(n) / np.log(100 / percent) + 1e-9).astype(np.int64)
+        s, band, r, n = np.concatenate([s, s]), np.concatenate([band, band + 1]), np.concatenate([r, r]), np.concatenate([n, n])
+        order = np.lexsort((r, band, s))
+        s, band, r, n = s[order], band[order], r[order], n[order]
+        starts = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]) | (band[1:] != band[:-1])]))
+        sizes = np.diff(np.append(starts, len(s)))
+        lead, lead_n, total = r[starts], n[starts], sizes.copy()
+        known = np.zeros(len(starts), bool)
+        for g in np.flatnonzero(s[starts] == last) if last is not None else ():
+            if int(band[starts[g]]) in leads:
+                lead[g], lead_n[g], m = leads[int(band[starts[g]])]
+                total[g] += m
+                known[g] = True
+        end = s.max()
+        if end != last:
+            leads = {}
+        for g in np.flatnonzero(s[starts] == end):
+            leads[int(band[starts[g]])] = (lead[g], lead_n[g], total[g])
+        last = end
+        group = np.repeat(np.arange(len(starts)), sizes)
+        beside = known[group]
+        beside |= np.arange(len(s)) != starts[group]
+        g = group[beside]
+        more = (total[g] > 2) | (s[beside] == end)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(lead[g]), pa.array(lead_n[g]), pa.array(band[beside].astype(np.int32)), pa.array(r[beside]), pa.array(n[beside]), pa.array(more)], [f.split()[0] for f in STAR.split(", ")]
+        )
 
 
-def _payloads(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+def _payloads(batches: Iterable[pa.RecordBatch], words: int, make: Callable[[np.ndarray], bytes]) -> Iterator[pa.RecordBatch]:
     known = WordHashes()
     for batch, texts in _texts(batches, 1):
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t, known, words).tobytes() for t in texts], pa.binary())], ["ref", "data"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([make(shingles(t, known, words)) for t in texts], pa.binary())], ["ref", "data"])
 
 
 def _bounded(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -313,17 +340,12 @@ def _tile_links(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.
         yield out()
 
 
-def _band(n: str, percent: int) -> Column:
-    """Number of the size band; sizes of similar sets lie in the same band or in neighbours."""
-    return F.floor(F.log(F.col(n).cast("double")) / float(np.log(100 / percent)) + 1e-9).cast("int")
-
-
-def _arrays(refs: DataFrame, sets: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """(ref, data): sorted arrays of some sets (ref), from one text of each. Other texts aren't read into arrays."""
+def _read(refs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, make: Callable[[np.ndarray], bytes] = np.ndarray.tobytes) -> DataFrame:
+    """(ref, data): sorted arrays of some sets (ref), or what else is made of them, from one text of each. No other text is read into a set."""
     needed = refs.distinct().join(sets, "ref").select("ref", F.col("rep.id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash"))
     needed = broadcast_if_small(settled(needed), SENT_KEYS)
     texts = docs.join(needed, docs["id"].eqNullSafe(needed["rep_id"]) & (docs["text_hash"] == needed["rep_hash"])).select("ref", "text")
-    return settled(texts.mapInArrow(lambda b: _payloads(b, words), "ref long, data binary").groupBy("ref").agg(F.first("data").alias("data")))
+    return settled(texts.mapInArrow(lambda b: _payloads(b, words, make), "ref long, data binary").groupBy("ref").agg(F.first("data").alias("data")))
 
 
 def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, bits: int = SKETCH_BITS, chunk: int = CHUNK) -> DataFrame:
@@ -337,39 +359,38 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     given = docs.select(F.col(doc_id).cast("long").alias("id"), text_hash(text).alias("text_hash"), F.col(text).alias("text"))
     scanned = settled(given.mapInArrow(lambda b: _sets(b, words, bits), SET_ROW))
-    rows = scanned.where("slice < 0").select("id", "text_hash", "ref", "proof", "n", "data")
+    rows = scanned.where("slice < 0").select("id", "text_hash", "ref", "proof", "n")
     proof = F.when(F.min("proof") == F.max("proof"), F.min("n")).otherwise(F.raise_error(F.lit("two sets have one key")))
     rep = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("rep")
-    sets = settled(rows.where("n > 0").groupBy("ref").agg(proof.alias("n"), rep, F.min("id").alias("least"), F.count("*").alias("copies"), F.max("data").alias("data")))
+    sets = settled(rows.where("n > 0").groupBy("ref").agg(proof.alias("n"), rep, F.min("id").alias("least")))
 
     context = docs.sparkSession.sparkContext
-    sent = context.broadcast(rarity(scanned.where("slice >= 0").select("slice", "data"), bits).tobytes())
+    sent = context.broadcast(rarity(scanned.where("slice >= 0").select("slice", "counts"), bits).tobytes())
     entries = given.select("text").mapInArrow(lambda b: _prefixes(b, sent, words, percent), "shingle long, ref long, n long")
     sorted_ = entries.repartition("shingle").sortWithinPartitions("shingle", "ref")
-    found = settled(sorted_.mapInArrow(_shared, "shingle long, ref long, n long"))
+    drawn = sorted_.mapInArrow(lambda b: _stars(b, percent), STAR)
+    # Sets share many shingles with their copies: a pair counts once.
+    stars = settled(drawn.groupBy("lead", "band", "ref").agg(F.max("lead_n").alias("lead_n"), F.max("n").alias("n"), F.bool_or("more").alias("more")))
     sent.destroy()
 
-    # A set stands in its own band's tile and, for larger ones, in that of the band above.
-    tile, band = ["shingle", "band"], _band("n", percent)
-    tiles = lambda rows: rows.withColumn("band", F.explode(F.array(band, band + 1)))
-    side = lambda of, **columns: sets.select(F.col("ref").alias(of), *[F.col(c).alias(n) for n, c in columns.items()])
-
-    leads = tiles(found).groupBy(*tile).agg(F.min("ref").alias("a"), F.max("ref").alias("most")).where("a < most").drop("most")
-    pairs = tiles(found).join(leads, tile).where("ref <> a").select("a", F.col("ref").alias("b")).distinct()
-    bounded = pairs.join(side("a", na="n", da="data"), "a").join(side("b", nb="n", db="data"), "b").select("a", "b", "na", "nb", "da", "db")
+    near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    pairs = settled(stars.select(F.col("lead").alias("a"), F.col("ref").alias("b"), F.col("lead_n").alias("na"), F.col("n").alias("nb")).where(near).distinct())
+    both = lambda pairs, data: pairs.join(data.withColumnsRenamed({"ref": "a", "data": "da"}), "a").join(data.withColumnsRenamed({"ref": "b", "data": "db"}), "b")
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("ref"))
+    bounded = both(pairs, _read(ends(pairs), sets, given, words, bitmap)).select("a", "b", "na", "nb", "da", "db")
     pairs = settled(bounded.mapInArrow(lambda b: _bounded(b, percent), "a long, b long"))
-    arrays = _arrays(pairs.select(F.explode(F.array("a", "b")).alias("ref")), sets, given, words)
-    both = pairs.join(arrays.withColumnsRenamed({"ref": "a", "data": "x"}), "a").join(arrays.withColumnsRenamed({"ref": "b", "data": "y"}), "b").select("a", "b", "x", "y")
-    first = settled(both.mapInArrow(lambda b: _intersected(b, percent), "a long, b long"))
+    first = settled(both(pairs, _read(ends(pairs), sets, given, words)).select("a", "b", "da", "db").mapInArrow(lambda b: _intersected(b, percent), "a long, b long"))
     classes = settled(components(first)).withColumnsRenamed({"node": "ref"})
 
-    rooted = found.join(classes, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
-    # Both sets of a tile of two have been held against each other.
-    mixed = tiles(rooted).groupBy(*tile).agg(F.min("ref").alias("lead"), F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("m")).where("least < most AND m > 2")
-    members = settled(tiles(rooted).join(mixed.select(*tile, "lead"), tile).select("lead", "band", "ref", "n", "root").distinct())
+    # Both sets of a tile of two have been held against each other. Tiles with one first set are one from here on.
+    large = stars.where("more")
+    members = large.select("lead", "band", "ref", "n").unionByName(large.select("lead", "band", F.col("lead").alias("ref"), F.col("lead_n").alias("n"))).distinct()
+    rooted = members.join(classes, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
+    mixed = rooted.groupBy("lead", "band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("lead", "band")
+    members = settled(rooted.join(mixed, ["lead", "band"]))
     sizes = members.groupBy("lead", "band").agg(F.ceil(F.greatest(F.count("*") / chunk, F.sum("n") / CHUNK_SHINGLES)).alias("chunks"))
     placed = members.join(sizes, ["lead", "band"]).withColumn("chunk", F.pmod(F.xxhash64("ref"), F.col("chunks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    cut = placed.join(_arrays(members.select("ref"), sets, given, words), "ref").select("lead", "band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "ref", "n", "root", "data")
+    cut = placed.join(_read(members.select("ref"), sets, given, words), "ref").select("lead", "band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "ref", "n", "root", "data")
     key = ["lead", "band", "lo", "hi"]
     more = settled(cut.repartition(*key).sortWithinPartitions(*key).mapInArrow(lambda b: _tile_links(b, percent), "a long, b long"))
     links = more.unionByName(classes.select(F.col("ref").alias("a"), F.col("root").alias("b")))

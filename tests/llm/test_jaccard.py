@@ -63,20 +63,26 @@ def test_awkward_rows(spark):
         assert found(jaccard.op11(table(spark, none))) == plain.jaccard(none)
 
 
-def test_shared_entries_in_batches():
-    """Entries cut into batches anywhere pass on each row of a shared shingle once."""
+def test_tiles_in_batches():
+    """Entries cut into batches anywhere give each tile's sets with its first one, and never miss that there are more than two."""
     import pyarrow as pa
 
     rng = np.random.default_rng(2)
-    rows = sorted((int(s), int(r), 5) for s, r in zip(rng.integers(0, 30, 200), rng.integers(0, 6, 200)))
-    refs = {}
-    for s, r, _ in rows:
-        refs.setdefault(s, set()).add(r)
-    expected = sorted({x for x in rows if len(refs[x[0]]) > 1})
+    rows = sorted({(int(s), int(r), 4 + int(r) % 9) for s, r in zip(rng.integers(-30, 30, 300), rng.integers(-9, 9, 300))} | {(99, 5, 6)})
+    rows = sorted(rows + rows[::7])  # some entries come twice
+    band = lambda n: int(np.floor(np.log(n) / np.log(1.25) + 1e-9))
+    tiles = {}
+    for s, r, n in dict.fromkeys(rows):
+        for t in (band(n), band(n) + 1):
+            tiles.setdefault((s, t), []).append((r, n))
+    expected = sorted((*t[0], b, *x, len(t) > 2) for (s, b), t in tiles.items() for x in t[1:])
     for size in (1, 2, 3, 17, 500):
         batches = [pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows[at:at + size]], pa.int64()) for i in range(3)], ["shingle", "ref", "n"]) for at in range(0, len(rows), size)]
-        got = [tuple(x) for out in jaccard._shared(iter(batches)) for x in zip(*(c.to_pylist() for c in out.columns))]
-        assert got == expected
+        got = sorted(tuple(x) for out in jaccard._stars(iter(batches), 80) for x in zip(*(c.to_pylist() for c in out.columns)))
+        assert [x[:5] for x in got] == [x[:5] for x in expected]
+        assert all(g[5] or not e[5] for g, e in zip(got, expected))
+        if size == 500:
+            assert sum(g[5] for g in got) - sum(e[5] for e in expected) <= 3
 
 
 def test_bounds_hold():
