@@ -158,7 +158,7 @@ def test_pages_are_extracted_before_any_join(spark, small_limits, tmp_path):
     )
     text = plan(runs.collect_items(orgs, pages, F.lit("2025-01-01").cast("timestamp"), listing=listing))
     # Plans print from the top: the join comes first, and below the extraction there is only the scan.
-    below = text[text.index("Generate explode"):]
+    below = text[text.index("Generate posexplode"):]
     below = below[: below.index("FileScan")]
-    assert text.index("LeftAnti") < text.index("Generate explode")
+    assert text.index("LeftAnti") < text.index("Generate posexplode")
     assert "html" in below and "Exchange" not in below and "Join" not in below
