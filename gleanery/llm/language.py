@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import held_out
+from gleanery.llm.common import broadcast_if_small, held_out, settled, text_pair
 
 #: Dimensions, sizes of n-grams, expected rows of a language's sample, clusters of a language, and rounds of clustering.
 DIMENSIONS = 4096
@@ -119,8 +119,9 @@ class Centroids:
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", sample: int = SAMPLE, clusters: int = CLUSTERS) -> Centroids:
     """Centroids from all rows of ``docs`` that have a language.
 
-    Document frequencies are of all these rows. Of each language, ``sample`` rows are clustered (expected; a row is taken by a
-    hash of its text, or all rows where there are fewer), in one task for a language. The driver gets the frequencies and the
+    Document frequencies are of all these rows. Of each language, ``sample`` distinct texts are clustered (expected; a text is taken
+    by its hash, or all texts where there are fewer), in one task for a language. A text counts once however often it is copied,
+    so their number is bounded; the share to take of each language is sent to the readers, and only what is taken is moved. The driver gets the frequencies and the
     centroids, ``clusters`` for each language.
     """
     known = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
@@ -128,9 +129,11 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", sample: int =
     df = np.zeros(DIMENSIONS + 1, np.int64)
     df[found.column("place").to_numpy() + 1] = found.column("n").to_numpy()
     idf = (np.log((1 + df[0]) / (1 + df[1:])) + 1).astype(np.float32)
-    share = known.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share"))
+    keyed = known.select("lang", "text", *text_pair("text"))
+    share = keyed.select("lang", "_h1", "_h2").distinct().groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share"))
     place = F.shiftrightunsigned(F.xxhash64("text", F.lit(7)), 11) / F.lit(float(1 << 53))
-    taken = known.join(share, "lang").where(place < F.col("share")).select("lang", "text")
+    drawn = keyed.join(broadcast_if_small(settled(share)), "lang").where(place < F.col("share"))
+    taken = drawn.groupBy("lang", "_h1", "_h2").agg(F.first("text").alias("text")).select("lang", "text")
 
     def fit(table: pa.Table) -> pa.Table:
         texts = sorted(t for t in table.column("text").to_pylist() if t and LETTER.search(t))
