@@ -1,7 +1,7 @@
 """Toxicity from the nearest labelled examples.
 
-A bounded sample of the labelled rows gives the examples. Terms (words, and beginnings of words) that the labels depend on make
-the vocabulary; texts are TF-IDF vectors over it. The examples stand in an inverted index cut into blocks, with the largest
+A bounded sample of the labelled rows gives the examples. Their terms (words, and beginnings of words) make the vocabulary, those
+first that the labels depend on most; texts are TF-IDF vectors over it, in which a term weighs by that dependence as well. The examples stand in an inverted index cut into blocks, with the largest
 weight of each term in each block. A search visits blocks by the bound that these maxima give, and ends when no block left can
 reach the examples found: the cosines and the nearest examples are exact. Votes weighted by nearness become a probability by
 isotonic regression on votes of the examples themselves, each without its own.
@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import held_out, settled
 
-#: Expected examples of label 1 and of label 0, most terms, least evidence for a term (G2), neighbours, block size and weight of no vote.
+#: Expected examples of label 1 and of label 0, terms, least examples of a term, power of its evidence (G2) in its weight, neighbours, block
+#: size and weight of no vote.
 EXAMPLES = (1500, 6000)
-TERMS = 2048
-EVIDENCE = 30.0
+TERMS = 8192
+LEAST = 3
+EVIDENCE_POWER = 0.5
 NEIGHBOURS = 15
 BLOCK = 64
 STEP = 8
@@ -160,13 +162,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
     n1, n0 = float(rows.get(1, 0)), float(rows.get(0, 0))
     n = max(n1 + n0, 1.0)
     a, b = F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0))
-    both = sample.mapInArrow(count, "term binary, label int, n long").groupBy("term").agg(a.alias("a"), b.alias("b")).where("a + b >= 3")
+    both = sample.mapInArrow(count, "term binary, label int, n long").groupBy("term").agg(a.alias("a"), b.alias("b")).where(f"a + b >= {LEAST}")
     part = lambda o, e: F.when(o > 0, o * F.log(o / F.greatest(e, F.lit(1e-12)))).otherwise(0.0)
     a, b, r = F.col("a"), F.col("b"), F.col("a") + F.col("b")
     g2 = 2 * (part(a, r * n1 / n) + part(b, r * n0 / n) + part(n1 - a, (n - r) * n1 / n) + part(n0 - b, (n - r) * n0 / n))
-    chosen = both.withColumn("g2", g2).where(F.col("g2") >= EVIDENCE).orderBy(F.desc("g2"), "term").limit(TERMS).collect()
+    chosen = both.withColumn("g2", g2).where("g2 > 0").orderBy(F.desc("g2"), "term").limit(TERMS).collect()
     vocabulary = [bytes(r.term) for r in chosen]
-    idf = np.array([np.log((1 + n) / (1 + r.a + r.b)) + 1 for r in chosen])
+    idf = np.array([(np.log((1 + n) / (1 + r.a + r.b)) + 1) * r.g2**EVIDENCE_POWER for r in chosen])
     empty = Index(vocabulary, idf, np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
     def vector(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
