@@ -28,6 +28,8 @@ EVIDENCE_POWER = 0.5
 NEIGHBOURS = 15
 BLOCK = 64
 STEP = 8
+#: Words whose terms a task remembers.
+KNOWN = 1 << 18
 DOUBT = 0.5
 THRESHOLD = 0.3
 BEGINNINGS = (4, 5, 6)
@@ -60,28 +62,37 @@ class Index:
         self.words = {t[1:]: i for i, t in enumerate(vocabulary) if t[:1] == b"="}
         self.begins = {t[1:]: i for i, t in enumerate(vocabulary) if t[:1] == b"^"}
         self.short = {t[: BEGINNINGS[0]] for t in self.begins}
+        self.known: dict[bytes, tuple[int, ...]] = {}
         self.blocks = max(1, -(-len(ids) // BLOCK))
         example = np.repeat(np.arange(len(ids)), sizes)
         order = np.lexsort((example, flat))
         self.example, self.weight = example[order], weights[order]
         cell = flat[order].astype(np.int64) * self.blocks + self.example // BLOCK
+        self.place = self.example % BLOCK
         self.starts = np.searchsorted(cell, np.arange(len(vocabulary) * self.blocks + 1)).reshape(-1)
         self.most = np.zeros(len(vocabulary) * self.blocks, np.float32)
         np.maximum.at(self.most, cell, self.weight)
         self.most = self.most.reshape(len(vocabulary), self.blocks)
 
+    def terms_of(self, word: bytes) -> tuple[int, ...]:
+        """Terms of the vocabulary that a word counts for."""
+        own = [self.words.get(word)]
+        if word[: BEGINNINGS[0]] in self.short:
+            own += [self.begins.get(word[:k]) for k in BEGINNINGS if len(word) > k]
+        return tuple(t for t in own if t is not None)
+
     def query(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights, of length one, of a text."""
         tf: dict[int, int] = {}
+        known = self.known
+        if len(known) > KNOWN:
+            known.clear()
         for w, n in words.items():
-            t = self.words.get(w)
-            if t is not None:
+            own = known.get(w)
+            if own is None:
+                known[w] = own = self.terms_of(w)
+            for t in own:
                 tf[t] = tf.get(t, 0) + n
-            if w[: BEGINNINGS[0]] in self.short:
-                for k in BEGINNINGS:
-                    t = self.begins.get(w[:k]) if len(w) > k else None
-                    if t is not None:
-                        tf[t] = tf.get(t, 0) + n
         found = np.fromiter(tf, np.int64, len(tf))
         v = (1 + np.log(np.fromiter(tf.values(), np.float64, len(tf)))) * self.idf[found]
         return found, v / max(np.linalg.norm(v), 1e-12)
@@ -94,16 +105,24 @@ class Index:
         visit = np.argsort(-bound, kind="stable")
         visit = visit[bound[visit] > 0]
         best, value = np.zeros(0, np.int64), np.zeros(0)
+        rows = found * self.blocks
         for at in range(0, len(visit), STEP):
-            if len(best) == k and bound[visit[at]] < value[-1] - 1e-6:
+            least = value[-1] if len(best) == k else 0.0
+            if len(best) == k and bound[visit[at]] < least - 1e-6:
                 break
             chosen = visit[at : at + STEP]
-            cells = (found[:, None] * self.blocks + chosen).ravel()
+            cells = (rows[:, None] + chosen).ravel()
             first, size = self.starts[cells], self.starts[cells + 1] - self.starts[cells]
+            there = np.flatnonzero(size)
+            first, size, weight = first[there], size[there], v[there // len(chosen)]
             ends = np.cumsum(size)
             post = np.arange(ends[-1]) + np.repeat(first - (ends - size), size)
-            seen, where = np.unique(self.example[post], return_inverse=True)
-            score = np.bincount(where, self.weight[post] * np.repeat(np.repeat(v, len(chosen)), size))
+            # Blocks are summed side by side: an example's place is its block's and its own in it.
+            place = np.repeat(there % len(chosen) * BLOCK, size) + self.place[post]
+            score = np.bincount(place, self.weight[post] * np.repeat(weight, size), len(chosen) * BLOCK)
+            near = np.flatnonzero(score > max(least - 1e-6, 0.0))
+            seen = chosen[near // BLOCK] * BLOCK + near % BLOCK
+            score = score[near]
             if without is not None:
                 score, seen = score[self.ids[seen] != without], seen[self.ids[seen] != without]
             best, value = np.concatenate([best, seen]), np.concatenate([value, score])

@@ -88,6 +88,25 @@ def test_quality_bands_reject_shuffled_letters(spark, given):
     assert sum(r.kept for i, r in found.items() if i < 10_000) >= 0.7 * len(good)
 
 
+@pytest.mark.parametrize("share", [0.33, 0.5, 0.8])
+def test_copies_change_no_other_verdict(spark, given, share):
+    """A group of copies that holds a good part of all rows weighs as one text in the model and in the bands."""
+    some = given.where("lang IN ('en', 'de')").limit(120).select("doc_id", "lang", "text").collect()
+    table = spark.createDataFrame(some, "doc_id long, lang string, text string")
+    text = next(r.text for r in some if r.lang == "en" and len(r.text or "") > 500)
+    copies = spark.range(int(len(some) * share / (1 - share))).select((F.col("id") + 10**6).alias("doc_id"), F.lit("en").alias("lang"), F.lit(text).alias("text"))
+    verdicts = lambda df: {r.doc_id: (r.kept, round(r.perplexity, 9), round(r.upper, 9)) for r in quality.quality(df).collect() if r.doc_id < 10**6}
+    assert verdicts(table.unionByName(copies)) == verdicts(table)
+    kept = {r.doc_id for r in quality.quality_filter(table.unionByName(copies)).collect()}
+    assert {i for i in kept if i < 10**6} == {i for i, v in verdicts(table).items() if v[0]}
+
+
+def test_filter_keeps_what_quality_keeps(docs, given):
+    for table in (docs, given):
+        kept = sorted(r.doc_id for r in quality.quality(table).where("kept").collect())
+        assert sorted(r.doc_id for r in quality.quality_filter(table).collect()) == kept
+
+
 def test_model_gives_distributions(spark):
     """The chances of all symbols but the begin mark, which is never predicted, sum to 1 after every context of the highest order."""
     import numpy as np
@@ -149,6 +168,30 @@ def test_mixed_rows_keep_columns(docs, none):
     assert mixing.mixed_rows(none, words("text")).count() == 0
 
 
+def test_mixed_rows_are_what_the_mix_takes(given):
+    from gleanery.llm.common import words
+
+    taken = {r.doc_id: r for r in mixing.mix(given, words("text")).select("doc_id", "mix_size", "mix_taken").collect()}
+    got = Counter(r.doc_id for r in mixing.mixed_rows(given, words("text")).select("doc_id").collect())
+    assert {i: got[i] for i in taken} == {i: round(r.mix_taken / r.mix_size) if r.mix_size else 0 for i, r in taken.items()}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_mixed_rows_of_repeated_rows(spark, seed):
+    """A cut that lies among equal rows takes as many of them as the budget has room for."""
+    from gleanery.llm.common import words
+
+    rows = [(7, "a", "one two three")] * 300 + [(i, "a", "x " * (i % 9)) for i in range(200)] + [(None, None, "y y")] * 50 + [(i, "b", "w w w w") for i in range(90)] + [(1, "c", "")] * 5
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got, sizes = Counter(), Counter()
+    for r in mixing.mixed_rows(table, words("text"), seed=seed).collect():
+        got[r.source] += len(r.text.split())
+    for _, source, text in rows:
+        sizes[source] += len(text.split())
+    for source, target in plain.targets(dict(sizes)).items():
+        assert abs(got[source] - target) <= 8
+
+
 # 6
 
 
@@ -193,6 +236,21 @@ def test_shards(docs, given, none):
     assert sharding.op7(none).count() == 0
 
 
+def test_shards_keep_clashing_columns(spark):
+    names = ["_arc", "_sub", "_salt", "_r", "_to", "_base", "key", "doc_id"]
+    table = spark.createDataFrame([(i, -i, 77, i % 3, 5, 6, i * 7919 % 101, i) for i in range(300)], ", ".join(f"{n} long" for n in names))
+    found = sharding.shard(table)
+    assert rows(found, *names) == rows(table, *names) and found.columns == [*names, "shard", "slot"]
+
+
+def test_one_more_shard_moves_few_rows(spark):
+    """Overflow goes on clockwise, so a further shard leaves most rows where they are; dealing by remainder would move 24 of 25."""
+    table = spark.range(20_000).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("key"))
+    before, after = ({r.doc_id: r.shard for r in sharding.shard(table, shards=n).collect()} for n in (24, 25))
+    moved = sum(before[i] != after[i] for i in before) / len(before)
+    assert 1 / 25 <= moved + 0.01 and moved <= 0.5
+
+
 def test_flows_keep_bounds():
     loads = [7, 0, 90, 1, 2, 0]
     parts = sharding.flows(loads, [0, 1, 2, 0, 1, 2], 3)
@@ -268,6 +326,33 @@ def test_toxicity_of_held_out(spark):
     assert sum(r.predicted for r in clean) <= 0.05 * len(clean)
 
 
+def test_search_finds_what_a_plain_scan_finds():
+    """Blocks that the bound leaves out hold no nearer example."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    vocabulary = [b"=w%d" % i for i in range(300)]
+    rows = [np.sort(rng.choice(300, rng.integers(1, 40), replace=False, p=np.linspace(2, 0, 300) / 300)) for _ in range(700)]
+    weights = [(w := rng.random(len(r)) + 0.05) / np.linalg.norm(w) for r in rows]
+    index = toxicity.Index(vocabulary, rng.random(300) + 0.5, np.arange(700), np.zeros(700), np.array([len(r) for r in rows]), np.concatenate(rows), np.concatenate(weights))
+    dense = np.zeros((700, 300))
+    for i, (r, w) in enumerate(zip(rows, weights)):
+        dense[i, r] = w
+    for _ in range(60):
+        found, v = index.query(Counter({b"w%d" % i: int(rng.integers(1, 4)) for i in rng.choice(300, 25, replace=False)}))
+        plain_cosines = dense[:, found] @ v
+        best, cosine = index.nearest(found, v)
+        expected = np.lexsort((np.arange(700), -np.round(plain_cosines, 9)))[:toxicity.NEIGHBOURS]
+        assert np.allclose(cosine, plain_cosines[expected], atol=1e-6) and set(best) == set(expected[plain_cosines[expected] > 0])
+
+
+def test_few_labels_still_tell(spark):
+    """Every example and every document with a word of the examples has a vector, also where labels are few."""
+    at = "/root/testdata/sf0.001"
+    table, labels = spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet")
+    assert len({r.score for r in toxicity.op1(table, labels).collect()}) > 1
+
+
 def test_toxicity_edges(docs, none, spark):
     labels = spark.createDataFrame([(i, i % 2, None) for i in range(-1, 9)], "doc_id long, toxic int, quality int")
     for table, known, n in ((docs, labels, len(ROWS)), (none, labels, 0), (docs, labels.where("false"), len(ROWS)), (docs, labels.withColumn("toxic", F.lit(None).cast("int")), len(ROWS))):
@@ -302,6 +387,14 @@ def test_line_dedup(spark):
     assert lines.op5(table.where("false")).count() == 0
 
 
+def test_line_dedup_keeps_clashing_columns(spark):
+    table = spark.createDataFrame([(i, 77, "d", [f"Home|line {i}"], "h") for i in range(12)], "page_id long, _salt long, _drops string, _lines array<string>, host string")
+    found = lines.line_dedup(table, F.split(F.get("_lines", F.lit(0)), "[|]"), F.col("host"), "page_id")
+    names = ["page_id", "_salt", "_drops", "_lines", "host"]
+    assert rows(found, *names) == rows(table, *names)
+    assert {tuple(r.kept_lines) for r in found.collect()} == {(f"line {i}",) for i in range(12)}
+
+
 def test_extraction(spark):
     body = "<p>The first paragraph, with a few commas, is long enough to count as text of the article.</p><p>A second one,\n follows &amp; it has   <b>bold</b> words, too, so that the container wins.</p>"
     html = f"<html><head><title>t</title><style>p {{}}</style></head><body><nav><a href='/'>Home</a> <a href='/b'>Blog</a></nav><header>Site</header><article>{body}</article><aside class='sidebar'><p>Buy, now, this, thing</p></aside><footer>Imprint</footer><script>var a = '<p>no</p>';</script></body></html>"
