@@ -115,14 +115,14 @@ def test_diff_without_order_splits_a_hot_key(spark, small_limits):
 
 
 @pytest.mark.parametrize("most", [100, 0])
-def test_refresh_reads_the_changed_pages_without_moving_html(spark, most):
+def test_refresh_reads_the_changed_pages_without_moving_html(spark, tmp_path, most):
     """The handles meet the pages below the extraction; beyond the limit they go to the buckets of the pages."""
     from gleanery.operators import items as item_ops, page_state
     from gleanery.sources import writers
 
     schema = "handle STRING, html STRING"
     rows = [(f"h{i}", f"<p>github.com/o/r/issues/{i}</p>") for i in range(50)]
-    pages = writers.land_pages(spark.createDataFrame(rows, schema), "pages_by_handle_test", 4)
+    pages = writers.land_pages(spark.createDataFrame(rows, schema), f"pages_by_handle_{most}", 4, str(tmp_path / "pages"))
     handles = spark.createDataFrame([("h3",), ("h7",), ("none",)], "handle STRING")
     found = item_ops.best_source_rows(page_state.pages_of(pages, handles, most))
     text = plan(found)
