@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import broadcast_if_small, settled
+from gleanery.llm.common import broadcast_if_small, release_memory, settled
 from gleanery.llm.packing import pack, unpack
 
 ORDER = 5
@@ -20,7 +20,9 @@ SYMBOL_BITS = 12
 DIRECTORY_BITS = 20
 BEGIN, END = 2, 3
 UNIFORM = 1.0 / (1 << SYMBOL_BITS)
-STEP = 1 << 20
+STEP = 1 << 18
+#: Distinct n-grams that a task holds before it passes them on.
+MOST = 1 << 21
 #: Hash parts in which counts are added up.
 PARTS = 64
 
@@ -79,6 +81,7 @@ def by_lang(langs: list[str]) -> dict[str, list[int]]:
 
 def _counted(batches: Iterable[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
     """n-gram counts of a task."""
+    release_memory()  # of tasks before
     held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     merge = lambda parts: _sum(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
 
@@ -94,10 +97,11 @@ def _counted(batches: Iterable[pa.RecordBatch], order: int) -> Iterator[pa.Recor
                 held.setdefault(lang, []).append(np.unique(keys, return_counts=True))
             if len(held[lang]) > 16:
                 held[lang] = [merge(held[lang])]
-                if len(held[lang][0][0]) > 4 * STEP:
+                if len(held[lang][0][0]) > MOST:
                     yield from out(lang)
     for lang in list(held):
         yield from out(lang)
+    release_memory()
 
 
 def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +126,7 @@ def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             steps, counts = unpack(payload)
             parts.append((np.cumsum(steps), counts))
             size += len(counts)
-            if size > STEP:
+            if size > MOST:
                 parts, size = [merged()], 0
     if parts:
         yield from out()

@@ -6,14 +6,17 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm import ngrams
-from gleanery.llm.common import broadcast_if_small, settled
+from gleanery.llm.common import SENT_KEYS, broadcast_if_small, distinct_texts, release_memory, settled, text_batches, text_pair
 
 SYMBOLS = b"#*$%&|<>"
 BLANK = b" \t\n\x0b\x0c\r"
+#: Bytes scored at once.
+STEP = 1 << 18
 #: Spreads (of the middle half, as a normal deviation) below and above the language's median entropy at which a text goes, the
 #: least such spread, and the length at which a text's spread is taken twice as a variance.
 BELOW, ABOVE = 4.5, 3.75
@@ -41,9 +44,8 @@ def measure(text: bytes) -> tuple[int, int, int, int, int]:
     return len(found), points, len(text) - len(text.translate(None, SYMBOLS)), len(lines) - len(set(lines)), repeated
 
 
-def measures(model: ngrams.Model, text: str | Column, lang: str | Column, spark) -> Column:
-    """A struct of ``MEASURES`` for each row; ``model`` grows with the distinct n-grams and is sent to every worker."""
-    sent = spark.sparkContext.broadcast(model.arrays())
+def measures(sent: Broadcast, text: str | Column, lang: str | Column) -> Column:
+    """A struct of ``MEASURES`` for each row, by a model's arrays as they were sent to the workers."""
     held: list[ngrams.Model] = []
 
     @F.arrow_udf(MEASURES)
@@ -59,9 +61,11 @@ def measures(model: ngrams.Model, text: str | Column, lang: str | Column, spark)
             for k, i in enumerate(own):
                 part.append(i)
                 n += len(raw[i])
-                if n >= ngrams.STEP or k == len(own) - 1:
+                if n >= STEP or k == len(own) - 1:
                     entropy[part], scored[part] = held[0].entropies([raw[i].decode("utf-8", "replace") for i in part], name)
                     n, part = 0, []
+        del raw
+        release_memory()
         columns = [pa.array(rows[:, i]) for i in range(5)] + [pa.array(entropy), pa.array(scored)]
         return pa.StructArray.from_arrays(columns, names=[x.split()[0] for x in MEASURES.split(", ")])
 
@@ -74,7 +78,7 @@ def base_failed(prefix: str = "") -> Column:
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """(lang, middle, spread) of the entropies of all rows (lang, entropy), from their counts on a fixed grid."""
+    """(lang, middle, spread) of the entropies of rows (lang, entropy), from their counts on a fixed grid."""
     counts = scored.groupBy("lang", F.floor(F.col("entropy") / GRID).alias("bin")).agg(F.count("*").alias("n"))
     up = Window.partitionBy("lang").orderBy("bin")
     placed = counts.withColumn("upto", F.sum("n").over(up)).withColumn("all", F.sum("n").over(Window.partitionBy("lang")))
@@ -92,36 +96,48 @@ def in_band(prefix: str = "") -> Column:
 def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """A row per row of ``docs``: id, the measures, perplexity, band, base_failed and kept.
 
-    The model and the bands are of all rows of ``docs``. Null texts are empty, and fail by their number of words; null
-    languages are one language of their own. Equal rows get equal results. An empty table gives an empty table; other columns
-    aren't read.
+    The model and the bands are of all distinct texts of ``docs``, each once for its language however often it is copied. Null
+    texts are empty, and fail by their number of words; null languages are one language of their own. Equal rows get equal
+    results. An empty table gives an empty table; other columns aren't read.
     """
-    scored, limits = _scored(docs, doc_id, text, lang)
-    found = scored.join(broadcast_if_small(limits), "lang")
+    name = F.coalesce(F.col(lang).cast("string"), F.lit(""))
+    rows = docs.select(F.col(doc_id).alias("id"), name.alias("lang"), F.col(text).alias("text"), *text_pair(text))
+    scored = _scored(distinct_texts(docs, name, text), rows)
+    found = scored.join(broadcast_if_small(settled(bands(scored.dropDuplicates(TEXT)))), "lang")
     return found.select(
         F.col("id").alias(doc_id), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & in_band()).alias("kept"),
         F.exp("entropy").alias("perplexity"), F.exp(F.col("middle") - BELOW * F.col("spread")).alias("lower"), F.exp(F.col("middle") + ABOVE * F.col("spread")).alias("upper"),
     )
 
 
-def _scored(docs: DataFrame, doc_id: str, text: str, lang: str) -> tuple[DataFrame, DataFrame]:
-    model = ngrams.train(docs, lang, text)
-    name = F.coalesce(F.col(lang).cast("string"), F.lit(""))
-    scored = settled(docs.select(F.col(doc_id).alias("id"), name.alias("lang"), measures(model, F.col(text), name, docs.sparkSession).alias("m")).select("id", "lang", "m.*"))
-    return scored, settled(bands(scored))
+TEXT = ["lang", "_h1", "_h2"]
+
+
+def _scored(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """The measures of ``rows`` by a model of ``texts``, settled, without the texts. The model is dropped from the workers after it."""
+    spark = texts.sparkSession
+    own = [c for c in rows.columns if c != "text"]
+    with text_batches(spark):
+        sent = spark.sparkContext.broadcast(ngrams.train(texts, "lang", "text").arrays())
+        scored = settled(rows.select(*own, measures(sent, F.col("text"), F.col("lang")).alias("m")).select(*own, "m.*"))
+    sent.destroy()
+    return scored
 
 
 def quality_filter(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` that ``quality`` keeps, with their columns as they are.
 
-    A verdict depends on text and language only, so rows are scored again where they are read, and texts aren't shuffled.
+    A verdict depends on text and language only. Each distinct text is scored once, and the rows of those that fail are left out
+    where they are read: texts are only moved when too many fail to send their hashes.
     """
-    model = ngrams.train(docs, lang, text)
     name = F.coalesce(F.col(lang).cast("string"), F.lit(""))
-    own = measures(model, F.col(text), name, docs.sparkSession)
-    limits = settled(bands(docs.select(name.alias("lang"), own.alias("m")).select("lang", "m.entropy")))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name.alias("lang"), own.alias("m")).select("row", "lang", "m.*")
-    return rows.join(broadcast_if_small(limits), "lang").where(~base_failed() & in_band()).select("row.*")
+    texts = distinct_texts(docs, name, text)
+    scored = _scored(texts, texts)
+    limits = settled(bands(scored))
+    failed = settled(scored.join(broadcast_if_small(limits), "lang").where(base_failed() | ~in_band()).select(*[F.col(c).alias(f"_f{c}") for c in TEXT]))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name.alias("lang"), *text_pair(text))
+    here = (F.col("lang") == F.col("_flang")) & (F.col("_h1") == F.col("_f_h1")) & (F.col("_h2") == F.col("_f_h2"))
+    return rows.join(broadcast_if_small(failed, SENT_KEYS), here, "left_anti").select("row.*")
 
 
 def op2(docs: DataFrame) -> DataFrame:
