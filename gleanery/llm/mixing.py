@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import settled, words
+from gleanery.llm.common import broadcast_if_small, settled, words
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -60,13 +60,20 @@ def mix(
     hash of all columns; rows equal in all columns are exchangeable. Nothing is taken of a row without words. An empty table
     gives an empty table. Extra columns stay as they are, except that the four names above are replaced.
     """
-    high = 1 << 60
     own = [c for c in docs.columns if c not in ("mix_size", "mix_source_size", "mix_target", "mix_taken")]
     # The row travels as one struct, so that no column of it meets a name used here.
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), size.cast("long").alias("mix_size"), random_key(doc_id, seed).alias("key"), F.col(source).alias("source")
-    ).withColumn("bucket", F.floor(F.col("key") / F.lit(high // buckets)).cast("int"))
-    sums = settled(keyed.groupBy("source", "bucket").agg(F.sum("mix_size").alias("words")))
+    row = F.struct(*[F.col(f"`{c}`") for c in own])
+    keyed = docs.select(row.alias("row"), F.col(source).alias("source"), random_key(doc_id, seed).alias("key"), size.cast("long").alias("size"))
+    keyed = keyed.withColumn("place", F.struct("key", "size", F.xxhash64("row").alias("hash")))
+    taken = F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("at")))
+    return _placed(keyed, "key", weights, most, buckets).select("row.*", F.col("size").alias("mix_size"), "mix_source_size", "mix_target", taken.alias("mix_taken"))
+
+
+def _placed(keyed: DataFrame, key: str, weights: Sequence[int], most: int, buckets: int) -> DataFrame:
+    """``keyed`` (source, key, size, place) with the words before each row of its source (``at``), the whole ``epochs`` taken and the ``rest``."""
+    high = 1 << 60
+    keyed = keyed.withColumn("bucket", F.floor(F.col(key) / F.lit(high // buckets)).cast("int"))
+    sums = settled(keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words")))
     targets = source_targets(sums.groupBy("source").agg(F.sum("words").alias("size")), weights, most).withColumnRenamed("source", "of")
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -74,27 +81,45 @@ def mix(
         .join(targets, F.col("source").eqNullSafe(F.col("of")))
         .select(F.col("source").alias("of"), F.col("bucket").alias("part"), "start", F.col("size").alias("mix_source_size"), F.col("target").alias("mix_target"), "budget")
     )
-    in_bucket = Window.partitionBy("source", "bucket").orderBy("key", "mix_size", F.xxhash64("row")).rowsBetween(Window.unboundedPreceding, -1)
+    in_bucket = Window.partitionBy("source", "bucket").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     epochs = F.when(F.col("mix_source_size") > 0, F.floor(F.col("budget") / F.greatest("mix_source_size", F.lit(1)))).otherwise(0)
-    rest = F.col("budget") - F.col("epochs") * F.col("mix_source_size")
     return (
-        keyed.withColumn("before", F.coalesce(F.sum("mix_size").over(in_bucket), F.lit(0)))
+        keyed.withColumn("before", F.coalesce(F.sum("size").over(in_bucket), F.lit(0)))
         .join(starts, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("part")))
         .withColumn("epochs", epochs.cast("long"))
-        .withColumn("mix_taken", F.col("epochs") * F.col("mix_size") + F.greatest(F.lit(0), F.least(F.col("mix_size"), rest - F.col("start") - F.col("before"))))
-        .select("row.*", "mix_size", "mix_source_size", "mix_target", "mix_taken")
+        .withColumn("rest", F.col("budget") - F.col("epochs") * F.col("mix_source_size"))
+        .withColumn("at", F.col("start") + F.col("before"))
+        .drop("of", "part", "start", "before", "budget", "bucket")
     )
 
 
-def mixed_rows(docs: DataFrame, size: Column, **options) -> DataFrame:
+def mixed_rows(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "doc_id", weights: Sequence[int] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 0, buckets: int = BUCKETS) -> DataFrame:
     """The rows of the mix: each as often as its words are taken, with the columns of ``docs``.
 
-    Rows are whole: of the one row at a source's cut, a further copy is given if half of its words or more are taken.
+    Rows are whole: of the one row at a source's cut, a further copy is given if half of its words or more are taken. What is
+    placed and summed are keys, sizes and a hash of each row. It leaves one cut per source, against which the rows are held where
+    they are read, so that texts are neither sorted nor shuffled. Rows equal in all columns that lie at a cut are exchangeable:
+    one of them stands for all, as often as they are taken together.
     """
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(options.pop("source", "source")).alias("source"), F.col(options.pop("doc_id", "doc_id")).alias("doc_id"), size.alias("words"))
-    counted = mix(whole, F.col("words"), **options)
-    copies = F.when(F.col("mix_size") > 0, F.round(F.col("mix_taken") / F.greatest("mix_size", F.lit(1)))).otherwise(0).cast("int")
-    return counted.select("doc", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy")).select("doc.*")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    place = F.struct(random_key(doc_id, seed).alias("key"), size.cast("long").alias("size"), F.xxhash64(whole).alias("hash"), F.xxhash64(F.lit(1), whole).alias("other"))
+    rows = docs.select(whole.alias("doc"), F.col(source).alias("source"), place.alias("place"))
+    narrow = rows.select("source", F.col("place.key").alias("doc_key"), F.col("place.size").alias("size"), "place")
+    placed = settled(_placed(narrow, "doc_key", weights, most, buckets))
+    open_ = (F.col("at") < F.col("rest")) & (F.col("size") > 0)
+    last = placed.groupBy("source").agg(F.max("epochs").alias("epochs"), F.max("rest").alias("rest"), F.max(F.when(open_, F.col("place"))).alias("cut"))
+    cuts = settled(last)
+    same = placed.select(F.col("source").alias("of"), "place", "at").join(broadcast_if_small(cuts), F.col("of").eqNullSafe(F.col("source")) & (F.col("place") == F.col("cut")))
+    tied = same.groupBy("of").agg(F.count("*").alias("tied"), F.min("at").alias("tied_at"))
+    extra = F.least(F.col("tied"), F.round((F.col("rest") - F.col("tied_at")) / F.col("cut.size")).cast("long"))
+    known = cuts.join(tied, F.col("source").eqNullSafe(F.col("of")), "left").select(F.col("source").alias("of"), "epochs", "cut", (F.col("tied") * F.col("epochs") + extra).alias("at_cut"))
+    held = rows.join(broadcast_if_small(settled(known)), F.col("source").eqNullSafe(F.col("of")))
+    empty = F.col("place.size") <= 0
+    copies = F.when(empty, 0).otherwise(F.col("epochs") + F.when(F.col("place") < F.col("cut"), 1).otherwise(0)).cast("int")
+    here = F.coalesce(F.col("place") == F.col("cut"), F.lit(False))
+    most_rows = held.where(~here).select("doc", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"))
+    at_cut = held.where(here).dropDuplicates(["of"]).select("doc", F.explode(F.array_repeat(F.lit(0), F.col("at_cut").cast("int"))).alias("copy"))
+    return most_rows.unionByName(at_cut).select("doc.*")
 
 
 def op3(docs: DataFrame) -> DataFrame:
