@@ -21,11 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.llm.common import release_memory
 from gleanery.llm.packing import pack, unpack
 
 #: Text bytes of a block, and hash parts of the word table.
 BLOCK_BYTES = 32 << 20
 PARTS = 1024
+STEP = 1 << 20
 DOCUMENTS = -1
 #: Stands for the id of rows without one.
 NO_ID = -(1 << 63)
@@ -48,14 +50,19 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int, parts: int) -> Iterator[pa.RecordBatch]:
     """Blocks of (row id, text): one row with the documents' word places, and one row of words for each part."""
+    release_memory()  # of tasks before
     task = TaskContext.get().partitionId() << 32
     ids, codes, lengths, numbers, size, done = [], [], [], Numbers(), 0, 0
 
     def close() -> Iterator[pa.RecordBatch]:
-        every = np.concatenate(codes) if codes else np.empty(0, np.int64)
-        order = np.argsort(-np.bincount(every, minlength=len(numbers)), kind="stable")  # frequent words get small numbers
-        renamed = np.empty(len(order), np.int64)
-        renamed[order] = np.arange(len(order))
+        every = np.concatenate(codes) if codes else np.empty(0, np.int32)
+        codes.clear()
+        often = np.zeros(len(numbers), np.int64)
+        for at in range(0, len(every), STEP):
+            often += np.bincount(every[at : at + STEP], minlength=len(numbers))
+        order = np.argsort(-often, kind="stable")  # frequent words get small numbers
+        renamed = np.empty(len(order), np.int32)
+        renamed[order] = np.arange(len(order), dtype=np.int32)
         spelled = list(numbers)
         spelled = [spelled[i] for i in order.tolist()]
         part = np.fromiter((zlib.crc32(w) % parts for w in spelled), np.int64, len(spelled))
@@ -68,7 +75,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int, parts: int) ->
     for batch in batches:
         for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             found = text.as_buffer().to_pybytes().split() if text.is_valid else []
-            codes.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
+            codes.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
             ids.append(row)
             lengths.append(len(found))
             size += len(text.as_buffer()) if text.is_valid else 0
@@ -77,6 +84,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int, parts: int) ->
                 ids, codes, lengths, numbers, size, done = [], [], [], Numbers(), 0, done + 1
     if ids:
         yield from close()
+    release_memory()
 
 
 def _groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[list[tuple]]:
