@@ -6,28 +6,33 @@ and numbering works on range partitions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def _row(df: DataFrame) -> Column:
-    return F.struct(*[F.col(c) for c in df.columns])
-
-
 def _order(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
+def _one_per_key(df: DataFrame, keys: Sequence[str], chosen: Callable[[Column], Column]) -> DataFrame:
+    """One row per key. The key columns stay those of the grouping, so a join by them moves no row again."""
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
+    found = df.groupBy(*keys).agg(chosen(F.struct(*[F.col(c) for c in others])).alias("_row"))
+    return found.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first in ``order``. Order columns must settle all ties."""
-    return df.groupBy(*keys).agg(F.min_by(_row(df), _order(order)).alias("_row")).select("_row.*")
+    return _one_per_key(df, keys, lambda row: F.min_by(row, _order(order)))
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the last in ``order``."""
-    return df.groupBy(*keys).agg(F.max_by(_row(df), _order(order)).alias("_row")).select("_row.*")
+    return _one_per_key(df, keys, lambda row: F.max_by(row, _order(order)))
 
 
 def first_source(df: DataFrame, keys: Sequence[str], priority: str) -> DataFrame:

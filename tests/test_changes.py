@@ -235,3 +235,11 @@ def test_parts_hold_copies(spark):
 def test_locale_order(spark):
     df = spark.createDataFrame([(h,) for h in ("ZIO", "b", "zio", "A", "a", "Mudlet", "mudlet")], "handle STRING")
     assert [r[0] for r in keyed.sort_by_locale(df).collect()] == ["a", "A", "b", "mudlet", "Mudlet", "zio", "ZIO"]
+
+
+def test_last_row_of_a_key_is_joined_where_it_was_found(spark):
+    rows = spark.range(100).selectExpr("cast(id % 10 as string) AS id", "id AS seen", "cast(id as string) AS title")
+    last = keyed.last_per_key(rows, ["id"], ["seen"])
+    assert last.columns == ["id", "seen", "title"] and sorted(r.seen for r in last.collect()) == list(range(90, 100))
+    joined = rows.select("id").hint("merge").join(last, "id")._jdf.queryExecution().executedPlan().toString()
+    assert joined.count("Exchange hashpartitioning") == 2
