@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.scalars import number_text
@@ -100,27 +100,77 @@ def diff_snapshots(
     )
 
 
-def _content(fields: Sequence[str], tags: str | None) -> list[Column]:
+#: Rows of a key on one side that are numbered in one task; those of larger keys are numbered on sorted ranges.
+HOT_KEY = 10_000
+#: Keys with more rows that are sent to the readers.
+SENT_KEYS = 100_000
+
+
+def _content(fields: Sequence[str], tags: str | None, row: str = "_row") -> list[Column]:
     """Two hashes of what ``field_changes`` compares."""
-    parts = [F.col(f) for f in fields]
+    parts = [F.col(row)[f] for f in fields]
     if tags is not None:
-        parts.append(F.array_sort(F.array_distinct(F.coalesce(F.col(tags), F.array().cast("array<string>")))))
+        parts.append(F.array_sort(F.array_distinct(F.coalesce(F.col(row)[tags], F.array().cast("array<string>")))))
     # A null hashes as nothing, so which fields are null counts as well.
-    nulls = F.concat_ws("", *[F.when(F.col(f).isNull(), "n").otherwise("v") for f in fields])
+    nulls = F.concat_ws("", *[F.when(F.col(row)[f].isNull(), "n").otherwise("v") for f in fields])
     return [F.xxhash64(*parts, nulls).alias("_h1"), F.xxhash64(nulls, *parts[::-1]).alias("_h2")]
 
 
 def paired_rows(prev: DataFrame, cur: DataFrame, key: str, fields: Sequence[str] = FIELDS, tags: str | None = "tags") -> DataFrame:
     """(key, old, new): rows of two snapshots without an order, but those that say the same on both sides.
 
-    Rows that say the same are counted per key, by hashes of the compared fields; as many as both sides
-    have cancel out. What is left of a key is numbered on both sides by the compared fields and paired by
-    number; rows without a partner stand alone. Counting is an aggregate with a map-side part. Only rows with
-    a change of keys that repeat are numbered, on sorted ranges, so a key with very many rows is split.
+    As many rows of a key that say the same as both sides have cancel out, by hashes of the compared fields. What is left of a key is
+    numbered on both sides by the compared fields and paired by number; rows without a partner stand alone. Keys that no side
+    repeats are joined. Otherwise the rows are dealt out by key once, and all of a key's steps are done there; only keys
+    with more than ``HOT_KEY`` rows on a side are numbered on sorted ranges, so a key with very many rows is split.
     """
+    # Only the keys are read for this; those of one side are alone with their count.
+    repeats = lambda df: df.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n")).where("_n > 1 OR _k IS NULL")
+    repeated = repeats(prev).unionByName(repeats(cur))
+    any_, most = repeated.agg(F.count("*"), F.max("_n")).first()
+    whole = lambda df: F.struct(*[F.col(c) for c in df.columns])
+    if not any_:
+        old, new = prev.select(F.col(key).alias("_key"), whole(prev).alias("old")), cur.select(F.col(key).alias("_key_new"), whole(cur).alias("new"))
+        together = old.join(new, F.col("_key") == F.col("_key_new"), "full_outer").select(F.coalesce("_key", "_key_new").alias(key), "old", "new")
+        return together.where(F.col("old").isNull() | F.col("new").isNull() | fields_differ(F.col("old"), F.col("new"), fields, tags))
+    if most <= HOT_KEY:
+        return _paired_by_key(prev, cur, key, fields, tags)
+    checkpoint_dir(prev.sparkSession)
+    hot = repeated.where(F.col("_n") > HOT_KEY).select("_k").distinct().checkpoint()
+    hot = F.broadcast(hot) if hot.count() <= SENT_KEYS else hot
+    part = lambda df, how: df.join(hot, F.col(key).eqNullSafe(F.col("_k")), how)
+    others = _paired_by_key(part(prev, "left_anti"), part(cur, "left_anti"), key, fields, tags)
+    return others.unionByName(_paired_on_ranges(part(prev, "left_semi"), part(cur, "left_semi"), key, fields, tags))
+
+
+def _paired_by_key(prev: DataFrame, cur: DataFrame, key: str, fields: Sequence[str], tags: str | None) -> DataFrame:
+    """``paired_rows`` of keys of bounded size."""
+    struct = lambda df: F.struct(*[F.col(c) for c in df.columns])
+    none = lambda df: F.lit(None).cast(df.schema)
+    sides = prev.select(F.col(key).alias("_key"), struct(prev).alias("old"), none(cur).alias("new")).unionByName(
+        cur.select(F.col(key).alias("_key"), none(prev).alias("old"), struct(cur).alias("new"))
+    )
+    is_old = F.col("old").isNotNull()
+    hashes = [F.when(is_old, a).otherwise(b).alias(h) for h, a, b in zip(("_h1", "_h2"), _content(fields, tags, "old"), _content(fields, tags, "new"))]
+    same = Window.partitionBy("_key", "_h1", "_h2")
+    counted = sides.repartition("_key").select("*", is_old.alias("_is_old"), *hashes).withColumns({"_a": F.count("old").over(same), "_b": F.count("new").over(same)})
+    # What is left of rows that say the same is of one side; its text settles which of them, if some cancel out.
+    text = F.coalesce(F.to_json("old"), F.to_json("new"))
+    left = counted.where((F.col("_a") != F.col("_b")) & ((F.col("_a") > F.col("_b")) == F.col("_is_old")))
+    left = left.withColumn("_text", F.when(F.least("_a", "_b") > 0, text)).withColumn("_copy", F.row_number().over(same.orderBy("_text")))
+    left = left.where((F.least("_a", "_b") == 0) | (F.col("_copy") <= F.abs(F.col("_a") - F.col("_b"))))
+    said = [*fields, *([] if tags is None else [tags])]
+    order = [F.col(side)[f] for side in ("old", "new") for f in said]
+    placed = left.withColumn("_place", F.row_number().over(Window.partitionBy("_key", "_is_old").orderBy(*order, text)))
+    together = placed.groupBy("_key", "_place").agg(F.first("old", ignorenulls=True).alias("old"), F.first("new", ignorenulls=True).alias("new"))
+    return together.select(F.col("_key").alias(key), "old", "new")
+
+
+def _paired_on_ranges(prev: DataFrame, cur: DataFrame, key: str, fields: Sequence[str], tags: str | None) -> DataFrame:
+    """``paired_rows`` of keys of any size: counting is an aggregate with a map-side part, numbering is done on sorted ranges."""
     hashes = ["_h1", "_h2"]
     said = [*fields, *([] if tags is None else [tags])]
-    sides = [df.select(F.col(key).alias("_key"), F.struct(*[F.col(c) for c in df.columns]).alias("_row"), *_content(fields, tags)) for df in (prev, cur)]
+    sides = [df.select(F.col(key).alias("_key"), F.struct(*[F.col(c) for c in df.columns]).alias("_row")).select("*", *_content(fields, tags)) for df in (prev, cur)]
     counted = sides[0].select("_key", *hashes, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
         sides[1].select("_key", *hashes, F.lit(0).alias("_a"), F.lit(1).alias("_b"))
     )

@@ -237,6 +237,38 @@ def test_locale_order(spark):
     assert [r[0] for r in keyed.sort_by_locale(df).collect()] == ["a", "A", "b", "mudlet", "Mudlet", "zio", "ZIO"]
 
 
+def _leaves(df):
+    return df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+
+
+def test_snapshots_of_unique_keys_are_read_once(spark):
+    rows = [("a", "x", 1.0, "open"), ("b", "x", 1.0, "open"), ("c", None, 2.0, "open")]
+    schema = "id string, title string, amount_usd double, status string"
+    prev = spark.createDataFrame(rows, schema)
+    cur = spark.createDataFrame([("a", "x", 1.0, "open"), ("b", "y", 1.0, "open"), ("d", "x", 2.0, "open")], schema)
+    fields = ("title", "amount_usd", "status")
+    found = changes.diff_snapshots(prev, cur, fields=fields, tags=None)
+    assert sorted((r.id, r.change_type) for r in found.collect()) == [("b", "updated"), ("c", "removed"), ("d", "added")]
+    assert _leaves(found) == 2
+
+
+def test_repeated_keys_are_dealt_out_once_and_hot_ones_agree(spark, monkeypatch):
+    schema = "id string, title string, amount_usd double, status string, seen int"
+    side = lambda seed: [
+        (None if i % 7 == 0 else f"k{i % 7}", None if (i * seed) % 3 == 0 else f"t{i % 2}", float((i * seed) % 4), "open", i) for i in range(60)
+    ]
+    prev, cur = spark.createDataFrame(side(3), schema), spark.createDataFrame(side(5)[:50], schema)
+    fields = ("title", "amount_usd", "status")
+    say = lambda df: sorted(map(repr, df.collect()))
+    by_key = changes.paired_rows(prev, cur, "id", fields, None)
+    assert _leaves(by_key) == 2
+    monkeypatch.setattr(changes, "HOT_KEY", 7)
+    hot = changes.paired_rows(prev, cur, "id", fields, None)
+    assert say(by_key) == say(hot) != []
+    count = lambda rows: len([r for r in rows if r])
+    assert count(by_key.select("old").toPandas()["old"]) - count(by_key.select("new").toPandas()["new"]) == 10
+
+
 def test_last_row_of_a_key_is_joined_where_it_was_found(spark):
     rows = spark.range(100).selectExpr("cast(id % 10 as string) AS id", "id AS seen", "cast(id as string) AS title")
     last = keyed.last_per_key(rows, ["id"], ["seen"])
