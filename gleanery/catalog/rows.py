@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gleanery import schemas
@@ -11,7 +13,7 @@ from gleanery.catalog.tables import (
 )
 from gleanery.functions import markup, scalars
 from gleanery.operators import items as item_ops
-from gleanery.operators import discovery, registry, stats
+from gleanery.operators import discovery, keyed, registry, stats
 from gleanery.sources import readers, writers
 
 
@@ -177,9 +179,13 @@ def items_through_envelopes(spark, sf):
 @query(_LISTING_SQL)
 def items_through_cursor_chain(spark, sf):
     """Envelopes of about two items each, whose cursors are followed from the first page to the last."""
-    envelopes = writers.as_envelopes(_listing_items(spark, sf), 2)
-    pages = readers.parse_documents(envelopes, "value", schemas.ENVELOPE, ["handle", "page"])
-    chained = readers.chained_pages(pages.withColumn("next_cursor", F.col("result.data.json.next_cursor")), ["handle"], "page")
+    landed = f"{keyed.checkpoint_dir(spark)}/envelopes_{uuid.uuid4().hex}"
+    writers.land_envelopes(_listing_items(spark, sf), landed, 2)
+    # The chain is read more than once, from landed envelopes and without their items.
+    cursor = F.get_json_object("value", "$.result.data.json.next_cursor").alias("next_cursor")
+    envelopes = spark.read.parquet(landed).select("*", cursor)
+    pages = readers.parse_documents(envelopes, "value", schemas.ENVELOPE, ["handle", "page", "next_cursor"])
+    chained = readers.chained_pages(pages, ["handle"], "page")
     return _flat(readers.envelope_rows(chained.where("page_no >= 1")))
 
 

@@ -70,6 +70,11 @@ def write_envelopes(items: DataFrame, path: str, page_size: int = 100) -> None:
     as_envelopes(items, page_size).select("value").write.mode("overwrite").text(path)
 
 
+def land_envelopes(items: DataFrame, path: str, page_size: int = 100) -> None:
+    """Envelopes with their handle and page, to be read several times."""
+    as_envelopes(items, page_size).write.mode("overwrite").parquet(path)
+
+
 def write_index(nested: DataFrame, path: str, snapshot_date: Column) -> None:
     """Index rows (see ``nested_by_org``) under their date; large organizations span several rows."""
     _json(nested.withColumn("snapshot_date", snapshot_date), path, "overwrite", "snapshot_date", dynamic=True)
