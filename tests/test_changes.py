@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from gleanery.catalog import QUERIES
 from gleanery.operators import changes, keyed, page_state
 from gleanery.plans import runs
 
@@ -275,3 +276,8 @@ def test_last_row_of_a_key_is_joined_where_it_was_found(spark):
     assert last.columns == ["id", "seen", "title"] and sorted(r.seen for r in last.collect()) == list(range(90, 100))
     joined = rows.select("id").hint("merge").join(last, "id")._jdf.queryExecution().executedPlan().toString()
     assert joined.count("Exchange hashpartitioning") == 2
+
+
+def test_cursor_chain_reads_landed_envelopes(spark, sf):
+    read = QUERIES["items_through_cursor_chain"](spark, sf).inputFiles()
+    assert read and all("envelopes_" in name for name in read)
