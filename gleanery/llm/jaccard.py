@@ -313,6 +313,34 @@ def _link_tile(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
     return found
 
 
+def _folded(bits: bytes, size: int) -> np.ndarray:
+    """A bitmap folded to so many bytes."""
+    x = np.frombuffer(bits, np.uint8)
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x.view(np.uint64)
+
+
+def _may_link(rows: list[tuple], percent: int) -> list[int]:
+    """Refs of the sets (chunk, ref, n, root, bitmap) of a tile whose bitmaps don't rule out a link to a set of another class there."""
+    rows = sorted(rows, key=lambda r: r[2])
+    chunks, sizes, roots = (np.array([r[i] for r in rows]) for i in (0, 2, 3))
+    labels = np.unique(roots, return_inverse=True)[1]
+    least = min(len(r[4]) for r in rows)
+    maps = np.stack([_folded(r[4], least) for r in rows])
+    across, marked = len(np.unique(chunks)) > 1, np.zeros(len(rows), bool)
+    for i in range(len(rows) - 1):
+        at = np.arange(i + 1, int(np.searchsorted(sizes, 100 * sizes[i] // percent, "right")))
+        at = at[(labels[at] != labels[i]) & (chunks[at] != chunks[i] if across else True) & ~(marked[at] & marked[i])]
+        if not len(at):
+            continue
+        bits = np.bitwise_count(maps[at] ^ maps[i]).sum(axis=1).astype(np.int64)
+        may = at[may_be_similar(bits, sizes[at], sizes[i], percent)]
+        marked[may] = True
+        marked[i] |= len(may) > 0
+    return [rows[i][1] for i in np.flatnonzero(marked)]
+
+
 def _overlap(x: np.ndarray, y: np.ndarray) -> int:
     """Common elements of two sorted arrays."""
     if len(x) > len(y):
@@ -320,24 +348,42 @@ def _overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
 
 
-def _tile_links(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Links of each tile from rows (lead, band, lo, hi, chunk, ref, n, root, data) sorted by tile."""
+def _tiles(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Key and sets (chunk, ref, n, root, data) of each tile with several classes from rows (lead, band, lo, hi, chunk, ...) sorted by tile."""
     held: list[tuple] = []
     key = None
-
-    def out() -> pa.RecordBatch:
-        found = _link_tile(held, percent) if len({r[3] for r in held}) > 1 else []
-        return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
-
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns)):
             if row[:4] != key:
-                if held:
-                    yield out()
+                if len({r[3] for r in held}) > 1:
+                    yield key, held
                 held, key = [], row[:4]
             held.append(row[4:])
-    if held:
-        yield out()
+    if len({r[3] for r in held}) > 1:
+        yield key, held
+
+
+def _tile_members(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Sets (lead, band, ref) of each tile that may link to a set of another class."""
+    for key, held in _tiles(batches):
+        found = _may_link(held, percent)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0]] * len(found), pa.int64()), pa.array([key[1]] * len(found), pa.int32()), pa.array(found, pa.int64())], ["lead", "band", "ref"])
+
+
+def _tile_links(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links of each tile."""
+    for _, held in _tiles(batches):
+        found = _link_tile(held, percent)
+        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
+def _in_tiles(members: DataFrame, data: DataFrame, chunk: int) -> DataFrame:
+    """The sets of each tile with their data, tiles of more sets than a chunk as pairs of chunks, side by side and sorted."""
+    sizes = members.groupBy("lead", "band").agg(F.ceil(F.greatest(F.count("*") / chunk, F.sum("n") / CHUNK_SHINGLES)).alias("chunks"))
+    placed = members.join(sizes, ["lead", "band"]).withColumn("chunk", F.pmod(F.xxhash64("ref"), F.col("chunks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    cut = placed.join(data, "ref").select("lead", "band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "ref", "n", "root", "data")
+    key = ["lead", "band", "lo", "hi"]
+    return cut.repartition(*key).sortWithinPartitions(*key)
 
 
 def _read(refs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, make: Callable[[np.ndarray], bytes] = np.ndarray.tobytes) -> DataFrame:
@@ -388,11 +434,12 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rooted = members.join(classes, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
     mixed = rooted.groupBy("lead", "band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("lead", "band")
     members = settled(rooted.join(mixed, ["lead", "band"]))
-    sizes = members.groupBy("lead", "band").agg(F.ceil(F.greatest(F.count("*") / chunk, F.sum("n") / CHUNK_SHINGLES)).alias("chunks"))
-    placed = members.join(sizes, ["lead", "band"]).withColumn("chunk", F.pmod(F.xxhash64("ref"), F.col("chunks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    cut = placed.join(_read(members.select("ref"), sets, given, words), "ref").select("lead", "band", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "ref", "n", "root", "data")
-    key = ["lead", "band", "lo", "hi"]
-    more = settled(cut.repartition(*key).sortWithinPartitions(*key).mapInArrow(lambda b: _tile_links(b, percent), "a long, b long"))
+    # Bitmaps stand for the sets first: arrays, many times as large, are dealt out only for sets that may still link to another class.
+    mapped = _in_tiles(members, _read(members.select("ref"), sets, given, words, bitmap), chunk)
+    may = mapped.mapInArrow(lambda b: _tile_members(b, percent), "lead long, band int, ref long").distinct()
+    members = settled(members.join(may, ["lead", "band", "ref"], "left_semi"))
+    cut = _in_tiles(members, _read(members.select("ref"), sets, given, words), chunk)
+    more = settled(cut.mapInArrow(lambda b: _tile_links(b, percent), "a long, b long"))
     links = more.unionByName(classes.select(F.col("ref").alias("a"), F.col("root").alias("b")))
 
     whole = settled(components(links)).withColumnsRenamed({"node": "ref"})

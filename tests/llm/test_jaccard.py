@@ -96,3 +96,15 @@ def test_bounds_hold():
             assert jaccard.differing(jaccard.bitmap(a), jaccard.bitmap(b)) <= len(a) + len(b) - 2 * overlap
             if jaccard.similar(overlap, len(a), len(b)):
                 assert set(a[: jaccard.prefix_length(len(a))]) & set(b[: jaccard.prefix_length(len(b))])
+
+
+def test_only_sets_that_may_link_are_read_in_tiles():
+    """Of a tile, sets without a possible link to another class go before their arrays are dealt out; linked pairs stay, whatever their sizes."""
+    rng = np.random.default_rng(8)
+    base = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (110, 120, 128, 140, 150)]
+    arrays = [*base, base[2][4:], base[4][:-3], base[4]]
+    roots = [0, 1, 2, 3, 4, 5, 6, 4]  # the last one is in a class with its like already
+    for chunks in ([0] * 8, [0, 0, 0, 0, 0, 1, 1, 0]):
+        rows = [(c, i, len(a), roots[i], jaccard.bitmap(a)) for i, (c, a) in enumerate(zip(chunks, arrays))]
+        linked = {i for i in range(8) for j in range(8) if roots[i] != roots[j] and jaccard.similar(len(np.intersect1d(arrays[i], arrays[j])), len(arrays[i]), len(arrays[j]))}
+        assert set(jaccard._may_link(rows, 80)) == linked == {2, 4, 5, 6, 7}
