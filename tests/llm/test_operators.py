@@ -405,3 +405,20 @@ def test_extraction(spark):
     assert one == "The first paragraph, with a few commas, is long enough to count as text of the article.\n\nA second one, follows & it has bold words, too, so that the container wins."
     assert {r.text for r in found if r.page_id in (2, 3)} == {""}
     assert extraction.op10(table.where("false")).count() == 0
+
+
+def test_lines_by_quick_patterns(spark):
+    """The patterns that Java finds fast give the lines that the stated ones give, and lone blanks are no work."""
+    import re
+
+    odd = [
+        "a \t b<br>c  d\n\ne <B>f</B> <P >g<PRE>h</pre><p/>i</ p><pa>j<!-- k\n-->l<!-->m-->", "<SCRIPT a=1>x</script>y<style>z</STYLE >w<style>v</style>", "<script>1</style>2</script>3<noscript>4</noscript>", "<scripts>5</scripts>6",
+        "<head><title>t</title></head><header>u</header><h1>v</h1><h7>w</h7><th x=\"1\ny\">x</th><thead>y", " \x0b ", "a<", "a<p", None, "  a <b> </b> c ", "<tr\n>1<td>2</li\x0c>3<articles>4<asides>5</aside>6",
+    ]
+    table = spark.createDataFrame(list(enumerate(odd)), "page_id long, html string")
+    text = F.regexp_replace(F.regexp_replace(F.coalesce("html", F.lit("")), r"[\x20\x09-\x0D]+", " "), lines.UNSEEN_PATTERN, " ")
+    text = F.regexp_replace(F.regexp_replace(text, lines.BREAK_PATTERN, "\n"), "<[^>]*>", "")
+    plain = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(x, " +", " "))), lambda x: x != "")
+    for r in table.select("page_id", lines.visible_lines("html").alias("quick"), plain.alias("plain")).collect():
+        assert r.quick == r.plain, odd[r.page_id]
+    assert re.search(lines._SPACES, "a lone blank") is None
