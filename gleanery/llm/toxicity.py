@@ -2,8 +2,9 @@
 
 A bounded sample of the labelled rows gives the examples. Their terms (words, and beginnings of words) make the vocabulary, those
 first that the labels depend on most; texts are TF-IDF vectors over it, in which a term weighs by that dependence as well. The examples stand in an inverted index cut into blocks, with the largest
-weight of each term in each block. A search visits blocks by the bound that these maxima give, and ends when no block left can
-reach the examples found: the cosines and the nearest examples are exact. Votes weighted by nearness become a probability by
+weight of each term in each block. A search visits the blocks of the largest bounds that these maxima give, then those that can still
+reach the examples found; lists of frequent terms have a place for each example, and the texts that visit a block are multiplied with
+its lists at once. Examples in reach are summed up anew: the cosines and the nearest examples are exact. Votes weighted by nearness become a probability by
 isotonic regression on votes of the examples themselves, each without its own.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from gleanery.llm.common import held_out, settled
 
 #: Expected examples of label 1 and of label 0, terms, least examples of a term, power of its evidence (G2) in its weight, neighbours, block
-#: size and weight of no vote.
+#: size, blocks visited first, terms whose lists have a place for each example, texts searched at once and weight of no vote.
 EXAMPLES = (1500, 6000)
 TERMS = 8192
 LEAST = 3
@@ -28,6 +29,8 @@ EVIDENCE_POWER = 0.5
 NEIGHBOURS = 15
 BLOCK = 64
 STEP = 8
+FREQUENT = 1024
+TEXTS = 64
 #: Words whose terms a task remembers.
 KNOWN = 1 << 18
 DOUBT = 0.5
@@ -65,14 +68,21 @@ class Index:
         self.known: dict[bytes, tuple[int, ...]] = {}
         self.blocks = max(1, -(-len(ids) // BLOCK))
         example = np.repeat(np.arange(len(ids)), sizes)
-        order = np.lexsort((example, flat))
-        self.example, self.weight = example[order], weights[order]
-        cell = flat[order].astype(np.int64) * self.blocks + self.example // BLOCK
-        self.place = self.example % BLOCK
-        self.starts = np.searchsorted(cell, np.arange(len(vocabulary) * self.blocks + 1)).reshape(-1)
-        self.most = np.zeros(len(vocabulary) * self.blocks, np.float32)
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(len(vocabulary), self.blocks)
+        self.flat, self.weights, self.sizes, self.own = flat, weights, sizes, np.cumsum(sizes) - sizes
+        self.most = np.zeros((len(vocabulary), self.blocks), np.float32)
+        np.maximum.at(self.most, (flat, example // BLOCK), weights)
+        lengths = np.bincount(flat, minlength=len(vocabulary))
+        frequent = np.argsort(-lengths, kind="stable")[:FREQUENT]
+        self.column = np.full(len(vocabulary), -1)
+        self.column[frequent] = np.arange(len(frequent))
+        column = self.column[flat]
+        dense, rare = column >= 0, np.flatnonzero(column < 0)
+        self.lists = np.zeros((self.blocks, len(frequent), BLOCK), np.float32)
+        self.lists[example[dense] // BLOCK, column[dense], example[dense] % BLOCK] = weights[dense]
+        rare = rare[np.argsort(flat[rare], kind="stable")]
+        self.example, self.weight = example[rare], weights[rare]
+        self.starts = np.searchsorted(flat[rare], np.arange(len(vocabulary) + 1))
+        self.at = np.full(len(vocabulary), -1)
 
     def terms_of(self, word: bytes) -> tuple[int, ...]:
         """Terms of the vocabulary that a word counts for."""
@@ -99,36 +109,61 @@ class Index:
 
     def nearest(self, found: np.ndarray, v: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The k examples with the largest cosine above zero, ties by place, and their cosines."""
-        if not len(found) or not len(self.ids):
-            return np.zeros(0, np.int64), np.zeros(0)
-        bound = v @ self.most[found]
-        visit = np.argsort(-bound, kind="stable")
-        visit = visit[bound[visit] > 0]
-        best, value = np.zeros(0, np.int64), np.zeros(0)
-        rows = found * self.blocks
-        for at in range(0, len(visit), STEP):
-            least = value[-1] if len(best) == k else 0.0
-            if len(best) == k and bound[visit[at]] < least - 1e-6:
-                break
-            chosen = visit[at : at + STEP]
-            cells = (rows[:, None] + chosen).ravel()
-            first, size = self.starts[cells], self.starts[cells + 1] - self.starts[cells]
-            there = np.flatnonzero(size)
-            first, size, weight = first[there], size[there], v[there // len(chosen)]
-            ends = np.cumsum(size)
-            post = np.arange(ends[-1]) + np.repeat(first - (ends - size), size)
-            # Blocks are summed side by side: an example's place is its block's and its own in it.
-            place = np.repeat(there % len(chosen) * BLOCK, size) + self.place[post]
-            score = np.bincount(place, self.weight[post] * np.repeat(weight, size), len(chosen) * BLOCK)
-            near = np.flatnonzero(score > max(least - 1e-6, 0.0))
-            seen = chosen[near // BLOCK] * BLOCK + near % BLOCK
-            score = score[near]
-            if without is not None:
-                score, seen = score[self.ids[seen] != without], seen[self.ids[seen] != without]
-            best, value = np.concatenate([best, seen]), np.concatenate([value, score])
-            top = np.lexsort((best, -np.round(value, 9)))[:k]
-            best, value = best[top], value[top]
-        return best, np.minimum(value, 1.0)
+        return self.search([(found, v)], k, [without])[0]
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS, without: list[int | None] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """What ``nearest`` gives for each query."""
+        if not len(self.ids):
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+        weights = np.zeros((len(queries), self.lists.shape[1]), np.float32)
+        score = np.zeros((len(queries), self.blocks * BLOCK), np.float32)
+        bound = np.zeros((len(queries), self.blocks))
+        for i, (found, v) in enumerate(queries):
+            if not len(found):
+                continue
+            bound[i] = v @ self.most[found]
+            column = self.column[found]
+            weights[i, column[column >= 0]] = v[column >= 0]
+            rare, first = column < 0, self.starts[found[column < 0]]
+            post, size = _runs(first, self.starts[found[rare] + 1] - first)
+            score[i] = np.bincount(self.example[post], self.weight[post] * np.repeat(v[rare], size), score.shape[1])
+        # What single precision can be wrong by, on both sides of a comparison.
+        slack = np.array([[(len(found) + 4) * 2.0**-22 + 1e-6] for found, _ in queries])
+        out = np.array([self.ids == w for w in without]) if without and any(w is not None for w in without) else None
+
+        def visit(blocks: np.ndarray) -> None:
+            for b in np.flatnonzero(blocks.any(axis=0)):
+                at = np.flatnonzero(blocks[:, b])
+                score[at, b * BLOCK : (b + 1) * BLOCK] += weights[at] @ self.lists[b]
+
+        def reached(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            seen = np.where(np.repeat(blocks, BLOCK, axis=1), score, np.float32(0))
+            if out is not None:
+                seen[:, : len(self.ids)][out] = 0
+            least = np.partition(seen, seen.shape[1] - k, axis=1)[:, [seen.shape[1] - k]] if seen.shape[1] >= k else np.zeros((len(seen), 1))
+            return seen, least
+
+        best = np.zeros(bound.shape, bool)
+        np.put_along_axis(best, np.argsort(-bound, axis=1, kind="stable")[:, :STEP], True, axis=1)
+        best &= bound > 0
+        visit(best)
+        more = (bound > np.maximum(reached(best)[1] - slack, 0)) & ~best
+        visit(more)
+        seen, least = reached(best | more)
+        near = seen > np.maximum(least - slack, 0)
+        return [self._exact(*query, np.flatnonzero(near[i]), k) for i, query in enumerate(queries)]
+
+    def _exact(self, found: np.ndarray, v: np.ndarray, near: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest of some examples and their cosines, summed in the order of the query's terms."""
+        post, size = _runs(self.own[near], self.sizes[near])
+        self.at[found] = np.arange(len(found))
+        at = self.at[self.flat[post]]
+        self.at[found] = -1
+        order = np.flatnonzero(at >= 0)
+        order = order[np.argsort(at[order], kind="stable")]
+        score = np.bincount(np.repeat(np.arange(len(near)), size)[order], self.weights[post[order]] * v[at[order]], len(near))
+        top = np.lexsort((near, -np.round(score, 9)))[:k]
+        return near[top], np.minimum(score[top], 1.0)
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
         """Share of label 1 among the neighbours, each weighted by its nearness, with some weight for no vote."""
@@ -138,6 +173,12 @@ class Index:
         return float(np.interp(vote, *self.curve)) if self.curve else vote
 
 
+def _runs(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of runs with these starts and sizes, one after another, and the sizes."""
+    ends = np.cumsum(size)
+    return np.arange(size.sum()) + np.repeat(first - (ends - size), size), size
+
+
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Points of the non-decreasing curve through (x, y), pooled where y falls, drawn a little towards the overall mean."""
     mean = float((y * weight).sum() / weight.sum())
@@ -208,7 +249,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
     def own_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Index(*parts)
         for batch in batches:
-            votes = [own.vote(*own.nearest(*own.query(word_counts(_raw(t))), without=i)) for i, t in zip(batch.column(0).to_pylist(), batch.column(2))]
+            ids, votes = batch.column(0).to_pylist(), []
+            for at in range(0, len(ids), TEXTS):
+                queries = [own.query(word_counts(_raw(t))) for t in batch.column(2).slice(at, TEXTS)]
+                votes += [own.vote(*found) for found in own.search(queries, without=ids[at : at + TEXTS])]
             yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), batch.column(1)], ["vote", "label"])
 
     votes = sample.mapInArrow(own_votes, "vote double, label int").collect()
@@ -228,10 +272,10 @@ def toxicity_of(index: Index, text: str | Column, spark) -> Column:
         if not held:
             held.append(Index(*sent.value[0], sent.value[1]))
         own, scores, evidence = held[0], [], []
-        for t in texts:
-            best, cosine = own.nearest(*own.query(word_counts(_raw(t))))
-            scores.append(min(1.0, max(0.0, own.score(own.vote(best, cosine)))))
-            evidence.append(own.ids[best[own.labels[best] == 1][:3]].tolist())
+        for at in range(0, len(texts), TEXTS):
+            for best, cosine in own.search([own.query(word_counts(_raw(t))) for t in texts.slice(at, TEXTS)]):
+                scores.append(min(1.0, max(0.0, own.score(own.vote(best, cosine)))))
+                evidence.append(own.ids[best[own.labels[best] == 1][:3]].tolist())
         return pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], names=["score", "evidence"])
 
     return of(text)

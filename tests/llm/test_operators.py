@@ -422,3 +422,26 @@ def test_lines_by_quick_patterns(spark):
     for r in table.select("page_id", lines.visible_lines("html").alias("quick"), plain.alias("plain")).collect():
         assert r.quick == r.plain, odd[r.page_id]
     assert re.search(lines._SPACES, "a lone blank") is None
+
+
+def test_texts_searched_at_once():
+    """Texts searched together find what each finds alone, without the examples that each leaves out."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    draw = lambda n: (np.sort(rng.choice(1500, n, replace=False)), rng.random(n) + 0.1)
+    rows = [draw(int(rng.integers(1, 60))) for _ in range(300)]
+    rows += rows[:20]
+    flat, weights = (np.concatenate([r[i] / (np.linalg.norm(r[1]) if i else 1) for r in rows]) for i in (0, 1))
+    sizes, ids = np.array([len(r[0]) for r in rows]), np.arange(len(rows)) % 300
+    index = toxicity.Index([b"=%d" % i for i in range(1500)], np.ones(1500), ids, np.zeros(len(rows)), sizes, flat.astype(np.int64), weights)
+    queries = [(f, v / np.linalg.norm(v)) for f, v in [*rows[:40], *(draw(5) for _ in range(20))]] + [(np.zeros(0, np.int64), np.zeros(0))]
+    left_out = [i if i < 40 and i % 2 else None for i in range(len(queries))]
+    dense = np.zeros((len(rows), 1500))
+    dense[np.repeat(np.arange(len(rows)), sizes), flat.astype(np.int64)] = weights
+    for (found, v), out, (best, cosine) in zip(queries, left_out, index.search(queries, without=left_out)):
+        plain_cosines = dense[:, found] @ v
+        plain_cosines[ids == (-1 if out is None else out)] = 0
+        expected = np.lexsort((np.arange(len(rows)), -np.round(plain_cosines, 9)))[: toxicity.NEIGHBOURS]
+        expected = expected[plain_cosines[expected] > 0]
+        assert best.tolist() == expected.tolist() and np.allclose(cosine, np.minimum(plain_cosines[expected], 1))
