@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import SPACE, rows_of_keepers, settled, text_hash
+from gleanery.llm.common import SPACE, release_memory, rows_of_keepers, settled, text_batches, text_hash
 
 #: Distinct keys that a bucket may hold before it is split, the bits by which keys are counted at a time, and the deepest the
 #: directory gets: 65,536 entries. Beyond that buckets grow, and their owners read them as a stream just the same.
@@ -110,6 +110,8 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, size = [], 0
     if rows:
         yield _batch(rows)
+    rows.clear()
+    release_memory()
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -133,6 +135,8 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
     if rows:
         yield out()
+    rows.clear()
+    release_memory()
 
 
 def index(docs: DataFrame, entries: DataFrame, doc_id: str, text: str, room: int = CAPACITY) -> DataFrame:
@@ -160,7 +164,8 @@ def exact_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     """
     norm = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_hash(text).alias("text_hash"), normal_text(F.col(text)).alias("t"))
     entries = settled(norm.select("doc_id", "text_hash", F.xxhash64("t").alias("key"), F.unhex(F.sha2("t", 256)).alias("sha")))
-    classes = settled(index(docs, entries, doc_id, text, room))
+    with text_batches(docs.sparkSession):
+        classes = settled(index(docs, entries, doc_id, text, room))
     # A text without a copy needs no look-up; a class with copies is there once for each salt.
     many = classes.where(F.col("group_size") > 1).select(
         F.col("key").alias("k"), F.unhex("text_sha256").alias("s"), "keep_id", "group_size", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import rows_of_keepers, settled, text_hash
+from gleanery.llm.common import release_memory, rows_of_keepers, settled, text_batches, text_hash
 from gleanery.llm.graph import components
 
 DISTANCE = 4
@@ -56,7 +56,9 @@ def fingerprint_of(text: str | Column, shingle: int = SHINGLE) -> Column:
 
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array([fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle) for t in texts], pa.int64())
+        found = pa.array([fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle) for t in texts], pa.int64())
+        release_memory()
+        return found
 
     return of(text)
 
@@ -187,7 +189,8 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", di
     once in the search. component_id is the smallest id that is reached; rows without an id take part, but give no id. An
     empty table gives an empty table; other columns aren't read.
     """
-    rows = settled(docs.select(F.col(doc_id).alias("id"), text_hash(text).alias("text_hash"), fingerprint_of(text).alias("code")))
+    with text_batches(docs.sparkSession):
+        rows = settled(docs.select(F.col(doc_id).alias("id"), text_hash(text).alias("text_hash"), fingerprint_of(text).alias("code")))
     codes = settled(rows.groupBy("code").agg(F.min("id").alias("least"), F.count("*").alias("n")))
     found = components(links(codes.select("code"), distance))
     rooted = codes.join(found.select(F.col("node").alias("code"), "root"), "code", "left")
