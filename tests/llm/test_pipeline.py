@@ -48,3 +48,17 @@ def test_stages(spark, sf, tmp_path):
 def test_run_on_no_rows(spark, sf, tmp_path):
     spark.read.parquet(f"{sf}/documents.parquet").where("false").write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_dedup_sends_texts_in_small_batches(spark, monkeypatch):
+    """While exact and near dedup read texts, Python gets few rows at once; the session's own setting is back afterwards."""
+    from gleanery.llm import common, exact, simhash
+
+    setting, docs = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.createDataFrame([(i, f"text {i % 3}") for i in range(9)], "doc_id long, text string")
+    before = spark.conf.get(setting, None)
+    for module, dedup in ((exact, exact.exact_dedup), (simhash, simhash.near_dedup)):
+        seen, settled = [], module.settled
+        monkeypatch.setattr(module, "settled", lambda df: (seen.append(spark.conf.get(setting)), settled(df))[1])
+        assert dedup(docs).count() >= 1
+        assert str(common.TEXT_ROWS) in seen
+    assert spark.conf.get(setting, None) == before
