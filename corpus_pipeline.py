@@ -18,6 +18,10 @@ from gleanery.llm.queries import tokenizer_path
 from gleanery.llm.simhash import near_dedup
 
 
+#: Text bytes of a block of the last stage: smaller than a lone ``encode`` takes, as other stages' workers and caches are in memory too.
+BLOCK_BYTES = 8 << 20
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that pass the counts and the perplexity band of their language."""
     return quality_filter(docs)
@@ -40,7 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each row's text, and the SHA-256 of the text that they decode to."""
-    done = encode(docs, tokenizer_path())
+    done = encode(docs, tokenizer_path(), block_bytes=BLOCK_BYTES)
     return done.select(F.col("row").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

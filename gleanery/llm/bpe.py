@@ -28,6 +28,9 @@ from gleanery.llm.packing import pack, unpack
 BLOCK_BYTES = 32 << 20
 PARTS = 1024
 STEP = 1 << 20
+#: Rows read out of a batch at a time, and bytes of ids in a batch of results.
+ROWS = 64
+OUT_BYTES = 1 << 20
 DOCUMENTS = -1
 #: Stands for the id of rows without one.
 NO_ID = -(1 << 63)
@@ -87,18 +90,24 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int, parts: int) ->
     release_memory()
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows of batches, of which only a few are copied out of Arrow's memory at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield from zip(*(c.to_pylist() for c in batch.slice(at, ROWS).columns))
+
+
 def _groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[list[tuple]]:
     """Rows with one value in column ``by``, from rows sorted by it."""
     rows: list[tuple] = []
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if rows and rows[-1][by] != row[by]:
-                yield rows
-                rows = []
-            rows.append(row)
-            if row[1] == DOCUMENTS and by == 1:  # goes through alone
-                yield rows
-                rows = []
+    for row in _rows(batches):
+        if rows and rows[-1][by] != row[by]:
+            yield rows
+            rows = []
+        rows.append(row)
+        if row[1] == DOCUMENTS and by == 1:  # goes through alone
+            yield rows
+            rows = []
     if rows:
         yield rows
 
@@ -108,6 +117,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], tokenizer_json: str) -> Iterator
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
+    release_memory()  # of tasks before
     tokenizer = Tokenizer.from_str(tokenizer_json)
     tokenizer.no_truncation()
     tokenizer.no_padding()
@@ -125,13 +135,19 @@ def _encoded(batches: Iterator[pa.RecordBatch], tokenizer_json: str) -> Iterator
         for (block, part, _), ws in zip(rows, asked):
             got = [table[w] for w in ws]
             yield _batch([(block, part, pack(np.fromiter(map(len, got), np.int64, len(got)), np.fromiter((i for g in got for i in g), np.int64)))])
+        rows.clear()
+    del tokenizer
+    release_memory()
 
 
 def _rebuilt(batches: Iterator[pa.RecordBatch], pieces: list[bytes], emit: Callable) -> Iterator[pa.RecordBatch]:
     """Documents of each block from their word places and the answers of all parts."""
+    release_memory()  # of tasks before
     for rows in _groups(batches, 0):
         ids, lengths, part, codes = unpack(next(p for _, n, p in rows if n == DOCUMENTS))
+        codes = codes.astype(np.int32)
         answers = [unpack(p) for _, n, p in sorted((r for r in rows if r[1] != DOCUMENTS), key=lambda r: r[1])]
+        rows.clear()
         sizes = np.concatenate([a[0] for a in answers]) if answers else np.empty(0, np.int64)
         flat = np.concatenate([a[1] for a in answers]) if answers else np.empty(0, np.int64)
         ends = np.cumsum(sizes)
@@ -141,6 +157,7 @@ def _rebuilt(batches: Iterator[pa.RecordBatch], pieces: list[bytes], emit: Calla
         for place, start, end in zip(np.argsort(part, kind="stable").tolist(), (ends - sizes).tolist(), ends.tolist()):
             word_ids[place] = raw[4 * start : 4 * end]
             word_text[place] = b" ".join(spelled[start:end]) if end > start else None
+        del answers, sizes, flat, ends, raw, spelled, part
         whole = None not in word_text
         at, out, size = 0, [], 0
         for row, n in zip(ids.tolist(), lengths.tolist()):
@@ -149,11 +166,13 @@ def _rebuilt(batches: Iterator[pa.RecordBatch], pieces: list[bytes], emit: Calla
             texts = map(word_text.__getitem__, own)
             out.append((row, b"".join(map(word_ids.__getitem__, own)), b" ".join(texts if whole else (t for t in texts if t is not None))))
             size += len(out[-1][1])
-            if size > 4_000_000:
+            if size > OUT_BYTES:
                 yield emit(out)
                 out, size = [], 0
         if out:
             yield emit(out)
+        del ids, lengths, codes, word_ids, word_text, out
+        release_memory()
 
 
 def _as_digests(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:

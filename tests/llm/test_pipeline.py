@@ -62,3 +62,24 @@ def test_dedup_sends_texts_in_small_batches(spark, monkeypatch):
         assert dedup(docs).count() >= 1
         assert str(common.TEXT_ROWS) in seen
     assert spark.conf.get(setting, None) == before
+
+
+def test_blocks_are_rebuilt_in_small_pieces(spark, monkeypatch):
+    """Blocks of the last stage are small beside an executor's memory, and so is what is written of a block at once."""
+    import numpy as np
+
+    from gleanery.llm import bpe
+    from gleanery.llm.packing import pack
+
+    asked = {}
+    monkeypatch.setattr(corpus_pipeline, "encode", lambda docs, path, **given: (asked.update(given), bpe.encode(docs, path, **given))[1])
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(5)], "doc_id long, text string")
+    assert corpus_pipeline.token_ids(spark, docs, "").count() == 5
+    assert asked["block_bytes"] <= 8 << 20
+    n, each = 5, 400_000
+    place = pack(np.arange(n), np.full(n, each), np.zeros(1, np.int64), np.zeros(n * each, np.int64))
+    answer = pack(np.array([1]), np.array([0]))
+    made = list(bpe._rebuilt(iter([bpe._batch([(0, bpe.DOCUMENTS, place), (0, 0, answer)])]), [b"x"], bpe._as_tokens))
+    assert [r for b in made for r in b.column(0).to_pylist()] == list(range(n))
+    assert all(len(ids) == each for b in made for ids in b.column(1))
+    assert max(b.num_rows for b in made) * 4 * each < 4_000_000
