@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.scalars import NOT_NEWLINE, WHITESPACE, col, let, text_or, trim_text, utf16_length
@@ -30,6 +30,7 @@ ENTITIES = (
     ("&quot;", '"'),
     ("&#39;", "'"),
 )
+ANY_TAG = r"<[^>]+>"
 LINK_HREF = r'(?i)<a\b[^>]*href="([^"]*)"'
 
 
@@ -51,6 +52,12 @@ def extract_amounts(text: Column | str) -> Column:
     return F.filter(F.transform(find_all(text, AMOUNT), parse_amount), lambda a: a > 0)
 
 
+def reference_parts(match: Column) -> Column:
+    """``issue_parts`` of a text that is one whole reference: its parts lie between slashes."""
+    part = lambda n: F.split_part(match, F.lit("/"), F.lit(n))
+    return F.struct(part(2).alias("owner"), part(3).alias("repo"), part(5).try_cast("bigint").alias("number"))
+
+
 def issue_parts(match: Column) -> Column:
     part = lambda g: F.regexp_extract(match, ISSUE_REFERENCE, g)
     return F.struct(part(1).alias("owner"), part(2).alias("repo"), part(3).try_cast("bigint").alias("number"))
@@ -102,30 +109,45 @@ def html_to_markdown(html: Column | str, exclude_tags: Sequence[str] = ("script"
     part of the price of the pattern. No step makes a tag that a later one looks for.
     """
 
-    def when_there(text: Column, there: Column, change: Callable[[Column], Column]) -> Column:
-        return let(text, lambda t: F.when(there, change(t)).otherwise(t))
-
     def steps(page: Column) -> Column:
         out, has = page["html"], lambda tag: F.contains(page["lowered"], F.lit(tag))
-        for tag in exclude_tags:
-            out = when_there(out, has(f"<{tag.lower()}"), lambda t, tag=tag: drop_elements(t, [tag]))
-        for level in range(1, 7):
-            pattern, made = rf"(?i)<h{level}[^>]*>({NOT_NEWLINE}*?)</h{level}>", f"{'#' * level} $1\n"
-            out = when_there(out, has(f"<h{level}"), lambda t, pattern=pattern, made=made: F.regexp_replace(t, pattern, made))
-        out = when_there(out, has("<a"), lambda t: F.regexp_replace(t, rf'(?i)<a[^>]*href="([^"]*)"[^>]*>({NOT_NEWLINE}*?)</a>', "[$2]($1)"))
-        out = when_there(out, has("<p"), lambda t: F.regexp_replace(t, rf"(?i)<p[^>]*>({NOT_NEWLINE}*?)</p>", "$1\n\n"))
-        out = when_there(out, has("<br"), lambda t: F.regexp_replace(t, rf"(?i)<br{WHITESPACE}*/?>", "\n"))
-        return F.regexp_replace(out, r"<[^>]+>", "")
-
-    def decoded(text: Column) -> Column:
-        for entity, char in ENTITIES:
-            text = F.replace(text, F.lit(entity), F.lit(char))
-        return text
+        for tag, change in [*[(f"<{tag.lower()}", lambda t, tag=tag: drop_elements(t, [tag])) for tag in exclude_tags], *_heading_steps(), *_inline_steps()]:
+            out = _when_there(out, has(tag), change)
+        return F.regexp_replace(out, ANY_TAG, "")
 
     # (?i) finds ASCII letters of either case, as the lowered page has them.
     page = F.struct(col(html).alias("html"), F.lower(col(html)).alias("lowered"))
-    plain = let(let(page, steps), lambda t: F.when(F.contains(t, F.lit("&")), decoded(t)).otherwise(t))
-    return trim_text(let(plain, lambda t: F.when(F.contains(t, F.lit("\n\n\n")), F.regexp_replace(t, r"\n{3,}", "\n\n")).otherwise(t)))
+    plain = let(let(page, steps), lambda t: F.when(F.contains(t, F.lit("&")), _decoded(t)).otherwise(t))
+    return trim_text(let(plain, lambda t: F.when(F.contains(t, F.lit("\n\n\n")), _fewer_blank_lines(t)).otherwise(t)))
+
+
+def _when_there(text: Column, there: Column, change: Callable[[Column], Column]) -> Column:
+    return let(text, lambda t: F.when(there, change(t)).otherwise(t))
+
+
+def _heading_steps() -> list[tuple[str, Callable[[Column], Column]]]:
+    def step(level: int) -> tuple[str, Callable[[Column], Column]]:
+        return f"<h{level}", lambda t: F.regexp_replace(t, rf"(?i)<h{level}[^>]*>({NOT_NEWLINE}*?)</h{level}>", f"{'#' * level} $1\n")
+
+    return [step(level) for level in range(1, 7)]
+
+
+def _inline_steps() -> list[tuple[str, Callable[[Column], Column]]]:
+    return [
+        ("<a", lambda t: F.regexp_replace(t, rf'(?i)<a[^>]*href="([^"]*)"[^>]*>({NOT_NEWLINE}*?)</a>', "[$2]($1)")),
+        ("<p", lambda t: F.regexp_replace(t, rf"(?i)<p[^>]*>({NOT_NEWLINE}*?)</p>", "$1\n\n")),
+        ("<br", lambda t: F.regexp_replace(t, rf"(?i)<br{WHITESPACE}*/?>", "\n")),
+    ]
+
+
+def _decoded(text: Column) -> Column:
+    for entity, char in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
+
+
+def _fewer_blank_lines(text: Column) -> Column:
+    return F.regexp_replace(text, r"\n{3,}", "\n\n")
 
 
 def extract_links(html: Column | str) -> Column:
@@ -198,10 +220,42 @@ def issue_title(*candidates: Column, number: Column) -> Column:
 
 def plain_text(html: Column | str) -> Column:
     """Page text without any markup."""
-    return trim_text(F.regexp_replace(drop_elements(html, ("script", "style")), r"<[^>]+>", " "))
+    return trim_text(F.regexp_replace(drop_elements(html, ("script", "style")), ANY_TAG, " "))
 
 
 def page_text(html: Column | str) -> Column:
     """Markdown, plain text and preferred forge links of a page, with blank lines between."""
     links = prefer_issue_links(forge_links(extract_links(html)))
     return F.concat_ws("\n\n", html_to_markdown(html), plain_text(html), F.array_join(links, "\n"))
+
+
+def with_page_text(pages: DataFrame, html: str, text: str) -> DataFrame:
+    """``pages`` with ``page_text`` of the column ``html`` in its place, as ``text``.
+
+    The same steps in the same order, but each a projection of its own, which Spark compiles, and what markdown and plain text have in
+    common is worked out once. A step is left out of a page that has nothing for it.
+    """
+    kept = [F.col(f"`{c}`") for c in pages.columns if c != html]
+    out, low = F.col("_out"), F.col("_low")
+    has = lambda tag: F.contains(low, F.lit(tag))
+    changed = lambda there, change: F.when(there, change).otherwise(out).alias("_out")
+
+    done = pages.select(*kept, F.col(html).alias("_out"), F.lower(html).alias("_low"))
+    for tag in ("script", "style"):
+        done = done.select(*kept, "_low", F.col("_page") if "_page" in done.columns else F.col("_out").alias("_page"), changed(has(f"<{tag}"), drop_elements(out, [tag])))
+    links = F.when(has("<a"), F.array_join(prefer_issue_links(forge_links(extract_links("_page"))), "\n")).otherwise("")
+    bare = F.when(F.contains(out, F.lit("<")), F.regexp_replace(out, ANY_TAG, " ")).otherwise(out)
+    kept += [F.col("_links"), F.col("_plain")]
+    done = done.select(*kept[:-2], "_low", "_out", links.alias("_links"), trim_text(bare).alias("_plain"))
+
+    def headings(t: Column) -> Column:
+        for tag, change in _heading_steps():
+            t = _when_there(t, has(tag), change)
+        return t
+
+    for tag, change in [("<h", headings), *_inline_steps()]:
+        done = done.select(*kept, "_low", changed(has(tag), change(out)))
+    done = done.select(*kept, changed(F.contains(out, F.lit("<")), F.regexp_replace(out, ANY_TAG, "")))
+    done = done.select(*kept, changed(F.contains(out, F.lit("&")), _decoded(out)))
+    done = done.select(*kept, changed(F.contains(out, F.lit("\n\n\n")), _fewer_blank_lines(out)))
+    return done.select(*kept[:-2], F.concat_ws("\n\n", trim_text(out), "_plain", "_links").alias(text))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleanery.functions.scalars import let
+
+
 def at(v: Column, path: str, kind: str = "variant") -> Column:
     """Value at a path, NULL when absent or of another kind."""
     return F.try_variant_get(v, path, kind)
@@ -12,12 +15,12 @@ def at(v: Column, path: str, kind: str = "variant") -> Column:
 
 def text_at(v: Column, *paths: str) -> Column:
     """First non-empty text among several paths."""
-    return F.coalesce(*[F.nullif(at(v, p, "string"), F.lit("")) for p in paths])
+    return F.coalesce(*[let(at(v, p, "string"), lambda x: F.nullif(x, F.lit(""))) for p in paths])
 
 
 def number_at(v: Column, *paths: str) -> Column:
     """First whole number other than 0 among several paths."""
-    return F.coalesce(*[F.nullif(at(v, p, "bigint"), F.lit(0)) for p in paths])
+    return F.coalesce(*[let(at(v, p, "bigint"), lambda x: F.nullif(x, F.lit(0))) for p in paths])
 
 
 def truthy(v: Column) -> Column:
@@ -26,7 +29,7 @@ def truthy(v: Column) -> Column:
 
 
 def first_truthy(*options: Column) -> Column:
-    return F.coalesce(*[F.when(truthy(o), o) for o in options])
+    return F.coalesce(*[let(o, lambda v: F.when(truthy(v), v)) for o in options])
 
 
 def first_at(v: Column, *paths: str) -> Column:

@@ -22,7 +22,8 @@ from gleanery.functions.markup import (
     issue_parts,
     issue_title,
     issue_url,
-    page_text,
+    reference_parts,
+    with_page_text,
 )
 from gleanery.functions.scalars import (
     cents_to_usd,
@@ -38,6 +39,7 @@ from gleanery.functions.scalars import (
 from gleanery.functions.variants import as_kind, at, first_at, first_truthy, number_at, text_at
 
 DEFAULT_CENTS = 10000
+PAGE_PROPS = "$.props.pageProps"
 EMBEDDED_SCRIPT = r'(?s)<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>'
 
 
@@ -118,30 +120,36 @@ def mentions(text: Column | str, raw: bool = False, legacy_commas: bool = False)
     References are found and the text is split once; each reference finds its line by its place in the text, and
     all that is read around it comes from its few lines, joined once.
     """
+    whole = F.col(text) if isinstance(text, str) else text
+    return F.transform(let(let(whole, lambda page: _split(page, raw)), _surroundings), lambda r: _said(r, legacy_commas))
 
-    def split(page: Column) -> Column:
-        matches = find_all(page, ISSUE_REFERENCE, 0)
-        return F.struct((matches if raw else F.array_distinct(matches)).alias("matches"), context.text_lines(page).alias("lines"), page.alias("text"))
 
-    def near(page: Column) -> Column:
-        def one(ref: Column) -> Column:
-            around = let(context.line_of(page["text"], ref).cast("int"), lambda hit: F.when(hit.isNotNull(), context.lines_around(page["lines"], hit)))
-            return let(around, lambda lines: F.struct(ref.alias("ref_url"), lines.alias("lines"), context.joined_lines(lines).alias("joined")))
+def _split(page: Column, raw: bool = False) -> Column:
+    """References, lines and the text itself."""
+    matches = find_all(page, ISSUE_REFERENCE, 0)
+    return F.struct((matches if raw else F.array_distinct(matches)).alias("matches"), context.text_lines(page).alias("lines"), page.alias("text"))
 
-        return F.transform(page["matches"], one)
 
-    def read(r: Column) -> Column:
-        return F.struct(
-            issue_parts(r["ref_url"]).alias("issue"),
-            context.context_title(r["lines"]).alias("title"),
-            context.amount_cents(r["joined"], legacy_commas).alias("cents"),
-            F.nullif(context.matching_terms(r["joined"], context.CONTEXT_TERMS), _strings()).alias("tech"),
-            F.substring(r["joined"], 1, 200).alias("context"),
-            r["ref_url"].alias("ref_url"),
-        )
+def _surroundings(page: Column) -> Column:
+    """Of each reference of a split text its ref_url, its lines and these joined."""
+
+    def one(ref: Column) -> Column:
+        around = let(context.line_of(page["text"], ref).cast("int"), lambda hit: F.when(hit.isNotNull(), context.lines_around(page["lines"], hit)))
+        return let(around, lambda lines: F.struct(ref.alias("ref_url"), lines.alias("lines"), context.joined_lines(lines).alias("joined")))
+
+    return F.transform(page["matches"], one)
 
-    whole = F.col(text) if isinstance(text, str) else text
-    return F.transform(let(let(whole, split), near), read)
+
+def _said(r: Column, legacy_commas: bool = False) -> Column:
+    """What the surroundings of a reference say."""
+    return F.struct(
+        reference_parts(r["ref_url"]).alias("issue"),
+        context.context_title(r["lines"]).alias("title"),
+        context.amount_cents(r["joined"], legacy_commas).alias("cents"),
+        let(context.matching_terms(r["joined"], context.CONTEXT_TERMS), lambda terms: F.nullif(terms, _strings())).alias("tech"),
+        F.substring(r["joined"], 1, 200).alias("context"),
+        r["ref_url"].alias("ref_url"),
+    )
 
 
 def text_items(pages: DataFrame, text: str = "text", raw: bool = False, legacy_commas: bool = False) -> DataFrame:
@@ -163,7 +171,7 @@ def text_items(pages: DataFrame, text: str = "text", raw: bool = False, legacy_c
 def embedded_state(html: Column | str) -> Column:
     """Page-state JSON as a variant; NULL when the page has none or it does not parse."""
     c = F.col(html) if isinstance(html, str) else html
-    return F.try_parse_json(F.nullif(F.regexp_extract(c, EMBEDDED_SCRIPT, 1), F.lit("")))
+    return let(F.regexp_extract(c, EMBEDDED_SCRIPT, 1), lambda found: F.try_parse_json(F.nullif(found, F.lit(""))))
 
 
 def _task(item: Column) -> Column:
@@ -180,10 +188,9 @@ _URL_PATHS = ("$.url", "$.html_url", "$.source.data.html_url")
 
 def candidates(state: Column) -> Column:
     """Pre-extracted candidates in a page state: array of (id, title, url, cents, currency, body, issue)."""
-    props = "$.props.pageProps"
     # Where candidates may be, in order.
-    spots = [f"{props}.bounties", f"{props}.items", f"{props}.data.bounties", f"{props}.data.items"]
-    listed = as_kind(first_at(state, *spots), "array<variant>")
+    spots = ["$.bounties", "$.items", "$.data.bounties", "$.data.items"]
+    listed = let(at(state, PAGE_PROPS), lambda props: as_kind(first_at(props, *spots), "array<variant>"))
     blank = F.lit("")
 
     def pair(item: Column) -> Column:
@@ -215,10 +222,9 @@ def embedded_candidates(pages: DataFrame, state: str = "state") -> DataFrame:
 
 def raw_objects(state: Column) -> Column:
     """Raw objects in a page state that belong to an issue: array of (item, issue_url, issue)."""
-    props = "$.props.pageProps"
     # Where the raw list may be, in order.
-    spots = [f"{props}.bounties", f"{props}.items", f"{props}.data"]
-    listed = as_kind(first_at(state, *spots), "array<variant>")
+    spots = ["$.bounties", "$.items", "$.data"]
+    listed = let(at(state, PAGE_PROPS), lambda props: as_kind(first_at(props, *spots), "array<variant>"))
 
     def read(item: Column) -> Column:
         url = let(_task(item), lambda t: text_at(t, *_URL_PATHS))
@@ -237,6 +243,7 @@ def embedded_raw_rows(pages: DataFrame, state: str = "state") -> DataFrame:
 # --- the best source of a page ---------------------------------------------------------------------
 
 FROM_CANDIDATES, FROM_RAW, FROM_TEXT = 1, 2, 3
+_NEAR = "struct<ref_url: string, lines: array<string>, joined: string>"
 
 
 def best_source_rows(pages: DataFrame) -> DataFrame:
@@ -274,19 +281,31 @@ def best_source_rows(pages: DataFrame) -> DataFrame:
             ),
         )
 
-    from_text = F.transform(
-        mentions(page_text("html")),
-        lambda m: row(
-            FROM_TEXT, m["issue"], title=m["title"], body=m["context"], link=m["ref_url"], cents=m["cents"], tech=m["tech"]
-        ),
-    )
-    best = let(let(embedded_state("html"), from_state), lambda found: F.when(F.size(found) > 0, found).otherwise(from_text))
+    # Text is worked out only of pages whose state has nothing. What surrounds a reference is found within its page, what it says
+    # is read after the references are apart, where Spark compiles it.
+    found = F.when(F.contains("html", F.lit("__NEXT_DATA__")), let(embedded_state("html"), from_state))
+    read = pages.select(*keep, "html", found.alias("_state"))
+    left = read.select(*keep, "_state", F.when(F.size("_state") > 0, F.lit(None)).otherwise(F.col("html")).alias("html"))
+    split = with_page_text(left, "html", "_text").select(*keep, "_state", F.col("_text"), find_all("_text", ISSUE_REFERENCE, 0).alias("_matches"))
+    said = F.struct(F.array_distinct("_matches").alias("matches"), context.text_lines("_text").alias("lines"), F.col("_text").alias("text"))
+    nothing = F.lit(None)
     # The page's columns travel inside the exploded rows, so no later join by them can move below the
     # extraction and drag the HTML through an exchange.
-    carried = F.transform(best, lambda b: F.struct(*keep, b.alias("found")))
-    rows = pages.select(F.posexplode_outer(carried).alias("pos", "_r")).where("_r IS NOT NULL")
-    fields = ("source", "id", "title", "body", "link", "cents", "currency", "tech", "item")
-    return rows.select(*[f"_r.{c}" for c in keep], "pos", *[f"_r.found.{f}" for f in fields], "_r.found.issue.*")
+    carried = F.when(F.size("_state") > 0, F.transform("_state", lambda s: F.struct(*keep, s.alias("state"), nothing.cast(_NEAR).alias("near")))).when(
+        F.size("_matches") > 0, F.transform(let(said, _surroundings), lambda n: F.struct(*keep, nothing.alias("state"), n.alias("near")))
+    )
+    rows = split.select(F.posexplode_outer(carried).alias("pos", "_r")).where("_r IS NOT NULL")
+    apart = rows.select(*[f"_r.{c}" for c in keep], "pos", F.col("_r.state").alias("_state"), F.col("_r.near").alias("_near"))
+    known = apart.select(*keep, "pos", "_state", F.when(F.col("_state").isNull(), _said(F.col("_near"))).alias("_said"))
+    said_there = {"source": F.lit(FROM_TEXT), "title": "_said.title", "body": "_said.context", "link": "_said.ref_url", "cents": "_said.cents", "currency": F.lit("USD"), "tech": "_said.tech"}
+
+    def either(name: str) -> Column:
+        there = said_there.get(name)
+        other = none("variant") if name == "item" else none("string") if there is None else F.col(there) if isinstance(there, str) else there
+        return F.when(F.col("_state").isNull(), other).otherwise(F.col(f"_state.{name}")).alias(name)
+
+    parts = [F.when(F.col("_state").isNull(), F.col(f"_said.issue.{p}")).otherwise(F.col(f"_state.issue.{p}")).alias(p) for p in ("owner", "repo", "number")]
+    return known.select(*keep, "pos", *[either(n) for n in ("source", "id", "title", "body", "link", "cents", "currency", "tech", "item")], *parts)
 
 
 _ISSUE = ["handle", "owner", "repo", "number"]
@@ -305,7 +324,8 @@ def organization_rows(rows: DataFrame, page: Sequence[str] = ()) -> DataFrame:
     """
     first = F.struct("source", *page, "pos", "cents", "title", "link", "body")
     others = [c for c in rows.columns if c not in _ISSUE]
-    once = rows.groupBy(*_ISSUE).agg(F.min_by(F.struct(*others), first).alias("_row")).select(*_ISSUE, "_row.*")
+    # The hash comes first, so that sorting by these columns seldom has to look at the texts.
+    once = rows.groupBy(F.xxhash64(*_ISSUE).alias("_key"), *_ISSUE).agg(F.min_by(F.struct(*others), first).alias("_row")).select(*_ISSUE, "_row.*")
     best = once.groupBy("handle").agg(F.min("source").alias("_best"))
     return once.join(best, "handle").where("source = _best").select(*rows.columns)
 

@@ -194,3 +194,28 @@ def test_page_facts_and_grading(spark):
 def test_number_candidates(spark):
     rows = [r["handle"] for r in discovery.number_candidates(spark, 1990, 1992, 2).orderBy("pos").collect()]
     assert rows == ["1990", "1991", "1992", "1", "v1", "x1", "2", "v2", "x2"]
+
+
+def test_page_text_by_projections_says_the_same(spark):
+    pages = [
+        '<P class=x>See github.com/a/b/issues/12 $1,200.50</P><br/><SCRIPT>x</script>', '<h2>Fix</H2><h3>it</h3>\n\n\n\n&amp;&lt;<STYLE>b</STYLE>',
+        '<a href="https://github.com/o/r/issues/77">An issue</a><A HREF="https://github.com/z">z</A>', "plain < text >", "   ", "", None, "İK<p>a</p><ſcript>",
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id int, html string")
+    whole = df.select("page_id", markup.page_text("html").alias("text"))
+    steps = markup.with_page_text(df, "html", "text")
+    assert steps.columns == ["page_id", "text"]
+    assert sorted(map(tuple, steps.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_values_are_worked_out_once(spark):
+    """Neither the pattern of the embedded state nor a path into it is gone through twice for one value."""
+    from gleanery.functions import variants
+
+    df = spark.createDataFrame([(1, '<script id="__NEXT_DATA__">{"a":{"b":"c"}}</script>')], "page_id int, html string")
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    state = df.select(items.embedded_state("html").alias("state"))
+    assert plan(state).count("regexp_extract") == 1
+    found = spark.range(1).selectExpr("id", "parse_json(concat('{\"a\":', id, '}')) AS v")
+    assert plan(found.select(variants.text_at("v", "$.a").alias("x"))).count("try_variant_get") == 1
+    assert plan(found.select(variants.first_at("v", "$.a").alias("x"))).count("$.a") == 1
