@@ -19,7 +19,7 @@ from gleanery.llm.simhash import near_dedup
 
 
 #: Text bytes of a block of the last stage: smaller than a lone ``encode`` takes, as other stages' workers and caches are in memory too.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

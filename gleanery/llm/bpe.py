@@ -173,6 +173,7 @@ def _rebuilt(batches: Iterator[pa.RecordBatch], pieces: list[bytes], emit: Calla
             yield emit(out)
         del ids, lengths, codes, word_ids, word_text, out
         release_memory()
+    release_memory()  # the last rows read are free only now
 
 
 def _as_digests(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:

@@ -13,7 +13,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,25 +97,29 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[b
         yield key, chain
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The copies within a task, merged."""
+def _merged(batches: Iterator[pa.RecordBatch], starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The copies within a task, merged, and the bucket that owns each: the last whose first key isn't above the row's."""
     rows, size = [], 0
     for key, chain in _runs(batches):
         for text, doc_id, n in chain:
             rows.append((key, text, doc_id, n))
             size += len(text)
         if size > 4_000_000 or len(rows) > 5000:
-            yield _batch(rows)
+            yield _batch(rows, starts)
             rows, size = [], 0
     if rows:
-        yield _batch(rows)
+        yield _batch(rows, starts)
     rows.clear()
     release_memory()
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
+def _batch(rows: list[tuple], starts: np.ndarray) -> pa.RecordBatch:
     keys, texts, ids, counts = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(texts, pa.binary()), pa.array(ids, pa.int64()), pa.array(counts, pa.int64())], ["key", "bytes", "doc_id", "n"])
+    bucket = np.searchsorted(starts, np.array(keys, np.int64).view(np.uint64), side="right") - 1
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys, pa.int64()), pa.array(texts, pa.binary()), pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(bucket, pa.int32())],
+        ["key", "bytes", "doc_id", "n", "bucket"],
+    )
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,17 +145,14 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def index(docs: DataFrame, entries: DataFrame, doc_id: str, text: str, room: int = CAPACITY) -> DataFrame:
     """The classes of equal texts: key, place in the key's chain, hash, smallest id and number of rows."""
     starts = directory(entries.select("key").distinct(), room)
-
-    @F.pandas_udf("int")
-    def bucket_of(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(starts, keys.to_numpy(np.int64).view(np.uint64), side="right") - 1, dtype="int32")
-
     norm = docs.select(normal_text(F.col(text)).alias("t"), F.col(doc_id).cast("long").alias("doc_id"))
+    # One pass through Python merges the copies and finds the owner: a second in the same task would take a worker more on
+    # every core, which lives on through all later stages.
     sent = (
         norm.select(F.xxhash64("t").alias("key"), F.col("t").cast("binary").alias("bytes"), "doc_id", F.lit(1).cast("long").alias("n"))
-        .sortWithinPartitions("key").mapInArrow(_merged, "key long, bytes binary, doc_id long, n long")
+        .sortWithinPartitions("key").mapInArrow(lambda b: _merged(b, starts), "key long, bytes binary, doc_id long, n long, bucket int")
     )
-    owned = sent.withColumn("bucket", bucket_of("key")).repartition("bucket").sortWithinPartitions("bucket", "key")
+    owned = sent.repartition("bucket").sortWithinPartitions("bucket", "key")
     return owned.select("key", "bytes", "doc_id", "n").mapInArrow(_classes, "key long, chain int, text_sha256 string, keep_id long, group_size long")
 
 

@@ -83,3 +83,31 @@ def test_blocks_are_rebuilt_in_small_pieces(spark, monkeypatch):
     assert [r for b in made for r in b.column(0).to_pylist()] == list(range(n))
     assert all(len(ids) == each for b in made for ids in b.column(1))
     assert max(b.num_rows for b in made) * 4 * each < 4_000_000
+
+
+def test_dedup_takes_one_python_worker_for_a_task(spark, monkeypatch):
+    """No stage of exact and near dedup runs Python twice in a task: workers live on, and count in the memory of all later stages."""
+    from gleanery.llm import exact, simhash
+
+    docs = spark.createDataFrame([(i, f"some text {i % 3}") for i in range(9)], "doc_id long, text string")
+    plans = []
+    for module, dedup in ((exact, exact.exact_dedup), (simhash, simhash.near_dedup)):
+        settled = module.settled
+        monkeypatch.setattr(module, "settled", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), settled(df))[1])
+        plans.append(dedup(docs)._jdf.queryExecution().executedPlan().toString())
+    stages = [s for p in plans for s in p.split("Exchange")]
+    python = [s.count("MapInArrow") + s.count("EvalPython") for s in stages]
+    assert max(python) == 1
+
+
+def test_merged_copies_go_to_the_bucket_of_their_key():
+    import numpy as np
+    import pyarrow as pa
+
+    from gleanery.llm import exact
+
+    keys = [-(1 << 63), -5, 0, 7, (1 << 62) + 1, (1 << 63) - 1]  # in the order that Spark sorts them
+    starts = np.array([0, 1 << 62, 1 << 63, (1 << 64) - 5], np.uint64)
+    rows = pa.RecordBatch.from_arrays([pa.array(keys + keys[-1:]), pa.array([b"x"] * 7), pa.array(range(7)), pa.array([1] * 7)], ["key", "bytes", "doc_id", "n"])
+    made = [r for b in exact._merged(iter([rows]), starts) for r in b.to_pylist()]
+    assert [(r["key"], r["bucket"], r["n"]) for r in made] == list(zip(keys, [2, 3, 0, 0, 1, 1], [1, 1, 1, 1, 1, 2]))
