@@ -375,7 +375,7 @@ def items_from_best_source(spark, sf):
     text_pages = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("page_id"), text("l_suppkey").alias("handle"), F.concat(link("l_partkey"), link("l_orderkey")).alias("html")
     )
-    pages = state_pages(spark, sf).unionByName(text_pages)
+    pages = item_ops.pages_of_best_source(state_pages(spark, sf).unionByName(text_pages))
     rows = item_ops.organization_rows(item_ops.best_source_rows(pages), ["page_id"]).withColumns(
         {"display_name": F.col("handle"), "description": F.lit(None).cast("string"), "org_tech": F.lit(None).cast("array<string>")}
     )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +40,7 @@ from gleanery.functions.scalars import (
     text_or,
 )
 from gleanery.functions.variants import as_kind, at, first_at, first_truthy, number_at, text_at
+from gleanery.operators.keyed import settled
 
 DEFAULT_CENTS = 10000
 PAGE_PROPS = "$.props.pageProps"
@@ -246,20 +250,21 @@ FROM_CANDIDATES, FROM_RAW, FROM_TEXT = 1, 2, 3
 _NEAR = "struct<ref_url: string, lines: array<string>, joined: string>"
 
 
-def best_source_rows(pages: DataFrame) -> DataFrame:
-    """References of each page (handle, html, ...) from its best source, in one scan.
+def _none(kind: str) -> Column:
+    return F.lit(None).cast(kind)
+
+
+def _names_state(html: str) -> Column:
+    return F.contains(html, F.lit("__NEXT_DATA__"))
 
-    The first of pre-extracted state, raw state and text that has any issue wins; later ones are not
-    worked out. Columns: the page's own, pos (place in the page), source, owner, repo, number and what that
-    source knows. What an organization's pages give together is ``organization_rows``.
-    """
-    keep = [c for c in pages.columns if c != "html"]
-    none = lambda kind: F.lit(None).cast(kind)
+
+def _state_rows(html: str) -> Column:
+    """Issues in the embedded state of a page: pre-extracted ones, or raw ones where there are none."""
 
     def row(source: int, issue: Column, **known: Column) -> Column:
         unknown = {
-            "id": none("string"), "title": none("string"), "body": none("string"), "link": none("string"),
-            "cents": none("bigint"), "currency": F.lit("USD"), "tech": none("array<string>"), "item": none("variant"),
+            "id": _none("string"), "title": _none("string"), "body": _none("string"), "link": _none("string"),
+            "cents": _none("bigint"), "currency": F.lit("USD"), "tech": _none("array<string>"), "item": _none("variant"),
         }
         return F.struct(
             F.lit(source).alias("source"), issue.alias("issue"), *[c.alias(n) for n, c in {**unknown, **known}.items()]
@@ -281,10 +286,41 @@ def best_source_rows(pages: DataFrame) -> DataFrame:
             ),
         )
 
+    return let(embedded_state(html), from_state)
+
+
+def pages_of_best_source(pages: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """The pages (handle, html, ...) without those that only have text where the organization's state has issues.
+
+    What such pages say is left out by ``organization_rows``; without them it is neither worked out nor moved. This runs jobs: one finds
+    the organizations with pages of both kinds, the next those of them whose state has an issue. Only handles are moved, and up to
+    ``most`` (about 100 bytes each) are sent to the readers; if there are more, all pages stay.
+    """
+    named = F.coalesce(_names_state("html"), F.lit(False))
+    kinds = pages.groupBy("handle").agg(F.max(named).alias("_any"), F.min(named).alias("_all"))
+    both = settled(kinds.where("_any AND NOT _all").select("handle"))
+    if not 0 < both.limit(most + 1).count() <= most:
+        return pages
+    # Inside the aggregate, states are worked out above the join; a filter would move below it.
+    told = F.max(F.size(_state_rows("html")) > 0).alias("_told")
+    stated = settled(pages.where(named).join(F.broadcast(both), "handle", "left_semi").groupBy("handle").agg(told).where("_told").select("handle"))
+    if stated.isEmpty():
+        return pages
+    served = F.broadcast(stated.withColumnRenamed("handle", "_stated"))
+    return pages.join(served, (F.col("handle") == F.col("_stated")) & ~named, "left_anti")
+
+
+def best_source_rows(pages: DataFrame) -> DataFrame:
+    """References of each page (handle, html, ...) from its best source, in one scan.
+
+    The first of pre-extracted state, raw state and text that has any issue wins; later ones are not
+    worked out. Columns: the page's own, pos (place in the page), source, owner, repo, number and what that
+    source knows. What an organization's pages give together is ``organization_rows``.
+    """
+    keep = [c for c in pages.columns if c != "html"]
     # Text is worked out only of pages whose state has nothing. What surrounds a reference is found within its page, what it says
     # is read after the references are apart, where Spark compiles it.
-    found = F.when(F.contains("html", F.lit("__NEXT_DATA__")), let(embedded_state("html"), from_state))
-    read = pages.select(*keep, "html", found.alias("_state"))
+    read = pages.select(*keep, "html", F.when(_names_state("html"), _state_rows("html")).alias("_state"))
     left = read.select(*keep, "_state", F.when(F.size("_state") > 0, F.lit(None)).otherwise(F.col("html")).alias("html"))
     split = with_page_text(left, "html", "_text").select(*keep, "_state", F.col("_text"), find_all("_text", ISSUE_REFERENCE, 0).alias("_matches"))
     said = F.struct(F.array_distinct("_matches").alias("matches"), context.text_lines("_text").alias("lines"), F.col("_text").alias("text"))
@@ -301,7 +337,7 @@ def best_source_rows(pages: DataFrame) -> DataFrame:
 
     def either(name: str) -> Column:
         there = said_there.get(name)
-        other = none("variant") if name == "item" else none("string") if there is None else F.col(there) if isinstance(there, str) else there
+        other = _none("variant") if name == "item" else _none("string") if there is None else F.col(there) if isinstance(there, str) else there
         return F.when(F.col("_state").isNull(), other).otherwise(F.col(f"_state.{name}")).alias(name)
 
     parts = [F.when(F.col("_state").isNull(), F.col(f"_said.issue.{p}")).otherwise(F.col(f"_state.issue.{p}")).alias(p) for p in ("owner", "repo", "number")]
@@ -320,12 +356,23 @@ def organization_rows(rows: DataFrame, page: Sequence[str] = ()) -> DataFrame:
 
     Rows are reduced per issue first, an aggregate with a map-side part whose best source comes first, and an
     organization's best source is then found from the reduced rows. Those of a hot organization are on the
-    left of the join, whose right side holds one row per organization.
+    left of the join, whose right side holds one row per organization. A row is moved once, as the value that is
+    compared; only values without an order are moved beside it.
     """
-    first = F.struct("source", *page, "pos", "cents", "title", "link", "body")
+    order = ["source", *page, "pos", "cents", "title", "link", "body"]
     others = [c for c in rows.columns if c not in _ISSUE]
+    # Raw items and maps have no order. The first row that has any comes beside the least row, and is mostly NULL.
+    loose = [f.name for f in rows.schema if f.name in others and re.search(r"\b(variant|map)\b", f.dataType.simpleString())]
+    row = F.struct(*order, *[c for c in others if c not in order and c not in loose])
+    has_loose = reduce(or_, [F.col(c).isNotNull() for c in loose], F.lit(False))
+    beside = F.struct(row.alias("of"), *loose)
     # The hash comes first, so that sorting by these columns seldom has to look at the texts.
-    once = rows.groupBy(F.xxhash64(*_ISSUE).alias("_key"), *_ISSUE).agg(F.min_by(F.struct(*others), first).alias("_row")).select(*_ISSUE, "_row.*")
+    least = rows.groupBy(F.xxhash64(*_ISSUE).alias("_key"), *_ISSUE).agg(F.min(row).alias("_row"), F.min_by(beside, F.when(has_loose, row)).alias("_beside"))
+    taken = lambda value: F.struct(*[value(c) if c in loose else F.col(f"_row.{c}").alias(c) for c in others])
+    nothing = taken(lambda c: F.lit(None).cast(rows.schema[c].dataType).alias(c))
+    # One value made of both, so that neither is pruned and rows are worked out once for the two sides of the join.
+    chosen = F.when(F.col("_beside.of") == F.col("_row"), taken(lambda c: F.col(f"_beside.{c}").alias(c))).otherwise(nothing)
+    once = least.select(*_ISSUE, chosen.alias("_chosen")).select(*_ISSUE, "_chosen.*")
     best = once.groupBy("handle").agg(F.min("source").alias("_best"))
     return once.join(best, "handle").where("source = _best").select(*rows.columns)
 

@@ -57,6 +57,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The rows as they are now, in the checkpoint folder. This runs a job."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def with_row_index(
     df: DataFrame, order: Sequence[str | Column], name: str = "row_index", total: str = "row_total"
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.operators import changes, discovery, items, page_state, registry, stats
-from gleanery.operators.keyed import checkpoint_dir
+from gleanery.operators.keyed import settled
 
 
 @dataclass(frozen=True)
@@ -63,12 +63,14 @@ def collect_items(
     Order: listing API, then of all pages of the organization pre-extracted state, raw state and text; an issue
     counts once per organization. ``orgs`` holds handle, display_name, description and org_tech; ``pages``
     (handle, html, and page_id or url for their order) and ``listing`` (handle plus the listing row) bring
-    the data. Pages are scanned once and the HTML is dropped before any join; what the pages of an
-    organization served by the listing held is dropped after the scan.
+    the data. Pages whose text can't count are found first (``pages_of_best_source``, which runs jobs). Those that are
+    left are scanned once and the HTML is dropped before any other join; what the pages of an organization served by the
+    listing held is dropped after the scan.
     """
     details = orgs.select("handle", "display_name", "description", "org_tech")
     order = [c for c in ("page_id", "url") if c in pages.columns]
-    found = items.organization_rows(items.best_source_rows(pages.select("handle", *order, "html")), order)
+    read = items.pages_of_best_source(pages.select("handle", *order, "html"))
+    found = items.organization_rows(items.best_source_rows(read), order)
     if listing is not None:
         served = listing.where("status = 'active'").select("handle").distinct()
         found = found.join(served, "handle", "left_anti")
@@ -94,11 +96,6 @@ class Refresh:
     diff: DataFrame
 
 
-def _settled(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def refresh(
     orgs: DataFrame, pages: DataFrame, state: DataFrame | None, previous: DataFrame, as_of: Column, url_template: str,
     force_all: bool = False, issues: DataFrame | None = None, **signature,
@@ -113,7 +110,7 @@ def refresh(
     """
     read = pages.select("handle", "html", *[c for c in ("error",) if c in pages.columns])
     signatures = page_state.handle_signatures(page_state.page_signatures(read, **signature))
-    checked = _settled(page_state.check_pages(orgs, signatures, state, as_of, url_template, force_all))
+    checked = settled(page_state.check_pages(orgs, signatures, state, as_of, url_template, force_all))
     changed = page_state.changed_handles(checked)
     todo = page_state.pages_of(pages, changed)
     fresh = items.flatten_items(collect_items(orgs, todo, as_of, issues=issues)).select(*previous.columns)
@@ -125,13 +122,13 @@ def refresh_from_items(
     url_template: str, force_all: bool = False,
 ) -> Refresh:
     """The same from signatures and a ready table of items, of which the changed organizations' are taken."""
-    checked = _settled(page_state.check_pages(orgs, signatures, state, as_of, url_template, force_all))
+    checked = settled(page_state.check_pages(orgs, signatures, state, as_of, url_template, force_all))
     changed = page_state.changed_handles(checked)
     return _replaced(checked, changed, previous, fresh.join(changed, "handle", "left_semi"))
 
 
 def _replaced(checked: DataFrame, changed: DataFrame, previous: DataFrame, fresh: DataFrame) -> Refresh:
-    snapshot = _settled(changes.replace_keys(previous, fresh, changed))
+    snapshot = settled(changes.replace_keys(previous, fresh, changed))
     fields = [f for f in changes.FIELDS if f in previous.columns]
     diff = changes.diff_snapshots(previous, snapshot, fields=fields, tags="tags" if "tags" in previous.columns else None)
     return Refresh(checked, page_state.next_state(checked), snapshot, diff)

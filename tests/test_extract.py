@@ -147,6 +147,43 @@ def test_best_source_order(spark):
     assert "nothing" not in got
 
 
+def test_text_is_only_read_of_organizations_without_state(spark):
+    state = EMBEDDED % f'{{"bounties":[{WITH_TASK}]}}'
+    raw = EMBEDDED % f'{{"data":[{BARE}]}}'
+    pages = spark.createDataFrame(
+        [
+            (1, "both", state), (2, "both", PAIR), (3, "both", EMBEDDED % "{" + PAIR), (4, "raw", raw), (5, "raw", PAIR), (6, "empty", EMBEDDED % '{"bounties":[]}'),
+            (7, "empty", PAIR), (8, "text", PAIR), (9, "text", None), (10, "state", state), (11, None, state), (12, None, PAIR), (13, "both", None),
+        ],
+        "page_id INT, handle STRING, html STRING",
+    )
+    read = items.pages_of_best_source(pages)
+    assert sorted(r["page_id"] for r in read.collect()) == [1, 3, 4, 6, 7, 8, 9, 10, 11, 12]
+    assert sorted(r["page_id"] for r in items.pages_of_best_source(pages, 2).collect()) == [*range(1, 14)]
+    rows = lambda some: sorted(tuple(map(str, r)) for r in items.organization_rows(items.best_source_rows(some), ["page_id"]).collect())
+    assert rows(read) == rows(pages) and {r[1] for r in rows(read)} == {"both", "raw", "empty", "text", "state"}
+    found = runs.collect_items(orgs(spark, "both", "raw", "empty", "text", "state"), pages, F.lit("2025-01-01").cast("timestamp"))
+    assert sorted(r["id"] for r in found.select("id").collect()) == ["empty#2041", "empty#8", "raw#8", "text#2041", "text#8", "x1", "x1"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan[plan.index("Generate posexplode"):]
+
+
+def test_one_row_of_an_issue_with_all_that_belongs_to_it(spark):
+    """The first in order, then by content; raw items and maps stay with their row, also if another row of the issue has some."""
+    schema = "handle STRING, owner STRING, repo STRING, number LONG, source INT, page_id INT, pos INT, id STRING, title STRING, body STRING, link STRING, cents LONG, currency STRING, tech ARRAY<STRING>, more MAP<STRING, INT>, text STRING"
+    row = lambda handle, number, source, page, ident, title=None, more=None, item=None: (handle, "o", "r", number, source, page, 0, ident, title, None, "l", 5, "USD", ["a"], more, item)
+    given = [
+        row("a", 1, 2, 1, None, None, {"k": 1}, '{"n":1}'), row("a", 1, 3, 0, None, "text"), row("a", 1, 2, 2, None, None, None, '{"n":2}'),
+        row("a", 2, 3, 0, None, "lesser"), row("b", 1, 1, 1, "x"), row("b", 1, 1, 2, "y", None, {"k": 2}, '{"n":3}'), row("b", 2, 1, 1, "z"), row("b", 2, 1, 1, "w"),
+        row(None, 1, 1, 1, "none"),
+    ]
+    rows = spark.createDataFrame(given, schema).withColumn("item", F.parse_json("text")).drop("text").repartition(3)
+    found = items.organization_rows(rows, ["page_id"])
+    assert found.columns == rows.columns
+    got = {(r["handle"], r["number"]): (r["source"], r["page_id"], r["id"], r["title"], r["more"], r["n"], r["tech"]) for r in found.withColumn("n", F.expr("variant_get(item, '$.n', 'int')")).collect()}
+    assert got == {("a", 1): (2, 1, None, None, {"k": 1}, 1, ["a"]), ("b", 1): (1, 1, "x", None, None, None, ["a"]), ("b", 2): (1, 1, "w", None, None, None, ["a"])}
+
+
 def test_listing_comes_before_pages(spark):
     listing = spark.createDataFrame(
         [("a", '{"items":[{"id":"1","status":"active","amount":2500,"repo_owner":"o","repo_name":"r"},{"id":"2","status":"done","amount":1}]}'), ("b", '{"items":[{"id":"3","status":"done"}]}')],
